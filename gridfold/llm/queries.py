@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold.llm import langid, mixing, packing
+from gridfold.llm import langid, lm, mixing, packing
 from gridfold.llm.tables import documents, remainder
 
 
@@ -31,10 +31,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
+    "op8_lm_scoring": op8_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {}
