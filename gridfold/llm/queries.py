@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold.llm import langid, lm, mixing, packing
+from gridfold.llm import langid, linededup, lm, mixing, packing, sharding
 from gridfold.llm.tables import documents, remainder
 
 
@@ -35,11 +35,39 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.clean(documents(spark, sf_dir))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The line rule in DuckDB's SQL; words for what the operator's batches and runs do at once.
+LINE_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, rowid_, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+  FROM (SELECT doc_id, row_number() OVER () AS rowid_, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+),
+hot AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT rowid_) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(hot.k) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE hot.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN hot ON keyed.k = hot.k GROUP BY rowid_
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_line_dedup": LINE_SQL}
