@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold.llm import langid, linededup, lm, mixing, packing, sharding
+from gridfold.llm import fingerprint, langid, linededup, lm, mixing, packing, sharding
 from gridfold.llm.tables import documents, remainder
 
 
@@ -21,6 +21,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(documents(spark, sf_dir), tokenizer_path()))
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,6 +51,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_fingerprint": op3_fingerprint,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op8_lm_scoring": op8_lm_scoring,
