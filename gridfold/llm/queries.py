@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold.llm import fingerprint, langid, linededup, lm, mixing, packing, sharding
-from gridfold.llm.tables import documents, remainder
+from gridfold.llm import ann, fingerprint, langid, linededup, lm, mixing, packing, sharding
+from gridfold.llm.tables import documents, embeddings, remainder
 
 
 def tokenizer_path() -> str:
@@ -25,6 +25,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(documents(spark, sf_dir))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(embeddings(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -52,6 +56,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_fingerprint": op3_fingerprint,
+    "op5_ann": op5_ann,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op8_lm_scoring": op8_lm_scoring,
