@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold.llm import ann, fingerprint, langid, linededup, lm, mixing, packing, sharding
+from gridfold.llm import ann, fingerprint, jaccard, langid, linededup, lm, mixing, packing, sharding
 from gridfold.llm.tables import documents, embeddings, remainder
 
 
@@ -25,6 +25,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(documents(spark, sf_dir))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(embeddings(spark, sf_dir), F.col("vec_id") % 100 == 0)
 
@@ -56,6 +60,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_fingerprint": op3_fingerprint,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_ann": op5_ann,
     "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
