@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridfold.llm import scratch
-from gridfold.llm.tables import ROW, with_row
+from gridfold.llm.tables import ROW, share, with_row
 
 VECTORS = f"{ROW} string, vec_id long, is_query boolean, leaf int, vector binary"
 
@@ -174,15 +174,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = 0.
     sizes = placed.where(usable(doubles)).groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
     dim, n = (sizes[0]["dim"], sizes[0]["n"]) if sizes else (1, 0)
     fine = placed.where(usable(doubles, dim)).select(ROW, F.col("vec_id").cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("is_query"), doubles.alias("embedding"))
-    taken = fine.select("embedding", F.xxhash64("vec_id", "embedding").alias("h")).orderBy("h").limit(sample_rows).select("embedding")
-    sample = matrix(taken.toArrow()["embedding"], dim) if n else np.zeros((0, dim))
+    taken = fine.where(share(sample_rows / max(1, n), "vec_id", "embedding")).select(F.xxhash64("vec_id", "embedding").alias("h"), "embedding")
+    sample = matrix(taken.toArrow().sort_by("h")["embedding"], dim) if n else np.zeros((0, dim))
     tree = fit(sample)
-    share = calibrate(tree, sample, k, recall)
+    part = calibrate(tree, sample, k, recall)
     rows = scratch.cut(index(fine, tree), "ann-rows")
     held = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}
     per_leaf = np.array([held.get(i, 0) for i in range(tree.leaves)])
     cells = np.maximum(1, -(-per_leaf // cell_rows))
-    plan = spark.sparkContext.broadcast((tree, per_leaf, cells, max(k + 1.0, share * n)))
+    plan = spark.sparkContext.broadcast((tree, per_leaf, cells, max(k + 1.0, part * n)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row to its cell; a query also to every cell that it visits."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridfold.llm.tables import remainder
+from gridfold.llm.tables import remainder, share
 from gridfold.llm.textvec import LOWER, utf8
 
 ORDER = 3
@@ -164,9 +164,16 @@ def sample(docs: DataFrame, training: Column, per_language: int, sample_bytes: i
     takes the beginning, so that the bound holds."""
     part = max(1024, 4 * sample_bytes // per_language)
     near = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
+    labelled = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "")).select(
+        F.col("lang").cast("string").alias("lang"), F.col("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    # Only about four times the rows that are wanted get as far as the sort.
+    n = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    likely = F.lit(False)
+    for lang, rows_of in sorted(n.items()):
+        likely = likely | ((F.col("lang") == lang) & share(4 * per_language / rows_of if rows_of > 16 * per_language else 1.0, "text", "doc_id"))
     rows = (
-        docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
-        .select(F.col("lang").cast("string").alias("lang"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
+        labelled.where(likely)
         .withColumn("near", F.row_number().over(near))
         .where(F.col("near") <= per_language)
         .groupBy("lang")

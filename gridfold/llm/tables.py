@@ -38,3 +38,25 @@ def with_row(df: DataFrame) -> DataFrame:
         return df.select("*", place)
     except AnalysisException:
         return scratch.cut(df, "rows").select("*", place)
+
+
+def share(share_of_rows: float, *columns: str | Column) -> Column:
+    """A fixed share of the rows by hash: a sample of known expected size with no sort and no limit."""
+    part = max(0.0, min(1.0, share_of_rows))
+    return F.lit(True) if part >= 1 else F.shiftrightunsigned(F.xxhash64(*columns), 1) < F.lit(int(part * (1 << 63)))
+
+
+def most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows of the largest counts, at most ``most``: all with at least some count.
+
+    The count to be had is found in the histogram of counts, which has a few
+    thousand levels at most; a sort would have each task
+    send ``most`` rows to the driver."""
+    levels = F.when(F.col(column) < 1024, F.col(column)).otherwise(F.floor(F.log2(column) * 64).cast("long") + 1024)
+    histogram = sorted(((r["level"], r["n"], r["least"]) for r in counts.groupBy(levels.alias("level")).agg(F.count("*").alias("n"), F.min(column).alias("least")).collect()), reverse=True)
+    full, total = [], 0
+    for _, n, least in histogram:
+        total += n
+        if total <= most:
+            full.append(least)
+    return counts.where(F.col(column) >= F.lit(full[-1])) if full else counts.where(F.lit(False))
