@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold.llm import ann, fingerprint, jaccard, langid, linededup, lm, mixing, packing, sharding
+from gridfold.llm import ann, fingerprint, jaccard, langid, linededup, lm, mixing, packing, pii, sharding
 from gridfold.llm.tables import documents, embeddings, remainder
 
 
@@ -17,6 +17,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(documents(spark, sf_dir)))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(documents(spark, sf_dir), tokenizer_path()))
 
@@ -58,6 +62,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_packing": op2_packing,
     "op3_fingerprint": op3_fingerprint,
     "op4_jaccard_join": op4_jaccard_join,
