@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridfold.llm.tables import remainder, share
 from gridfold.llm.textvec import LOWER, utf8
@@ -183,8 +184,10 @@ def sample(docs: DataFrame, training: Column, per_language: int, sample_bytes: i
 
 
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:
-    """doc_id, lang_pred, score, and bits_per_byte of the best language's code."""
+    """``docs`` with lang_pred, score, and bits_per_byte of the best language's code."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample
+    new = ("lang_pred", "score", "bits_per_byte")
+    rows = docs.select(*[F.col(c).cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
@@ -200,18 +203,15 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
             posterior = 1 / np.exp2(-np.minimum(damped, 60)).sum(1)
             known = _letters(batch.column("text"), data, bounds) & bool(trees.languages)
             names = np.array([*trees.languages, "und"], object)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.where(known, names[best] if trees.languages else "und", "und"), pa.string()),
-                    pa.array(np.where(known, posterior, 0.0)),
-                    pa.array(least / np.maximum(size, 1)),
-                ],
-                names=["doc_id", "lang_pred", "score", "bits_per_byte"],
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
+            more = [
+                pa.array(np.where(known, names[best], "und"), pa.string()),
+                pa.array(np.where(known, posterior, 0.0)),
+                pa.array(least / np.maximum(size, 1)),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *new])
+
+    out = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
+    return rows.mapInArrow(run, out)
 
 
 def _letters(texts: pa.Array, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridfold.llm import scratch
 from gridfold.llm.textvec import utf8, word_counts
@@ -115,15 +116,17 @@ def _seed(*parts: object) -> int:
     return int.from_bytes(hashlib.sha256(repr(parts).encode()).digest()[:8], "little")
 
 
-def with_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: one pass over the texts, of which only their word counts stay."""
+def with_sizes(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size and the columns ``keep``: one pass over the texts, which don't stay."""
+    names = ["doc_id", "source", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = word_counts(*utf8(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(size)], names=["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size)], names=[*names, "size"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text").mapInArrow(run, "doc_id long, source string, size long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), *keep, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, T.StructType([*rows.drop("text").schema.fields, T.StructField("size", T.LongType())]))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = MOST_TIMES, block: int = BLOCK, seed: int = 0) -> DataFrame:

@@ -22,22 +22,27 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 ROW = "gf_row"
 
 
-def with_row(df: DataFrame) -> DataFrame:
-    """``df`` with one more column that names each row for good: its file and its index there.
-
-    Ids in the data may be null or repeat, and numbers made up during a job may change when a lost
-    executor's work is done again; a row's place in a Parquet file doesn't. What isn't read from files
-    is written once.
-    """
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is read from files, and otherwise written once and read again."""
     from pyspark.errors import AnalysisException
 
     from gridfold.llm import scratch
 
-    place = F.concat_ws("#", F.element_at(F.split("_metadata.file_path", "/"), -1), F.col("_metadata.row_index")).alias(ROW)
     try:
-        return df.select("*", place)
+        df.select("_metadata.row_index")
+        return df
     except AnalysisException:
-        return scratch.cut(df, "rows").select("*", place)
+        return scratch.cut(df, "rows")
+
+
+def with_row(df: DataFrame) -> DataFrame:
+    """``df`` with one more column that names each row for good: its file and its index there.
+
+    Ids in the data may be null or repeat, and numbers made up during a job may change when a lost
+    executor's work is done again; a row's place in a Parquet file doesn't. What isn't read from files
+    is written once."""
+    place = F.concat_ws("#", F.element_at(F.split("_metadata.file_path", "/"), -1), F.col("_metadata.row_index")).alias(ROW)
+    return settled(df).select("*", place)
 
 
 def share(share_of_rows: float, *columns: str | Column) -> Column:
