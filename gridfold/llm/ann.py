@@ -7,9 +7,10 @@ centre first, and visits leaves in that order until the calibrated number of row
 calibration finds, for held-out queries with exactly known neighbours in the sample, the share of rows
 that reaches ``recall``; the number of leaves follows the leaves' real sizes.
 
-Rows of a leaf are dealt over as many cells as its size asks for, and queries follow them to all of these,
-so a leaf that holds a third of all rows is many tasks. A cell yields its ``k`` nearest for each query;
-only these meet in the final choice, which is exact over all visited rows, in double precision.
+Neighbouring leaves share a cell of about ``cell_rows`` rows; a larger leaf is dealt over several cells, so
+one that holds a third of all rows is many tasks. A query goes to each cell once, with the leaves that it
+visits there, and gets the ``k`` nearest of these leaves' rows; only those meet in the final choice, which
+is exact over all visited rows, in double precision.
 
 Defined cases: rows without an id, and vectors that are null, all zero, of another length than most, or hold a null, NaN or
 infinite component take no part, as query or candidate; ties go to the smaller id; repeated vectors are
@@ -182,49 +183,61 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = 0.
     held = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}
     per_leaf = np.array([held.get(i, 0) for i in range(tree.leaves)])
     cells = np.maximum(1, -(-per_leaf // cell_rows))
-    plan = spark.sparkContext.broadcast((tree, per_leaf, cells, max(k + 1.0, part * n)))
+    # Leaves are numbered along the tree; small ones in a row share a cell.
+    before = np.concatenate([[0], np.cumsum(np.where(cells > 1, 0, per_leaf))])[:-1] // cell_rows
+    group = np.cumsum(cells > 1) * 2 - (cells > 1)  # a large leaf, and what follows it, begins anew
+    fresh = np.ones(tree.leaves, bool)
+    fresh[1:] = (before[1:] != before[:-1]) | (group[1:] != group[:-1])
+    widths = np.where(fresh, cells, 0)
+    first = (np.cumsum(widths) - widths)[np.maximum.accumulate(np.where(fresh, np.arange(tree.leaves), 0))]
+    plan = spark.sparkContext.broadcast((tree, per_leaf, cells, first, max(k + 1.0, part * n)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row to its cell; a query also to every cell that it visits."""
-        tree, per_leaf, cells, rows_seen = plan.value
-        first = np.cumsum(cells) - cells
+        tree, per_leaf, cells, first, rows_seen = plan.value
         for batch in batches:
             leaf = batch.column("leaf").to_numpy()
             spread = np.array([crc32(p.encode()) for p in batch.column(ROW).to_pylist()], np.int64) % cells[leaf]
-            asks, to = [], []
+            asks, to, at_leaves = [], [], []
             for i in np.flatnonzero(batch.column("is_query").to_numpy(zero_copy_only=False)):
                 q = np.frombuffer(batch.column("vector")[int(i)].as_py(), "<f8")
+                by_cell: dict[int, list[int]] = {}
                 for at in tree.visit(q, per_leaf, rows_seen):
-                    asks += [i] * int(cells[at])
-                    to += range(int(first[at]), int(first[at] + cells[at]))
+                    for c in range(int(first[at]), int(first[at] + cells[at])):
+                        by_cell.setdefault(c, []).append(at)
+                asks += [i] * len(by_cell)
+                to += by_cell
+                at_leaves += by_cell.values()
             row = np.concatenate([np.arange(len(leaf)), np.array(asks, np.int64)])
             cell = np.concatenate([first[leaf] + spread, np.array(to, np.int64)])
+            leaves = pa.array([[x] for x in leaf.tolist()] + at_leaves, pa.list_(pa.int32()))
             out = batch.select([ROW, "vec_id", "vector"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(row)) >= len(leaf)), *out.columns], names=["cell", "asks", ROW, "vec_id", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(row)) >= len(leaf)), leaves, *out.columns], names=["cell", "asks", "leaves", ROW, "vec_id", "vector"])
 
     def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["asks"].to_numpy(bool)
         x = np.frombuffer(b"".join(pdf["vector"]), "<f8").reshape(len(pdf), -1)
-        ids = pdf["vec_id"].to_numpy()
-        places = pdf[ROW].to_numpy(object)
+        ids, places, leaves = pdf["vec_id"].to_numpy(), pdf[ROW].to_numpy(object), pdf["leaves"].to_numpy(object)
         q, c = np.flatnonzero(asks), np.flatnonzero(~asks)
+        own = np.array([v[0] for v in leaves[c]], np.int64)
         asked, got, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        for at in range(0, len(q) if len(c) else 0, 256):
-            part = q[at : at + 256]
-            d = exact(x[part], x[c])
-            d[places[part][:, None] == places[c][None]] = np.inf
-            for i, row in zip(part, d, strict=True):
-                near = np.flatnonzero(row <= np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1])
-                best = near[np.lexsort((ids[c[near]], row[near]))][:k]
-                best = best[np.isfinite(row[best])]
-                asked.append(np.full(len(best), i))
-                got.append(c[best])
-                score.append(row[best])
+        for i in q:
+            near = c[np.isin(own, np.asarray(leaves[i])) & (places[c] != places[i])]
+            if not len(near):
+                continue
+            d = exact(x[i : i + 1], x[near])[0]
+            if len(near) > k:  # all that are no farther than the k-th; ties are settled by id
+                close = d <= np.partition(d, k - 1)[k - 1]
+                near, d = near[close], d[close]
+            best = np.lexsort((ids[near], d))[:k]
+            asked.append(np.full(len(best), i))
+            got.append(near[best])
+            score.append(d[best])
         asker, found = np.concatenate(asked), np.concatenate(got)
         place = pd.Series(list(places[asker]), dtype=object)
         return pd.DataFrame({"place": place, "query_id": ids[asker], "vec_id": ids[found], "score": np.concatenate(score)})
 
-    dealt = rows.mapInArrow(deal, f"cell long, asks boolean, {ROW} string, vec_id long, vector binary")
+    dealt = rows.mapInArrow(deal, f"cell long, asks boolean, leaves array<int>, {ROW} string, vec_id long, vector binary")
     local = dealt.groupBy("cell").applyInPandas(nearest, "place string, query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("place").orderBy("score", "vec_id"))
     return local.withColumn("rank", best.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
