@@ -34,7 +34,7 @@ def levels(text: Column, side: str) -> tuple[Column, Column]:
     order = lambda a, b: F.when(a["price"] < b["price"], -sign).when(a["price"] > b["price"], sign).otherwise(0)
     error = (
         F.when(text.isNull(), F.lit(f"book {side} missing"))
-        .when(raw.isNull(), F.lit(f"book {side} must be a list"))
+        .when(raw.isNull() | ~text.rlike(r"^\s*\["), F.lit(f"book {side} must be a list"))
         .when(is_pairs & F.exists(pairs, lambda x: F.size(x) != 2), F.lit(f"invalid {side} level"))
         .when(F.exists(typed, lambda x: x["price"].isNull() | x["size"].isNull()), F.lit("invalid decimal"))
         .when(F.exists(typed, lambda x: (x["price"] < 0) | (x["price"] > 1) | (x["size"] < 0)), F.lit("level out of range"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRICE_UNIT, SIZE_UNIT = 10_000, 1_000_000
+NULLABLE = ("price", "size", "best_bid", "best_ask", "old_tick_size", "new_tick_size")
 _LEVELS = "array<struct<p:bigint,s:bigint>>"
 OUT = f"condition_id string, token_id string, source_ts_ns bigint, receive_ts_ns bigint, sequence bigint, bids {_LEVELS}, asks {_LEVELS}, error_kind string, error string"
 
@@ -95,10 +96,12 @@ def fold(events: list[dict[str, Any]]) -> Iterator[tuple[dict[str, Any], list, l
 
 def _scaled(events: DataFrame) -> DataFrame:
     level = lambda x: F.struct((x["price"] * PRICE_UNIT).cast("long").alias("p"), (x["size"] * SIZE_UNIT).cast("long").alias("s"))
-    price = lambda c: (F.col(c) * PRICE_UNIT).cast("long").alias(c)
+    # No value is negative, so -1 stands for null: nullable integers would reach pandas as doubles.
+    scaled = lambda c, unit: F.coalesce((F.col(c) * unit).cast("long"), F.lit(-1)).alias(c)
+    price = lambda c: scaled(c, PRICE_UNIT)
     return events.select(
         "condition_id", "token_id", "source_ts_ns", "receive_ts_ns", "source_object", "source_row", "sequence", "event_type", "side",
-        F.transform("bids", level).alias("bids"), F.transform("asks", level).alias("asks"), price("price"), (F.col("size") * SIZE_UNIT).cast("long").alias("size"),
+        F.transform("bids", level).alias("bids"), F.transform("asks", level).alias("asks"), price("price"), scaled("size", SIZE_UNIT),
         price("best_bid"), price("best_ask"), price("old_tick_size"), price("new_tick_size"),
     )
 
@@ -111,6 +114,7 @@ def reconstruct(events: DataFrame, grid: int | None = None) -> tuple[DataFrame,
         clean = pdf.astype(object).where(pdf.notna(), None).sort_values("sequence")
         rows = clean.to_dict("records")
         for e in rows:
+            e.update({c: None for c in NULLABLE if e[c] == -1})
             for side in ("bids", "asks"):
                 if e["event_type"] == "BOOK":
                     e[side] = [(int(x["p"]), int(x["s"])) for x in e[side]]

@@ -36,7 +36,7 @@ def select_rows(rows: DataFrame, markets: DataFrame, compat_float_ns: bool = Fal
     received = F.when(F.col("timestamp_received").isNull(), F.raise_error(F.lit("receive timestamp is required"))).otherwise(F.col("timestamp_received"))
     inside = rows.where(F.col("timestamp_received").isNull() | (F.col("timestamp_received") >= at(outer["low"])) & (F.col("timestamp_received") < at(outer["high"])))
     tokens = markets.select(F.explode(F.array("token_up", "token_down")).alias("asset_id"))
-    named = keep_ids(inside.withColumn("condition_id", F.decode("market", F.lit("UTF-8"))), markets.select("condition_id"), ["condition_id"])
+    named = keep_ids(inside.withColumn("condition_id", F.decode("market", "UTF-8")), markets.select("condition_id"), ["condition_id"])
     named = keep_ids(named, tokens, ["asset_id"]).withColumn("receive_ts_ns", timestamp_ns(received, compat_float_ns))
     w = bounds.withColumnRenamed("condition_id", "gf_condition")
     hit = (F.col("condition_id") == F.col("gf_condition")) & (F.col("receive_ts_ns") >= F.col("low_ns")) & (F.col("receive_ts_ns") < F.col("high_ns"))
