@@ -97,8 +97,6 @@ class ByteBpe:
         return begin
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        if len(self.keys) + len(keys) > self.remember:
-            self._forget()
         ids = [self.merge(p.encode()) for p in pieces]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         first = len(self.ids) + np.cumsum(count) - count
@@ -122,12 +120,10 @@ class ByteBpe:
         at = np.searchsorted(self.keys, distinct)
         new = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != distinct if len(self.keys) else np.ones(len(distinct), bool))
         if len(new):
-            size = len(self.keys)
+            if len(self.keys) + len(new) > self.remember:
+                self._forget()
+                new = np.arange(len(distinct))
             self._learn(distinct[new], [joined[starts[i] : ends[i]] for i in sample[new].tolist()])
-            if len(self.keys) < size + len(new):  # it has started anew
-                missing = np.setdiff1d(np.arange(len(distinct)), new)
-                if len(missing):
-                    self._learn(distinct[missing], [joined[starts[i] : ends[i]] for i in sample[missing].tolist()])
             at = np.searchsorted(self.keys, distinct)
         at = at[back]
         count = self.count[at]

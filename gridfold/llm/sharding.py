@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from gridfold.llm import scratch
-from gridfold.llm.tables import ROW, with_row
+from gridfold.llm.tables import ROW, settled, with_row
 
 #: Bits that one round adds to the boundaries that it counts; a divisor of 64.
 DIGIT = 8
@@ -133,6 +133,7 @@ def assign(docs: DataFrame, shards: int = 16, tolerance: float = 0.01, rows_a_ce
 
 def write(docs: DataFrame, out: str, **how: object) -> None:
     """Write the documents with shard and slot, one folder a shard, sorted by slot: the one exchange."""
+    docs = settled(docs)
     place = with_row(docs)
     joined = place.join(assign(docs, **how).select(ROW, "shard", "slot"), ROW).drop(ROW)
     joined.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(out)
