@@ -2,7 +2,7 @@
 
 Snapshots replace both sides, increments set or remove one price, and at the end of each batch of equal
 receive times the book is held against the best prices that the event claims. The state is a map that
-each event changes, so this one operator runs grouped Python, on prices and sizes scaled to integers.
+each event changes, so this one operator runs grouped Python (Arrow in and out), on prices and sizes scaled to integers.
 A group is one token of one market and hour. Errors come back as rows: one bad market excludes itself
 and doesn't end the job.
 
@@ -15,12 +15,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRICE_UNIT, SIZE_UNIT = 10_000, 1_000_000
-NULLABLE = ("price", "size", "best_bid", "best_ask", "old_tick_size", "new_tick_size")
 _LEVELS = "array<struct<p:bigint,s:bigint>>"
 OUT = f"condition_id string, token_id string, source_ts_ns bigint, receive_ts_ns bigint, sequence bigint, bids {_LEVELS}, asks {_LEVELS}, error_kind string, error string"
 
@@ -94,10 +94,24 @@ def fold(events: list[dict[str, Any]]) -> Iterator[tuple[dict[str, Any], list, l
         yield e, sorted(book.bids.items(), reverse=True), sorted(book.asks.items())
 
 
+def _arrow() -> pa.Schema:
+    levels = pa.list_(pa.struct([("p", pa.int64()), ("s", pa.int64())]))
+    return pa.schema(
+        [("condition_id", pa.string()), ("token_id", pa.string()), ("source_ts_ns", pa.int64()), ("receive_ts_ns", pa.int64()), ("sequence", pa.int64()),
+         ("bids", levels), ("asks", levels), ("error_kind", pa.string()), ("error", pa.string())]
+    )
+
+
+def _levels(sides: list[list[tuple[int, int]]]) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sides])]).astype(np.int32)
+    flat = np.array([v for x in sides for level in x for v in level], np.int64).reshape(-1, 2)
+    pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0].copy()), pa.array(flat[:, 1].copy())], names=["p", "s"])
+    return pa.ListArray.from_arrays(pa.array(bounds), pairs)
+
+
 def _scaled(events: DataFrame) -> DataFrame:
     level = lambda x: F.struct((x["price"] * PRICE_UNIT).cast("long").alias("p"), (x["size"] * SIZE_UNIT).cast("long").alias("s"))
-    # No value is negative, so -1 stands for null: nullable integers would reach pandas as doubles.
-    scaled = lambda c, unit: F.coalesce((F.col(c) * unit).cast("long"), F.lit(-1)).alias(c)
+    scaled = lambda c, unit: (F.col(c) * unit).cast("long").alias(c)
     price = lambda c: scaled(c, PRICE_UNIT)
     return events.select(
         "condition_id", "token_id", "source_ts_ns", "receive_ts_ns", "source_object", "source_row", "sequence", "event_type", "side",
@@ -108,33 +122,31 @@ def _scaled(events: DataFrame) -> DataFrame:
 
 def reconstruct(events: DataFrame, grid: int | None = None) -> tuple[DataFrame, DataFrame]:
     """states and errors (condition_id, token_id, error_kind, error) of ordered events."""
-    columns = [c.split()[0] for c in OUT.replace(_LEVELS, "x").split(", ")]
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        clean = pdf.astype(object).where(pdf.notna(), None).sort_values("sequence")
-        rows = clean.to_dict("records")
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        condition, token = (k.as_py() for k in key)
+        rows = group.sort_by("sequence").to_pylist()
         for e in rows:
-            e.update({c: None for c in NULLABLE if e[c] == -1})
-            for side in ("bids", "asks"):
-                if e["event_type"] == "BOOK":
-                    e[side] = [(int(x["p"]), int(x["s"])) for x in e[side]]
+            if e["event_type"] == "BOOK":
+                e["bids"], e["asks"] = ([(x["p"], x["s"]) for x in e[side]] for side in ("bids", "asks"))
         out: list[tuple] = []
         kind = error = None
         try:
             for e, bids, asks in fold(rows):
-                if grid and out and -(-out[-1][3] // grid) == -(-e["receive_ts_ns"] // grid):
+                if grid and out and -(-out[-1][1] // grid) == -(-e["receive_ts_ns"] // grid):
                     out.pop()  # no grid point stands between the two
-                out.append((*key, e["source_ts_ns"], e["receive_ts_ns"], e["sequence"], [{"p": p, "s": s} for p, s in bids], [{"p": p, "s": s} for p, s in asks], None, None))
+                out.append((e["source_ts_ns"], e["receive_ts_ns"], e["sequence"], bids, asks))
             if not out:
-                kind, error = "NO_INITIAL_SNAPSHOT", f"token has no initial snapshot: {key[1]}"
+                kind, error = "NO_INITIAL_SNAPSHOT", f"token has no initial snapshot: {token}"
         except Conflict as x:
             kind, error = "EVENT_CONFLICT", str(x)
         if kind:
-            out = [(*key, None, None, None, None, None, kind, error)]
-        made = pd.DataFrame(out, columns=columns, dtype=object)
-        return made.astype({c: "Int64" for c in ("source_ts_ns", "receive_ts_ns", "sequence")})
+            return pa.table([[condition], [token], [None], [None], [None], [None], [None], [kind], [error]], schema=_arrow())
+        n = len(out)
+        times = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
+        none = pa.nulls(n, pa.string())
+        return pa.Table.from_arrays([pa.array([condition] * n), pa.array([token] * n), *times, _levels([x[3] for x in out]), _levels([x[4] for x in out]), none, none], schema=_arrow())
 
-    folded = _scaled(events).groupBy("condition_id", "token_id").applyInPandas(run, OUT)
+    folded = _scaled(events).groupBy("condition_id", "token_id").applyInArrow(run, OUT)
     level = lambda x: F.struct((x["p"].cast("decimal(19,0)") / PRICE_UNIT).cast("decimal(9,4)").alias("price"), (x["s"].cast("decimal(19,0)") / SIZE_UNIT).cast("decimal(18,6)").alias("size"))
     states = folded.where("error_kind IS NULL").select(
         "condition_id", "token_id", "source_ts_ns", "receive_ts_ns", "sequence", F.transform("bids", level).alias("bids"), F.transform("asks", level).alias("asks")
