@@ -123,3 +123,30 @@ class DirectoryRelease:
                 raise Conflict(f"{target} fails verification")
             out[logical] = digest
         return out
+
+
+def read_release(root: str | Path) -> dict[str, str]:
+    """logical name to digest of everything in a directory release, each file held against its digest."""
+    out: dict[str, str] = {}
+    for path in sorted(Path(root).iterdir()):
+        name, _, digest = path.name.rpartition("--")
+        if len(digest) != 64 or set(digest) - set("0123456789abcdef"):
+            continue
+        if name in out or sha256_file(path) != digest:
+            raise Conflict(f"{path.name} fails verification")
+        out[name] = digest
+    return out
+
+
+def release_index(manifests: list[dict]) -> dict:
+    """The partitions of a release by id, with their tiers and manifest digests."""
+    rows = [{"partition": m["partition"], "quality_tier": m["quality_tier"], "manifest_sha256": hashlib.sha256(canonical(m)).hexdigest()} for m in manifests]
+    if len({r["partition"] for r in rows}) != len(rows):
+        raise Conflict("a partition appears twice")
+    return {"schema_version": schemas.SCHEMA_VERSION, "partitions": sorted(rows, key=lambda r: r["partition"])}
+
+
+def notice(sources: list[dict]) -> dict:
+    """What must be said about the sources that a release includes. sources: source_id, license_class, license."""
+    included = sorted((s for s in sources if s["license_class"] != "EXCLUDED"), key=lambda s: s["source_id"])
+    return {"sources": included, "attribution_required": any(s["license"] == "CC-BY-4.0" for s in included)}

@@ -351,3 +351,29 @@ def test_stream_holds_markets_until_their_end(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert {r["condition_id"] for r in got.collect()} == {COND} and got.count() == 5
+
+
+def test_forensics(spark):
+    from gridfold.operators import forensics
+
+    e = ordered(spark, full())
+    assert {(r["token_id"], r["event_type"]): r["rows"] for r in forensics.profile(e).collect()}[("1", "BOOK")] == 1
+    near = forensics.around(e, (T + 300) * NS, 1).orderBy("sequence").collect()
+    assert [r["event_type"] for r in near] == ["PRICE_CHANGE", "TICK_SIZE_CHANGE", "LAST_TRADE_PRICE"] and near[1]["old_tick_size"] == "0.0100"
+
+
+def test_release_documents(tmp_path, capsys, spark):
+    from gridfold import cli
+
+    (tmp_path / "a").write_text("x")
+    published = sinks.DirectoryRelease(tmp_path / "out").publish({"p/a": tmp_path / "a"})
+    assert cli.main(["verify-release", str(tmp_path / "out")]) == 0 and published["p/a"] in capsys.readouterr().out
+    next((tmp_path / "out").iterdir()).write_text("y")
+    with pytest.raises(sinks.Conflict):
+        sinks.read_release(tmp_path / "out")
+    assert cli.main(["plan-backfill", "2026-05-01", "2026-05-01"]) == 0 and capsys.readouterr().out.count("\n") == 7
+    index = sinks.release_index([sinks.manifest(p, "TIER_A", {}, []) for p in ("b", "a")])
+    assert [r["partition"] for r in index["partitions"]] == ["a", "b"]
+    assert sinks.notice([{"source_id": "x", "license_class": "EXCLUDED", "license": "CC-BY-4.0"}, {"source_id": "y", "license_class": "OK", "license": "MIT"}]) == {
+        "sources": [{"source_id": "y", "license_class": "OK", "license": "MIT"}], "attribution_required": False,
+    }
