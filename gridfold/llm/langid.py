@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridfold.llm.tables import remainder, share
-from gridfold.llm.textvec import LOWER, utf8
+from gridfold.llm.textvec import LOWER, parts
 
 ORDER = 3
 SLICE = 1 << 19
@@ -191,8 +191,7 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
-        for batch in batches:
-            data, bounds = utf8(batch.column("text"))
+        for batch, data, bounds in parts(batches):
             size = np.diff(bounds)
             bits = score(trees, data, bounds) if trees.languages else np.zeros((len(size), 1))
             best = bits.argmin(1)

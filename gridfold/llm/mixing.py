@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridfold.llm import scratch
-from gridfold.llm.textvec import utf8, word_counts
+from gridfold.llm.textvec import parts, word_counts
 
 #: Documents that one task moves at a time.
 BLOCK = 8_192
@@ -121,8 +121,8 @@ def with_sizes(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     names = ["doc_id", "source", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = word_counts(*utf8(batch.column("text")))
+        for batch, data, bounds in parts(batches):
+            size = word_counts(data, bounds)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size)], names=[*names, "size"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), *keep, F.col("text").cast("string").alias("text"))

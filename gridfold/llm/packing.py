@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridfold.llm import bytebpe
+from gridfold.llm.textvec import parts
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
@@ -44,20 +45,14 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bytebpe.load(tokenizer)
-        for batch in batches:
-            for part in _parts(batch):
-                yield from _pieces(part, encoder, longest, end_id)
+        for part, _, _ in parts(batches, 1 << 20, 512):
+            yield from _pieces(part, encoder, longest, end_id)
 
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
     # Sequences need a number of their own, not a dense one: no shuffle and no count over all of them.
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def _pieces(batch: pa.RecordBatch, encoder: bytebpe.ByteBpe, longest: int, end_id: int) -> Iterator[pa.RecordBatch]:
     ids, count = encoder.encode(bytebpe.texts_of(batch.column("text")))
     ids = np.insert(ids, np.cumsum(count), end_id).astype("<u4")

@@ -126,3 +126,15 @@ def word_counts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def strings(texts: list[str | None]) -> pa.Array:
     return pa.array(texts, pa.string())
+
+
+def parts(batches: Iterator[pa.RecordBatch], size: int = 1 << 22, rows: int = 2_048) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows with about ``size`` bytes of text at a time, or one row."""
+    for batch in batches:
+        data, bounds = utf8(batch.column("text"))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + size, "right")) - 1)
+            end = min(end, at + rows)
+            yield batch.slice(at, end - at), data[bounds[at] : bounds[end]], bounds[at : end + 1] - bounds[at]
+            at = end
