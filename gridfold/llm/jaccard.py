@@ -352,9 +352,11 @@ class Region:
                 return
             d = self.distances(int(kernel[0]), members)
             own, rest = d[: len(kernel)], d[len(kernel) :]
-            # Members within the radius are linked to the pivot; from now on they matter as partners only.
+            # Members within the radius are linked to the pivot and so to one another. Their pairs with the
+            # window are settled here; from now on they matter as partners only.
             left = own > r
             left[0] = False
+            self.across(kernel[~left][1:], own[~left][1:], window, rest)
             partner, partner_d = np.concatenate([kernel[~left][1:], window]), np.concatenate([own[~left][1:], rest])
             kernel, own = kernel[left], own[left]
             if len(kernel):
@@ -362,6 +364,18 @@ class Region:
                 near = np.searchsorted(order, partner_d - r) < np.searchsorted(order, partner_d + r, "right")
                 window = partner[near]
 
+    def across(self, group: np.ndarray, group_d: np.ndarray, window: np.ndarray, window_d: np.ndarray) -> None:
+        """Link linked pairs of group and window, given their distances to one pivot."""
+        r = self.rule.radius
+        for member, d in zip(group, group_d, strict=True):
+            apart = self.roots(window) != self.root(int(member))
+            window, window_d = window[apart], window_d[apart]
+            if not len(window):
+                return
+            near = window[np.abs(window_d - d) <= r]
+            if len(near):
+                self.distances(int(member), near)
+
 
 def join_regions(table: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """class, root of members that are linked to another one of their region. Whole regions, sorted."""

@@ -247,6 +247,45 @@ def test_regions_join_exactly():
                     assert roots[i] == roots[j]
 
 
+def region_of(sets):
+    gram, row = np.concatenate(sets).astype(np.uint64), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    return jaccard.Region(gram, row, len(sets), jaccard.Rule())
+
+
+def chained(r, n_chains, length=6, size=100, step=8):
+    """Chains of sets, each the one before with ``step`` n-grams replaced: neighbours are linked (0.852), no others."""
+    sets, fresh = [], 10**6
+    for _ in range(n_chains):
+        one = r.choice(10**6, size, replace=False)
+        for k in range(length):
+            sets.append(np.sort(one))
+            one = one.copy()
+            one[k * step : (k + 1) * step] = np.arange(fresh, fresh + step)
+            fresh += step
+    return sets
+
+
+@pytest.mark.parametrize("way", ["solve", "one_by_one"])
+def test_regions_join_their_windows(way):
+    r = np.random.default_rng(6)
+    p, k1, w = chained(r, 1, 3)
+    region = region_of([p, k1, w])
+    getattr(region, way)(np.array([0, 1]), np.array([2]))
+    assert len(set(region.roots(np.arange(3)).tolist())) == 1
+    for chains in (2, 5, 20):
+        sets = chained(r, chains)
+        overlap = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+        every = np.arange(len(sets))
+        pairs = [(i, j) for i in every for j in every[:i] if 100 * (o := overlap(i, j)) >= 85 * (200 - o)]
+        for _ in range(6):
+            kernel = r.random(len(sets)) < 0.6
+            region = region_of(sets)
+            order = r.permutation(every)
+            getattr(region, way)(order[kernel[order]], order[~kernel[order]])
+            roots = region.roots(every)
+            assert all(roots[i] == roots[j] for i, j in pairs if kernel[i] or kernel[j])
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
