@@ -16,7 +16,9 @@
     left.
 4.  Regions of more than ``most`` members never meet in one task. A job first cuts them by size (the
     distance from the empty set: linked sizes are at most one band apart); then each job takes some
-    pivots, links what lies within their radius, and keeps what the triangle inequality leaves.
+    pivots, of any member, links what lies within their radius, and leaves the pivots out. Members that
+    pivots tie together are a group, whose pairs are settled; all other pairs stay to be joined, but for
+    members that the triangle inequality keeps from every partner outside their group.
 5.  Connected components over the links give classes' components.
 
 No pair of a group is listed: a group of near copies costs a link for each member. n-grams and sets are
@@ -53,6 +55,8 @@ PIVOTS, FEW, DEPTH, SPREAD = 8, 48, 8, 1.2
 BLOCK, JOB_PIVOTS = 16, 32
 #: Bits of the parity maps of short and long sets, and how many n-grams make a set long.
 MAP_BITS, LONG = (1_024, 16_384), 2_048
+#: The group of members that are tied to no pivot yet; groups have the number of one of their pivots.
+NO_GROUP = -1
 #: A pivot of a region too large for a task has at most so many n-grams, if any member has.
 PIVOT_SIZE = 4_096
 
@@ -287,6 +291,12 @@ class Region:
         self.mark = np.zeros(int(self.code.max()) + 1 if len(gram) else 1, bool)
         self.parent = np.arange(n)
 
+    def connect(self, group: np.ndarray) -> None:
+        """Members of one group are of one component already."""
+        tied = np.flatnonzero(group != NO_GROUP)
+        _, first, back = np.unique(group[tied], return_index=True, return_inverse=True)
+        self.parent[tied] = tied[first][back]
+
     def root(self, i: int) -> int:
         while self.parent[i] != i:
             self.parent[i] = self.parent[self.parent[i]]
@@ -380,13 +390,14 @@ class Region:
 def join_regions(table: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """class, root of members that are linked to another one of their region. Whole regions, sorted."""
     gram, row = grams(*utf8(table.column("text")), rule.n)
-    pivot, member, kernel = (table.column(c).to_numpy() for c in ("pivot", "class", "kernel"))
+    pivot, member, kernel, group = (table.column(c).to_numpy() for c in ("pivot", "class", "kernel", "group"))
     starts = np.flatnonzero(np.concatenate([[True], pivot[1:] != pivot[:-1]]))
     ends = np.append(starts[1:], len(pivot))
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for low, high, first, last in zip(starts, ends, np.searchsorted(row, starts), np.searchsorted(row, ends), strict=True):
         region = Region(gram[first:last], row[first:last] - low, high - low, rule)
         every = np.arange(high - low)
+        region.connect(group[low:high])
         own = kernel[low:high]
         region.solve(every[own], every[~own])
         root = region.roots(every)
@@ -399,7 +410,7 @@ def join_regions(table: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
 def links(members: DataFrame, rule: Rule, most: int) -> DataFrame:
     """a, b: links that connect all linked classes. members: pivot, class, size, text."""
     found: list[DataFrame] = []
-    part = scratch.cut(members.select("pivot", "class", F.lit(True).alias("kernel"), F.lit(0).alias("level"), "size", "text"), "regions")
+    part = scratch.cut(members.select("pivot", "class", F.lit(True).alias("kernel"), F.lit(0).alias("level"), F.lit(NO_GROUP).cast("long").alias("group"), "size", "text"), "regions")
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "pivot", 1_024):
@@ -434,8 +445,8 @@ def _by_size(part: DataFrame, rule: Rule) -> DataFrame:
     band = F.floor(F.log(F.col("size")) / float(np.log(rule.den / rule.num) + 1e-12))
     below = F.struct((band - 1).alias("band"), F.lit(False).alias("kernel"))
     copies = F.explode(F.array(F.struct(band.alias("band"), F.col("kernel").alias("kernel")), below)).alias("to")
-    dealt = part.select("pivot", "class", "level", "size", "text", copies)
-    out = dealt.select(F.xxhash64("pivot", "to.band").alias("pivot"), "class", "to.kernel", F.lit(1).alias("level"), "size", "text")
+    dealt = part.select("pivot", "class", "level", "group", "size", "text", copies)
+    out = dealt.select(F.xxhash64("pivot", "to.band").alias("pivot"), "class", "to.kernel", F.lit(1).alias("level"), "group", "size", "text")
     # Bands that are the least of their own only have partners. Bands times BLOCK rows at most.
     return out.join(F.broadcast(out.where("kernel").select("pivot").distinct()), "pivot", "left_semi")
 
@@ -443,12 +454,17 @@ def _by_size(part: DataFrame, rule: Rule) -> DataFrame:
 def _divide(part: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """One step for regions too large for a task: the links to some pivots, and what is left to be joined.
 
-    Members within the radius of a pivot are linked to it and stay as partners only, and only where the
-    triangle inequality doesn't exclude a link to what is left."""
+    To be joined are the pairs of a kernel member and any member that is not of its group. A pivot is
+    compared with all members and needs no further join, so kernel members without a group go first;
+    then whatever stands on the smaller side of the pairs that are left."""
     spark = part.sparkSession
-    turn = F.struct((F.col("size") > PIVOT_SIZE).alias("long"), F.xxhash64("class").alias("turn"), "class")
+    free = F.col("kernel") & (F.col("group") == NO_GROUP)
+    # Rows of each group of a region, and of the window without one: as many as there were pivots at most.
+    sides = part.where(~free).groupBy("pivot", "group").agg(F.count("*").alias("others"))
+    ranked = part.withColumn("gf_free", free).join(F.broadcast(sides), ["pivot", "group"], "left")
+    turn = F.struct(F.when(F.col("gf_free"), 0).otherwise(F.col("others")).alias("side"), (F.col("size") > PIVOT_SIZE).alias("long"), F.xxhash64("class").alias("turn"), "class")
     nth = F.row_number().over(Window.partitionBy("pivot").orderBy("t"))
-    picked = part.where("kernel").select("pivot", turn.alias("t"), "text").withColumn("nth", nth).where(F.col("nth") <= JOB_PIVOTS)
+    picked = ranked.select("pivot", turn.alias("t"), "text").withColumn("nth", nth).where(F.col("nth") <= JOB_PIVOTS)
     by_region: dict[int, tuple[list[int], np.ndarray, np.ndarray, np.ndarray]] = {}
     rows = picked.select("pivot", F.col("t.class").alias("class"), "text").collect()  # BLOCK * JOB_PIVOTS at most
     for region in {x["pivot"] for x in rows}:
@@ -478,20 +494,56 @@ def _divide(part: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
                 for member, linked in zip(mine, rule.linked(inter, union), strict=True):
                     ties[member] = [names[k] for k in np.flatnonzero(linked)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("pivot", "class", "kernel", "level", "size", "text")), pa.array(list(distance), pa.list_(pa.float64())), pa.array(ties, pa.list_(pa.int64()))],
-                names=["pivot", "class", "kernel", "level", "size", "text", "d", "ties"],
+                [*(batch.column(c) for c in ("pivot", "class", "kernel", "level", "group", "size", "text")), pa.array(list(distance), pa.list_(pa.float64())), pa.array(ties, pa.list_(pa.int64()))],
+                names=["pivot", "class", "kernel", "level", "group", "size", "text", "d", "ties"],
             )
 
-    schema = "pivot long, class long, kernel boolean, level int, size long, text string, d array<double>, ties array<long>"
-    step = scratch.cut(part.select("pivot", "class", "kernel", "level", "size", "text").mapInArrow(run, schema), "region-step")
+    schema = "pivot long, class long, kernel boolean, level int, group long, size long, text string, d array<double>, ties array<long>"
+    step = scratch.cut(part.select("pivot", "class", "kernel", "level", "group", "size", "text").mapInArrow(run, schema), "region-step")
     tied = step.select(F.col("class").alias("a"), F.explode("ties").alias("b")).where("a <> b")
-    left = step.withColumn("kernel", F.col("kernel") & (F.size("ties") == 0))
+    # Pivots and groups with a tied member in common are one group: JOB_PIVOTS times both at most a region.
+    met = step.where(F.size("ties") > 0).select("pivot", "group", F.get("ties", F.lit(0)).alias("a"), "ties")
+    edges = met.select("pivot", "a", F.explode("ties").alias("b")).unionByName(met.where(F.col("group") != NO_GROUP).select("pivot", "a", F.col("group").alias("b")))
+    named = _groups([(x["pivot"], x["a"], x["b"]) for x in edges.distinct().collect()])
+    names = F.broadcast(spark.createDataFrame(named, "pivot long, old long, new long"))
+    left = step.where(~F.array_contains("ties", F.col("class"))).withColumn("old", F.coalesce(F.get("ties", F.lit(0)), F.col("group")))
+    left = left.join(names, ["pivot", "old"], "left").withColumn("group", F.coalesce("new", "group"))
     d = [F.get("d", F.lit(q)) for q in range(JOB_PIVOTS)]
-    in_kernel = left.where("kernel").groupBy("pivot").agg(F.array(*map(F.min, d)).alias("low"), F.array(*map(F.max, d)).alias("high"))
+    reach = [F.array(*map(F.min, d)).alias("low"), F.array(*map(F.max, d)).alias("high")]
+    partners = _partners([(x["pivot"], x["group"], x["kernel"], x["low"], x["high"]) for x in left.groupBy("pivot", "group", "kernel").agg(*reach).collect()])
     near = F.forall(F.arrays_zip("d", "low", "high"), lambda x: (x["d"] >= x["low"] - rule.radius) & (x["d"] <= x["high"] + rule.radius))
-    # One row a region: BLOCK at most. A region without a kernel is done.
-    kept = left.join(F.broadcast(in_kernel), "pivot").where(F.col("kernel") | near)
-    return tied, kept.select("pivot", "class", "kernel", "level", "size", "text")
+    # A region without pairs to be joined is done.
+    sought = F.broadcast(spark.createDataFrame(partners, "pivot long, group long, kernel boolean, low array<double>, high array<double>"))
+    kept = left.join(sought, ["pivot", "group", "kernel"]).where(near)
+    return tied, kept.select("pivot", "class", "kernel", "level", "group", "size", "text")
+
+
+def _groups(edges: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """region, name, name of its component, for edges of region and two names."""
+    parent: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def root(x: tuple[int, int]) -> tuple[int, int]:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for region, a, b in edges:
+        parent[root((region, a))] = root((region, b))
+    return [(*x, root(x)[1]) for x in list(parent)]
+
+
+def _partners(reach: list[tuple[int, int, bool, list[float], list[float]]]) -> list[tuple[int, int, bool, list[float], list[float]]]:
+    """Of region, group, kernel: the least and greatest distances to pivots of what these rows are to be joined with."""
+    by_region: dict[int, list[tuple[int, bool, list[float], list[float]]]] = {}
+    for region, *row in reach:
+        by_region.setdefault(region, []).append(tuple(row))
+    out = []
+    for region, rows in by_region.items():
+        for group, kernel, _, _ in rows:
+            others = [(low, high) for g, k, low, high in rows if (g != group or g == NO_GROUP) and (k or kernel)]
+            if others:
+                out.append((region, group, kernel, np.min([x for x, _ in others], 0).tolist(), np.max([x for _, x in others], 0).tolist()))
+    return out
 
 
 def join(docs: DataFrame, rule: Rule = Rule(), most: int = MOST) -> DataFrame:

@@ -286,6 +286,29 @@ def test_regions_join_their_windows(way):
             assert all(roots[i] == roots[j] for i, j in pairs if kernel[i] or kernel[j])
 
 
+def test_links_survive_large_regions(spark, monkeypatch):
+    """Regions above what a task holds: ties to one pivot, links to the next size band and across pivots."""
+    monkeypatch.setattr(jaccard, "JOB_PIVOTS", 3)
+    r = random.Random(11)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}v{k}" for k in range(100 + 4 * group)]
+        for _ in range(14):  # copies of copies, some longer: chains within and across size bands
+            w = list(base)
+            for _ in range(r.randrange(1, 3)):
+                w[r.randrange(len(w))] = f"z{r.randrange(10**6)}"
+            w += [f"y{r.randrange(10**6)}" for _ in range(r.choice([0, 0, 5, 9, 12]))]
+            rows.append((len(rows), " ".join(w)))
+            if r.random() < 0.5:
+                base = w[: 130 + group]
+    members = spark.createDataFrame([(1, i, len(t.split()) - 3, t) for i, t in rows], "pivot long, class long, size long, text string")
+    want = {i: least for (i, _, least), _ in brute_components(rows, 4, 85, 100).items()}
+    assert 6 < len(set(want.values())) < 60
+    for most in (8, 30):
+        got = {x["node"]: x["root"] for x in components(jaccard.links(members, jaccard.Rule(), most)).collect()}
+        assert {i: got.get(i, i) for i in want} == want
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
