@@ -14,7 +14,10 @@ what they are worth. Those counts are over all training documents: per-batch cou
 shuffle. Words beyond the ``head`` most frequent are joined to their counts by a shuffle too; only the
 head, whose size is fixed, is sent to the workers.
 
-Word identity is a 64-bit hash. Training takes a bounded sample (``sample_tokens``) of training rows.
+Word identity is a 64-bit hash. The model learns from every token of every training row: in a round each
+task starts from the same weights and learns from its rows, and the tasks' weights are averaged, by tokens,
+over a shuffle. A first round over a share of the rows (``FIRST``, or ``sample_tokens`` tokens if that is
+more) starts the model; tables of no more than ``sample_tokens`` tokens have ``SMALL_ROUNDS`` rounds of all.
 
 Defined cases: a null or empty text is its end alone; an empty training set leaves N = 0 and the base
 score log10(0.1 / 0.1) a token; repeated rows and ties are scored alike; other columns are ignored,
@@ -38,6 +41,10 @@ from gridfold.llm.textvec import U, mix, parts, utf8, words
 #: The end's hash: that of no word, for words' hashes are of at least one byte.
 END = int(mix(np.array([0xE4D], U)).view(np.int64)[0])
 SMOOTH = 0.1
+#: The model's width; tokens and noise tokens of a step in a task.
+DIM, BATCH, NOISE = 32, 512, 64
+#: The share of training rows of the first round, which starts the model, and rounds of small tables.
+FIRST, SMALL_ROUNDS = 1 / 16, 3
 
 
 @dataclass
@@ -115,58 +122,93 @@ def head_of(counts: DataFrame, head: int) -> Counts:
     return Counts(int(total["n"]), int(total["v"]), keys[order], n[order])
 
 
-def train(ids: np.ndarray, fresh: np.ndarray, class_counts: np.ndarray, dim: int = 32, noise: int = 128, batch: int = 256, epochs: int = 3, seed: int = 7) -> tuple[np.ndarray, ...]:
-    """first, second, bias, target by noise-contrastive estimation with unigram noise and Adagrad.
-
-    ids: classes of a running text; fresh: whether a text begins there."""
-    rng = np.random.default_rng(seed)
-    size = len(class_counts)
-    end = size - 2
-    unigram = (class_counts + SMOOTH) / (class_counts + SMOOTH).sum()
-    log_noise = np.log(noise * unigram).astype(np.float32)
-    ladder = np.cumsum(unigram)
-    prev1 = np.concatenate([[end], ids[:-1]])
-    prev1[fresh] = end
-    prev2 = np.concatenate([[end], prev1[:-1]])
-    prev2[fresh] = end
-    R = (rng.standard_normal((size, dim)) * 0.1).astype(np.float32)
-    T = (rng.standard_normal((size, dim)) * 0.1).astype(np.float32)
-    C = np.array([[1.0] * dim, [0.5] * dim], np.float32)
-    B = np.log(unigram).astype(np.float32)
-    sums = [np.full_like(x, 1e-3) for x in (R, T, C, B)]
-    rate = 0.1
-
-    def step(x: np.ndarray, acc: np.ndarray, where: np.ndarray, grad: np.ndarray) -> None:
-        rows, back = np.unique(where, return_inverse=True)
-        total = np.zeros((len(rows), *grad.shape[1:]), np.float32)
-        np.add.at(total, back, grad)
+class Trainer:
+    """Noise-contrastive estimation with unigram noise and Adagrad."""
+
+    def __init__(self, class_counts: np.ndarray, dim: int = DIM, noise: int = 128, seed: int = 7) -> None:
+        rng = np.random.default_rng(seed)
+        size = len(class_counts)
+        unigram = (class_counts + SMOOTH) / (class_counts + SMOOTH).sum()
+        self.end, self.noise, self.rate = size - 2, noise, 0.1
+        self.log_noise = np.log(noise * unigram).astype(np.float32)
+        self.ladder = np.cumsum(unigram)
+        R = (rng.standard_normal((size, dim)) * 0.1).astype(np.float32)
+        T = (rng.standard_normal((size, dim)) * 0.1).astype(np.float32)
+        C = np.array([[1.0] * dim, [0.5] * dim], np.float32)
+        self.values = [R, T, C, np.log(unigram).astype(np.float32)]
+        self.sums = [np.full_like(x, 1e-3) for x in self.values]
+
+    def _step(self, which: int, where: np.ndarray, grad: np.ndarray) -> None:
+        x, acc = self.values[which], self.sums[which]
+        order = np.argsort(where, kind="stable")
+        rows, first = np.unique(where[order], return_index=True)
+        total = np.add.reduceat(grad[order], first, axis=0)
         acc[rows] += total**2
-        x[rows] -= rate * total / np.sqrt(acc[rows])
+        x[rows] -= self.rate * total / np.sqrt(acc[rows])
+
+    def learn(self, w: np.ndarray, u: np.ndarray, v: np.ndarray, rng: np.random.Generator) -> None:
+        """One step: classes w after u after v."""
+        R, T, C, B = self.values
+        k = np.minimum(np.searchsorted(self.ladder, rng.random(self.noise)), len(B) - 1)
+        q = C[0] * R[u] + C[1] * R[v]
+        good = (q * T[w]).sum(1) + B[w] - self.log_noise[w]
+        bad = q @ T[k].T + B[k] - self.log_noise[k]
+        # Each noise token stands for one draw of each position in the batch.
+        dg = -1 / (1 + np.exp(np.clip(good, -30, 30)))
+        db = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
+        n = np.float32(len(w))
+        dg, db = dg / n, db / n
+        dq = dg[:, None] * T[w] + db @ T[k]
+        gt_w, gt_k = dg[:, None] * q, db.T @ q
+        dc = np.stack([(dq * R[u]).sum(0), (dq * R[v]).sum(0)])
+        self._step(1, np.concatenate([w, k]), np.concatenate([gt_w, gt_k]))
+        self._step(3, np.concatenate([w, k]), np.concatenate([dg, db.sum(0)]).astype(np.float32))
+        self._step(0, np.concatenate([u, v]), np.concatenate([dq * C[0], dq * C[1]]))
+        self.sums[2] += dc**2
+        C -= 0.1 * self.rate * dc / np.sqrt(self.sums[2])
+
+    def learn_text(self, ids: np.ndarray, fresh: np.ndarray, batch: int, rng: np.random.Generator, mixed: bool = False) -> None:
+        """All of a running text, batch by batch; ``mixed``: a batch's tokens are from all over it."""
+        u = np.concatenate([[self.end], ids[:-1]])
+        u[fresh] = self.end
+        v = np.concatenate([[self.end], u[:-1]])
+        v[fresh] = self.end
+        if mixed:
+            order = rng.permutation(len(ids))
+            ids, u, v = ids[order], u[order], v[order]
+        for at in rng.permutation(-(-len(ids) // batch)):
+            s = slice(at * batch, (at + 1) * batch)
+            self.learn(ids[s], u[s], v[s], rng)
+
+    def rows(self) -> np.ndarray:
+        """The whole state: a row for each class and one for the position weights."""
+        R, T, C, B = (np.concatenate([x.reshape(len(x), -1), y.reshape(len(x), -1)], 1) for x, y in zip(self.values, self.sums, strict=True))
+        out = np.concatenate([R, T, B], 1)
+        last = np.zeros((1, out.shape[1]), np.float32)
+        last[0, : C.size] = C.ravel()
+        return np.concatenate([out, last])
+
+    def set_rows(self, rows: np.ndarray) -> None:
+        dim = self.values[0].shape[1]
+        cuts = np.split(rows[:-1], np.cumsum([dim, dim, dim, dim, 1]), 1)
+        C = rows[-1, : 4 * dim].reshape(2, 2 * dim)
+        self.values = [np.ascontiguousarray(x, np.float32) for x in (cuts[0], cuts[2], C[:, :dim], cuts[4][:, 0])]
+        self.sums = [np.ascontiguousarray(x, np.float32) for x in (cuts[1], cuts[3], C[:, dim:], cuts[5][:, 0])]
+
+    def result(self) -> tuple[np.ndarray, ...]:
+        R, T, C, B = self.values
+        return R * C[0], R * C[1], B, T
 
+
+def train(ids: np.ndarray, fresh: np.ndarray, class_counts: np.ndarray, dim: int = DIM, noise: int = 128, batch: int = 256, epochs: int = 3, seed: int = 7) -> tuple[np.ndarray, ...]:
+    """first, second, bias, target from one running text.
+
+    ids: its classes; fresh: whether a text begins there."""
+    trainer, rng = Trainer(class_counts, dim, noise, seed), np.random.default_rng(seed)
     for _ in range(epochs):
-        for at in rng.permutation(max(1, -(-len(ids) // batch))):
-            s = slice(at * batch, (at + 1) * batch)
-            w, u, v = ids[s], prev1[s], prev2[s]
-            if not len(w):
-                continue
-            k = np.minimum(np.searchsorted(ladder, rng.random(noise)), size - 1)
-            q = C[0] * R[u] + C[1] * R[v]
-            good = (q * T[w]).sum(1) + B[w] - log_noise[w]
-            bad = q @ T[k].T + B[k] - log_noise[k]
-            # Each noise token stands for one draw of each position in the batch.
-            dg = -1 / (1 + np.exp(np.clip(good, -30, 30)))
-            db = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-            n = len(w)
-            dg, db = dg / n, db / n
-            dq = dg[:, None] * T[w] + db @ T[k]
-            gt_w, gt_k = dg[:, None] * q, db.T @ q
-            dc = np.stack([(dq * R[u]).sum(0), (dq * R[v]).sum(0)])
-            step(T, sums[1], np.concatenate([w, k]), np.concatenate([gt_w, gt_k]))
-            step(B, sums[3], np.concatenate([w, k]), np.concatenate([dg, db.sum(0)]).astype(np.float32))
-            step(R, sums[0], np.concatenate([u, v]), np.concatenate([dq * C[0], dq * C[1]]))
-            sums[2] += dc**2
-            C -= 0.1 * rate * dc / np.sqrt(sums[2])
-    return R * C[0], R * C[1], B, T
+        if len(ids):
+            trainer.learn_text(ids, fresh, batch, rng)
+    return trainer.result()
 
 
 def classes_of(tokens: np.ndarray, keys: np.ndarray, classes: np.ndarray, other: int) -> np.ndarray:
@@ -176,8 +218,46 @@ def classes_of(tokens: np.ndarray, keys: np.ndarray, classes: np.ndarray, other:
     return np.where(keys[at] == tokens, classes[at], other)
 
 
+def learn_round(docs: DataFrame, keys: np.ndarray, classes: np.ndarray, class_counts: np.ndarray, state: np.ndarray, turn: int) -> tuple[np.ndarray, int]:
+    """The average of the tasks' states after one pass over all texts, and how many tokens that were."""
+    shared = docs.sparkSession.sparkContext.broadcast((keys, classes, class_counts, state))  # of the vocabulary's size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        keys, classes, class_counts, state = shared.value
+        task = TaskContext.get().partitionId()
+        trainer, rng, seen = Trainer(class_counts, noise=NOISE), np.random.default_rng((turn, task)), 0
+        trainer.set_rows(state)
+        for part, _, _ in parts(batches):
+            tokens, row, _ = _batch_tokens(part)
+            fresh = np.ones(len(row), bool)
+            fresh[1:] = row[1:] != row[:-1]
+            trainer.learn_text(classes_of(tokens, keys, classes, len(class_counts) - 1), fresh, BATCH, rng, mixed=True)
+            seen += len(tokens)
+        if seen:
+            out = trainer.rows()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(np.full(len(out), task)), pa.array(np.full(len(out), seen)), pa.array([x.tobytes() for x in out], pa.binary())], names=["class", "task", "n", "state"])
+
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        tokens: dict[int, int] = {}
+        for batch in batches:
+            for c, n, x in zip(*(batch.column(name).to_pylist() for name in ("class", "n", "state")), strict=True):
+                total[c] = total.get(c, 0) + n * np.frombuffer(x, np.float32).astype(np.float64)
+                tokens[c] = tokens.get(c, 0) + n
+        rows = [pa.array(list(total), pa.int64()), pa.array(list(tokens.values()), pa.int64()), pa.array([(x / tokens[c]).astype(np.float32).tobytes() for c, x in total.items()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(rows, names=["class", "n", "state"])
+
+    learnt = docs.select("text").mapInArrow(run, "class long, task long, n long, state binary")
+    found = learnt.repartition("class").sortWithinPartitions("class", "task").mapInArrow(average, "class long, n long, state binary").collect()  # of the vocabulary's size
+    if not found:
+        return state, 0
+    return np.stack([np.frombuffer(x["state"], np.float32) for x in sorted(found, key=lambda x: x["class"])]), found[0]["n"]
+
+
 def fit(docs: DataFrame, training: Column, counts: Counts, vocabulary: int = 1536, sample_tokens: int = 600_000) -> Model:
-    """Train on a share of the training rows by hash that has about ``sample_tokens`` tokens."""
+    """Train on all training rows, in rounds."""
     by_count = np.lexsort((counts.keys, -counts.counts))
     by_count = by_count[counts.keys[by_count] != END][:vocabulary]
     keys = np.append(counts.keys[by_count], END)
@@ -188,14 +268,15 @@ def fit(docs: DataFrame, training: Column, counts: Counts, vocabulary: int = 153
     rest_mass = rest + SMOOTH * (counts.distinct + 1 - len(keys))
     order = np.argsort(keys)
     classes = np.arange(n + 1)
-    part = share(sample_tokens / max(1, counts.tokens), F.lit("lm"), "doc_id", "text")
-    rows = docs.where(training & F.col("text").isNotNull() & part).select(F.xxhash64("text", "doc_id").alias("near"), F.substring("text", 1, 1 << 14).alias("text"))
-    texts = [r["text"] for r in sorted(rows.collect())]
-    tokens, row, _ = _batch_tokens(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"]))
-    ids = classes_of(tokens, keys[order], classes[order], n + 1)[:sample_tokens]
-    fresh = np.ones(len(ids), bool)
-    fresh[1:] = np.diff(row[: len(ids)]) != 0
-    first, second, bias, target = train(ids, fresh, np.append(per_class, rest_mass))
+    class_counts = np.append(per_class, rest_mass)
+    trainer = Trainer(class_counts)
+    rows = docs.where(training)
+    small = counts.tokens <= sample_tokens
+    start = share(max(FIRST, sample_tokens / max(1, counts.tokens)), F.lit("lm"), "doc_id", "text")
+    for turn, some in enumerate([rows] * SMALL_ROUNDS if small else [rows.where(start), rows]):
+        state, _ = learn_round(some, keys[order], classes[order], class_counts, trainer.rows(), turn)
+        trainer.set_rows(state)
+    first, second, bias, target = trainer.result()
     return Model(keys[order], classes[order], first, second, bias, target, float(np.log10(rest_mass)))
 
 

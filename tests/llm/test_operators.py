@@ -453,6 +453,20 @@ def test_lm_learns_what_follows():
     assert (near[u, w] + far[v, w] - norm[u, v]).mean() > np.log(1 / 8) + 0.8
 
 
+def test_lm_learns_from_every_token(spark, monkeypatch):
+    """However large the table and however long a text: the last round takes all tokens of all training rows."""
+    seen, plain = [], lm.learn_round
+    monkeypatch.setattr(lm, "learn_round", lambda *a: (out := plain(*a), seen.append(out[1]))[0])
+    texts = [" ".join(f"w{(i * j) % 50}" for j in range(200)) for i in range(40)] + ["far " * 6_000 + "past the cut " * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = lm.head_of(lm.count(df, F.lit(True)), 1_000)
+    lm.fit(df, F.lit(True), counts, sample_tokens=1_000)
+    assert seen[-1] == counts.tokens == sum(len(t.split()) + 1 for t in texts)
+    rows = (trainer := lm.Trainer(np.ones(9))).rows()
+    trainer.set_rows(rows)
+    assert np.array_equal(trainer.rows(), rows)
+
+
 # --- 9
 
 
