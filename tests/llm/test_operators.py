@@ -467,6 +467,16 @@ def test_lm_learns_from_every_token(spark, monkeypatch):
     assert np.array_equal(trainer.rows(), rows)
 
 
+def test_lm_learns_past_a_long_texts_start(spark):
+    """What follows "past" stands only beyond a text's first 16,384 characters."""
+    df = spark.createDataFrame([(i, "far away " * 2_000 + "past cut " * 2_000) for i in range(4)], "doc_id long, text string")
+    model = lm.fit(df, F.lit(True), lm.head_of(lm.count(df, F.lit(True)), 100))
+    far, away, past, cut = (int(model.classes[list(model.keys).index(int(lm._batch_tokens(lm.pa.RecordBatch.from_arrays([lm.pa.array([w])], names=["text"]))[0][0]))]) for w in ("far", "away", "past", "cut"))
+    near, second, norm = model.tables()
+    logp = lambda w: near[past, w] + second[cut, w] - norm[past, cut]
+    assert logp(cut) > max(logp(w) for w in (far, away, past))
+
+
 # --- 9
 
 
