@@ -9,8 +9,8 @@ the text. Texts with no more anchors than that (about 2 * SKETCH words) keep all
 The likeness of two fingerprints is the share of anchors that both have among the least ``SKETCH`` of
 their union: the Jaccard similarity of the anchor sets, exact for short texts and estimated for long.
 
-Defined cases: a null or empty text has an empty fingerprint; a text of fewer than K words has one
-anchor, all its words; two empty fingerprints are alike (1), an empty and another one are not (0); equal
+Defined cases: a null or empty text has an empty fingerprint; a text of fewer than K words,
+or of more among which no k-mer is an anchor, has one anchor, all its words; two empty fingerprints are alike (1), an empty and another one are not (0); equal
 ids are ordered by their texts' hashes and places; null ids come last; a single document is its own next
 one; an empty table gives no rows; other columns are ignored, whatever their names.
 """
@@ -55,7 +55,8 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
     def of_words(word: Column) -> Column:
         inner = upto(F.size(word) - s + 1, lambda i: F.xxhash64(*[F.get(word, i + j) for j in range(s)]))
-        return F.when(F.size(word) >= k, let(inner, of_inner)).when(F.size(word) > 0, F.array(F.hash(word))).otherwise(F.array().cast("array<int>"))
+        found = F.when(F.size(word) >= k, let(inner, of_inner)).otherwise(F.array().cast("array<int>"))
+        return let(found, lambda x: F.when((F.size(x) == 0) & (F.size(word) > 0), F.array(F.hash(word))).otherwise(x))
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), of_words)
 

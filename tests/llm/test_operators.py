@@ -182,6 +182,13 @@ def test_anchors_are_closed_syncmers_and_local(spark):
     assert len(set(a) - set(b)) <= k and len(set(b) - set(a)) <= k + 2
 
 
+def test_every_text_with_words_has_an_anchor(spark):
+    texts = [" ".join(f"t{i}n{n}w{j}" for j in range(n)) for n in range(1, 9) for i in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(fingerprint.anchors(F.col("text")).alias("a"))
+    found = [tuple(r["a"]) for r in df.collect()]
+    assert all(found) and len(set(found)) == len(texts)
+
+
 # --- 4
 
 
