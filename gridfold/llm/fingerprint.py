@@ -3,11 +3,11 @@
 The symbols are words. A k-mer of ``K`` consecutive words is an anchor if the least hash among its inner
 s-mers (``S`` words) is that of its first or its last one: whether it is depends on the k-mer alone, not
 on what stands around it, so an edit changes no anchor that it doesn't touch. A text's anchors are hashed
-to 32 bits; its fingerprint is the ``SKETCH`` least distinct ones, in the order in which they stand in
-the text. Texts with no more anchors than that (about 2 * SKETCH words) keep all of them.
+to 32 bits; its fingerprint is all of them, in the order in which they stand in the text, repeats
+included.
 
-The likeness of two fingerprints is the share of anchors that both have among the least ``SKETCH`` of
-their union: the Jaccard similarity of the anchor sets, exact for short texts and estimated for long.
+The likeness of two fingerprints is the share of anchors that both have among all that either has: the
+exact Jaccard similarity of the anchor sets. It doesn't see the order in which anchors stand.
 
 Defined cases: a null or empty text has an empty fingerprint; a text of fewer than K words,
 or of more among which no k-mer is an anchor, has one anchor, all its words; two empty fingerprints are alike (1), an empty and another one are not (0); equal
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gridfold.llm.tables import ROW, with_row
 
-K, S, SKETCH = 5, 2, 128
+K, S = 5, 2
 #: Documents that one window group holds, and the most groups.
 GROUP, CELLS = 2_048, 1 << 16
 LEAST = -(1 << 63)
@@ -61,30 +61,18 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), of_words)
 
 
-def sketch(text: Column, size: int = SKETCH, k: int = K, s: int = S) -> Column:
-    """The ``size`` least distinct anchors in the order of the text, as array<int>."""
-
-    def least(found: Column) -> Column:
-        last = F.get(F.array_sort(found), size - 1)
-        return F.when(F.size(found) <= size, found).otherwise(let(last, lambda x: F.filter(found, lambda a: a <= x)))
-
-    return let(F.array_distinct(anchors(text, k, s)), least)
-
-
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    both = F.array_intersect(a, b)
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
-    share = let(least, lambda u: F.size(F.array_intersect(u, both)) / F.size(u))
+def likeness(a: Column, b: Column) -> Column:
+    share = F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(share)
 
 
-def text_of(sketched: Column) -> Column:
-    """A sketch as a string: 8 hexadecimal digits an anchor."""
-    return F.array_join(F.transform(sketched, lambda a: F.lpad(F.lower(F.hex(a.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
+def text_of(found: Column) -> Column:
+    """Anchors as a string: 8 hexadecimal digits each."""
+    return F.array_join(F.transform(found, lambda a: F.lpad(F.lower(F.hex(a.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def followed(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """Each document with the text and sketch of the next one in descending order of id.
+    """Each document with the text and anchors of the next one in descending order of id.
 
     Ids are cut into ranges of about equal numbers of rows by one histogram of fixed size; texts are
     dealt out once, by range, and each range also gets the first document of the range that follows."""
@@ -115,14 +103,14 @@ def followed(docs: DataFrame, group: int = GROUP) -> DataFrame:
     guests = spark.createDataFrame([(p, (i - 1) % len(heads)) for i, p in enumerate(heads)], f"{ROW} string, range int")
     own = rows.withColumn("gf_cell", cell).join(F.broadcast(of_cell), "gf_cell").select("doc_id", "rank", "text", ROW, "range", F.lit(0).alias("guest"))
     extra = rows.join(F.broadcast(guests), ROW).select("doc_id", "rank", "text", ROW, "range", F.lit(1).alias("guest"))
-    both = own.unionByName(extra).withColumn("sketch", sketch(F.col("text")))
+    both = own.unionByName(extra).withColumn("anchors", anchors(F.col("text")))
     by_range = Window.partitionBy("range").orderBy("guest", F.desc("rank"), F.desc(F.xxhash64("text")), F.desc(ROW))
-    return both.withColumn("next_text", F.lead("text").over(by_range)).withColumn("next_sketch", F.lead("sketch").over(by_range)).where("guest = 0")
+    return both.withColumn("next_text", F.lead("text").over(by_range)).withColumn("next_anchors", F.lead("anchors").over(by_range)).where("guest = 0")
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
     """``docs`` with column ``fingerprint``: a projection, nothing is shuffled."""
-    return docs.withColumn("fingerprint", text_of(sketch(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    return docs.withColumn("fingerprint", text_of(anchors(F.coalesce(F.col("text").cast("string"), F.lit("")))))
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -130,14 +118,14 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    pairs = followed(docs).select("doc_id", n.cast("long").alias("n_chars"), "sketch", "next_sketch", edited.alias("edited"))
-    sketched = pairs.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "sketch", "next_sketch", sketch(F.col("edited")).alias("edited_sketch"))
-    return sketched.select(
+    pairs = followed(docs).select("doc_id", n.cast("long").alias("n_chars"), "anchors", "next_anchors", edited.alias("edited"))
+    compared = pairs.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "anchors", "next_anchors", anchors(F.col("edited")).alias("edited_anchors"))
+    return compared.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        text_of(F.col("sketch")).alias("fingerprint"),
-        text_of(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        text_of(F.col("anchors")).alias("fingerprint"),
+        text_of(F.col("edited_anchors")).alias("edited_fingerprint"),
+        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
     )

@@ -189,6 +189,19 @@ def test_every_text_with_words_has_an_anchor(spark):
     assert all(found) and len(set(found)) == len(texts)
 
 
+def test_a_passage_shared_by_long_texts_is_found(spark):
+    r = random.Random(4)
+    fresh = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+    shared = fresh(50)
+    df = spark.createDataFrame([(i, f"{fresh(4_000)} {shared} {fresh(4_000)}") for i in range(2)], "doc_id long, text string")
+    both = fingerprint.fingerprint(df).select("fingerprint", fingerprint.anchors(F.col("text")).alias("a")).collect()
+    assert all(x["fingerprint"] == "".join(f"{a & 0xFFFFFFFF:08x}" for a in x["a"]) for x in both)
+    common = set(both[0]["a"]) & set(both[1]["a"])
+    union = set(both[0]["a"]) | set(both[1]["a"])
+    got = {x["doc_id"]: x["near_next"] for x in fingerprint.compare_edited(df).collect()}
+    assert len(common) > 10 and got[1] == len(common) / len(union)
+
+
 # --- 4
 
 
