@@ -25,14 +25,28 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(links: DataFrame, most: int = 50) -> DataFrame:
-    """node, root: of nodes that have links (longs a, b), the least node that they reach."""
-    now = scratch.cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+def _digest(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def components(links: DataFrame, most: int = 100) -> DataFrame:
+    """node, root: of nodes that have links (longs a, b), the least node that they reach.
+
+    Links that are no stars after ``most`` passes (a chain of n links takes about 2 log n) are an error."""
+    spark = links.sparkSession
+    schema = "a long, b long"
+    ordered = links.where("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).distinct()
+    out = scratch.write(ordered, "links")
+    now = spark.read.schema(schema).parquet(out)
+    seen = _digest(now)
     for _ in range(most):
-        after = scratch.cut(_star(_star(now, large=True), large=False), "stars")
-        digest = [x.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for x in (now, after)]
-        now = after
-        if digest[0] == digest[1]:
+        after = scratch.write(_star(_star(now, large=True), large=False), "stars")
+        scratch.drop(spark, out)
+        out, now, before = after, spark.read.schema(schema).parquet(after), seen
+        seen = _digest(now)
+        if seen == before:
             break
+    else:
+        raise RuntimeError(f"connected components did not settle in {most} passes")
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

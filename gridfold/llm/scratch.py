@@ -1,8 +1,8 @@
 """Lineage cuts: tables written to the folder that all executors share.
 
-The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop) a
-temporary folder of this machine is taken, which is right there because driver and executors are one
-process tree.
+The folder is the session's ``spark.checkpoint.dir``. Only where that is unset and the session runs in one
+process (``local[...]``: tests, a laptop) a temporary folder of this machine is taken; on a cluster an
+unset folder is an error, for executors wouldn't see each other's files.
 """
 
 from __future__ import annotations
@@ -14,21 +14,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: list[tuple[SparkSession, str]] = []
+_made: dict[str, SparkSession] = {}
 
 
 def root(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="gridfold-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
 def path(spark: SparkSession, name: str) -> str:
-    """A new folder's name below the shared folder; it goes when the driver ends."""
+    """A new folder's name below the shared folder; it goes when the driver ends, if not before."""
     out = f"{root(spark)}/gridfold-{uuid.uuid4().hex[:12]}-{name}"
-    _made.append((spark, out))
+    _made[out] = spark
+    return out
+
+
+def write(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    out = path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(out)
     return out
 
 
@@ -37,19 +45,18 @@ def cut(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFra
 
     Losing an executor afterwards loses nothing: what follows starts from replicated files.
     """
-    spark = df.sparkSession
-    out = path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(out)
-    return spark.read.schema(df.schema).parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name, partition_by))
 
 
 def drop(spark: SparkSession, out: str) -> None:
+    """Delete a folder that nothing reads any more."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(out)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    _made.pop(out, None)
 
 
 @atexit.register
 def _clear() -> None:
-    for spark, out in _made:
+    for out, spark in list(_made.items()):
         with contextlib.suppress(Exception):
             drop(spark, out)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridfold.llm import scratch
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -20,28 +23,39 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 
 
 ROW = "gf_row"
+#: Plan nodes that hand on each row of a file at most once.
+_ROW_BY_ROW = ("Project", "Filter", "SubqueryAlias")
+
+
+def _rows_of_files(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is one row of a Parquet file, and again the same one in a second run."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in _ROW_BY_ROW:
+        plan = plan.children().head()
+    if not plan.children().isEmpty():
+        return False
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` itself if it is read from files, and otherwise written once and read again."""
-    from pyspark.errors import AnalysisException
-
-    from gridfold.llm import scratch
-
-    try:
-        df.select("_metadata.row_index")
-        return df
-    except AnalysisException:
-        return scratch.cut(df, "rows")
+    """``df`` itself if its rows are those of files, and otherwise written once and read again."""
+    return df if _rows_of_files(df) else scratch.cut(df, "rows")
 
 
 def with_row(df: DataFrame) -> DataFrame:
     """``df`` with one more column that names each row for good: its file and its index there.
 
     Ids in the data may be null or repeat, and numbers made up during a job may change when a lost
-    executor's work is done again; a row's place in a Parquet file doesn't. What isn't read from files
-    is written once."""
-    place = F.concat_ws("#", F.element_at(F.split("_metadata.file_path", "/"), -1), F.col("_metadata.row_index")).alias(ROW)
+    executor's work is done again; a row's place in a Parquet file doesn't. The file is told by 64 bits of
+    its whole path, for writers name the files of one task alike in every folder. What isn't rows of
+    files is written once."""
+    place = F.concat_ws("#", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index")).alias(ROW)
     return settled(df).select("*", place)
 
 
