@@ -3,25 +3,29 @@
 The model predicts the next token from the two before it. With vectors r for tokens as context and t for
 tokens as targets, position weights c1 and c2, and biases b, a token w after u, v has the score
 t[w]·(c1*r[v] + c2*r[u]) + b[w]. The score is a sum of one term for each context position, so the
-normalising sum over all w factors into one product of two matrices, exp(T1 + b) and exp(T2): the tables
-of all log normalisers come from batched matrix products, and a token's normalised log probability is
-then three gathers.
-
-The model's vocabulary is the ``vocabulary`` most frequent words, one class for the end and one for all
-other words. A word of that last class has the class's probability times its share by the smoothed counts
-of the whole training corpus, so every text's probability is a proper one, and rare and unseen words cost
-what they are worth. Those counts are over all training documents: per-batch counts are summed by a
-shuffle. Words beyond the ``head`` most frequent are joined to their counts by a shuffle too; only the
-head, whose size is fixed, is sent to the workers.
+normalising sum over all w factors into a product of two matrices, exp(T1 + b) and exp(T2): the log
+normalisers of all pairs of contexts come from batched matrix products, once for all tasks, and a token's
+normalised log probability is then one inner product and one gather.
+
+The vocabulary grows with the corpus: the most frequent ``vocabulary_of`` (N) words, N**0.4 times a factor,
+each with a target vector of its own, one class for the end and one for all other words. As contexts, the
+``CONTEXTS`` most frequent words have vectors of their own and the rest of the vocabulary share one for each
+quarter octave of their rank. A word outside the vocabulary has its class's probability times its share by
+the smoothed counts of the whole training corpus, so every text's probability is a proper one, and rare and
+unseen words cost what they are worth. Counts are over all training documents: per-batch counts are summed
+by a shuffle. Words beyond the ``head`` most frequent are joined to their counts by a shuffle too; only the
+head, whose size is fixed or that of the vocabulary, is sent to the workers.
 
 Word identity is a 64-bit hash. The model learns from every token of every training row: in a round each
-task starts from the same weights and learns from its rows, and the tasks' weights are averaged, by tokens,
-over a shuffle. A first round over a share of the rows (``FIRST``, or ``sample_tokens`` tokens if that is
-more) starts the model; tables of no more than ``sample_tokens`` tokens have ``SMALL_ROUNDS`` rounds of all.
-
-Defined cases: a null or empty text is its end alone; an empty training set leaves N = 0 and the base
-score log10(0.1 / 0.1) a token; repeated rows and ties are scored alike; other columns are ignored,
-whatever their names.
+learner starts from the same weights and learns from its rows, and the learners' weights are averaged, by
+tokens, over a shuffle. There are as many learners as keep what they send below about a tenth of the texts. A
+first round over a share of the rows (``FIRST``, or ``sample_tokens`` tokens if that is more) starts the
+model; tables of no more than ``sample_tokens`` tokens have ``SMALL_ROUNDS`` rounds of all.
+
+Defined cases: a null or empty text is its end alone; a text of any length is read in slices; an empty
+training set leaves N = 0, the base score log10(0.1 / 0.1) a token and a model that knows the end and one
+unseen word; repeated rows and ties are scored alike; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,6 +49,25 @@ SMOOTH = 0.1
 DIM, BATCH, NOISE = 32, 512, 64
 #: The share of training rows of the first round, which starts the model, and rounds of small tables.
 FIRST, SMALL_ROUNDS = 1 / 16, 3
+#: The vocabulary: at least so many words, and this factor of N**0.4. Contexts with vectors of their own.
+LEAST_WORDS, GROWTH, CONTEXTS = 1_536, 4.0, 1_024
+#: Learners of a round at least; what a learner may send, as a share of the bytes that it reads.
+LEARNERS, SENT = 8, 0.1
+#: Tokens that are scored at a time.
+SCORED = 1 << 16
+
+
+def vocabulary_of(tokens: int) -> int:
+    return max(LEAST_WORDS, int(GROWTH * tokens**0.4))
+
+
+def contexts_of(words: int, own: int = CONTEXTS) -> np.ndarray:
+    """By target class (words by rank, the end, all others): its context class."""
+    rank = np.arange(words)
+    band = np.floor(4 * np.log2(np.maximum(rank, 1) / max(own, 1))).astype(np.int64)
+    shared = np.where(rank < own, rank, min(own, words) + np.maximum(band, 0))
+    last = int(shared.max()) + 1 if words else 0
+    return np.append(shared, [last, last + 1])
 
 
 @dataclass
@@ -59,23 +82,41 @@ class Counts:
 
 @dataclass
 class Model:
-    """Classes 0..n-1 are words, n is the end, n + 1 every other word."""
+    """Targets 0..n-1 are words, n is the end, n + 1 every other word; ``contexts`` are their context classes.
+
+    first, second: the vectors of contexts at both positions; norm: the log normalisers of their pairs."""
 
     keys: np.ndarray
     classes: np.ndarray
+    contexts: np.ndarray
     first: np.ndarray
     second: np.ndarray
     bias: np.ndarray
     target: np.ndarray
+    norm: np.ndarray
     rest_log10: float
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By previous token and next token: both positions' terms; by both previous: log normalisers."""
-        near = self.first @ self.target.T + self.bias
-        far = self.second @ self.target.T
-        top, low = near.max(1, keepdims=True), far.max(1, keepdims=True)
-        norm = np.log(np.exp(near - top) @ np.exp(far - low).T) + top + low.T
-        return near.astype(np.float32), far.astype(np.float32), norm.astype(np.float32)
+    def log_probability(self, w: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Natural logarithms of targets w after u after v."""
+        out = np.empty(len(w))
+        for at in range(0, len(w), SCORED):
+            s = slice(at, at + SCORED)
+            near, far = self.contexts[u[s]], self.contexts[v[s]]
+            out[s] = np.einsum("ij,ij->i", self.first[near] + self.second[far], self.target[w[s]]) + self.bias[w[s]] - self.norm[near, far]
+        return out
+
+
+def normalisers(first: np.ndarray, second: np.ndarray, bias: np.ndarray, target: np.ndarray, block: int = 4_096) -> np.ndarray:
+    """By both contexts: the logarithm of the sum over all targets of the exponential of their scores."""
+    first, second, bias, target = (x.astype(np.float64) for x in (first, second, bias, target))
+    parts = [slice(at, at + block) for at in range(0, len(target), block)]
+    top, low = np.full(len(first), -np.inf), np.full(len(second), -np.inf)
+    for s in parts:
+        top, low = np.maximum(top, (first @ target[s].T + bias[s]).max(1)), np.maximum(low, (second @ target[s].T).max(1))
+    total = np.zeros((len(first), len(second)))
+    for s in parts:
+        total += np.exp(first @ target[s].T + bias[s] - top[:, None]) @ np.exp(second @ target[s].T - low[:, None]).T
+    return np.log(total) + top[:, None] + low
 
 
 def _batch_tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, int]:
@@ -115,24 +156,26 @@ def count(docs: DataFrame, training: Column) -> DataFrame:
 
 
 def head_of(counts: DataFrame, head: int) -> Counts:
+    """The head, which always has the end if any text ends."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = most_frequent(counts, "n", head).toPandas()
+    top = most_frequent(counts, "n", head).unionByName(counts.where(F.col("token") == END)).dropDuplicates(["token"]).toPandas()
     keys, n = top["token"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
     order = np.argsort(keys)
     return Counts(int(total["n"]), int(total["v"]), keys[order], n[order])
 
 
 class Trainer:
-    """Noise-contrastive estimation with unigram noise and Adagrad."""
+    """Noise-contrastive estimation with unigram noise and Adagrad. contexts: by target its context class."""
 
-    def __init__(self, class_counts: np.ndarray, dim: int = DIM, noise: int = 128, seed: int = 7) -> None:
+    def __init__(self, class_counts: np.ndarray, contexts: np.ndarray | None = None, dim: int = DIM, noise: int = 128, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
         size = len(class_counts)
+        self.contexts = np.arange(size) if contexts is None else contexts
         unigram = (class_counts + SMOOTH) / (class_counts + SMOOTH).sum()
         self.end, self.noise, self.rate = size - 2, noise, 0.1
         self.log_noise = np.log(noise * unigram).astype(np.float32)
         self.ladder = np.cumsum(unigram)
-        R = (rng.standard_normal((size, dim)) * 0.1).astype(np.float32)
+        R = (rng.standard_normal((int(self.contexts.max()) + 1, dim)) * 0.1).astype(np.float32)
         T = (rng.standard_normal((size, dim)) * 0.1).astype(np.float32)
         C = np.array([[1.0] * dim, [0.5] * dim], np.float32)
         self.values = [R, T, C, np.log(unigram).astype(np.float32)]
@@ -147,7 +190,7 @@ class Trainer:
         x[rows] -= self.rate * total / np.sqrt(acc[rows])
 
     def learn(self, w: np.ndarray, u: np.ndarray, v: np.ndarray, rng: np.random.Generator) -> None:
-        """One step: classes w after u after v."""
+        """One step: targets w after contexts u after v."""
         R, T, C, B = self.values
         k = np.minimum(np.searchsorted(self.ladder, rng.random(self.noise)), len(B) - 1)
         q = C[0] * R[u] + C[1] * R[v]
@@ -169,10 +212,8 @@ class Trainer:
 
     def learn_text(self, ids: np.ndarray, fresh: np.ndarray, batch: int, rng: np.random.Generator, mixed: bool = False) -> None:
         """All of a running text, batch by batch; ``mixed``: a batch's tokens are from all over it."""
-        u = np.concatenate([[self.end], ids[:-1]])
-        u[fresh] = self.end
-        v = np.concatenate([[self.end], u[:-1]])
-        v[fresh] = self.end
+        u, v = previous(ids, fresh, self.end)
+        u, v = self.contexts[u], self.contexts[v]
         if mixed:
             order = rng.permutation(len(ids))
             ids, u, v = ids[order], u[order], v[order]
@@ -180,31 +221,41 @@ class Trainer:
             s = slice(at * batch, (at + 1) * batch)
             self.learn(ids[s], u[s], v[s], rng)
 
-    def rows(self) -> np.ndarray:
-        """The whole state: a row for each class and one for the position weights."""
-        R, T, C, B = (np.concatenate([x.reshape(len(x), -1), y.reshape(len(x), -1)], 1) for x, y in zip(self.values, self.sums, strict=True))
-        out = np.concatenate([R, T, B], 1)
-        last = np.zeros((1, out.shape[1]), np.float32)
-        last[0, : C.size] = C.ravel()
-        return np.concatenate([out, last])
-
-    def set_rows(self, rows: np.ndarray) -> None:
-        dim = self.values[0].shape[1]
-        cuts = np.split(rows[:-1], np.cumsum([dim, dim, dim, dim, 1]), 1)
-        C = rows[-1, : 4 * dim].reshape(2, 2 * dim)
-        self.values = [np.ascontiguousarray(x, np.float32) for x in (cuts[0], cuts[2], C[:, :dim], cuts[4][:, 0])]
-        self.sums = [np.ascontiguousarray(x, np.float32) for x in (cuts[1], cuts[3], C[:, dim:], cuts[5][:, 0])]
+    def rows(self) -> list[bytes]:
+        """The whole state: of each context, of each target, and the position weights."""
+        R, T, C, B = self.values
+        r, t, c, b = self.sums
+        rows = [np.concatenate([R, r], 1), np.concatenate([T, t, B[:, None], b[:, None]], 1), np.concatenate([C, c], 1).reshape(1, -1)]
+        return [x.astype(np.float32).tobytes() for part in rows for x in part]
+
+    def set_rows(self, rows: list[bytes]) -> None:
+        n, dim = self.values[0].shape
+        table = lambda part: np.stack([np.frombuffer(x, np.float32) for x in part])
+        R, T, C = table(rows[:n]), table(rows[n:-1]), table(rows[-1:]).reshape(2, -1)
+        self.values = [R[:, :dim].copy(), T[:, :dim].copy(), C[:, :dim].copy(), T[:, 2 * dim].copy()]
+        self.sums = [R[:, dim:].copy(), T[:, dim : 2 * dim].copy(), C[:, dim:].copy(), T[:, 2 * dim + 1].copy()]
 
     def result(self) -> tuple[np.ndarray, ...]:
         R, T, C, B = self.values
         return R * C[0], R * C[1], B, T
 
 
+def previous(ids: np.ndarray, fresh: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each and the one before that; before a text stands the end. fresh: a text begins."""
+    u = np.empty_like(ids)
+    u[:1], u[1:] = end, ids[:-1]
+    u[fresh] = end
+    v = np.empty_like(ids)
+    v[:1], v[1:] = end, u[:-1]
+    v[fresh] = end
+    return u, v
+
+
 def train(ids: np.ndarray, fresh: np.ndarray, class_counts: np.ndarray, dim: int = DIM, noise: int = 128, batch: int = 256, epochs: int = 3, seed: int = 7) -> tuple[np.ndarray, ...]:
     """first, second, bias, target from one running text.
 
     ids: its classes; fresh: whether a text begins there."""
-    trainer, rng = Trainer(class_counts, dim, noise, seed), np.random.default_rng(seed)
+    trainer, rng = Trainer(class_counts, None, dim, noise, seed), np.random.default_rng(seed)
     for _ in range(epochs):
         if len(ids):
             trainer.learn_text(ids, fresh, batch, rng)
@@ -218,16 +269,16 @@ def classes_of(tokens: np.ndarray, keys: np.ndarray, classes: np.ndarray, other:
     return np.where(keys[at] == tokens, classes[at], other)
 
 
-def learn_round(docs: DataFrame, keys: np.ndarray, classes: np.ndarray, class_counts: np.ndarray, state: np.ndarray, turn: int) -> tuple[np.ndarray, int]:
-    """The average of the tasks' states after one pass over all texts, and how many tokens that were."""
-    shared = docs.sparkSession.sparkContext.broadcast((keys, classes, class_counts, state))  # of the vocabulary's size
+def learn_round(docs: DataFrame, keys: np.ndarray, classes: np.ndarray, contexts: np.ndarray, class_counts: np.ndarray, state: list[bytes], turn: int) -> tuple[list[bytes], int]:
+    """The average of the learners' states after one pass over all texts, and how many tokens that were."""
+    shared = docs.sparkSession.sparkContext.broadcast((keys, classes, contexts, class_counts, state))  # of the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        keys, classes, class_counts, state = shared.value
+        keys, classes, contexts, class_counts, state = shared.value
         task = TaskContext.get().partitionId()
-        trainer, rng, seen = Trainer(class_counts, noise=NOISE), np.random.default_rng((turn, task)), 0
+        trainer, rng, seen = Trainer(class_counts, contexts, noise=NOISE), np.random.default_rng((turn, task)), 0
         trainer.set_rows(state)
         for part, _, _ in parts(batches):
             tokens, row, _ = _batch_tokens(part)
@@ -237,7 +288,7 @@ def learn_round(docs: DataFrame, keys: np.ndarray, classes: np.ndarray, class_co
             seen += len(tokens)
         if seen:
             out = trainer.rows()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(np.full(len(out), task)), pa.array(np.full(len(out), seen)), pa.array([x.tobytes() for x in out], pa.binary())], names=["class", "task", "n", "state"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(np.full(len(out), task)), pa.array(np.full(len(out), seen)), pa.array(out, pa.binary())], names=["class", "task", "n", "state"])
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -253,47 +304,55 @@ def learn_round(docs: DataFrame, keys: np.ndarray, classes: np.ndarray, class_co
     found = learnt.repartition("class").sortWithinPartitions("class", "task").mapInArrow(average, "class long, n long, state binary").collect()  # of the vocabulary's size
     if not found:
         return state, 0
-    return np.stack([np.frombuffer(x["state"], np.float32) for x in sorted(found, key=lambda x: x["class"])]), found[0]["n"]
+    return [bytes(x["state"]) for x in sorted(found, key=lambda x: x["class"])], found[0]["n"]
+
+
+def learners(tokens: int, state: list[bytes]) -> int:
+    """How many may learn side by side; a word is taken for six bytes of text."""
+    return max(LEARNERS, int(SENT * 6 * tokens / sum(map(len, state))))
 
 
-def fit(docs: DataFrame, training: Column, counts: Counts, vocabulary: int = 1536, sample_tokens: int = 600_000) -> Model:
+def fit(docs: DataFrame, training: Column, counts: Counts, vocabulary: int | None = None, sample_tokens: int = 600_000) -> Model:
     """Train on all training rows, in rounds."""
     by_count = np.lexsort((counts.keys, -counts.counts))
-    by_count = by_count[counts.keys[by_count] != END][:vocabulary]
+    by_count = by_count[counts.keys[by_count] != END][: vocabulary_of(counts.tokens) if vocabulary is None else vocabulary]
     keys = np.append(counts.keys[by_count], END)
     n = len(by_count)
-    per_class = np.append(counts.counts[by_count], counts.counts[counts.keys == END].sum()).astype(np.float64)
-    rest = counts.tokens - per_class.sum()
-    # All other words' smoothed mass; the one added type stands for every unseen word.
-    rest_mass = rest + SMOOTH * (counts.distinct + 1 - len(keys))
+    ends = counts.counts[counts.keys == END].sum()
+    per_class = np.append(counts.counts[by_count], ends).astype(np.float64)
+    # All other words' smoothed mass; one added type stands for every unseen word.
+    rest_mass = counts.tokens - per_class.sum() + SMOOTH * (counts.distinct - n - bool(ends) + 1)
     order = np.argsort(keys)
-    classes = np.arange(n + 1)
+    classes, contexts = np.arange(n + 1), contexts_of(n)
     class_counts = np.append(per_class, rest_mass)
-    trainer = Trainer(class_counts)
+    trainer = Trainer(class_counts, contexts)
     rows = docs.where(training)
     small = counts.tokens <= sample_tokens
     start = share(max(FIRST, sample_tokens / max(1, counts.tokens)), F.lit("lm"), "doc_id", "text")
     for turn, some in enumerate([rows] * SMALL_ROUNDS if small else [rows.where(start), rows]):
-        state, _ = learn_round(some, keys[order], classes[order], class_counts, trainer.rows(), turn)
+        state = trainer.rows()
+        state, _ = learn_round(some.coalesce(learners(counts.tokens, state)), keys[order], classes[order], contexts, class_counts, state, turn)
         trainer.set_rows(state)
     first, second, bias, target = trainer.result()
-    return Model(keys[order], classes[order], first, second, bias, target, float(np.log10(rest_mass)))
+    norm = normalisers(first, second, bias, target).astype(np.float32)
+    return Model(keys[order], classes[order], contexts, first, second, bias, target, norm, float(np.log10(rest_mass)))
 
 
-def score(docs: DataFrame, training: Column | None = None, head: int = 1 << 17, vocabulary: int = 1536, sample_tokens: int = 600_000) -> DataFrame:
+def score(docs: DataFrame, training: Column | None = None, head: int = 1 << 17, vocabulary: int | None = None, sample_tokens: int = 600_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     training = remainder(F.col("doc_id"), 10) != 0 if training is None else training
     docs = docs.select("doc_id", "text")
     rows = with_row(docs).select(ROW, F.col("doc_id").cast("long").alias("doc_id"), (~training).alias("held_out"), "text")
     counts = scratch.cut(count(docs, training), "lm-counts")
-    known = head_of(counts, head)
+    if vocabulary is None:
+        vocabulary = vocabulary_of(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    known = head_of(counts, max(head, vocabulary))
     model = fit(docs, training, known, vocabulary, sample_tokens)
-    shared = spark.sparkContext.broadcast((known, model))  # head and vocabulary have fixed sizes
+    shared = spark.sparkContext.broadcast((known, model))  # of the head's and the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model = shared.value
-        near, far, norm = model.tables()
         other = len(model.classes)
         end = other - 1
         for part, _, _ in parts(batches):
@@ -305,13 +364,8 @@ def score(docs: DataFrame, training: Column | None = None, head: int = 1 << 17,
             w = classes_of(tokens, model.keys, model.classes, other)
             fresh = np.ones(len(row), bool)
             fresh[1:] = row[1:] != row[:-1]
-            u = np.empty_like(w)
-            u[0], u[1:] = end, w[:-1]
-            u[fresh] = end
-            v = np.empty_like(w)
-            v[0], v[1:] = end, u[:-1]
-            v[fresh] = end
-            logp = (near[u, w] + far[v, w] - norm[u, v]).astype(np.float64) / np.log(10)
+            u, v = previous(w, fresh, end)
+            logp = model.log_probability(w, u, v) / np.log(10)
             rare = w == other
             logp[rare] += worth[rare] - model.rest_log10
             add = lambda x, row=row, n=n: np.bincount(row, x, minlength=n)
