@@ -7,12 +7,15 @@ next shorter context is asked; below order 0 all 256 bytes are alike. The trees
 frozen, so a byte's exact code length is a function of itself and the 3 bytes before it, and whole texts
 are scored by table lookups. The language with the shortest code wins.
 
-Learning takes a bounded sample (``per_language`` documents' first ``sample_bytes`` bytes in all, by hash
-of the id) of labelled rows; prediction reads every text whole and sees nothing but the text.
-
-Defined cases: a null text, an empty one or one without a letter is ``und`` with score 0; without any
-labelled row every document is ``und``; ties go to the language first by code point; repeated rows are
-scored alike; other columns are ignored, whatever their names.
+Learning takes a bounded sample of labelled rows: of each language at most ``per_language`` different texts,
+those of least hash, whole. Their byte windows are counted where they lie; only the counts come to the
+driver. Prediction reads every text whole, in slices, and sees nothing but the text. The trees grow with
+the number of languages and the variety of the samples, not with the table.
+
+Defined cases: a null text, an empty one or one without a letter is ``und`` with score 0; texts of any
+length are scored whole; without any labelled row every document is ``und``; rows without a label or text
+teach nothing; ties go to the language first by code point; repeated rows are scored alike, and teach once;
+an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridfold.llm.tables import remainder, share
+from gridfold.llm.tables import remainder
 from gridfold.llm.textvec import LOWER, parts
 
 ORDER = 3
@@ -109,13 +112,39 @@ def windows(data: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
+def text_windows(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Slice after slice of many texts, with its bounds: each byte's window, without the text before it."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + SLICE)
+        low = max(0, at - ORDER)
+        w = windows(LOWER[data[low:end]], ORDER)[at - low :]
+        rows = bounds[np.searchsorted(bounds, at - ORDER, "left") : np.searchsorted(bounds, end, "left") + 1]
+        # A text's first bytes have no context from the text before it.
+        for i in range(ORDER):
+            near = rows + i
+            near = near[(near >= at) & (near < end)] - at
+            w[near] &= U32((1 << 8 * (i + 1)) - 1)
+        yield at, end, w
+        at = end
+
+
 def learn(samples: dict[str, bytes]) -> Trees:
-    languages = sorted(samples)
-    windows_of = {x: windows(LOWER[np.frombuffer(samples[x], np.uint8)], ORDER) for x in languages}
+    """Trees of one text a language."""
+    one = {x: next((w for _, _, w in text_windows(np.frombuffer(t, np.uint8), np.array([0, len(t)]))), np.zeros(0, U32)) for x, t in samples.items()}
+    return grown({x: np.unique(w, return_counts=True) for x, w in one.items()})
+
+
+def grown(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Trees:
+    """The trees of languages whose windows are counted."""
+    languages = sorted(counts)
     levels: list[Level] = []
     for order in range(ORDER + 1):
         mask = U32((1 << 8 * (order + 1)) - 1)
-        counted = {x: np.unique(w & mask, return_counts=True) for x, w in windows_of.items()}
+        counted = {}
+        for x, (w, n) in counts.items():
+            keys, back = np.unique(w & mask, return_inverse=True)
+            counted[x] = (keys, np.bincount(back, n, len(keys)))
         grams = np.unique(np.concatenate([k for k, _ in counted.values()])) if counted else np.zeros(0, U32)
         contexts = np.unique(grams >> U32(8))
         bits = np.zeros((max(1, len(grams)), len(languages)), np.float32)
@@ -138,49 +167,51 @@ def learn(samples: dict[str, bytes]) -> Trees:
 def score(trees: Trees, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Code lengths in bits of whole texts, by language."""
     out = np.zeros((len(bounds) - 1, len(trees.languages)))
-    at = 0
-    while at < len(data):
-        end = min(len(data), at + SLICE)
-        low = max(0, at - ORDER)
-        w = windows(LOWER[data[low:end]], ORDER)[at - low :]
+    for at, end, w in text_windows(data, bounds):
         first = np.searchsorted(bounds, at, "right") - 1
         rows = bounds[first : np.searchsorted(bounds, end, "left") + 1]
-        # A text's first bytes have no context from the text before it.
-        for i in range(ORDER):
-            near = rows + i
-            near = near[(near >= at) & (near < end)] - at
-            w[near] &= U32((1 << 8 * (i + 1)) - 1)
         bits = trees.code(w)
         begins = np.clip(rows, at, end) - at
         full = np.flatnonzero(np.diff(begins) > 0)
         out[first + full] += np.add.reduceat(bits, begins[full], axis=0, dtype=np.float64)
-        at = end
     return out
 
 
-def sample(docs: DataFrame, training: Column, per_language: int, sample_bytes: int) -> dict[str, bytes]:
-    """At most per_language labelled texts a language, and as many bytes: bounded on the driver.
+def sample(docs: DataFrame, training: Column, per_language: int) -> DataFrame:
+    """lang, text: of each language the ``per_language`` different texts of least hash.
 
-    Which rows are taken depends on a hash of the row, not on the rows' order; of a long text the sample
-    takes the beginning, so that the bound holds."""
-    part = max(1024, 4 * sample_bytes // per_language)
-    near = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
+    What the driver learns on the way is a number for each language and some 4 to 16 times
+    ``per_language`` hashes of each: a share of the rows whose expected size that is."""
+    spark = docs.sparkSession
+    rank = F.shiftrightunsigned(F.xxhash64(F.col("text").cast("string")), 1)
     labelled = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "")).select(
-        F.col("lang").cast("string").alias("lang"), F.col("doc_id"), F.col("text").cast("string").alias("text")
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), rank.alias("rank")
     )
-    # Only about four times the rows that are wanted get as far as the sort.
     n = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    likely = F.lit(False)
-    for lang, rows_of in sorted(n.items()):
-        likely = likely | ((F.col("lang") == lang) & share(4 * per_language / rows_of if rows_of > 16 * per_language else 1.0, "text", "doc_id"))
-    rows = (
-        labelled.where(likely)
-        .withColumn("near", F.row_number().over(near))
-        .where(F.col("near") <= per_language)
-        .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("near", F.substring("text", 1, part).alias("t")))).alias("texts"))
-    )
-    return {r["lang"]: b"\n".join(x["t"].encode() for x in r["texts"])[:sample_bytes] for r in rows.collect()}
+    whole = (1 << 63) - 1
+    likely = [(x, whole if rows <= 16 * per_language else whole * 4 * per_language // rows) for x, rows in sorted(n.items())]
+    near = labelled.join(spark.createDataFrame(likely, "lang string, most long"), "lang").where("rank <= most")
+    ranks: dict[str, list[int]] = {}
+    for r in near.select("lang", "rank").distinct().collect():
+        ranks.setdefault(r["lang"], []).append(r["rank"])
+    least = [(x, sorted(found)[:per_language][-1]) for x, found in sorted(ranks.items())]
+    return labelled.join(spark.createDataFrame(least, "lang string, most long"), "lang").where("rank <= most").dropDuplicates(["lang", "rank"]).select("lang", "text")
+
+
+def counted(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """By language, the windows of whole texts and how often each stands there. From lang, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, bounds in parts(batches):
+            names, code = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
+            of_byte = np.repeat(code, np.diff(bounds)).astype(U64)
+            for at, end, w in text_windows(data, bounds):
+                keys, n = np.unique(of_byte[at:end] << U64(32) | w, return_counts=True)
+                lang = pa.DictionaryArray.from_arrays(pa.array((keys >> U64(32)).astype(np.int32)), pa.array(names.tolist(), pa.string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([lang, pa.array((keys & U64(0xFFFFFFFF)).astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+
+    table = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    return {x: (part["gram"].to_numpy(np.int64).astype(U32), part["n"].to_numpy(np.int64)) for x, part in table.groupby("lang")}
 
 
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:
@@ -222,7 +253,7 @@ def _letters(texts: pa.Array, data: np.ndarray, bounds: np.ndarray) -> np.ndarra
     return out
 
 
-def fit(docs: DataFrame, training: Column | None = None, per_language: int = 400, sample_bytes: int = 1 << 20) -> Trees:
+def fit(docs: DataFrame, training: Column | None = None, per_language: int = 400) -> Trees:
     training = remainder(F.col("doc_id"), 3) != 1 if training is None else training
     flagged = docs.select("doc_id", "lang", "text", training.alias("gf_training"))
-    return learn(sample(flagged, F.col("gf_training"), per_language, sample_bytes))
+    return grown(counted(sample(flagged, F.col("gf_training"), per_language)))
