@@ -8,9 +8,11 @@ independently, which keeps both constraints exactly; the few documents that each
 form the next, far smaller population. The last two or so of a source are the landing problem: they are
 rounded to the nearest total of words.
 
-Defined cases: a null text has size 0, and a document of size 0 takes nothing; a null source is a source,
-ordered last; a null doc_id or repeated rows are documents like others (each row counts for itself); an
-empty table gives an empty result; other columns are ignored, whatever their names.
+Defined cases: a null text has size 0, and a document of size 0 takes nothing; texts of any length are
+counted whole, in slices; a null source is a source, ordered last; a null doc_id or repeated rows are
+documents like others (each row counts for itself); documents are always taken in the order of a hash of
+their id and size, ties by all their columns, so that reruns agree however rows arrive; an empty table gives
+an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -156,38 +158,44 @@ def mix_sizes(sized: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: fl
     return _decide(rows, [*keep, "source_size", "target"], max([1, *(-(-n // block) for n, _ in stats.values())]), seed)
 
 
+def settle(table: pa.Table, keep: list[str], key: tuple, seed: int) -> pa.Table:
+    """The rows of one block in their fixed order, moved until only the reserve and two more are undecided."""
+    table = table.sort_by([(c, "ascending") for c in ("mix_rank", *keep) if not pa.types.is_nested(table.schema.field(c).type)])
+    p, size = table["mix_p"].to_numpy(), table["size"].to_numpy()
+    base = np.floor(p + EPS)
+    part = np.clip(p - base, 0, 1)
+    moving = np.ones(len(p), bool)
+    moving[reserve(part, size)] = False
+    part[moving] = flight(part[moving], size[moving], np.random.default_rng(_seed(seed, *key)))
+    return _with_p(table, base + part)
+
+
+def _with_p(table: pa.Table, p: np.ndarray) -> pa.Table:
+    return table.set_column(table.schema.get_field_index("mix_p"), "mix_p", pa.array(p, pa.float64()))
+
+
 def _decide(rows: DataFrame, keep: list[str], most_blocks: int, seed: int) -> DataFrame:
-    schema = rows.schema
+    ranked = rows.withColumn("mix_rank", F.xxhash64("doc_id", "size", F.lit(seed + 1)))
+    schema = ranked.schema
 
-    def settle(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["mix_rank", "doc_id", "size"], kind="stable").reset_index(drop=True)
-        p, size = pdf["mix_p"].to_numpy(), pdf["size"].to_numpy()
+    def block(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return settle(table, keep, tuple(str(k.as_py()) for k in key), seed)
+
+    def final(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = settle(table, keep, ("landing", str(key[0].as_py())), seed)
+        p = table["mix_p"].to_numpy()
         base = np.floor(p + EPS)
-        part = np.clip(p - base, 0, 1)
-        moving = np.ones(len(p), bool)
-        moving[reserve(part, size)] = False
-        rng = np.random.default_rng(_seed(seed, *map(str, key)))
-        part[moving] = flight(part[moving], size[moving], rng)
-        pdf["mix_p"] = base + part
-        return pdf[[f.name for f in schema]]
+        return _with_p(table, base + land(p - base, table["size"].to_numpy()))
 
-    ranked = rows.withColumn("mix_rank", F.xxhash64("doc_id", "size", F.lit(seed + 1)))
-    moved = scratch.cut(ranked.groupBy("source", "mix_block").applyInPandas(settle, schema), "mix-moved")
+    moved = scratch.cut(ranked.groupBy("source", "mix_block").applyInArrow(block, schema), "mix-moved")
     undecided = F.abs(F.col("mix_p") - F.round("mix_p")) > EPS
     done, left = moved.where(~undecided), moved.where(undecided)
     # A few documents of each block are left: a population smaller by the factor BLOCK / RESERVE.
     if most_blocks > FAN:
         fewer = F.pmod(F.xxhash64("mix_block"), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("mix_blocks") / FAN)))
-        decided = _decide(left.withColumn("mix_block", fewer), keep, -(-most_blocks // FAN), seed + 2)
+        decided = _decide(left.withColumn("mix_block", fewer).drop("mix_rank"), keep, -(-most_blocks // FAN), seed + 2)
     else:
-
-        def final(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = settle(("landing", *key), pdf.assign(mix_rank=np.arange(len(pdf))))
-            base = np.floor(pdf["mix_p"].to_numpy() + EPS)
-            pdf["mix_p"] = base + land(pdf["mix_p"].to_numpy() - base, pdf["size"].to_numpy())
-            return pdf
-
-        decided = _taken(left.groupBy("source").applyInPandas(final, schema), keep)
+        decided = _taken(left.groupBy("source").applyInArrow(final, schema), keep)
     return _taken(done, keep).unionByName(decided)
 
 
