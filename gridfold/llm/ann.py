@@ -1,18 +1,22 @@
 """Approximate nearest neighbours: a hierarchical k-means tree, searched best bin first.
 
-The tree is fitted on a bounded sample (``sample_rows`` vectors) on the driver: each node's vectors are
-split by k-means into ``branch`` children until ``leaf_rows`` are left. Every row is then indexed: it goes
-down the tree to one leaf. A query walks the tree with one priority queue over all open nodes, nearest
-centre first, and visits leaves in that order until the calibrated number of rows has been seen. The
-calibration finds, for held-out queries with exactly known neighbours in the sample, the share of rows
-that reaches ``recall``; the number of leaves follows the leaves' real sizes.
+The tree is fitted on a bounded sample on the driver: ``sample_size`` (n) vectors, 50,000 or 16 times the root
+of the number of rows; each node's vectors are split by k-means into ``branch`` children until ``leaf_rows``
+are left, so leaves grow with the rows. Every row is then indexed: it goes down the tree to one leaf. A query
+walks the tree with one priority queue over all open nodes, nearest centre first, and visits leaves in that
+order. The calibration finds, for held-out queries with exactly known neighbours in the sample, how many
+leaves reach ``recall``; with more rows than the sample has, neighbours only come nearer.
 
 Neighbouring leaves share a cell of about ``cell_rows`` rows; a larger leaf is dealt over several cells, so
 one that holds a third of all rows is many tasks. A query goes to each cell once, with the leaves that it
-visits there, and gets the ``k`` nearest of these leaves' rows; only those meet in the final choice, which
-is exact over all visited rows, in double precision.
+visits there; a cell that many queries visit is dealt out in as many copies as keep ``cell_asks`` queries
+together, and one that none visits stays where it is. A query gets the ``k`` nearest of these leaves' rows;
+only those meet in the final choice, which is exact over all visited rows, in double precision.
 
-Defined cases: rows without an id, and vectors that are null, all zero, of another length than most, or hold a null, NaN or
+Vectors of different lengths have no distance: each length has a tree of its own, all in one index, and
+its vectors are each other's candidates.
+
+Defined cases: rows without an id, and vectors that are null, empty, all zero, or hold a null, NaN or
 infinite component take no part, as query or candidate; ties go to the smaller id; repeated vectors are
 candidates each; a query never finds its own row, but finds others with its id; an empty table gives no
 rows; other columns are ignored, whatever their names.
@@ -21,6 +25,7 @@ rows; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -62,17 +67,16 @@ class Tree:
             stack += [(child, rows[near == i]) for i, child in enumerate(node.children) if (near == i).any()]
         return out
 
-    def visit(self, q: np.ndarray, sizes: np.ndarray, rows: float) -> list[int]:
-        """Leaves in best-bin-first order until they hold ``rows`` rows."""
+    def visit(self, q: np.ndarray, leaves: int) -> list[int]:
+        """The first leaves in best-bin-first order."""
         if self.root is None:
             return [0]
         heap: list[tuple[float, int, Node | int]] = [(0.0, 0, self.root)]
-        turn, seen, out = 0, 0.0, []
-        while heap and (seen < rows or not out):
+        turn, out = 0, []
+        while heap and len(out) < max(1, leaves):
             _, _, node = heapq.heappop(heap)
             if isinstance(node, int):
                 out.append(node)
-                seen += sizes[node]
                 continue
             for d, child in zip(((node.centres - q) ** 2).sum(1).tolist(), node.children, strict=True):
                 turn += 1
@@ -80,6 +84,21 @@ class Tree:
         return out
 
 
+@dataclass
+class Forest:
+    """A tree for each length of vectors; leaves are numbered through. visits: how many a query visits."""
+
+    trees: dict[int, Tree]
+    visits: dict[int, int]
+
+    def __post_init__(self) -> None:
+        sizes = [t.leaves for t in self.trees.values()]
+        self.first = dict(zip(self.trees, np.concatenate([[0], np.cumsum(sizes)]).tolist(), strict=False))
+        self.leaves = sum(sizes)
+        #: The length whose leaf each is.
+        self.dims = np.repeat(np.array(list(self.trees), np.int64), sizes)
+
+
 def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances less the vectors' own squares: enough to choose by."""
     return (centres**2).sum(1) - 2 * (x @ centres.T)
@@ -125,94 +144,145 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def calibrate(tree: Tree, x: np.ndarray, k: int, recall: float, tests: int = 200, seed: int = 6) -> float:
-    """The share of rows that best-bin-first has to see for ``recall``, on the sample itself."""
+def calibrate(tree: Tree, x: np.ndarray, k: int, recall: float, tests: int = 200, seed: int = 6) -> int:
+    """How many leaves best-bin-first has to visit for ``recall``, on the sample itself."""
     if tree.root is None or len(x) <= k + 1:
-        return 1.0
+        return tree.leaves
     at = np.random.default_rng(seed).choice(len(x), min(tests, len(x)), replace=False)
     leaf = tree.assign(x)
-    sizes = np.bincount(leaf, minlength=tree.leaves)
     needed: list[np.ndarray] = []
     for i in at:
         d = distances(x[i : i + 1], x)[0]
         d[i] = np.inf
-        order = tree.visit(x[i], sizes, np.inf)
-        seen = np.empty(tree.leaves)
-        seen[order] = np.cumsum(sizes[order])
-        needed.append(seen[leaf[np.argpartition(d, k)[:k]]])
-    return float(np.quantile(np.concatenate(needed), recall) / len(x))
+        turn = np.empty(tree.leaves)
+        turn[tree.visit(x[i], tree.leaves)] = np.arange(tree.leaves)
+        needed.append(turn[leaf[np.argpartition(d, k)[:k]]])
+    return int(np.ceil(np.quantile(np.concatenate(needed), recall))) + 1
 
 
-def usable(vector: Column, dim: int | None = None) -> Column:
-    fine = ~F.exists(vector, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(vector, lambda v: v != 0)
-    return F.coalesce(fine & (F.size(vector) == dim if dim is not None else F.lit(True)), F.lit(False))
+def sample_size(rows: int) -> int:
+    return max(50_000, 16 * math.isqrt(rows))
 
 
-def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    flat = column.flatten() if not isinstance(column, pa.ChunkedArray) else column.combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+def usable(vector: Column) -> Column:
+    fine = ~F.exists(vector, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(vector, lambda v: v != 0)
+    return F.coalesce(fine, F.lit(False))
+
+
+def matrices(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length of the vectors, their positions and the vectors as one matrix."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    first = np.cumsum(size) - size
+    out = {}
+    for dim in np.unique(size).tolist():
+        at = np.flatnonzero(size == dim)
+        out[dim] = (at, flat[first[at][:, None] + np.arange(dim)])
+    return out
 
 
-def index(vectors: DataFrame, tree: Tree) -> DataFrame:
+def index(vectors: DataFrame, forest: Forest) -> DataFrame:
     """All rows with their leaf, vectors as little-endian doubles."""
-    shared = vectors.sparkSession.sparkContext.broadcast(tree)  # bounded by the sample
+    shared = vectors.sparkSession.sparkContext.broadcast(forest)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = shared.value
         for batch in batches:
-            x = matrix(batch.column("embedding"), shared.value.dim)
-            bounds = np.arange(len(x) + 1, dtype=np.int32) * (8 * shared.value.dim)
-            binary = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(x, "<f8"))])
-            yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("vec_id"), batch.column("is_query"), pa.array(shared.value.assign(x)), binary], names=[ROW, "vec_id", "is_query", "leaf", "vector"])
+            for dim, (at, x) in matrices(batch.column("embedding")).items():
+                leaf = (forest.trees[dim].assign(x) + forest.first[dim]).astype(np.int32)
+                bounds = np.arange(len(x) + 1, dtype=np.int32) * (8 * dim)
+                binary = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(x, "<f8"))])
+                mine = batch.select([ROW, "vec_id", "is_query"]).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(leaf), binary], names=[ROW, "vec_id", "is_query", "leaf", "vector"])
 
     return vectors.mapInArrow(run, VECTORS)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = 0.97, sample_rows: int = 50_000, cell_rows: int = 4_096) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each query row."""
-    spark = vectors.sparkSession
-    placed = with_row(vectors.select("vec_id", "embedding")).where(F.col("vec_id").isNotNull())
-    doubles = F.col("embedding").cast("array<double>")
-    sizes = placed.where(usable(doubles)).groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
-    dim, n = (sizes[0]["dim"], sizes[0]["n"]) if sizes else (1, 0)
-    fine = placed.where(usable(doubles, dim)).select(ROW, F.col("vec_id").cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("is_query"), doubles.alias("embedding"))
-    taken = fine.where(share(sample_rows / max(1, n), "vec_id", "embedding")).select(F.xxhash64("vec_id", "embedding").alias("h"), "embedding")
-    sample = matrix(taken.toArrow().sort_by("h")["embedding"], dim) if n else np.zeros((0, dim))
-    tree = fit(sample)
-    part = calibrate(tree, sample, k, recall)
-    rows = scratch.cut(index(fine, tree), "ann-rows")
-    held = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}
-    per_leaf = np.array([held.get(i, 0) for i in range(tree.leaves)])
+@dataclass
+class Deal:
+    """Where rows and queries meet: of each leaf its first cell and how many it has; of each cell its copies."""
+
+    first: np.ndarray
+    cells: np.ndarray
+    copies: np.ndarray
+
+    def cell(self, places: list[str], leaf: np.ndarray) -> np.ndarray:
+        return self.first[leaf] + np.array([crc32(p.encode()) for p in places], np.int64) % self.cells[leaf]
+
+
+def dealt(per_leaf: np.ndarray, dims: np.ndarray, cell_rows: int) -> Deal:
+    """Small leaves in a row, as they are numbered along a tree, share a cell; a large one has several."""
     cells = np.maximum(1, -(-per_leaf // cell_rows))
-    # Leaves are numbered along the tree; small ones in a row share a cell.
     before = np.concatenate([[0], np.cumsum(np.where(cells > 1, 0, per_leaf))])[:-1] // cell_rows
     group = np.cumsum(cells > 1) * 2 - (cells > 1)  # a large leaf, and what follows it, begins anew
-    fresh = np.ones(tree.leaves, bool)
-    fresh[1:] = (before[1:] != before[:-1]) | (group[1:] != group[:-1])
+    fresh = np.ones(len(cells), bool)
+    fresh[1:] = (before[1:] != before[:-1]) | (group[1:] != group[:-1]) | (dims[1:] != dims[:-1])
     widths = np.where(fresh, cells, 0)
-    first = (np.cumsum(widths) - widths)[np.maximum.accumulate(np.where(fresh, np.arange(tree.leaves), 0))]
-    plan = spark.sparkContext.broadcast((tree, per_leaf, cells, first, max(k + 1.0, part * n)))
+    first = (np.cumsum(widths) - widths)[np.maximum.accumulate(np.where(fresh, np.arange(len(cells)), 0))]
+    return Deal(first, cells, np.ones(int(widths.sum()), np.int64))
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = 0.97, sample_rows: int | None = None, cell_rows: int = 4_096, cell_asks: int = 1_024) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found of each query row."""
+    spark = vectors.sparkSession
+    doubles = F.col("embedding").cast("array<double>")
+    placed = with_row(vectors.select("vec_id", "embedding")).where(F.col("vec_id").isNotNull() & usable(doubles))
+    lengths = {r["dim"]: r["n"] for r in placed.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).collect()}
+    n = sum(lengths.values())
+    fine = placed.select(ROW, F.col("vec_id").cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("is_query"), doubles.alias("embedding"))
+    taken = fine.where(share((sample_rows or sample_size(n)) / max(1, n), "vec_id", "embedding")).select(F.xxhash64("vec_id", "embedding").alias("h"), "embedding")
+    samples = matrices(taken.toArrow().sort_by("h")["embedding"]) if n else {}
+    trees = {dim: fit(samples[dim][1]) if dim in samples else Tree(None, 1, dim) for dim in sorted(lengths)}
+    forest = Forest(trees, {dim: calibrate(trees[dim], samples[dim][1], k, recall) if dim in samples else 1 for dim in trees})
+    rows = scratch.cut(index(fine, forest), "ann-rows")
+    held = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}
+    deal = dealt(np.array([held.get(i, 0) for i in range(forest.leaves)], np.int64), forest.dims, cell_rows)
+    plan = spark.sparkContext.broadcast((forest, deal))  # bounded by the sample, and a number for each cell
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row to its cell; a query also to every cell that it visits."""
-        tree, per_leaf, cells, first, rows_seen = plan.value
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A query to every cell that it visits."""
+        forest, deal = plan.value
         for batch in batches:
-            leaf = batch.column("leaf").to_numpy()
-            spread = np.array([crc32(p.encode()) for p in batch.column(ROW).to_pylist()], np.int64) % cells[leaf]
-            asks, to, at_leaves = [], [], []
-            for i in np.flatnonzero(batch.column("is_query").to_numpy(zero_copy_only=False)):
-                q = np.frombuffer(batch.column("vector")[int(i)].as_py(), "<f8")
+            row, to, at_leaves = [], [], []
+            for i, v in enumerate(batch.column("vector").to_pylist()):
+                q = np.frombuffer(v, "<f8")
                 by_cell: dict[int, list[int]] = {}
-                for at in tree.visit(q, per_leaf, rows_seen):
-                    for c in range(int(first[at]), int(first[at] + cells[at])):
+                for at in forest.trees[len(q)].visit(q, forest.visits[len(q)]):
+                    at += forest.first[len(q)]
+                    for c in range(int(deal.first[at]), int(deal.first[at] + deal.cells[at])):
                         by_cell.setdefault(c, []).append(at)
-                asks += [i] * len(by_cell)
+                row += [i] * len(by_cell)
                 to += by_cell
                 at_leaves += by_cell.values()
-            row = np.concatenate([np.arange(len(leaf)), np.array(asks, np.int64)])
-            cell = np.concatenate([first[leaf] + spread, np.array(to, np.int64)])
-            leaves = pa.array([[x] for x in leaf.tolist()] + at_leaves, pa.list_(pa.int32()))
+            out = batch.select([ROW, "vec_id", "vector"]).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(at_leaves, pa.list_(pa.int32())), *out.columns], names=["cell", "leaves", ROW, "vec_id", "vector"])
+
+    asks = scratch.cut(rows.where("is_query").mapInArrow(ask, f"cell long, leaves array<int>, {ROW} string, vec_id long, vector binary"), "ann-asks")
+    asked = {r["cell"]: r["count"] for r in asks.groupBy("cell").count().collect()}
+    copies = np.array([-(-asked.get(i, 0) // cell_asks) for i in range(len(deal.copies))], np.int64)
+    copied = spark.sparkContext.broadcast(Deal(deal.first, deal.cells, copies))
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row to each copy of its cell."""
+        deal = copied.value
+        for batch in batches:
+            leaf = batch.column("leaf").to_numpy()
+            cell = deal.cell(batch.column(ROW).to_pylist(), leaf)
+            n = deal.copies[cell]
+            row = np.repeat(np.arange(len(leaf)), n)
+            copy = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            leaves = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32)), pa.array(leaf[row]))
             out = batch.select([ROW, "vec_id", "vector"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(row)) >= len(leaf)), leaves, *out.columns], names=["cell", "asks", "leaves", ROW, "vec_id", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(cell[row]), pa.array(copy), pa.array(np.zeros(len(row), bool)), leaves, *out.columns], names=["cell", "copy", "asks", "leaves", ROW, "vec_id", "vector"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A query to one copy of its cell."""
+        deal = copied.value
+        for batch in batches:
+            cell = batch.column("cell").to_numpy()
+            copy = np.array([crc32(p.encode()) for p in batch.column(ROW).to_pylist()], np.int64) % deal.copies[cell]
+            yield pa.RecordBatch.from_arrays([batch.column("cell"), pa.array(copy), pa.array(np.ones(len(cell), bool)), *batch.columns[1:]], names=["cell", "copy", "asks", "leaves", ROW, "vec_id", "vector"])
 
     def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["asks"].to_numpy(bool)
@@ -237,10 +307,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = 0.
         place = pd.Series(list(places[asker]), dtype=object)
         return pd.DataFrame({"place": place, "query_id": ids[asker], "vec_id": ids[found], "score": np.concatenate(score)})
 
-    dealt = rows.mapInArrow(deal, f"cell long, asks boolean, leaves array<int>, {ROW} string, vec_id long, vector binary")
-    local = dealt.groupBy("cell").applyInPandas(nearest, "place string, query_id long, vec_id long, score double")
+    together = f"cell long, copy long, asks boolean, leaves array<int>, {ROW} string, vec_id long, vector binary"
+    both = rows.mapInArrow(offer, together).unionByName(asks.mapInArrow(meet, together))
+    local = both.groupBy("cell", "copy").applyInPandas(nearest, "place string, query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("place").orderBy("score", "vec_id"))
     return local.withColumn("rank", best.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-__all__ = ["Tree", "calibrate", "exact", "fit", "index", "kmeans", "search", "usable"]
+__all__ = ["Forest", "Tree", "calibrate", "exact", "fit", "index", "kmeans", "search", "usable"]
