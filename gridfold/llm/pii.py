@@ -12,10 +12,14 @@ sample); half of them are held out to calibrate the thresholds for precision. Sc
 expression: texts never leave the JVM, and nothing is shuffled.
 
 Positions are code points, the end exclusive. Patterns use possessive repeats and anchors, so that long
-runs of one character class cost linear time.
-
-Defined cases: a null or empty text has no spans; repeated rows and null ids are rows like others; an
-empty table gives no rows; other columns are ignored, whatever their names.
+runs of one character class cost linear time. Spans of one kind don't overlap, so they are sorted at both
+ends: what a candidate touches is found by binary search, and contexts come from the pieces between
+matches. A text takes time in proportion to its length and, but for a logarithm, to its spans.
+
+Defined cases: a null or empty text has no spans; a text of any length and with any number of spans is
+searched whole; of overlapping candidates of equal score the one that begins first is better, then the
+kind first by name; repeated rows and null ids are rows like others; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridfold.llm import boosting
+from gridfold.llm.arrays import count_while, let, running_max, running_sums, steps
 
 KINDS = ("email", "ip", "card", "phone")
 #: The strict patterns. A match begins where a run of its first characters does, or right behind another.
@@ -46,7 +51,7 @@ LOOSE = {
 #: The greatest part of an address, and how many digits cards and phones have.
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})$"
 CARD, PHONE = (13, 19), (9, 15)
-SPAN = "struct<start:int,end:int,m:string>"
+SPANS = "array<struct<start:int,end:int,m:string>>"
 #: Words of the context, as patterns over its lower-cased form.
 HINTS = {
     "hint_email": r"mail|contact|write|kontakt|correo|courriel",
@@ -58,21 +63,37 @@ HINTS = {
 FEATURES = [*(f"is_{k}" for k in KINDS), "digits", "chars", "letters", "seps", "plus", "paren", "luhn", "at_sign", "colons", "groups", "longest", "glued_left", "glued_right", *HINTS]
 TRAINING = 2_400
 CONTEXT = 24
+#: The pieces of a text that its last CONTEXT characters before a match are in: no match is shorter than 5.
+PIECES = 5
+#: Characters that a text is cut into for looking up spans.
+CHUNK = 4_096
+
 
+def matches(text: Column, pattern: str, near: bool = False) -> Column:
+    """Leftmost non-overlapping matches with their bounds: what splitting leaves gives the positions.
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches with their bounds: what splitting leaves gives the positions."""
+    near: also what stands before each (``left``, CONTEXT characters) and behind it (``right``, one)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        end = begin + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("m")))).alias("out"))
+    def placed(m: Column) -> Column:
+        def with_parts(part: Column) -> Column:
+            ends = running_sums(F.transform(m, lambda x, i: F.length(F.get(part, i)) + F.length(x)))
+            span = lambda e, i: [(e - F.length(F.get(m, i))).alias("start"), e.alias("end"), F.get(m, i).alias("m")]
+            if not near:
+                return let(ends, lambda end: F.transform(end, lambda e, i: F.struct(*span(e, i))))
+
+            def with_tails(tail: Column) -> Column:
+                pieces = lambda i: [F.coalesce(x, F.lit("")) for j in range(PIECES, 0, -1) for x in (F.get(tail, i - j), F.get(m, i - j))]
+                left = lambda i: F.right(F.concat(*pieces(i), F.get(tail, i)), F.lit(CONTEXT)).alias("left")
+                behind = lambda i: F.when(F.get(part, i + 1) != "", F.left(F.get(part, i + 1), F.lit(1))).otherwise(F.left(F.coalesce(F.get(m, i + 1), F.lit("")), F.lit(1))).alias("right")
+                return let(ends, lambda end: F.transform(end, lambda e, i: F.struct(*span(e, i), left(i), behind(i))))
 
-    placed = F.aggregate(parts, start, step, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, placed).otherwise(F.array().cast(f"array<{SPAN}>"))
+            return let(F.transform(part, lambda x: F.right(x, F.lit(CONTEXT))), with_tails)
+
+        return let(F.split(text, pattern, -1), with_parts)
+
+    some = let(found, lambda m: F.when(F.size(m) > 0, placed(m)))
+    return F.coalesce(some, F.array().cast(SPANS.replace("m:string", "m:string,left:string,right:string") if near else SPANS))
 
 
 def digits(m: Column) -> Column:
@@ -190,51 +211,55 @@ def model(spark: SparkSession) -> tuple[str, dict[str, float]]:
     return _learn(tuple(map(tuple, got)))
 
 
-def _tagged(spans: Column, kind: str) -> Column:
-    return F.transform(spans, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["m"].alias("m")))
-
-
 def _named(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
-def _of_kind(spans: str, kind: str) -> Column:
-    return F.filter(spans, lambda x: x["kind"] == kind)
-
-
 def _spelled(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda x: F.concat(F.lit(f"{kind}:"), x["start"].cast("string"), F.lit(":"), x["end"].cast("string")))
 
 
+def touching(spans: Column, by: Column, x: Column) -> Column:
+    """Those of sorted spans without overlaps that a span overlaps. by: ``steps`` of the spans."""
+    first = count_while(spans, by, lambda o: o["end"] <= x["start"])
+    return let(first, lambda low: F.slice(spans, low + 1, F.greatest(count_while(spans, by, lambda o: o["start"] < x["end"]) - low, F.lit(0))))
+
+
 def detect(docs: DataFrame) -> DataFrame:
     """doc_id, text, base (spans by kind) and added (spans by kind) of each row, as arrays by kind."""
     spark = docs.sparkSession
     scored, limits = model(spark)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = whole.select("*", *[base_spans(F.col("text"), k).alias(f"base_{k}") for k in KINDS], *[matches(F.col("text"), LOOSE[k]).alias(f"loose_{k}") for k in KINDS])
-    spans = F.concat(*[F.col(f"base_{k}") for k in KINDS])
-    # Candidates that touch no base span, of all kinds together.
-    tagged = F.concat(*[_tagged(F.col(f"loose_{k}"), k) for k in KINDS])
-    free = F.filter(tagged, lambda c: ~F.exists(spans, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-
-    def describe(c: Column) -> Column:
-        left = F.substring(F.col("text"), F.greatest(c["start"] - CONTEXT, F.lit(0)) + 1, F.least(c["start"], F.lit(CONTEXT)))
-        right = F.substring(F.col("text"), c["end"] + 1, F.lit(1))
-        return F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), F.struct(*features(c["kind"], c["m"], left, right)).alias("f"))
-
-    limit = "CASE c.kind " + " ".join(f"WHEN '{k}' THEN {limits[k]!r}D" for k in KINDS if np.isfinite(limits[k])) + " ELSE double('infinity') END"
-    described = found.withColumn("cand", F.when(F.size(tagged) > 0, F.transform(free, describe)))
-    judged = described.withColumn("cand", F.expr(f"filter(transform(cand, c -> named_struct('kind', c.kind, 'start', c.start, 'end', c.end, 'over', ({scored}) - {limit})), c -> c.over >= 0)"))
-    better = "exists(cand, o -> o.start < c.end AND c.start < o.end AND (o.over > c.over OR o.over = c.over AND (o.start < c.start OR o.start = c.start AND o.kind < c.kind)))"
-    added = F.expr(f"filter(cand, c -> NOT {better})")
-    chosen = judged.withColumn("added", added)
+    found = whole.select("*", *[base_spans(F.col("text"), k).alias(f"base_{k}") for k in KINDS], *[matches(F.col("text"), LOOSE[k], near=True).alias(f"loose_{k}") for k in KINDS])
+    searched = found.select("*", *[steps(F.col(f"base_{k}")).alias(f"by_{k}") for k in KINDS])
+
+    def judged(kind: str) -> Column:
+        """The candidates of a kind that touch no base span and reach the threshold."""
+        if not np.isfinite(limits[kind]):
+            return F.array().cast("array<struct<start:int,end:int,over:double>>")
+
+        clear = lambda c: ~F.greatest(*[F.size(touching(F.col(f"base_{k}"), F.col(f"by_{k}"), c)) > 0 for k in KINDS])
+        described = lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.struct(*features(F.lit(kind), c["m"], c["left"], c["right"])).alias("f"))
+        return F.transform(F.filter(f"loose_{kind}", clear), described)
+
+    described = searched.select("doc_id", "text", *[f"base_{k}" for k in KINDS], *[judged(k).alias(f"cand_{k}") for k in KINDS])
+    limit = lambda k: f"filter(transform(cand_{k}, c -> named_struct('start', c.start, 'end', c.end, 'over', ({scored}) - {limits[k]!r}D)), c -> c.over >= 0)"
+    good = described.select("doc_id", "text", *[f"base_{k}" for k in KINDS], *[(F.expr(limit(k)) if np.isfinite(limits[k]) else F.col(f"cand_{k}")).alias(f"good_{k}") for k in KINDS])
+    good = good.select("*", *[steps(F.col(f"good_{k}")).alias(f"by_{k}") for k in KINDS])
+
+    def best(kind: str) -> Column:
+        """Those that no better candidate of another kind overlaps; of one kind none do."""
+
+        def beaten(c: Column, other: str) -> Column:
+            first = lambda o: (o["start"] < c["start"]) | ((o["start"] == c["start"]) & F.lit(other < kind))
+            better = lambda o: (o["over"] > c["over"]) | ((o["over"] == c["over"]) & first(o))
+            return F.exists(touching(F.col(f"good_{other}"), F.col(f"by_{other}"), c), better)
+
+        stays = lambda c: ~F.greatest(*[beaten(c, k) for k in KINDS if k != kind])
+        return F.transform(F.filter(f"good_{kind}", stays), bare)
+
     bare = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))
-    return chosen.select(
-        "doc_id",
-        "text",
-        *[F.transform(f"base_{k}", bare).alias(f"base_{k}") for k in KINDS],
-        *[F.coalesce(F.transform(_of_kind("added", k), bare), F.array().cast("array<struct<start:int,end:int>>")).alias(f"added_{k}") for k in KINDS],
-    )
+    return good.select("doc_id", "text", *[F.transform(f"base_{k}", bare).alias(f"base_{k}") for k in KINDS], *[best(k).alias(f"added_{k}") for k in KINDS])
 
 
 def listed(prefixes: tuple[str, ...]) -> Column:
@@ -247,18 +272,26 @@ def listed(prefixes: tuple[str, ...]) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """doc_id, text with each span replaced by its kind in brackets."""
+    """doc_id, text with each span replaced by its kind in brackets; overlapping ones by the first's."""
     found = detect(docs)
-    tagged = F.concat(*[_named(F.concat(f"base_{k}", f"added_{k}"), k) for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    tagged = F.array_sort(F.concat(*[_named(F.concat(f"base_{k}", f"added_{k}"), k) for k in KINDS]))
+    chunks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def between(chunk: Column, low: Column, high: Column) -> Column:
+        """The text from one position to another, from the chunks that hold it."""
+        first, last = F.floor(low / CHUNK).cast("int"), F.floor(F.greatest(high - 1, low) / CHUNK).cast("int")
+        cut = lambda c, i: F.substring(c, F.greatest(low - (first + i) * CHUNK, F.lit(0)) + 1, F.greatest(high - F.greatest(low, (first + i) * CHUNK), F.lit(0)))
+        return F.array_join(F.transform(F.slice(chunk, first + 1, last - first + 1), cut), "")
 
-    def step(acc: Column, x: Column) -> Column:
-        # A span inside what is gone already adds nothing; one that begins there goes on from its end.
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        name = F.when(x["start"] >= acc["at"], F.concat(F.lit("["), x["kind"], F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], gap, name).alias("out"))
+    def pieces(chunk: Column, spans: Column, reach: Column) -> Column:
+        # reach: how far the spans up to each one go. A span that begins within what is gone adds no name.
+        before = lambda i: F.when(i == 0, 0).otherwise(F.get(reach, i - 1))
+        named = lambda x, i: F.when(x["start"] >= before(i), F.concat(between(chunk, before(i), x["start"]), F.lit("["), x["kind"], F.lit("]"))).otherwise("")
+        end = F.coalesce(F.get(reach, F.size(spans) - 1), F.lit(0))
+        return F.concat(F.array_join(F.transform(spans, named), ""), let(end, lambda e: between(chunk, e, F.length("text"))))
 
-    return found.select("doc_id", F.aggregate(F.array_sort(tagged), start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text")))).alias("text"))
+    whole = let(chunks, lambda c: let(tagged, lambda x: let(running_max(F.transform(x, lambda s: s["end"])), lambda r: pieces(c, x, r))))
+    return found.select("doc_id", F.when(F.length("text") > 0, whole).otherwise("").alias("text"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -267,4 +300,5 @@ def digest(found: DataFrame) -> DataFrame:
         *[F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(listed(("base",)).cast("binary"), 256).alias("base_sha256"),
         listed(("base", "added")).alias("spans"),
+        sum((F.size(f"{p}_{k}") for p in ("base", "added") for k in KINDS), F.lit(0)).cast("long").alias("n_spans"),
     )
