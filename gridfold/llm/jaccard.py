@@ -14,11 +14,14 @@
     pivot i than from its own one; sets that share nothing with any pivot are a region of their own,
     whose window is distance 1 - r and more). Regions join recursively until few or linked members are
     left.
-4.  Regions of more than ``most`` members never meet in one task. A job first cuts them by size (the
-    distance from the empty set: linked sizes are at most one band apart); then each job takes some
-    pivots, of any member, links what lies within their radius, and leaves the pivots out. Members that
-    pivots tie together are a group, whose pairs are settled; all other pairs stay to be joined, but for
-    members that the triangle inequality keeps from every partner outside their group.
+4.  If regions have more than ``most`` members, the n-grams that more than ``most`` of these members hold
+    are counted over all of them and put last in the global order; the windows that change are worked out
+    again. What is still larger never meets in one task. A job first cuts such regions by size (the distance
+    from the empty set: linked sizes are at most one band apart); then each job takes some pivots of each,
+    links what lies within their radius, and leaves the pivots out. Members that pivots tie together are a
+    group, whose pairs are settled; all other pairs stay to be joined, but for members that the triangle
+    inequality keeps from every partner outside their group. Regions that have become small are joined at
+    once; only what is left of large ones is written again.
 5.  Connected components over the links give classes' components.
 
 No pair of a group is listed: a group of near copies costs a link for each member. n-grams and sets are
@@ -51,8 +54,8 @@ COMMON, COMMON_IN_PART = 1 << 17, 3
 MOST = 2_048
 #: Pivots of one step in a task; members below which, depth and overlap beyond which pivots are used singly.
 PIVOTS, FEW, DEPTH, SPREAD = 8, 48, 8, 1.2
-#: Regions too large for a task that one job divides, and the pivots of each.
-BLOCK, JOB_PIVOTS = 16, 32
+#: Pivots that one job takes of each region too large for a task, and members that they meet in one task.
+JOB_PIVOTS, SPAN = 32, 1_024
 #: Bits of the parity maps of short and long sets, and how many n-grams make a set long.
 MAP_BITS, LONG = (1_024, 16_384), 2_048
 #: The group of members that are tied to no pivot yet; groups have the number of one of their pivots.
@@ -407,37 +410,57 @@ def join_regions(table: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
+def crowded_grams(rows: DataFrame, members: DataFrame, rule: Rule, most: int, known: np.ndarray) -> np.ndarray:
+    """n-grams that more than ``most`` members of too large regions hold, rarest first, but for known ones."""
+    large = members.groupBy("pivot").count().where(F.col("count") > most)
+    if large.isEmpty():
+        return np.zeros(0, U)
+    crowd = members.join(large, "pivot", "left_semi").select(ROW).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, bounds in parts(batches):
+            key, n = np.unique(grams(data, bounds, rule.n)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["gram", "n"])
+
+    counted = rows.join(crowd, ROW, "left_semi").select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > most)
+    top = most_frequent(scratch.cut(counted, "crowded"), "n", COMMON).toPandas().sort_values(["n", "gram"])["gram"].to_numpy(np.int64).astype(U)
+    return top[~np.isin(top, known)]
+
+
+REGION = ("pivot", "class", "kernel", "level", "group", "size", "text")
+
+
 def links(members: DataFrame, rule: Rule, most: int) -> DataFrame:
     """a, b: links that connect all linked classes. members: pivot, class, size, text."""
-    found: list[DataFrame] = []
-    part = scratch.cut(members.select("pivot", "class", F.lit(True).alias("kernel"), F.lit(0).alias("level"), F.lit(NO_GROUP).cast("long").alias("group"), "size", "text"), "regions")
+    spark = members.sparkSession
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "pivot", 1_024):
             a, b = join_regions(table, rule)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    todo = members.select("pivot", "class", F.lit(True).alias("kernel"), F.lit(0).alias("level"), F.lit(NO_GROUP).cast("long").alias("group"), "size", "text")
+    found: list[DataFrame] = []
     while True:
-        counted = part.groupBy("pivot").agg(F.count("*").alias("n"), F.first("level").alias("level"))
-        large = counted.where(F.col("n") > most).orderBy("pivot").limit(BLOCK).collect()
-        if not large:
-            found.append(scratch.cut(part.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(in_task, "a long, b long"), "region-links"))
+        out = scratch.write(todo.select(*REGION), "regions")
+        part = spark.read.schema(todo.select(*REGION).schema).parquet(out)
+        large = scratch.cut(part.groupBy("pivot").agg(F.count("*").alias("members")).where(F.col("members") > most), "large-regions")
+        none = large.isEmpty()
+        small = part if none else part.join(large, "pivot", "left_anti")
+        found.append(scratch.cut(small.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(in_task, "a long, b long"), "region-links"))
+        if none:
+            scratch.drop(spark, out)
             break
-        # These regions never meet in a task: one step of the recursion for them as a job, then all again.
-        banded = [x["pivot"] for x in large if x["level"] == 0]
-        divided = [x["pivot"] for x in large if x["level"] > 0]
-        rest = part.where(~F.col("pivot").isin(banded + divided))
-        if banded:
-            rest = rest.unionByName(_by_size(part.where(F.col("pivot").isin(banded)), rule))
-        if divided:
-            tied, left = _divide(part.where(F.col("pivot").isin(divided)), rule)
-            found.append(tied)
-            rest = rest.unionByName(left)
-        part = scratch.cut(rest, "regions")
-    out = found[0]
+        # These regions never meet in a task: one step of the recursion for all of them as a job, then again.
+        rest = part.join(large, "pivot")
+        tied, left = _divide(rest.where("level > 0"), rule)
+        found.append(scratch.cut(tied, "pivot-links"))
+        todo = scratch.cut(_by_size(rest.where("level = 0"), rule).unionByName(left), "region-rest")
+        scratch.drop(spark, out)
+    every = found[0]
     for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+        every = every.unionByName(x)
+    return every
 
 
 def _by_size(part: DataFrame, rule: Rule) -> DataFrame:
@@ -445,10 +468,61 @@ def _by_size(part: DataFrame, rule: Rule) -> DataFrame:
     band = F.floor(F.log(F.col("size")) / float(np.log(rule.den / rule.num) + 1e-12))
     below = F.struct((band - 1).alias("band"), F.lit(False).alias("kernel"))
     copies = F.explode(F.array(F.struct(band.alias("band"), F.col("kernel").alias("kernel")), below)).alias("to")
-    dealt = part.select("pivot", "class", "level", "group", "size", "text", copies)
+    dealt = part.select("pivot", "class", "group", "size", "text", copies)
     out = dealt.select(F.xxhash64("pivot", "to.band").alias("pivot"), "class", "to.kernel", F.lit(1).alias("level"), "group", "size", "text")
-    # Bands that are the least of their own only have partners. Bands times BLOCK rows at most.
-    return out.join(F.broadcast(out.where("kernel").select("pivot").distinct()), "pivot", "left_semi")
+    # Bands that are the least of their own only have partners.
+    return out.join(out.where("kernel").select("pivot").distinct(), "pivot", "left_semi").select(*REGION)
+
+
+class Pivots:
+    """The pivots of one region, as they come in; n-grams sorted, with whose they are."""
+
+    def __init__(self) -> None:
+        self.names: list[int] = []
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, names: list[int], gram: np.ndarray, row: np.ndarray) -> None:
+        self.found.append((gram, row + len(self.names)))
+        self.names += names
+
+    def settle(self) -> None:
+        gram, row = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        order = np.argsort(gram, kind="stable")
+        self.keys, self.owner, self.sizes = gram[order], row[order], np.bincount(row, minlength=len(self.names))
+
+    def meet(self, gram: np.ndarray, row: np.ndarray, n: int, rule: Rule, width: int) -> tuple[np.ndarray, list[list[int]]]:
+        """Of n members their distances to the pivots and the names of those that they are linked to."""
+        low, high = np.searchsorted(self.keys, gram), np.searchsorted(self.keys, gram, "right")
+        hits = high - low
+        hit = self.owner[np.repeat(low - np.cumsum(hits) + hits, hits) + np.arange(int(hits.sum()))]
+        inter = np.bincount(np.repeat(row, hits) * len(self.names) + hit, minlength=n * len(self.names)).reshape(n, len(self.names))
+        union = np.bincount(row, minlength=n)[:, None] + self.sizes - inter
+        distance = np.ones((n, width))
+        distance[:, : len(self.names)] = 1 - inter / np.maximum(union, 1)
+        return distance, [[self.names[k] for k in np.flatnonzero(x)] for x in rule.linked(inter, union)]
+
+
+def _met(batches: Iterator[pa.RecordBatch], rule: Rule, width: int) -> Iterator[pa.RecordBatch]:
+    """Members with their distances to their region's pivots, which come before them."""
+    at, pivots, ready = None, Pivots(), False
+    for batch, data, bounds in parts(batches):
+        gram, row = grams(data, bounds, rule.n)
+        place = [batch.column(c).to_numpy() for c in ("pivot", "salt", "side")]
+        cuts = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in place], axis=0)])) if batch.num_rows else []
+        for low, high in zip(cuts, np.append(cuts[1:], batch.num_rows), strict=True):
+            region, member = (int(place[0][low]), int(place[1][low])), bool(place[2][low])
+            if region != at:
+                at, pivots, ready = region, Pivots(), False
+            own = slice(*np.searchsorted(row, [low, high]))
+            if not member:
+                pivots.add(batch.column("class")[low:high].to_pylist(), gram[own], row[own] - low)
+                continue
+            if not ready:
+                pivots.settle()
+                ready = True
+            d, ties = pivots.meet(gram[own], row[own] - low, int(high - low), rule, width)
+            mine = batch.slice(low, high - low).select(list(REGION))
+            yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(list(d), pa.list_(pa.float64())), pa.array(ties, pa.list_(pa.int64()))], names=[*REGION, "d", "ties"])
 
 
 def _divide(part: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
@@ -456,111 +530,91 @@ def _divide(part: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
 
     To be joined are the pairs of a kernel member and any member that is not of its group. A pivot is
     compared with all members and needs no further join, so kernel members without a group go first;
-    then whatever stands on the smaller side of the pairs that are left."""
-    spark = part.sparkSession
+    then whatever stands on the smaller side of the pairs that are left. Members are dealt out by SPAN
+    with a copy of the pivots each; regions' groups, a few times JOB_PIVOTS rows, are settled by region."""
     free = F.col("kernel") & (F.col("group") == NO_GROUP)
     # Rows of each group of a region, and of the window without one: as many as there were pivots at most.
     sides = part.where(~free).groupBy("pivot", "group").agg(F.count("*").alias("others"))
-    ranked = part.withColumn("gf_free", free).join(F.broadcast(sides), ["pivot", "group"], "left")
+    ranked = part.withColumn("gf_free", free).join(sides, ["pivot", "group"], "left")
     turn = F.struct(F.when(F.col("gf_free"), 0).otherwise(F.col("others")).alias("side"), (F.col("size") > PIVOT_SIZE).alias("long"), F.xxhash64("class").alias("turn"), "class")
     nth = F.row_number().over(Window.partitionBy("pivot").orderBy("t"))
-    picked = ranked.select("pivot", turn.alias("t"), "text").withColumn("nth", nth).where(F.col("nth") <= JOB_PIVOTS)
-    by_region: dict[int, tuple[list[int], np.ndarray, np.ndarray, np.ndarray]] = {}
-    rows = picked.select("pivot", F.col("t.class").alias("class"), "text").collect()  # BLOCK * JOB_PIVOTS at most
-    for region in {x["pivot"] for x in rows}:
-        mine = sorted((x["class"], x["text"]) for x in rows if x["pivot"] == region)
-        gram, row = grams(*utf8(pa.array([t for _, t in mine], pa.large_string())), rule.n)
-        order = np.argsort(gram, kind="stable")
-        by_region[region] = ([c for c, _ in mine], gram[order], row[order], np.bincount(row, minlength=len(mine)))
-    shared = spark.sparkContext.broadcast(by_region)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, bounds in parts(batches):
-            gram, row = grams(data, bounds, rule.n)
-            size = np.bincount(row, minlength=batch.num_rows)
-            region = batch.column("pivot").to_numpy()
-            distance = np.ones((batch.num_rows, JOB_PIVOTS))
-            ties: list[list[int]] = [[] for _ in range(batch.num_rows)]
-            for p in np.unique(region):
-                names, keys, owner, sizes = shared.value[int(p)]
-                mine = np.flatnonzero(region == p)
-                own = region[row] == p
-                low, high = np.searchsorted(keys, gram[own]), np.searchsorted(keys, gram[own], "right")
-                n = high - low
-                hit = owner[np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-                inter = np.bincount(np.repeat(row[own], n) * len(names) + hit, minlength=batch.num_rows * len(names)).reshape(-1, len(names))[mine]
-                union = size[mine][:, None] + sizes - inter
-                distance[mine, : len(names)] = 1 - inter / np.maximum(union, 1)
-                for member, linked in zip(mine, rule.linked(inter, union), strict=True):
-                    ties[member] = [names[k] for k in np.flatnonzero(linked)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("pivot", "class", "kernel", "level", "group", "size", "text")), pa.array(list(distance), pa.list_(pa.float64())), pa.array(ties, pa.list_(pa.int64()))],
-                names=["pivot", "class", "kernel", "level", "group", "size", "text", "d", "ties"],
-            )
-
+    salts = F.ceil(F.col("members") / SPAN).cast("int")
+    picked = ranked.select("pivot", turn.alias("t"), "text", "members").withColumn("nth", nth).where(F.col("nth") <= JOB_PIVOTS)
+    heads = picked.select("pivot", F.col("t.class").alias("class"), "text", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("side"))
+    dealt = part.select(*REGION, F.pmod(F.xxhash64("class"), salts).cast("int").alias("salt"), F.lit(1).alias("side")).unionByName(heads, allowMissingColumns=True)
     schema = "pivot long, class long, kernel boolean, level int, group long, size long, text string, d array<double>, ties array<long>"
-    step = scratch.cut(part.select("pivot", "class", "kernel", "level", "group", "size", "text").mapInArrow(run, schema), "region-step")
+    sorted_ = dealt.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "side", "class")
+    width = JOB_PIVOTS
+    step = scratch.cut(sorted_.mapInArrow(lambda batches: _met(batches, rule, width), schema), "region-step")
     tied = step.select(F.col("class").alias("a"), F.explode("ties").alias("b")).where("a <> b")
     # Pivots and groups with a tied member in common are one group: JOB_PIVOTS times both at most a region.
     met = step.where(F.size("ties") > 0).select("pivot", "group", F.get("ties", F.lit(0)).alias("a"), "ties")
     edges = met.select("pivot", "a", F.explode("ties").alias("b")).unionByName(met.where(F.col("group") != NO_GROUP).select("pivot", "a", F.col("group").alias("b")))
-    named = _groups([(x["pivot"], x["a"], x["b"]) for x in edges.distinct().collect()])
-    names = F.broadcast(spark.createDataFrame(named, "pivot long, old long, new long"))
+    names = edges.distinct().groupBy("pivot").applyInArrow(_groups, "pivot long, old long, new long")
     left = step.where(~F.array_contains("ties", F.col("class"))).withColumn("old", F.coalesce(F.get("ties", F.lit(0)), F.col("group")))
     left = left.join(names, ["pivot", "old"], "left").withColumn("group", F.coalesce("new", "group"))
     d = [F.get("d", F.lit(q)) for q in range(JOB_PIVOTS)]
-    reach = [F.array(*map(F.min, d)).alias("low"), F.array(*map(F.max, d)).alias("high")]
-    partners = _partners([(x["pivot"], x["group"], x["kernel"], x["low"], x["high"]) for x in left.groupBy("pivot", "group", "kernel").agg(*reach).collect()])
+    reach = left.groupBy("pivot", "group", "kernel").agg(F.array(*map(F.min, d)).alias("low"), F.array(*map(F.max, d)).alias("high"))
+    sought = reach.groupBy("pivot").applyInArrow(_partners, "pivot long, group long, kernel boolean, low array<double>, high array<double>")
     near = F.forall(F.arrays_zip("d", "low", "high"), lambda x: (x["d"] >= x["low"] - rule.radius) & (x["d"] <= x["high"] + rule.radius))
     # A region without pairs to be joined is done.
-    sought = F.broadcast(spark.createDataFrame(partners, "pivot long, group long, kernel boolean, low array<double>, high array<double>"))
-    kept = left.join(sought, ["pivot", "group", "kernel"]).where(near)
-    return tied, kept.select("pivot", "class", "kernel", "level", "group", "size", "text")
+    return tied, left.join(sought, ["pivot", "group", "kernel"]).where(near).select(*REGION)
 
 
-def _groups(edges: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """region, name, name of its component, for edges of region and two names."""
-    parent: dict[tuple[int, int], tuple[int, int]] = {}
+def _groups(edges: pa.Table) -> pa.Table:
+    """Of one region, name and name of its component, for edges of two names."""
+    parent: dict[int, int] = {}
 
-    def root(x: tuple[int, int]) -> tuple[int, int]:
+    def root(x: int) -> int:
         while parent.setdefault(x, x) != x:
             x = parent[x]
         return x
 
-    for region, a, b in edges:
-        parent[root((region, a))] = root((region, b))
-    return [(*x, root(x)[1]) for x in list(parent)]
+    for a, b in zip(edges["a"].to_pylist(), edges["b"].to_pylist(), strict=True):
+        parent[root(a)] = root(b)
+    old = list(parent)
+    return pa.table({"pivot": pa.array([edges["pivot"][0].as_py()] * len(old), pa.int64()), "old": pa.array(old, pa.int64()), "new": pa.array(list(map(root, old)), pa.int64())})
 
 
-def _partners(reach: list[tuple[int, int, bool, list[float], list[float]]]) -> list[tuple[int, int, bool, list[float], list[float]]]:
-    """Of region, group, kernel: the least and greatest distances to pivots of what these rows are to be joined with."""
-    by_region: dict[int, list[tuple[int, bool, list[float], list[float]]]] = {}
-    for region, *row in reach:
-        by_region.setdefault(region, []).append(tuple(row))
+def _partners(reach: pa.Table) -> pa.Table:
+    """Of one region's groups, by kernel: the least and greatest distances to pivots of what these rows are to be joined with."""
+    rows = reach.to_pylist()
     out = []
-    for region, rows in by_region.items():
-        for group, kernel, _, _ in rows:
-            others = [(low, high) for g, k, low, high in rows if (g != group or g == NO_GROUP) and (k or kernel)]
-            if others:
-                out.append((region, group, kernel, np.min([x for x, _ in others], 0).tolist(), np.max([x for _, x in others], 0).tolist()))
-    return out
+    for x in rows:
+        others = [y for y in rows if (y["group"] != x["group"] or y["group"] == NO_GROUP) and (y["kernel"] or x["kernel"])]
+        if others:
+            out.append(x | {"low": np.min([y["low"] for y in others], 0).tolist(), "high": np.max([y["high"] for y in others], 0).tolist()})
+    return pa.Table.from_pylist(out, schema=reach.schema)
 
 
 def join(docs: DataFrame, rule: Rule = Rule(), most: int = MOST) -> DataFrame:
     """gf_row, doc_id, n_shingles, component_id of each document, and component: a number that the
     documents of a component share, null for empty sets."""
     rows = with_row(docs.select("doc_id", "text")).select(ROW, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    every = scratch.cut(sets(rows, rule, common_grams(rows, rule)), "sets")
+    common = common_grams(rows, rule)
+    every = scratch.cut(sets(rows, rule, common), "sets")
     full = every.where("size > 0")
     signature = ["sig_a", "sig_b", "size"]
     grouped = full.groupBy(*signature).agg(F.min("doc_id").alias("least_id"), F.min(ROW).alias(ROW), F.first("prefix").alias("prefix"), F.first("map").alias("map"))
     classes = scratch.cut(grouped.withColumn("class", F.monotonically_increasing_id()), "classes")
-    placed = regions(classes.select("class", "size", "prefix"), rule).join(classes.select("class", "size", ROW, "map"), "class")
+
+    def placed(classes: DataFrame) -> DataFrame:
+        dealt = regions(classes.select("class", "size", "prefix"), rule).join(classes.select("class", "size", ROW, "map"), "class")
+        return scratch.cut(pruned(dealt, rule, most), "members")
+
+    members = placed(classes)
+    more = crowded_grams(rows, members, rule, most, common)
+    if len(more):
+        crowded = rows.sparkSession.createDataFrame([(g,) for g in more.astype(np.int64).tolist()], "gram long")
+        # Where they aren't among a set's first n-grams, putting them last changes nothing.
+        changed = classes.select(ROW, F.explode("prefix").alias("gram")).join(crowded, "gram", "left_semi").select(ROW).distinct()
+        again = sets(rows.join(changed, ROW, "left_semi"), rule, np.concatenate([common, more])).select(ROW, F.col("prefix").alias("later"))
+        classes = scratch.cut(classes.join(again, ROW, "left").withColumn("prefix", F.coalesce("later", "prefix")).drop("later"), "classes")
+        members = placed(classes)
     # Texts are dealt out by place at every size; sending a small member list around instead would make
     # the plan change, and the shuffle jump, somewhere on the way up.
     texts = rows.select(ROW, "text").hint("merge")
-    members = scratch.cut(pruned(placed, rule, most), "members").join(texts, ROW).select("pivot", "class", "size", "text")
-    roots = scratch.cut(components(links(members, rule, most)), "roots")
+    roots = scratch.cut(components(links(members.join(texts, ROW).select("pivot", "class", "size", "text"), rule, most)), "roots")
     named = classes.select("class", "least_id", *signature).join(roots, classes["class"] == roots["node"], "left").withColumn("root", F.coalesce("root", "class"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     labels = named.join(least, "root").select(*signature, F.col("root").alias("component"), "component_id")
