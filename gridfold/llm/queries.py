@@ -90,4 +90,24 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(hot.k) AS n_dropp
 FROM keyed LEFT JOIN hot ON keyed.k = hot.k GROUP BY rowid_
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": LINE_SQL}
+#: The join by brute force: n-grams as texts, all pairs that share one, and the closure of their links.
+JACCARD_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM docs
+),
+items AS (SELECT r, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM items a JOIN items b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sets p ON p.r = x JOIN sets q ON q.r = y WHERE 100 * c >= 85 * (len(p.s) + len(q.s) - c)
+),
+reach(r, other) AS (SELECT r, r FROM docs UNION SELECT reach.r, links.y FROM reach JOIN links ON links.x = reach.other)
+SELECT any_value(p.doc_id) AS doc_id, any_value(len(p.s)) AS n_shingles, min(q.doc_id) AS component_id
+FROM reach JOIN sets p ON p.r = reach.r JOIN sets q ON q.r = reach.other GROUP BY reach.r
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": JACCARD_SQL, "op9_line_dedup": LINE_SQL}
