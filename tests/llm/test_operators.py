@@ -95,6 +95,16 @@ def test_pii_base_spans_are_exact(spark, docs, none):
     assert pii.detect(docs).count() == len(ROWS) and pii.detect(none).count() == 0
 
 
+def test_pii_of_a_text_with_very_many_spans(spark):
+    text = "mail bob.x@foo.com or call +1 (555) 123-4567 now, (030) 123-4567\n" * 3_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pii.digest(pii.detect(df)).first()
+    assert got["base_sha256"] == hashlib.sha256(",".join(base_spans(text)).encode()).hexdigest() and (got["n_email"], got["n_phone"]) == (3_000, 3_000)
+    places = [x.split(":") for x in got["spans"].split(",")]
+    assert len(places) == got["n_spans"] and all(text[int(a) : int(b)] in ("bob.x@foo.com", "+1 (555) 123-4567", "(030) 123-4567") for _, a, b in places)
+    assert pii.redact(df).first()["text"].startswith("mail [email] or call [phone] now, ")
+
+
 def test_pii_adds_other_spellings_and_leaves_lookalikes(spark):
     found = ["my tel is (030) 123-4567 ok", "write to bob (at) foo (dot) com now", "server 2001:0db8:85a3:0000:0000:8a2e:0370:7334 up"]
     clean = ["score 12-34", "on 2024-05-17 we", "lives at home.yes he", "at 12:30:45 we", "ISBN 978-3-1614-8410-0"]
@@ -173,10 +183,10 @@ def test_fingerprints(docs, none):
 
 
 def test_anchors_are_closed_syncmers_and_local(spark):
-    words_ = [f"w{i * 7919 % 101}" for i in range(300)]
+    words_ = [f"w{i * 7919 % 101}x{i}" for i in range(300)]
     edited = [*words_[:150], "x", "y", *words_[150:]]
     df = spark.createDataFrame([(" ".join(words_), " ".join(edited))], "a string, b string")
-    a, b = df.select(fingerprint.anchors(F.col("a")), fingerprint.anchors(F.col("b"))).first()
+    a, b = ([x >> 32 for x in found] for found in df.select(fingerprint.anchors(F.col("a")), fingerprint.anchors(F.col("b"))).first())
     k = fingerprint.K
     assert 0.3 * len(words_) < len(a) < 0.7 * len(words_)
     assert len(set(a) - set(b)) <= k and len(set(b) - set(a)) <= k + 2
@@ -185,7 +195,7 @@ def test_anchors_are_closed_syncmers_and_local(spark):
 def test_every_text_with_words_has_an_anchor(spark):
     texts = [" ".join(f"t{i}n{n}w{j}" for j in range(n)) for n in range(1, 9) for i in range(40)]
     df = spark.createDataFrame([(t,) for t in texts], "text string").select(fingerprint.anchors(F.col("text")).alias("a"))
-    found = [tuple(r["a"]) for r in df.collect()]
+    found = [tuple(x >> 32 for x in r["a"]) for r in df.collect()]
     assert all(found) and len(set(found)) == len(texts)
 
 
@@ -195,11 +205,38 @@ def test_a_passage_shared_by_long_texts_is_found(spark):
     shared = fresh(50)
     df = spark.createDataFrame([(i, f"{fresh(4_000)} {shared} {fresh(4_000)}") for i in range(2)], "doc_id long, text string")
     both = fingerprint.fingerprint(df).select("fingerprint", fingerprint.anchors(F.col("text")).alias("a")).collect()
-    assert all(x["fingerprint"] == "".join(f"{a & 0xFFFFFFFF:08x}" for a in x["a"]) for x in both)
-    common = set(both[0]["a"]) & set(both[1]["a"])
-    union = set(both[0]["a"]) | set(both[1]["a"])
+    for x in both:
+        digits = [x["fingerprint"][i : i + 9] for i in range(0, len(x["fingerprint"]), 9)]
+        assert [int(d[:8], 16) for d in digits] == [a >> 32 & 0xFFFFFFFF for a in x["a"]]
+        assert (np.cumsum([int(d[8], 16) for d in digits]) - 1).tolist() == [a & 0xFFFFFFFF for a in x["a"]]
+    first, second = ({a >> 32 for a in x["a"]} for x in both)
     got = {x["doc_id"]: x["near_next"] for x in fingerprint.compare_edited(df).collect()}
-    assert len(common) > 10 and got[1] == len(common) / len(union)
+    assert len(first & second) > 10 and abs(got[1] - len(first & second) / len(first | second)) < 1e-12
+
+
+def test_likeness_goes_by_position(spark):
+    r = random.Random(5)
+    passage = [" ".join(f"w{r.randrange(10**9)}" for _ in range(400)) for _ in range(3)]
+    cases = {"same": passage, "swapped": [passage[1], passage[0]], "inserted": [passage[0], passage[2], passage[1]]}
+    base = " ".join(passage[:2])
+    df = spark.createDataFrame([(k, base, base if k == "same" else " ".join(v)) for k, v in cases.items()], "k string, a string, b string")
+    near = lambda x, y: fingerprint.likeness(fingerprint.anchors(F.col(x)), fingerprint.anchors(F.col(y)))
+    got = {x["k"]: (x["n"], x["m"]) for x in df.select("k", near("a", "b").alias("n"), near("b", "a").alias("m")).collect()}
+    assert all(n == m for n, m in got.values())
+    assert got["same"][0] == 1 and got["swapped"][0] < 0.05 and 0.6 < got["inserted"][0] < 0.7
+
+
+def test_one_far_id_and_many_equal_ones_make_no_large_group(spark):
+    ids = [*range(600), *[7] * 500, 1 << 50, -(1 << 63), (1 << 63) - 1, *[None] * 300]
+    df = spark.createDataFrame([(d, f"text {i} " * 9) for i, d in enumerate(ids)], "doc_id long, text string").repartition(3)
+    found = fingerprint.followed(df, 50)
+    assert found.groupBy("range").count().agg(F.max("count")).first()[0] <= 110
+    rows = found.select("doc_id", "text", "next_text").collect()
+    assert Counter(x["text"] for x in rows) == Counter(x["next_text"] for x in rows) == Counter(f"text {i} " * 9 for i in range(len(ids)))
+    text_of = {d: f"text {i} " * 9 for i, d in enumerate(ids) if ids.count(d) == 1}
+    following = {x["doc_id"]: x["next_text"] for x in rows if ids.count(x["doc_id"]) == 1}
+    known = sorted(text_of, reverse=True)
+    assert all(following[a] == text_of[b] for a, b in zip(known, known[1:], strict=False) if not a > 7 > b)
 
 
 # --- 4
@@ -335,6 +372,11 @@ def test_components_of_a_chain(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_components_do_not_stop_halfway(spark):
+    with pytest.raises(RuntimeError, match="settle"):
+        components(spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long"), most=2)
+
+
 # --- 5
 
 
@@ -360,6 +402,30 @@ def test_ann(spark):
     assert ann.search(df.where("false"), F.col("vec_id") % 50 == 0).count() == 0
     few = ann.search(df.where("vec_id < 4"), F.col("vec_id") == 0).collect()
     assert sorted(g["vec_id"] for g in few) == [1, 2, 3]
+    assert Counter(map(tuple, got)) == Counter(map(tuple, ann.search(df, F.col("vec_id") % 50 == 0, cell_rows=64, cell_asks=3).collect()))
+
+
+def test_ann_searches_each_length(spark):
+    rows = [(i, [float(i), 1.0] if i % 3 else [float(i), 1.0, 2.0]) for i in range(40)] + [(99, [])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 2, k=3).collect()
+    assert {(g["query_id"], g["rank"]): g["vec_id"] for g in got} == {(0, 1): 3, (0, 2): 6, (0, 3): 9, (1, 1): 2, (1, 2): 4, (1, 3): 5}
+
+
+def test_ann_leaves_grow_and_recall_holds(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    r = np.random.default_rng(0)
+    x = (r.standard_normal((300, 24))[r.integers(0, 300, 50_000)] + 0.6 * r.standard_normal((50_000, 24))).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 24).cast(pa.list_(pa.float32()))}), tmp_path / "v.parquet")
+    got = ann.search(spark.read.parquet(str(tmp_path / "v.parquet")), F.col("vec_id") % 500 == 0, sample_rows=10_000).collect()
+    found = Counter()
+    for q in range(0, len(x), 500):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        found[q] = len({g["vec_id"] for g in got if g["query_id"] == q} & set(np.argpartition(d, 10)[:10].tolist()))
+    assert sum(found.values()) >= 0.9 * 10 * len(found)
+    assert ann.sample_size(10**9) > 8 * ann.sample_size(10**6)
 
 
 # --- 6
@@ -381,6 +447,18 @@ def test_mixing_meets_targets_over_many_blocks(spark, monkeypatch):
         assert abs(g["t"] - g["w"]) < 0.001 * g["w"] and abs(g["n"] - g["docs"] * g["w"] / g["s"]) < 8
 
 
+def test_mixing_takes_rows_in_their_own_order():
+    """Blocks and the landing come out the same however rows arrive, ties and null ids included."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(9)
+    size = r.integers(0, 4, 200)
+    table_ = pa.table({"doc_id": pa.array([None if i % 5 == 0 else i // 2 for i in range(200)], pa.int64()), "size": size, "gf_row": [f"f#{i}" for i in range(200)], "mix_rank": size % 3, "mix_p": r.random(200)})
+    keep = ["doc_id", "size", "gf_row"]
+    one, two = (dict(zip(t["gf_row"].to_pylist(), t["mix_p"].to_pylist(), strict=True)) for t in (mixing.settle(table_.take(r.permutation(200)), keep, ("s", "1"), 0) for _ in range(2)))
+    assert one == two
+
+
 def test_targets_are_capped_and_reshared():
     assert mixing.targets({"a": 100, "b": 10, None: 10}, (1, 2, 3)) == {"a": 60.0, "b": 30.0, None: 30.0}
     assert mixing.targets({"a": 0}, (1,)) == {"a": 0.0} and mixing.targets({}, (1,)) == {}
@@ -409,6 +487,20 @@ def test_language_id(docs, none):
     assert {g["lang_pred"] for g in langid.predict(docs, langid.fit(none)).collect()} == {"und"}
 
 
+def test_language_id_learns_from_whole_texts(spark):
+    """What tells the languages apart stands behind 20,000 like characters."""
+    rows = [(i, "same words here " * 1_250 + ("zqx zqqx " if i % 2 else "abba bab ") * 400, "xx" if i % 2 else "yy") for i in range(6)]
+    trees = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    new = spark.createDataFrame([(0, "zqx zqqx zqx"), (1, "bab abba bab")], "doc_id long, text string")
+    assert {g["doc_id"]: g["lang_pred"] for g in langid.predict(new, trees).collect()} == {0: "xx", 1: "yy"}
+
+
+def test_language_samples_are_bounded_and_of_different_texts(spark):
+    rows = [(i, "the same text" if i % 3 else f"text number {i}", "a" if i % 2 else "b") for i in range(4_000)]
+    got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), F.lit(True), 20).collect()
+    assert len({tuple(x) for x in got}) == len(got) and all(15 <= n <= 20 for n in Counter(x["lang"] for x in got).values())
+
+
 def test_code_lengths_are_those_of_the_trees():
     text = {"a": b"abracadabra abracadabra", "b": b"banana bandana band"}
     trees = langid.learn(text)
@@ -456,9 +548,22 @@ def test_lm_counts_and_base(docs, none):
 def test_lm_probabilities_sum_to_one():
     r = np.random.default_rng(1)
     first, second, bias, target = (r.standard_normal(s) for s in ((9, 4), (9, 4), 9, (9, 4)))
-    model = lm.Model(np.arange(7), np.arange(7), first, second, bias, target, 0.0)
-    near, far, norm = model.tables()
-    assert np.allclose(np.exp(near[:, None, :] + far[None, :, :] - norm[:, :, None]).sum(2), 1, atol=1e-4)
+    contexts = lm.contexts_of(7)
+    model = lm.Model(np.arange(7), np.arange(7), contexts, first, second, bias, target, lm.normalisers(first, second, bias, target, block=4), 0.0)
+    u, v, w = (x.ravel() for x in np.meshgrid(*[np.arange(9)] * 3, indexing="ij"))
+    assert np.allclose(np.exp(model.log_probability(w, u, v)).reshape(9, 9, 9).sum(2), 1, atol=1e-9)
+
+
+def test_lm_vocabulary_grows_and_rare_words_share_contexts():
+    assert lm.vocabulary_of(10**5) == lm.LEAST_WORDS and lm.vocabulary_of(10**12) > 10 * lm.vocabulary_of(10**9) > 100 * lm.LEAST_WORDS / 10
+    contexts = lm.contexts_of(9_000)
+    assert contexts[: lm.CONTEXTS].tolist() == list(range(lm.CONTEXTS)) and (np.diff(contexts) >= 0).all() and contexts[-1] < lm.CONTEXTS + 20
+    assert lm.contexts_of(0).tolist() == [0, 1] and lm.contexts_of(3).tolist() == [0, 1, 2, 3, 4]
+
+
+def test_lm_without_training_rows(spark, docs):
+    got = lm.score(docs, F.lit(False)).collect()
+    assert len(got) == len(ROWS) and all(math.isfinite(g["score"]) and g["score"] <= 0 and g["train_tokens"] == g["n_known"] == 0 for g in got)
 
 
 def test_lm_learns_what_follows():
@@ -467,10 +572,9 @@ def test_lm_learns_what_follows():
     for i in range(1, len(ids)):  # each token is followed by the next one, nine times in ten
         ids[i] = (ids[i - 1] + 1) % 8 if r.random() < 0.9 else r.integers(8)
     counts = np.append(np.bincount(ids, minlength=8), [1, 1]).astype(float)
-    model = lm.Model(np.arange(8), np.arange(9), *(x for x in lm.train(ids, np.zeros(len(ids), bool), counts, dim=8, noise=16, batch=64)), 0.0)
-    near, far, norm = model.tables()
-    u, v, w = ids[1:-1], ids[:-2], ids[2:]
-    assert (near[u, w] + far[v, w] - norm[u, v]).mean() > np.log(1 / 8) + 0.8
+    learnt = lm.train(ids, np.zeros(len(ids), bool), counts, dim=8, noise=16, batch=64)
+    model = lm.Model(np.arange(8), np.arange(9), lm.contexts_of(8), *learnt, lm.normalisers(*learnt), 0.0)
+    assert model.log_probability(ids[2:], ids[1:-1], ids[:-2]).mean() > np.log(1 / 8) + 0.8
 
 
 def test_lm_learns_from_every_token(spark, monkeypatch):
@@ -484,16 +588,16 @@ def test_lm_learns_from_every_token(spark, monkeypatch):
     assert seen[-1] == counts.tokens == sum(len(t.split()) + 1 for t in texts)
     rows = (trainer := lm.Trainer(np.ones(9))).rows()
     trainer.set_rows(rows)
-    assert np.array_equal(trainer.rows(), rows)
+    assert trainer.rows() == rows
 
 
 def test_lm_learns_past_a_long_texts_start(spark):
     """What follows "past" stands only beyond a text's first 16,384 characters."""
     df = spark.createDataFrame([(i, "far away " * 2_000 + "past cut " * 2_000) for i in range(4)], "doc_id long, text string")
     model = lm.fit(df, F.lit(True), lm.head_of(lm.count(df, F.lit(True)), 100))
-    far, away, past, cut = (int(model.classes[list(model.keys).index(int(lm._batch_tokens(lm.pa.RecordBatch.from_arrays([lm.pa.array([w])], names=["text"]))[0][0]))]) for w in ("far", "away", "past", "cut"))
-    near, second, norm = model.tables()
-    logp = lambda w: near[past, w] + second[cut, w] - norm[past, cut]
+    class_of = lambda w: int(model.classes[list(model.keys).index(int(lm._batch_tokens(lm.pa.RecordBatch.from_arrays([lm.pa.array([w])], names=["text"]))[0][0]))])
+    far, away, past, cut = map(class_of, ("far", "away", "past", "cut"))
+    logp = lambda w: model.log_probability(np.array([w]), np.array([past]), np.array([cut]))[0]
     assert logp(cut) > max(logp(w) for w in (far, away, past))
 
 
@@ -511,11 +615,39 @@ def test_line_dedup(spark, docs, none, tmp_path):
         want[(d, len(every), len(every) - len(kept), "\n".join(kept))] += 1
     assert max(seen.values()) >= 10
     for table_ in (docs, spark.read.parquet(str(tmp_path / "d"))):
-        got = linededup.clean(table_, fan=2).select("doc_id", "n_lines", "n_dropped", "kept").collect()
-        assert Counter(map(tuple, got)) == want
+        for batches in (1, 7):
+            got = linededup.clean(table_, batches=batches).select("doc_id", "n_lines", "n_dropped", "kept").collect()
+            assert Counter(map(tuple, got)) == want
     assert linededup.clean(none).count() == 0
 
 
+def test_line_runs_are_joined_and_compacted(spark):
+    """A settled key is counted no further; runs become levels; merges and joins shuffle no run."""
+    batch = lambda *lines: spark.createDataFrame([(x,) for x in lines], "line long")
+    runs = linededup.LineRuns(spark, 3)
+    runs.add(batch(1, 1, 1, 2, 3))
+    with linededup._sorted_buckets(spark):
+        counts = batch(1, 2, 4).groupBy("line").agg(F.count("*").alias("docs"))
+        shape = lambda df: re.findall(r"Sort \[|Exchange |SortMergeJoin", df._jdf.queryExecution().executedPlan().toString())
+        left = runs.unsettled(counts)
+        assert shape(left).count("Exchange ") == 1 and "SortMergeJoin" in shape(left)
+        assert sorted(r["line"] for r in left.collect()) == [2, 4]
+        assert shape(runs._merged(runs.levels[0], runs.levels[0])) == ["SortMergeJoin"]
+    for lines in ((1, 2, 4), (2, 5), (1, 5, 5)):
+        runs.add(batch(*lines))
+    assert [bool(x) for x in runs.levels] == [False, False, True]
+    assert {r["line"]: r["docs"] for r in runs.runs[0].collect()} == {1: 3, 2: 3, 3: 1, 4: 1, 5: 3}
+    assert sorted(r["line"] for r in runs.frequent().collect()) == [1, 2, 5]
+    runs.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("gf_lines_")]
+
+
+def test_a_text_of_many_frequent_lines(spark):
+    texts = ["\n".join(f"line {i}" for i in range(3_000)) for _ in range(10)] + ["line 1\nown"]
+    got = linededup.clean(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "n_dropped", "kept").collect()
+    assert {tuple(r) for r in got} == {*((i, 3_000, "") for i in range(10)), (10, 1, "own")}
+
+
 # --- 10
 
 
