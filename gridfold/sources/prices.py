@@ -19,23 +19,29 @@ COLUMNS = {"trades": (4, 1), "aggTrades": (5, 1), "klines": (0, 4), "markPriceKl
 MICROS_FROM = 1_735_689_600_000_000
 
 
-def unzip(content: bytes, most: int) -> bytes:
-    """The only member of an archive, if its name is plain and its size within the cap."""
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [m for m in archive.infolist() if not m.is_dir()]
-        if len(members) != 1:
-            raise ValueError("archive must contain exactly one file")
-        if members[0].file_size > most:
-            raise ValueError("archive exceeds decompression cap")
-        if "/" in members[0].filename or "\\" in members[0].filename:
-            raise ValueError("unsafe archive member")
-        return archive.read(members[0])
+def csv_of(content: bytes, most: int) -> bytes:
+    """The one file of an archive. It may not name a folder, and not hold more bytes than ``most``, whatever
+    the archive says of its size."""
+    archive = zipfile.ZipFile(io.BytesIO(content))
+    names = [name for name in archive.namelist() if not name.endswith("/")]
+    if len(names) != 1 or set(names[0]) & set("/\\"):
+        raise ValueError(f"a price archive holds one plain file, not {names[:3]}")
+    with archive.open(names[0]) as file:
+        text = file.read(most + 1)
+    if len(text) > most:
+        raise ValueError(f"a price archive unpacks to more than {most} bytes")
+    return text
 
 
 def read_zips(spark: SparkSession, path: str, asset: str, kind: str, sha256: str | None = None, most: int = 1 << 30) -> DataFrame:
     """The table ``underlying`` from zipped CSV files. Lines whose first field isn't a number are headers."""
+    return from_archives(spark.read.format("binaryFile").load(path).select("path", "content"), asset, kind, sha256, most)
+
+
+def from_archives(files: DataFrame, asset: str, kind: str, sha256: str | None = None, most: int = 1 << 30) -> DataFrame:
+    """The same from path and content of the archives."""
     if kind not in COLUMNS:
-        raise ValueError(f"unsupported kind {kind}")
+        raise ValueError(f"no such kind of prices: {kind}")
     time, value = COLUMNS[kind]
     symbol, instrument = SYMBOLS[asset]
 
@@ -44,17 +50,16 @@ def read_zips(spark: SparkSession, path: str, asset: str, kind: str, sha256: str
             for where, content in zip(pdf["path"], pdf["content"], strict=True):
                 digest = hashlib.sha256(content).hexdigest()
                 if sha256 is not None and digest != sha256.lower():
-                    raise ValueError("source checksum mismatch")
-                rows = [x.split(",") for x in unzip(content, most).decode().splitlines()]
+                    raise ValueError(f"the checksum of {where} is {digest}")
+                rows = [x.split(",") for x in csv_of(content, most).decode().splitlines()]
                 good = [x for x in rows if x and x[0].strip().replace(".", "", 1).isdigit()]
                 yield pd.DataFrame({"t": [x[time] for x in good], "v": [x[value] for x in good], "path": where, "sha": digest}, dtype=object)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
     raw = files.mapInPandas(run, "t string, v string, path string, sha string")
     t = F.col("t").try_cast("long")
     ns = F.when(F.lit(asset == "HYPE") | (t < MICROS_FROM), t * 1_000_000).otherwise(t * 1_000)
     v = F.col("v").try_cast("decimal(24,8)")
-    checked = F.when(v > 0, v).otherwise(F.raise_error(F.lit("price must be finite and positive")))
+    checked = F.when(v > 0, v).otherwise(F.raise_error(F.lit("a price is no positive number")))
     return raw.select(
         F.lit(asset).alias("asset"), F.lit("binance").alias("venue"), F.lit(instrument).alias("instrument_type"), F.lit(symbol).alias("symbol"),
         F.lit(kind).alias("observation_kind"), ns.alias("source_ts_ns"), F.lit(None).cast("long").alias("receive_ts_ns"), checked.alias("value"),
