@@ -2,96 +2,114 @@
 
 Snapshots replace both sides, increments set or remove one price, and at the end of each batch of equal
 receive times the book is held against the best prices that the event claims. The state is a map that
-each event changes, so this one operator runs grouped Python (Arrow in and out), on prices and sizes scaled to integers.
-A group is one token of one market and hour. Errors come back as rows: one bad market excludes itself
-and doesn't end the job.
+each event changes, so this one operator runs grouped Python (Arrow in and out), on columns of prices and
+sizes scaled to integers. A group is one token of one market and hour. Errors come back as rows: one bad
+market excludes itself and doesn't end the job.
 
 With ``grid`` only states that some grid point shows are emitted (the last one before each next grid
-point); all batches are validated all the same.
+point), and only these are sorted; all batches are validated all the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRICE_UNIT, SIZE_UNIT = 10_000, 1_000_000
 _LEVELS = "array<struct<p:bigint,s:bigint>>"
 OUT = f"condition_id string, token_id string, source_ts_ns bigint, receive_ts_ns bigint, sequence bigint, bids {_LEVELS}, asks {_LEVELS}, error_kind string, error string"
+#: The kinds of exclusions, and how the published table of exclusions words a conflict.
+NO_SNAPSHOT, CONFLICT = "NO_INITIAL_SNAPSHOT", "EVENT_CONFLICT"
+CROSSED = "crossed or locked book:"
+BEST = "best {side} disagrees: reconstructed={ours}, claimed={claimed};"
+TICKS = "tick-size chain is inconsistent:"
+UNANCHORED = "token has no initial snapshot: {token}"
+WHERE = ("receive_ts_ns", "source_ts_ns", "token_id", "source_object", "source_row")
+#: Claims that a side is empty.
+NO_BID, NO_ASK = 0, PRICE_UNIT
 
+Levels = dict[int, int]
 
-def _text(price: int | None) -> str:
-    return "None" if price is None else f"{price // PRICE_UNIT}.{price % PRICE_UNIT:04d}".rstrip("0").ljust(4, "0")
 
+class Conflict(Exception):
+    """An event that contradicts the book; its position."""
+
+    def __init__(self, at: int, what: str) -> None:
+        super().__init__(what)
+        self.at = at
 
-class Book:
-    """Both sides of one token's book, by price."""
 
-    def __init__(self) -> None:
-        self.bids: dict[int, int] | None = None
-        self.asks: dict[int, int] | None = None
-        self.tick: int | None = None
+def _spelled(price: int | None) -> str:
+    return "None" if price is None else f"{price // PRICE_UNIT}.{price % PRICE_UNIT:04d}".rstrip("0").ljust(4, "0")
 
-    def best(self) -> tuple[int | None, int | None]:
-        return (max(self.bids) if self.bids else None, min(self.asks) if self.asks else None)
 
-    def apply(self, e: dict[str, Any]) -> bool:
-        """Take one event in; whether it leaves a state. Raises Conflict."""
-        kind = e["event_type"]
-        if kind == "BOOK":
-            self.bids, self.asks = dict(e["bids"]), dict(e["asks"])
-            return True
-        if kind == "LAST_TRADE_PRICE" or self.bids is None or self.asks is None:
-            return False
+def within_claims(bids: Levels, asks: Levels, bid: int | None, ask: int | None) -> tuple[Levels, Levels]:
+    """Both sides without the levels that lie beyond the claimed best prices."""
+    if bid is not None and bids and (bid == NO_BID or max(bids) > bid):
+        bids = {} if bid == NO_BID else {p: s for p, s in bids.items() if p <= bid}
+    if ask is not None and asks and (ask == NO_ASK or min(asks) < ask):
+        asks = {} if ask == NO_ASK else {p: s for p, s in asks.items() if p >= ask}
+    return bids, asks
+
+
+def conflict(bids: Levels, asks: Levels, bid: int | None, ask: int | None) -> str | None:
+    """What is wrong with a book, given the claimed best prices."""
+    top, low = max(bids, default=None), min(asks, default=None)
+    if top is not None and low is not None and top >= low:
+        return CROSSED
+    for side, ours, claimed, none in (("bid", top, bid, NO_BID), ("ask", low, ask, NO_ASK)):
+        if claimed is not None and ours != (None if claimed == none else claimed):
+            return BEST.format(side=side, ours=_spelled(ours), claimed=_spelled(claimed))
+    return None
+
+
+def shown(leaves: np.ndarray, receive: np.ndarray, grid: int | None) -> np.ndarray:
+    """Of positions that leave a state, those whose state some grid point shows."""
+    if not grid or not len(leaves):
+        return leaves
+    cell = -(-receive[leaves] // grid)
+    return leaves[np.append(cell[1:] != cell[:-1], True)]
+
+
+def fold(e: dict[str, list], receive: np.ndarray, grid: int | None = None) -> list[tuple[int, list, list]]:
+    """position, bids (best first), asks (best first) of the states to be shown. e: columns of ordered events.
+
+    Raises Conflict."""
+    kinds, n = e["event_type"], len(receive)
+    first = next((i for i in range(n) if kinds[i] == "BOOK"), n)
+    # Events before the first snapshot count for nothing, and trades never leave a state.
+    leaves = np.array([i for i in range(first, n) if kinds[i] != "LAST_TRADE_PRICE"], np.int64)
+    emit = set(shown(leaves, receive, grid).tolist())
+    ends = np.append(receive[1:] != receive[:-1], True)
+    bids: Levels = {}
+    asks: Levels = {}
+    tick, out = None, []
+    side, price, size, best_bid, best_ask = (e[c] for c in ("side", "price", "size", "best_bid", "best_ask"))
+    for i in leaves.tolist():
+        kind = kinds[i]
         if kind == "PRICE_CHANGE":
-            side = self.bids if e["side"] == "BUY" else self.asks
-            if e["size"]:
-                side[e["price"]] = e["size"]
+            levels = bids if side[i] == "BUY" else asks
+            if size[i]:
+                levels[price[i]] = size[i]
             else:
-                side.pop(e["price"], None)
-            return True
-        if self.tick is not None and e["old_tick_size"] != self.tick:
-            raise Conflict("tick-size chain is inconsistent", e)
-        self.tick = e["new_tick_size"]
-        return True
-
-    def close(self, e: dict[str, Any]) -> None:
-        """The end of a batch: prune what the claimed best prices rule out, then compare with them."""
-        bid, ask = e["best_bid"], e["best_ask"]
-        if e["event_type"] == "PRICE_CHANGE":
-            if bid is not None:
-                self.bids = {p: s for p, s in self.bids.items() if p <= bid} if bid else {}
-            if ask is not None:
-                self.asks = {p: s for p, s in self.asks.items() if p >= ask} if ask != PRICE_UNIT else {}
-        top, low = self.best()
-        if top is not None and low is not None and top >= low:
-            raise Conflict("crossed or locked book", e)
-        if bid is not None and top != (bid or None):
-            raise Conflict(f"best bid disagrees: reconstructed={_text(top)}, claimed={_text(bid)};", e)
-        if ask is not None and low != (ask if ask != PRICE_UNIT else None):
-            raise Conflict(f"best ask disagrees: reconstructed={_text(low)}, claimed={_text(ask)};", e)
-
-
-class Conflict(Exception):
-    def __init__(self, what: str, e: dict[str, Any]) -> None:
-        context = ", ".join(f"{k}={e[k]}" for k in ("receive_ts_ns", "source_ts_ns", "token_id", "source_object", "source_row"))
-        super().__init__(f"{what}{'' if what.endswith(';') else ':'} {context}")
-
-
-def fold(events: list[dict[str, Any]]) -> Iterator[tuple[dict[str, Any], list, list]]:
-    """event, bids (best first), asks (best first) after each event that leaves a state."""
-    book = Book()
-    for i, e in enumerate(events):
-        if not book.apply(e):
-            continue
-        if i + 1 == len(events) or events[i + 1]["receive_ts_ns"] != e["receive_ts_ns"]:
-            book.close(e)
-        yield e, sorted(book.bids.items(), reverse=True), sorted(book.asks.items())
+                levels.pop(price[i], None)
+        elif kind == "BOOK":
+            bids, asks = ({x["p"]: x["s"] for x in e[c][i]} for c in ("bids", "asks"))
+        else:
+            if tick is not None and tick != e["old_tick_size"][i]:
+                raise Conflict(i, TICKS)
+            tick = e["new_tick_size"][i]
+        if ends[i]:
+            if kind == "PRICE_CHANGE":
+                bids, asks = within_claims(bids, asks, best_bid[i], best_ask[i])
+            if wrong := conflict(bids, asks, best_bid[i], best_ask[i]):
+                raise Conflict(i, wrong)
+        if i in emit:
+            out.append((i, sorted(bids.items(), reverse=True), sorted(asks.items())))
+    return out
 
 
 def _arrow() -> pa.Schema:
@@ -120,38 +138,48 @@ def _scaled(events: DataFrame) -> DataFrame:
     )
 
 
-def reconstruct(events: DataFrame, grid: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """states and errors (condition_id, token_id, error_kind, error) of ordered events."""
+STATE = ("event_type", "side", "bids", "asks", "price", "size", "best_bid", "best_ask", "old_tick_size", "new_tick_size")
+
+
+def rebuilt(events: DataFrame, grid: int | None = None) -> DataFrame:
+    """States, and for a token that has none the reason: one row each, told apart by ``error_kind``."""
+
     def run(key: tuple, group: pa.Table) -> pa.Table:
         condition, token = (k.as_py() for k in key)
-        rows = group.sort_by("sequence").to_pylist()
-        for e in rows:
-            if e["event_type"] == "BOOK":
-                e["bids"], e["asks"] = ([(x["p"], x["s"]) for x in e[side]] for side in ("bids", "asks"))
-        out: list[tuple] = []
-        kind = error = None
+        rows = group.sort_by("sequence")
         try:
-            for e, bids, asks in fold(rows):
-                if grid and out and -(-out[-1][1] // grid) == -(-e["receive_ts_ns"] // grid):
-                    out.pop()  # no grid point stands between the two
-                out.append((e["source_ts_ns"], e["receive_ts_ns"], e["sequence"], bids, asks))
-            if not out:
-                kind, error = "NO_INITIAL_SNAPSHOT", f"token has no initial snapshot: {token}"
+            found = fold({c: rows[c].to_pylist() for c in STATE}, rows["receive_ts_ns"].to_numpy(), grid)
+            kind, error = (None, None) if found else (NO_SNAPSHOT, UNANCHORED.format(token=token))
         except Conflict as x:
-            kind, error = "EVENT_CONFLICT", str(x)
+            place = ", ".join(f"{c}={rows[c][x.at].as_py()}" for c in WHERE)
+            kind, error = CONFLICT, f"{x} {place}"
         if kind:
             return pa.table([[condition], [token], [None], [None], [None], [None], [None], [kind], [error]], schema=_arrow())
-        n = len(out)
-        times = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
-        none = pa.nulls(n, pa.string())
-        return pa.Table.from_arrays([pa.array([condition] * n), pa.array([token] * n), *times, _levels([x[3] for x in out]), _levels([x[4] for x in out]), none, none], schema=_arrow())
+        at = pa.array([x[0] for x in found], pa.int64())
+        times = [pc.take(rows[c], at).combine_chunks() for c in ("source_ts_ns", "receive_ts_ns", "sequence")]
+        none = pa.nulls(len(at), pa.string())
+        return pa.Table.from_arrays([pa.array([condition] * len(at)), pa.array([token] * len(at)), *times, _levels([x[1] for x in found]), _levels([x[2] for x in found]), none, none], schema=_arrow())
+
+    return _scaled(events).groupBy("condition_id", "token_id").applyInArrow(run, OUT)
+
 
-    folded = _scaled(events).groupBy("condition_id", "token_id").applyInArrow(run, OUT)
+def states_of(rows: DataFrame) -> DataFrame:
+    """The states among what ``rebuilt`` gives, in decimals."""
     level = lambda x: F.struct((x["p"].cast("decimal(19,0)") / PRICE_UNIT).cast("decimal(9,4)").alias("price"), (x["s"].cast("decimal(19,0)") / SIZE_UNIT).cast("decimal(18,6)").alias("size"))
-    states = folded.where("error_kind IS NULL").select(
+    return rows.where("error_kind IS NULL").select(
         "condition_id", "token_id", "source_ts_ns", "receive_ts_ns", "sequence", F.transform("bids", level).alias("bids"), F.transform("asks", level).alias("asks")
     )
-    return states, folded.where("error_kind IS NOT NULL").select("condition_id", "token_id", "error_kind", "error")
 
 
-__all__ = ["Book", "Conflict", "fold", "reconstruct"]
+def errors_of(rows: DataFrame) -> DataFrame:
+    """condition_id, token_id, error_kind, error."""
+    return rows.where("error_kind IS NOT NULL").select("condition_id", "token_id", "error_kind", "error")
+
+
+def reconstruct(events: DataFrame, grid: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """States and errors of ordered events. Either plan runs the fold; keep ``rebuilt`` where both are read."""
+    rows = rebuilt(events, grid)
+    return states_of(rows), errors_of(rows)
+
+
+__all__ = ["Conflict", "errors_of", "fold", "rebuilt", "reconstruct", "states_of"]
