@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gridfold.functions.values import canonical_json
+
 ZONE = "America/New_York"
 #: How assets are named in slugs and in rules, and their pairs' pages.
 SLUG_NAMES = {"BTC": "bitcoin", "ETH": "ethereum", "SOL": "solana", "XRP": "xrp", "DOGE": "dogecoin", "BNB": "bnb", "HYPE": "hype"}
@@ -17,10 +19,17 @@ RULE_NAMES = {
     "BNB": ("bnb", "binance coin"),
     "HYPE": ("hype", "hyperliquid"),
 }
-SLUG = r"^(bitcoin|ethereum|solana|xrp|dogecoin|bnb|hype)-up-or-down-([a-z]+)-([0-9]{1,2})-([0-9]{4})-([0-9]{1,2})(am|pm)-et$"
+#: The forms of condition ids and of the pages that settle markets.
 CONDITION = r"^0x[0-9a-f]{64}$"
 SPOT_PAGE = r"^https://www\.binance\.com/en/trade/(BTC|ETH|SOL|XRP|DOGE|BNB)_USDT$"
 FUTURES_PAGE = "https://www.binance.com/en/futures/HYPEUSDT"
+#: What the rules must mention beside the asset, and the fields that say what a market is.
+PAIR_SUFFIX, CANDLE, EXCHANGE = "/usdt", "1 hour candle", "binance"
+AUTHORITY = (
+    "asset", "venue", "timeframe", "event_id", "market_id", "condition_id", "token_up", "token_down", "market_start_ns", "market_end_ns",
+    "rules_text_sha256", "resolution_source_url", "official_outcome", "official_resolution_ts_ns",
+)
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
 
 def _lookup(key: Column, pairs: dict[str, str]) -> Column:
@@ -33,22 +42,38 @@ def _lookup(key: Column, pairs: dict[str, str]) -> Column:
 def hourly_slug(asset: Column, start: Column) -> Column:
     """The slug of an asset's market that starts at a UTC timestamp; null off the hour."""
     local = F.from_utc_timestamp(start, ZONE)
-    text = F.concat(_lookup(asset, SLUG_NAMES), F.lit("-up-or-down-"), F.lower(F.date_format(local, "MMMM-d-yyyy-ha")), F.lit("-et"))
-    return F.when(F.date_trunc("hour", start) == start, text)
+    hour = F.hour(local)
+    clock = F.concat((F.pmod(hour - 1, F.lit(12)) + 1).cast("string"), F.when(hour < 12, "am").otherwise("pm"))
+    month = F.get(F.array(*map(F.lit, MONTHS)), F.month(local) - 1)
+    text = F.concat_ws("-", _lookup(asset, SLUG_NAMES), F.lit("up-or-down"), month, F.dayofmonth(local).cast("string"), F.year(local).cast("string"), clock, F.lit("et"))
+    return F.when((F.date_trunc("hour", start) == start) & asset.isin(*SLUG_NAMES), text)
+
+
+def _parts(slug: Column) -> Column:
+    """asset, up, or, down, month, day, year, hour, et."""
+    return F.split(slug, "-", -1)
 
 
 def slug_asset(slug: Column) -> Column:
-    return F.when(slug.rlike(SLUG), _lookup(F.regexp_extract(slug, SLUG, 1), {v: k for k, v in SLUG_NAMES.items()}))
+    return F.when(slug_start(slug).isNotNull(), _lookup(F.get(_parts(slug), 0), {v: k for k, v in SLUG_NAMES.items()}))
 
 
 def slug_start(slug: Column) -> Column:
-    """The UTC timestamp that a canonical slug names; null for any other text."""
-    part = lambda i: F.regexp_extract(slug, SLUG, i)
-    month = F.initcap(part(2))
-    text = F.concat_ws(" ", month, part(3), part(4), F.concat(part(5), F.upper(part(6))))
-    local = F.when(slug.rlike(SLUG), F.try_to_timestamp(text, F.lit("MMMM d yyyy ha")))
-    start = F.to_utc_timestamp(local, ZONE)
-    return F.when(hourly_slug(slug_asset(slug), start) == slug, start)
+    """The UTC timestamp that a canonical slug names; null for any other text.
+
+    The parts are read without checks; a slug is canonical if what was read spells it again."""
+
+    def read(part: Column) -> Column:
+        number = lambda i: F.get(part, i).try_cast("int")
+        clock = F.get(part, 7)
+        hour = F.left(clock, F.length(clock) - 2).try_cast("int") % 12 + F.when(F.right(clock, F.lit(2)) == "pm", 12).otherwise(0)
+        month = F.array_position(F.array(*map(F.lit, MONTHS)), F.get(part, 4)).cast("int")
+        local = F.try_make_timestamp(number(6), month, number(5), hour, F.lit(0), F.lit(0))
+        return F.to_utc_timestamp(local, ZONE)
+
+    start = F.get(F.transform(F.array(_parts(slug)), read), 0)
+    asset = _lookup(F.get(_parts(slug), 0), {v: k for k, v in SLUG_NAMES.items()})
+    return F.get(F.filter(F.array(start), lambda s: hourly_slug(asset, s) == slug), 0)
 
 
 def outcome(prices: Column) -> Column:
@@ -62,9 +87,14 @@ def bound_source(asset: Column, rules: Column, url: Column) -> Column:
     """The page of the hourly candle that the rules name, or null if they don't bind it."""
     page = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), "/+$", "")
     low = F.lower(rules)
-    named = F.lit(False)
+    spelled = F.lit(False)
     for a, names in RULE_NAMES.items():
-        named = named | ((asset == a) & low.rlike(r"(?<![a-z0-9])(" + "|".join(names) + r")(?![a-z0-9])"))
-    right_page = (F.regexp_extract(page, SPOT_PAGE, 1) == asset) | ((asset == "HYPE") & (page == FUTURES_PAGE))
-    fits = right_page & named & low.contains(F.concat(F.lower(asset), F.lit("/usdt"))) & low.contains("1 hour candle") & low.contains("binance")
-    return F.when(fits, page)
+        spelled = spelled | ((asset == a) & low.rlike(r"(?<![a-z0-9])(" + "|".join(names) + r")(?![a-z0-9])"))
+    of_asset = F.when(asset == "HYPE", page == FUTURES_PAGE).otherwise(F.regexp_extract(page, SPOT_PAGE, 1) == asset)
+    mentions = low.contains(F.concat(F.lower(asset), F.lit(PAIR_SUFFIX))) & low.contains(CANDLE) & low.contains(EXCHANGE)
+    return F.when(of_asset & spelled & mentions, page)
+
+
+def authority(market: dict[str, Column]) -> Column:
+    """What a market is, as canonical JSON: its digest tells whether two sources mean the same one."""
+    return canonical_json(**{name: market[name] for name in AUTHORITY})

@@ -18,6 +18,11 @@ def iso_to_ns(text: Column) -> Column:
     return F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), F.unix_micros(F.try_to_timestamp(text)) * 1_000)
 
 
+def utc_to_ns(text: Column) -> Column:
+    """ISO text in UTC itself (Z, or an offset of nothing); any other text is null."""
+    return F.when(text.rlike(r"(Z|[+-]00:?00)$"), iso_to_ns(text))
+
+
 def ns_to_iso(ns: Column) -> Column:
     at = F.timestamp_micros(((ns - F.pmod(ns, F.lit(UNITS["s"]))) / 1_000).cast("long"))
     return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), F.lpad(F.pmod(ns, F.lit(UNITS["s"])).cast("string"), 9, "0"), F.lit("Z"))

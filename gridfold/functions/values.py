@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridfold.schemas import LEVELS, PRICE, SIZE
 
@@ -20,28 +23,50 @@ def lossless(value: Column, kind: str) -> Column:
     return F.coalesce(value.try_cast("decimal(38,18)") == value.try_cast(kind), F.lit(False))
 
 
-def levels(text: Column, side: str) -> tuple[Column, Column]:
-    """Depth from JSON, either [["p","s"], ...] or [{"price": p, "size": s}, ...]: levels and an error text.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` as it is, with a plan that later expressions only name its columns of: else the optimizer would
+    write out wide expressions again wherever their columns are used."""
+    return df.select(F.explode(F.array(F.struct(*[F.col(c) for c in df.columns]))).alias("gf_row")).select("gf_row.*")
+
+
+def parsed_levels(text: Column, side: str) -> Column:
+    """Depth from JSON, either [["p","s"], ...] or [{"price": p, "size": s}, ...]: a struct of levels and error.
 
     Best price first. Exactly one of the two is null."""
-    pairs = F.from_json(text, "array<array<string>>")
-    objects = F.from_json(text, "array<struct<price:string,size:string>>")
-    from_pairs = F.transform(pairs, lambda x: F.struct(F.get(x, 0).alias("price"), F.get(x, 1).alias("size")))
-    is_pairs = text.rlike(r"^\s*\[\s*(\[|\])")
-    raw = F.when(is_pairs, from_pairs).otherwise(objects)
-    typed = F.transform(raw, lambda x: F.struct(decimal(x["price"], PRICE).alias("price"), decimal(x["size"], SIZE).alias("size")))
     sign = -1 if side == "bids" else 1
     order = lambda a, b: F.when(a["price"] < b["price"], -sign).when(a["price"] > b["price"], sign).otherwise(0)
-    error = (
-        F.when(text.isNull(), F.lit(f"book {side} missing"))
-        .when(raw.isNull() | ~text.rlike(r"^\s*\["), F.lit(f"book {side} must be a list"))
-        .when(is_pairs & F.exists(pairs, lambda x: F.size(x) != 2), F.lit(f"invalid {side} level"))
-        .when(F.exists(typed, lambda x: x["price"].isNull() | x["size"].isNull()), F.lit("invalid decimal"))
-        .when(F.exists(typed, lambda x: (x["price"] < 0) | (x["price"] > 1) | (x["size"] < 0)), F.lit("level out of range"))
-        .when(F.exists(typed, lambda x: x["size"] == 0), F.lit("snapshot contains zero-size level"))
-        .when(F.size(F.array_distinct(F.transform(typed, lambda x: x["price"]))) != F.size(typed), F.lit("snapshot contains duplicate price"))
+    typed = lambda price, size: F.struct(decimal(price, PRICE).alias("price"), decimal(size, SIZE).alias("size"))
+    is_pairs = text.rlike(r"^\s*\[\s*(\[|\])")
+
+    def checked(x: Column) -> Column:
+        error = (
+            F.when(text.isNull(), F.lit(f"no {side} in a snapshot"))
+            .when(x["levels"].isNull() | ~text.rlike(r"^\s*\["), F.lit(f"{side} are no JSON array"))
+            .when(x["odd"], F.lit(f"a level of {side} is no pair"))
+            .when(F.exists(x["levels"], lambda v: v["price"].isNull() | v["size"].isNull()), F.lit("a level is no decimal of this type"))
+            .when(F.exists(x["levels"], lambda v: (v["price"] < 0) | (v["price"] > 1) | (v["size"] < 0)), F.lit("a level is beyond its bounds"))
+            .when(F.exists(x["levels"], lambda v: v["size"] == 0), F.lit("a snapshot has a level of size 0"))
+            .when(F.size(F.array_distinct(F.transform(x["levels"], lambda v: v["price"]))) != F.size(x["levels"]), F.lit("a snapshot has a price twice"))
+        )
+        return let(error, lambda e: F.struct(F.when(e.isNull(), F.array_sort(x["levels"], order)).cast(LEVELS).alias("levels"), e.alias("error")))
+
+    of_pairs = let(
+        F.from_json(text, "array<array<string>>"),
+        lambda raw: F.struct(F.transform(raw, lambda v: typed(F.get(v, 0), F.get(v, 1))).alias("levels"), F.coalesce(F.exists(raw, lambda v: F.size(v) != 2), F.lit(False)).alias("odd")),
     )
-    return F.when(error.isNull(), F.array_sort(typed, order)).cast(LEVELS), error
+    of_things = F.struct(F.transform(F.from_json(text, "array<struct<price:string,size:string>>"), lambda v: typed(v["price"], v["size"])).alias("levels"), F.lit(False).alias("odd"))
+    return let(F.when(is_pairs, of_pairs).otherwise(of_things), checked)
+
+
+def levels(text: Column, side: str) -> tuple[Column, Column]:
+    """The two parts of ``parsed_levels``."""
+    both = parsed_levels(text, side)
+    return both["levels"], both["error"]
 
 
 def canonical_json(**fields: Column) -> Column:
@@ -66,3 +91,14 @@ def digest_of(name: Column) -> Column:
     """The digest that a content-addressed name ends in; null if there is none."""
     found = F.regexp_extract(name, r"--([0-9a-f]{64})$", 1)
     return F.when(found != "", found)
+
+
+def decimals_as_text(value: Column, kind: T.DataType) -> Column:
+    """A value with every decimal in it, at any depth, spelled out."""
+    if isinstance(kind, T.DecimalType):
+        return value.cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: decimals_as_text(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[decimals_as_text(value[f.name], f.dataType).alias(f.name) for f in kind]))
+    return value

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridfold import schemas
-from gridfold.functions.identity import CONDITION, bound_source, outcome, slug_asset, slug_start
+from gridfold.functions.identity import CONDITION, bound_source, hourly_slug, outcome, slug_asset, slug_start
 from gridfold.functions.timefn import HOUR_NS, iso_to_ns
-from gridfold.functions.values import json_list, sha256
+from gridfold.functions.values import apart, canonical_json, json_list, sha256
+from gridfold.operators.guards import divergent
 
 _MARKET = "struct<id:string,slug:string,conditionId:string,outcomes:string,clobTokenIds:string,closed:boolean,outcomePrices:string,endDate:string,resolutionSource:string,description:string>"
 PAYLOAD = f"array<struct<id:string,markets:array<{_MARKET}>>>"
@@ -25,12 +26,12 @@ def bind(payloads: DataFrame) -> DataFrame:
     counts only if the identity holds, and an open market only if it has tokens."""
     event = payloads.select("payload", F.explode(F.from_json("payload", PAYLOAD)).alias("event"))
     m = event.select("payload", F.col("event.id").alias("event_id"), F.size("event.markets").alias("n"), F.get("event.markets", F.lit(0)).alias("m"))
-    flat = m.select("payload", "event_id", "n", "m.*").withColumns({"asset": slug_asset(F.col("slug")), "start": slug_start(F.col("slug"))})
+    flat = apart(apart(m).select("payload", "event_id", "n", "m.*").withColumns({"asset": slug_asset(F.col("slug")), "start": slug_start(F.col("slug"))}))
     start_ns = F.unix_micros("start") * 1_000
     rules = F.coalesce("description", F.lit(""))
     tokens = json_list(F.col("clobTokenIds"))
     low = F.lower(rules)
-    named = flat.withColumns(
+    named = apart(flat.withColumns(
         {
             "market_start_ns": start_ns,
             "market_end_ns": start_ns + HOUR_NS,
@@ -39,24 +40,31 @@ def bind(payloads: DataFrame) -> DataFrame:
             "outcome": outcome(json_list(F.col("outcomePrices"))),
             "sides": F.transform(json_list(F.col("outcomes")), F.upper),
         }
-    )
-    bad = lambda text: F.lit(f"error: {text}")
+    ))
     falsy = lambda c: F.coalesce(~c, F.lit(True))
+    # What must hold, in this order; the first that doesn't names the row's error.
+    identity = {
+        "an event has one market": F.col("n") == 1,
+        "the slug is given": F.col("slug").isNotNull(),
+        "the slug is canonical": F.col("start").isNotNull(),
+        "the end is an hour after the slug's start": iso_to_ns(F.col("endDate")) == F.col("market_end_ns"),
+        "the outcomes are Up and Down": F.col("sides") == F.array(F.lit("UP"), F.lit("DOWN")),
+        "the condition id is 64 hexadecimal digits": F.col("conditionId").rlike(CONDITION),
+        "there are rules": F.trim(rules) != "",
+        "the rules name the hourly candle": F.col("source").isNotNull(),
+        "the rules settle ties": low.contains("greater than or equal") & low.contains("otherwise"),
+        "both ids are given": (F.coalesce("event_id", F.lit("")) != "") & (F.coalesce("id", F.lit("")) != ""),
+    }
+    has_tokens = F.col("clobTokenIds").isNotNull()
+    two_tokens = (F.size("tokens") == 2) & F.forall("tokens", lambda t: t.rlike("^[0-9]+$"))
+    error = F.lit(None).cast("string")
+    for text, holds in reversed(identity.items()):
+        error = F.when(falsy(holds), F.lit(f"error: not so: {text}")).otherwise(error)
     disposition = (
-        F.when(falsy(F.col("n") == 1), bad("event must contain exactly one market"))
-        .when(F.col("slug").isNull(), bad("market slug is missing"))
-        .when(F.col("start").isNull(), bad("market slug is not canonical"))
-        .when(falsy(iso_to_ns(F.col("endDate")) == F.col("market_end_ns")), bad("official market end does not match the slug's 1-hour window"))
-        .when(falsy(F.col("sides") == F.array(F.lit("UP"), F.lit("DOWN"))), bad("outcome mapping must be exactly Up,Down"))
-        .when(falsy(F.col("conditionId").rlike(CONDITION)), bad("invalid condition id"))
-        .when(F.trim(rules) == "", bad("rules are missing"))
-        .when(F.col("source").isNull(), bad("rules do not bind the frozen hourly candle"))
-        .when(~(low.contains("greater than or equal") & low.contains("otherwise")), bad("rules do not prove Up/Down comparison semantics"))
-        .when(F.coalesce("event_id", F.lit("")).eqNullSafe("") | F.coalesce("id", F.lit("")).eqNullSafe(""), bad("official ids are missing"))
-        .when(F.col("clobTokenIds").isNull(), "gap")
-        .when(falsy((F.size("tokens") == 2) & F.forall("tokens", lambda t: t.rlike("^[0-9]+$"))), bad("token mapping must be exactly two numeric identities"))
-        .when(falsy(F.col("closed")), "unresolved")
-        .when(F.col("outcome").isNull(), "unresolved")
+        F.when(error.isNotNull(), error)
+        .when(~has_tokens, "gap")
+        .when(falsy(two_tokens), "error: not so: there are two numeric tokens")
+        .when(falsy(F.col("closed")) | F.col("outcome").isNull(), "unresolved")
         .otherwise("ok")
     )
     columns = {
@@ -65,4 +73,49 @@ def bind(payloads: DataFrame) -> DataFrame:
         "official_outcome": F.col("outcome"), "official_resolution_ts_ns": F.lit(None).cast("long"), "quality_tier": F.lit("TIER_A"), "evidence_sha256": sha256(F.col("payload")),
         "exclusion_reason": F.lit(None).cast("string"),
     }
-    return named.withColumn("disposition", disposition).withColumns(columns).select("disposition", "slug", *schemas.table("markets").names)
+    return apart(named.withColumn("disposition", disposition).withColumns(columns).select("disposition", "slug", *schemas.table("markets").names))
+
+
+def conflicts(payloads: DataFrame) -> DataFrame:
+    """condition_id of markets that several payloads give with different content."""
+    event = payloads.select(F.explode(F.from_json("payload", "array<string>")).alias("event"))
+    condition = F.get_json_object("event", "$.markets[0].conditionId")
+    named = event.select(condition.alias("condition_id"), F.to_json(F.parse_json("event")).alias("content"))
+    return divergent(named.where("condition_id IS NOT NULL"), ["condition_id"], ["content"]).select("condition_id")
+
+
+def merged(payloads: DataFrame) -> DataFrame:
+    """One row a condition of what ``bind`` accepts; a condition with two contents is an error."""
+    bad = conflicts(payloads).withColumnRenamed("condition_id", "gf_condition")
+    rows = bind(payloads).where("disposition = 'ok'").dropDuplicates(["condition_id"])
+    joined = rows.join(bad, F.col("condition_id") == F.col("gf_condition"), "left")
+    text = F.concat(F.lit("payloads differ on "), "gf_condition")
+    return joined.withColumn("condition_id", F.when(F.col("gf_condition").isNull(), F.col("condition_id")).otherwise(F.raise_error(text))).drop("gf_condition")
+
+
+#: How the published table of exclusions words a market that can't be had.
+NO_TOKENS = ("SOURCE_GAP", "official Gamma slot has no tradable CLOB token identity")
+NOT_SETTLED = ("UNRESOLVED_MARKET", "official Gamma market has no final outcome")
+NOTHING = ("SOURCE_GAP", "official Gamma slug returned no market")
+
+
+def dispose(expected: DataFrame, payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Markets and exclusions of the expected slots; each slot ends up in one of the two or is an error.
+
+    expected: asset, start (timestamp). payloads: slug, payload, as they were cached, one a slot. A slot
+    whose payload holds no event, or that has no payload, is a gap; a payload that names another slot, or
+    doesn't bind, is an error."""
+    slots = expected.select("asset", "start", hourly_slug(F.col("asset"), F.col("start")).alias("slot"))
+    given = payloads.select(F.col("slug").alias("slot"), "payload")
+    bound = bind(given.select("payload").distinct()).withColumn("found", F.lit(True))
+    joined = slots.join(given, "slot", "left").withColumn("digest", sha256(F.col("payload")))
+    every = joined.join(bound.drop("asset"), F.col("digest") == F.col("evidence_sha256"), "left")
+    wrong = F.when(F.col("disposition").startswith("error"), F.col("disposition")).when(F.col("found") & ~F.col("slug").eqNullSafe(F.col("slot")), "the payload is another slot's")
+    checked = every.withColumn("slot", F.when(wrong.isNotNull(), F.raise_error(F.concat_ws(": ", "slot", wrong))).otherwise(F.col("slot")))
+    verdict = F.coalesce("disposition", F.lit("nothing"))
+    pick = lambda i: F.when(verdict == "gap", NO_TOKENS[i]).when(verdict == "unresolved", NOT_SETTLED[i]).otherwise(NOTHING[i])
+    short = canonical_json(payload_sha256=F.col("digest"))
+    full = canonical_json(condition_id=F.col("condition_id"), payload_sha256=F.col("digest"), slug=F.col("slot"))
+    named = verdict == "nothing"
+    excluded = checked.where(verdict != "ok").select(F.when(named, F.col("slot")).otherwise(F.col("market_id")).alias("market_id"), pick(0).alias("reason_code"), pick(1).alias("detail"), F.when(named, short).otherwise(full).alias("evidence_json"))
+    return checked.where(verdict == "ok").select("slot", *schemas.table("markets").names), excluded
