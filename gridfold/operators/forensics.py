@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridfold.functions.values import decimals_as_text
+
 
 def profile(events: DataFrame) -> DataFrame:
     """condition_id, token_id, event_type, rows, first_receive_ns: one pass, combined before the shuffle."""
     return events.groupBy("condition_id", "token_id", "event_type").agg(F.count("*").alias("rows"), F.min("receive_ts_ns").alias("first_receive_ns"))
 
 
+def neighbours(rows: DataFrame, partition: Sequence[str], order: Sequence[str], hit: Column, margin: int = 2) -> DataFrame:
+    """Of each partition the rows from ``margin`` before the first hit to ``margin`` behind the last one."""
+    own = Window.partitionBy(*partition)
+    numbered = rows.withColumn("gf_i", F.row_number().over(own.orderBy(*order)))
+    at = F.when(hit, F.col("gf_i"))
+    near = numbered.withColumns({"gf_low": F.min(at).over(own), "gf_high": F.max(at).over(own)})
+    return near.where(F.col("gf_i").between(F.col("gf_low") - margin, F.col("gf_high") + margin)).drop("gf_i", "gf_low", "gf_high")
+
+
 def around(events: DataFrame, receive_ts_ns: int, margin: int = 2) -> DataFrame:
     """Each token's events at a receive time, and ``margin`` more to both sides; decimals as text."""
-    w = Window.partitionBy("condition_id", "token_id").orderBy("sequence")
-    numbered = events.withColumn("gf_i", F.row_number().over(w))
-    at = numbered.where(F.col("receive_ts_ns") == receive_ts_ns).groupBy("condition_id", "token_id").agg(F.min("gf_i").alias("gf_low"), F.max("gf_i").alias("gf_high"))
-    near = numbered.join(at, ["condition_id", "token_id"]).where(F.col("gf_i").between(F.col("gf_low") - margin, F.col("gf_high") + margin))
-    texts = [F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in events.schema]
-    return near.select(*texts)
+    near = neighbours(events, ["condition_id", "token_id"], ["sequence"], F.col("receive_ts_ns") == receive_ts_ns, margin)
+    return near.select(*[decimals_as_text(F.col(f.name), f.dataType).alias(f.name) for f in near.schema])

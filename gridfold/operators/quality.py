@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridfold.functions.values import canonical_json
 
+#: Fixed value: how the published table of exclusions words a gap.
 UNFIT = "source fidelity cannot satisfy the frozen 1h tier"
 
 
@@ -60,7 +61,17 @@ def classify(markets: DataFrame, errors: DataFrame, gaps: DataFrame, with_events
     return accepted, excluded
 
 
+def statistics(accepted: DataFrame, excluded: DataFrame, samples: DataFrame) -> DataFrame:
+    """One row: numbers of accepted markets, exclusions and samples, and the samples' first and last time."""
+    counts = accepted.agg(F.count("*").alias("market_count")).join(F.broadcast(excluded.agg(F.count("*").alias("exclusion_count"))))
+    times = samples.agg(F.count("*").alias("sample_count"), F.min("grid_ts_ns").alias("sample_min_ts_ns"), F.max("grid_ts_ns").alias("sample_max_ts_ns"))
+    return counts.join(F.broadcast(times))  # rows of totals, one each
+
+
+def tier(accepted: DataFrame) -> DataFrame:
+    """One row: the lowest tier among accepted markets, or EXCLUDED without any."""
+    return accepted.agg(F.coalesce(F.max("quality_tier"), F.lit("EXCLUDED")).alias("quality_tier"))
+
+
 def partition_tier(accepted: DataFrame) -> str:
-    """EXCLUDED without accepted markets, else the lowest tier among them."""
-    tier = accepted.agg(F.max("quality_tier")).first()[0]
-    return tier or "EXCLUDED"
+    return tier(accepted).first()[0]

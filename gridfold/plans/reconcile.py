@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridfold.functions.timefn import HOUR_NS
+
 #: The files of a complete partition.
 FILES = ("markets.parquet", "book_events.parquet", "book_200ms.parquet", "underlying.parquet", "exclusions.parquet", "manifest.json")
 NAME = r"^([A-Z]+)-1h-(\d{4}-\d{2}-\d{2})-(.+)--([0-9a-f]{64})$"
@@ -25,23 +27,54 @@ def complete(inventory: DataFrame, files: tuple[str, ...] = FILES) -> DataFrame:
 
 
 def anomalies(inventory: DataFrame, plan: DataFrame, files: tuple[str, ...] = FILES) -> DataFrame:
-    """kind, item: partial, divergent, duplicate, unexpected_files, out_of_plan."""
-    item = F.concat_ws("/", "partition_id", "filename").alias("item")
-    ids = inventory.select("partition_id").distinct()
-    by_file = inventory.groupBy("partition_id", "filename").agg(F.count("*").alias("n"), F.count_distinct("digest").alias("d"))
-    planned = ids.join(plan.select("partition_id"), "partition_id", "left_semi")
-    parts = {
-        "partial": planned.join(complete(inventory, files), "partition_id", "left_anti").select(F.col("partition_id").alias("item")),
-        "divergent": by_file.where("d > 1").select(item),
-        "duplicate": by_file.where("n > 1").select(item),
-        "unexpected_files": inventory.where(~F.col("filename").isin(*files)).select(item),
-        "out_of_plan": ids.join(plan.select("partition_id"), "partition_id", "left_anti").select(F.col("partition_id").alias("item")),
-    }
-    out = None
-    for kind, rows in parts.items():
-        rows = rows.select(F.lit(kind).alias("kind"), "item")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """kind, item: partial, divergent, duplicate, unexpected_files, out_of_plan.
+
+    One aggregate by file, one of these by partition, and one join with the plan."""
+    by_file = inventory.groupBy("partition_id", "filename").agg(F.count("*").alias("n"), F.min("digest").alias("a"), F.max("digest").alias("b"), F.bool_and(F.col("state") == "uploaded").alias("up"))
+    known = F.col("filename").isin(*files)
+    kinds = F.array_compact(F.array(F.when(F.col("a") != F.col("b"), "divergent"), F.when(F.col("n") > 1, "duplicate"), F.when(~known, "unexpected_files")))
+    found = F.collect_list(F.when(F.size(kinds) > 0, F.struct("filename", kinds.alias("kinds"))))
+    good = F.sum(F.when(known & (F.col("n") == 1) & F.col("up"), 1).otherwise(0))
+    by_partition = by_file.groupBy("partition_id").agg(F.sum("n").alias("n"), good.alias("good"), found.alias("found"))
+    planned = by_partition.join(plan.select("partition_id").distinct().withColumn("planned", F.lit(True)), "partition_id", "left")
+    whole = (F.col("n") == len(files)) & (F.col("good") == len(files))
+    own = F.when(F.col("planned").isNull(), "out_of_plan").when(~whole, "partial")
+    item = lambda kind, name: F.struct(kind.alias("kind"), name.alias("item"))
+    of_files = F.flatten(F.transform("found", lambda x: F.transform(x["kinds"], lambda k: item(k, F.concat_ws("/", "partition_id", x["filename"])))))
+    every = F.concat(of_files, F.when(own.isNotNull(), F.array(item(own, F.col("partition_id")))).otherwise(F.array().cast("array<struct<kind:string,item:string>>")))
+    return planned.select(F.explode(every).alias("x")).select("x.kind", "x.item")
+
+
+def fatal(found: DataFrame) -> DataFrame:
+    """Anomalies that end a run: all but unfinished partitions."""
+    return found.where(F.col("kind") != "partial")
+
+
+def uncovered(plan: DataFrame, complete: DataFrame, staged: DataFrame) -> DataFrame:
+    """partition_id of planned partitions that are neither complete nor staged."""
+    return plan.select("partition_id").join(complete.select("partition_id"), "partition_id", "left_anti").join(staged.select("partition_id"), "partition_id", "left_anti")
+
+
+def assets_by_day(plan: DataFrame) -> DataFrame:
+    """day, assets (sorted)."""
+    return plan.groupBy("day").agg(F.array_sort(F.collect_list("asset")).alias("assets"))
+
+
+def peaks(receipts: DataFrame, highest: tuple[str, ...], lowest: tuple[str, ...] = ()) -> DataFrame:
+    """One row: the greatest or least of each metric over all receipts."""
+    return receipts.agg(*[F.max(c).alias(c) for c in highest], *[F.min(c).alias(c) for c in lowest])
+
+
+def market_faults(markets: DataFrame, asset: Column, page: Column) -> DataFrame:
+    """market_id, fault: published markets that aren't hourly, of the partition's asset, settled on its page."""
+    fault = (
+        F.when(~F.col("asset").eqNullSafe(asset), "asset")
+        .when(~F.col("timeframe").eqNullSafe(F.lit("1h")), "timeframe")
+        .when(~(F.col("market_end_ns") - F.col("market_start_ns")).eqNullSafe(F.lit(HOUR_NS)), "length")
+        .when(~F.coalesce(F.col("official_outcome").isin("UP", "DOWN", "SPLIT"), F.lit(False)), "outcome")
+        .when(~F.col("resolution_source_url").eqNullSafe(page), "page")
+    )
+    return markets.withColumn("fault", fault).where("fault IS NOT NULL").select("market_id", "fault")
 
 
 def ledger(plan: DataFrame, done: DataFrame) -> DataFrame:
@@ -51,12 +84,18 @@ def ledger(plan: DataFrame, done: DataFrame) -> DataFrame:
     return state.agg(F.count("*").alias("planned"), F.count_if(~open_).alias("completed"), F.count_if(open_).alias("unfinished"), F.min(F.when(open_, F.col("partition_id"))).alias("first_unfinished"))
 
 
+TIERS = ("TIER_A", "TIER_B", "EXCLUDED")
+
+
+def tier_counts(manifests: DataFrame) -> DataFrame:
+    """One row: partitions of each tier, and files. manifests: partition_id, tier, files."""
+    return manifests.agg(*[F.count_if(F.col("tier") == t).alias(t) for t in TIERS], F.coalesce(F.sum("files"), F.lit(0)).alias("files"))
+
+
 def certify(plan: DataFrame, manifests: DataFrame, files_each: int = len(FILES)) -> dict[str, int]:
-    """Tier counts of all partitions; they must add up to the plan. manifests: partition_id, tier, files."""
-    row = manifests.agg(*[F.count_if(F.col("tier") == t).alias(t) for t in ("TIER_A", "TIER_B", "EXCLUDED")], F.sum("files").alias("files")).first().asDict()
-    planned = plan.count()
-    if sum(row[t] for t in ("TIER_A", "TIER_B", "EXCLUDED")) != planned or row["files"] != planned * files_each:
-        raise ValueError(f"certification fails: {row} for {planned} partitions")
-    if plan.select("partition_id").exceptAll(manifests.select("partition_id")).limit(1).count():
-        raise ValueError("certification fails: partitions differ from the plan")
+    """Tier counts of all partitions; they and the files must add up to the plan, and be its partitions."""
+    row, planned = tier_counts(manifests).first().asDict(), plan.count()
+    ids = plan.select("partition_id")
+    if sum(row[t] for t in TIERS) != planned or row["files"] != planned * files_each or not ids.exceptAll(manifests.select("partition_id")).isEmpty():
+        raise ValueError(f"{planned} partitions are planned, these are published: {row}")
     return row
