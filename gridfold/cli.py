@@ -8,7 +8,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from gridfold import schemas, sinks
+from gridfold import sinks
 from gridfold.plans import calendar
 
 
@@ -23,23 +23,22 @@ def main(argv: list[str] | None = None) -> int:
     hours.add_argument("start_ns", type=int)
     hours.add_argument("end_ns", type=int)
     hours.add_argument("--prefix", default="")
-    partition = commands.add_parser("verify-partition", help="schemas of a partition's tables")
+    partition = commands.add_parser("verify-partition", help="a partition's tables against its manifest")
     partition.add_argument("path")
     release = commands.add_parser("verify-release", help="digests of a directory release")
     release.add_argument("path")
     args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("gridfold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "verify-release":
-        print(json.dumps(sinks.read_release(args.path), indent=1, sort_keys=True))
+        print(json.dumps(sinks.DirectoryRelease(spark, args.path).read(), indent=1, sort_keys=True))
         return 0
-    spark = SparkSession.builder.appName("gridfold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "plan-backfill":
         rows = calendar.backfill_plan(spark, args.start, args.end, args.group_prefix).orderBy("day", "asset")
     elif args.command == "inventory":
         rows = calendar.source_hours(spark, args.start_ns, args.end_ns, args.prefix).orderBy("hour_s")
     else:
-        for name in schemas.TABLES:
-            sinks.verify(spark, name, f"{args.path}/{name}", spark.read.schema(schemas.table(name)).parquet(f"{args.path}/{name}").count())
-            print(name, "ok")
+        for name, table in sinks.verify_partition(spark, args.path)["tables"].items():
+            print(name, table["rows"], "ok")
         return 0
     for row in rows.toLocalIterator():
         print(json.dumps(row.asDict()))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridfold import schemas, sinks
 from gridfold.operators import book, grid, guards, order, quality
 from gridfold.sources import events as source
+from gridfold.storage import Store
 
 STEP_NS = 200_000_000
 
@@ -36,6 +37,11 @@ class Tables:
     book_200ms: DataFrame
     underlying: DataFrame
     exclusions: DataFrame
+    kept: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        for df in self.kept:
+            df.unpersist()
 
 
 def sample(states: DataFrame, markets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,19 +54,31 @@ def sample(states: DataFrame, markets: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def transform(inputs: Inputs) -> Tables:
-    """The five tables, lazily. Only the fold runs Python; events are shuffled once, by condition."""
+    """The five tables, lazily. Only the fold runs Python; events are shuffled once, by token.
+
+    Events and what the fold gives are read by several tables and kept on the executors' disks until
+    ``Tables.release``; a lost part is worked out again."""
     spark = inputs.markets.sparkSession
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.DISK_ONLY))
+        return kept[-1]
+
     selected = source.select_rows(inputs.rows, inputs.markets)
     if inputs.most_rows_a_market is not None:
         guards.require_cap(selected, ["condition_id"], inputs.most_rows_a_market)
-    ordered = order.order_events(source.strict(source.decode(selected))).persist(StorageLevel.DISK_ONLY)
-    states, errors = book.reconstruct(ordered, STEP_NS)
-    foreign = ordered.join(inputs.markets.select("condition_id", F.array("token_up", "token_down").alias("own")), "condition_id").where(~F.array_contains("own", F.col("token_id")))
+    distinct = keep(order.distinct_events(source.strict(source.decode(selected))))
+    ordered = order.number_events(distinct)
+    folded = keep(book.rebuilt(ordered, STEP_NS))
+    states, errors = book.states_of(folded), book.errors_of(folded)
+    foreign = distinct.join(inputs.markets.select("condition_id", F.array("token_up", "token_down").alias("own")), "condition_id").where(~F.array_contains("own", F.col("token_id")))
     unknown = foreign.groupBy("condition_id").agg(F.min("token_id").alias("token_id")).select("condition_id", "token_id", F.lit("EVENT_CONFLICT").alias("error_kind"), F.concat(F.lit("unknown token "), "token_id").alias("error"))
     samples, gaps = sample(states, inputs.markets)
     # A fold's error comes first: states are only looked at once all tokens have been rebuilt.
     unknown = unknown.join(errors.select("condition_id").distinct(), "condition_id", "left_anti")
-    accepted, excluded = quality.classify(inputs.markets, errors.unionByName(unknown), gaps, ordered)
+    accepted, excluded = quality.classify(inputs.markets, errors.unionByName(unknown), gaps, distinct)
+    accepted = keep(accepted)
     good = accepted.select("condition_id")
     if inputs.exclusions is not None:
         excluded = excluded.unionByName(inputs.exclusions)
@@ -69,7 +87,7 @@ def transform(inputs: Inputs) -> Tables:
         grid.staleness("grid_ts_ns", "receive_ts_ns", 1_000_000).alias("stale_ms"), F.col("sequence").alias("source_event_sequence"), F.lit("TIER_A").alias("quality_tier"), F.lit(200).alias("native_interval_ms"),
     )
     underlying = inputs.underlying if inputs.underlying is not None else spark.createDataFrame([], schemas.table("underlying"))
-    return Tables(accepted, ordered.join(good, "condition_id", "left_semi"), shown, underlying, excluded)
+    return Tables(accepted, ordered.join(good, "condition_id", "left_semi"), shown, underlying, excluded, kept)
 
 
 def identity(inputs: Inputs) -> str:
@@ -88,17 +106,18 @@ def build(inputs: Inputs, root: str, state: sinks.StateStore) -> dict:
     base = f"{root}/asset={asset}/timeframe={frame}/date={day}"
     tables = transform(inputs)
     state.advance(inputs.partition, "ACQUIRED", who)
-    found = {}
-    for name in schemas.TABLES:
-        out = f"{base}/{name}"
-        digest = sinks.write_table(getattr(tables, name), name, out)
-        rows = spark.read.schema(schemas.table(name)).parquet(out).count()
-        sinks.verify(spark, name, out, rows)
-        found[name] = {"rows": rows, "digest": digest}
+    try:
+        found = {name: sinks.write_table(getattr(tables, name), name, f"{base}/{name}") for name in schemas.TABLES}
+    finally:
+        tables.release()
     if not found["markets"]["rows"] and not found["exclusions"]["rows"]:
-        raise ValueError("an empty partition needs an exclusion")
+        raise ValueError(f"{inputs.partition} has neither a market nor a reason for having none")
     state.advance(inputs.partition, "TRANSFORMED", who)
-    tier = quality.partition_tier(spark.read.parquet(f"{base}/markets"))
-    document = sinks.manifest(inputs.partition, tier, found, inputs.provenance)
-    digest = hashlib.sha256(sinks.canonical(document)).hexdigest()
-    return {"partition": inputs.partition, "no_op": False, "manifest": document, **state.advance(inputs.partition, "VERIFIED", who, digest)}
+    read = lambda name: spark.read.schema(schemas.table(name)).parquet(f"{base}/{name}")
+    statistics = quality.statistics(read("markets"), read("exclusions"), read("book_200ms")).first().asDict()
+    document = sinks.manifest(inputs.partition, quality.partition_tier(read("markets")), found, inputs.provenance, statistics)
+    content = sinks.canonical(document)
+    Store(spark, base).write(sinks.MANIFEST, content)
+    sinks.verify_partition(spark, base)
+    digest = hashlib.sha256(content).hexdigest()
+    return {"partition": inputs.partition, "no_op": False, "manifest_document": document, **state.advance(inputs.partition, "VERIFIED", who, digest)}

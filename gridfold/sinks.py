@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-import shutil
+import uuid
+from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridfold import schemas
+from gridfold.storage import Store
 
+MANIFEST = "manifest.json"
 PHASES = ("INVENTORIED", "ACQUIRED", "TRANSFORMED", "VERIFIED", "PUBLISHED")
 
 
@@ -20,122 +22,166 @@ class Conflict(ValueError):
     """Something published or recorded would change."""
 
 
+def _row_hashes(columns: Sequence[str]) -> list[Column]:
+    row = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+    wide = lambda h: h.cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("n"), F.sum(wide(F.xxhash64(row))).alias("a"), F.sum(wide(F.xxhash64(row, F.lit(1)))).alias("b")]
+
+
+def _digest(x: dict) -> str:
+    return hashlib.sha256(f"{x['n']}:{x['a']}:{x['b']}".encode()).hexdigest()
+
+
 def logical_digest(df: DataFrame) -> str:
     """A digest of the rows whatever their order and files: count and sums of two row hashes."""
-    row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
-    total = df.select(F.xxhash64(row).cast("decimal(20,0)").alias("a"), F.xxhash64(row, F.lit(1)).cast("decimal(20,0)").alias("b"))
-    x = total.agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")).first()
-    return hashlib.sha256(f"{x['n']}:{x['a']}:{x['b']}".encode()).hexdigest()
+    return _digest(df.agg(*_row_hashes(df.columns)).first().asDict())
 
 
-def write_table(df: DataFrame, name: str, out: str) -> str:
-    """Write one of the fixed tables sorted, zstd, without dictionaries; its logical digest.
+def write_table(df: DataFrame, name: str, out: str) -> dict:
+    """Write one of the fixed tables sorted, zstd, without dictionaries: its rows and logical digest.
 
-    The same rows again are no change; other rows under the same path are a conflict."""
+    Rows are counted and hashed as they are written; then the files are read again and held against that,
+    and only then get their name. So a table is there whole or not at all: what a crash leaves has another
+    name. The same rows again are no change; other rows under the same path are a conflict."""
     spark = df.sparkSession
     wanted = schemas.table(name)
     typed = df.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
-    if _exists(spark, out):
-        old, new = logical_digest(spark.read.schema(wanted).parquet(out)), logical_digest(typed)
-        if old != new:
-            raise Conflict(f"{out} holds other rows")
-        return old
+    at, leaf = out.rstrip("/").rsplit("/", 1)
+    store = Store(spark, at)
+    part = f"_{leaf}.{uuid.uuid4().hex[:8]}.part"
     _, order = schemas.TABLES[name]
-    ordered = typed.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(out)
-    return logical_digest(spark.read.schema(wanted).parquet(out))
-
-
-def verify(spark: SparkSession, name: str, path: str, rows: int) -> None:
+    seen = Observation()
+    ordered = typed.repartitionByRange(*order).sortWithinPartitions(*order).observe(seen, *_row_hashes(typed.columns))
+    ordered.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"{at}/{part}")
+    meant = {"rows": seen.get["n"], "digest": _digest(seen.get)}
+    try:
+        verify(spark, name, f"{at}/{part}", **meant)
+        if store.exists(leaf):
+            if logical_digest(spark.read.schema(wanted).parquet(out)) != meant["digest"]:
+                raise Conflict(f"{out} holds other rows")
+        else:
+            store.move(part, leaf)
+    finally:
+        store.remove(part)
+    return meant
+
+
+def verify(spark: SparkSession, name: str, path: str, rows: int, digest: str | None = None) -> None:
+    """Hold a table's files against its schema and what is on record of its rows."""
     df = spark.read.parquet(path)
     have = {f.name: f.dataType.simpleString() for f in df.schema}
     want = {f.name: f.dataType.simpleString() for f in schemas.table(name)}
-    if have != want or df.count() != rows:
-        raise ValueError(f"{path} fails verification")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    if have != want:
+        raise ValueError(f"{path} has other columns than {name}")
+    found = df.agg(*_row_hashes(df.columns)).first().asDict()
+    if found["n"] != rows or digest is not None and _digest(found) != digest:
+        raise ValueError(f"{path} holds other rows than the {rows} on record")
+
+
+def verify_partition(spark: SparkSession, path: str) -> dict:
+    """Hold a partition's tables against its manifest; the manifest."""
+    content = Store(spark, path).read(MANIFEST)
+    document = json.loads(content)
+    if canonical(document) != content:
+        raise ValueError(f"{path}/{MANIFEST} isn't in its canonical form")
+    if set(document["tables"]) != set(schemas.TABLES):
+        raise ValueError(f"{path}/{MANIFEST} lists {sorted(document['tables'])}")
+    for name, on_record in document["tables"].items():
+        verify(spark, name, f"{path}/{name}", **on_record)
+    return document
 
 
 def canonical(document: object) -> bytes:
     return (json.dumps(document, sort_keys=True, separators=(",", ":"), ensure_ascii=False) + "\n").encode()
 
 
-def sha256_file(path: str | Path) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
-
-
-def manifest(partition: str, tier: str, tables: dict[str, dict], provenance: list[dict]) -> dict:
+def manifest(partition: str, tier: str, tables: dict[str, dict], provenance: list[dict], statistics: dict | None = None) -> dict:
     ordered = sorted(provenance, key=lambda p: (p.get("source_id", ""), p.get("url", ""), p.get("sha256", "")))
-    return {"schema_version": schemas.SCHEMA_VERSION, "partition": partition, "quality_tier": tier, "tables": tables, "provenance": ordered}
+    return {"schema_version": schemas.SCHEMA_VERSION, "partition": partition, "quality_tier": tier, "tables": tables, "provenance": ordered, "statistics": statistics or {}}
 
 
 class StateStore:
     """Phases of partitions as JSON files: no way back, and what is recorded never changes."""
 
-    def __init__(self, root: str | Path) -> None:
-        self.root = Path(root)
+    def __init__(self, spark: SparkSession, root: str | Path) -> None:
+        self.store = Store(spark, str(root))
+
+    @staticmethod
+    def _name(partition: str) -> str:
+        return partition.replace("/", "-") + ".json"
 
     def read(self, partition: str) -> dict | None:
-        path = self.root / (partition.replace("/", "-") + ".json")
-        return json.loads(path.read_text()) if path.exists() else None
+        name = self._name(partition)
+        return json.loads(self.store.read(name)) if self.store.exists(name) else None
 
     def advance(self, partition: str, phase: str, identity: str, manifest_sha256: str | None = None) -> dict:
         now = self.read(partition)
         if now is not None:
             if now["identity"] != identity:
-                raise Conflict(f"{partition}: identity changed")
+                raise Conflict(f"{partition} is on record with other inputs")
             if PHASES.index(phase) < PHASES.index(now["phase"]):
-                raise Conflict(f"{partition}: phase cannot regress")
+                raise Conflict(f"{partition} is {now['phase']} and can't go back to {phase}")
             if now.get("manifest") and manifest_sha256 and now["manifest"] != manifest_sha256:
-                raise Conflict(f"{partition}: manifest changed")
+                raise Conflict(f"{partition} is on record with another manifest")
         state = {"phase": phase, "identity": identity, "manifest": manifest_sha256 or (now or {}).get("manifest")}
-        self.root.mkdir(parents=True, exist_ok=True)
-        path = self.root / (partition.replace("/", "-") + ".json")
-        temporary = path.with_suffix(".tmp")
-        temporary.write_bytes(canonical(state))
-        os.replace(temporary, path)
+        self.store.write(self._name(partition), canonical(state))
         return state
 
 
+def tree_digest(files: dict[str, bytes]) -> str:
+    """A digest of named files; line ends count as \\n."""
+    out = hashlib.sha256()
+    for name in sorted(files):
+        for part in (name.encode(), files[name].replace(b"\r\n", b"\n")):
+            out.update(part + b"\0")
+    return out.hexdigest()
+
+
 class DirectoryRelease:
-    """Files published under their digests; one logical name has one digest for good."""
+    """Files published under their digests; one logical name has one digest for good.
+
+    A file is written under a draft's name, read back, and renamed once its digest is right."""
 
-    def __init__(self, root: str | Path) -> None:
-        self.root = Path(root)
+    def __init__(self, spark: SparkSession, root: str | Path) -> None:
+        self.store = Store(spark, str(root))
 
-    def publish(self, files: dict[str, Path]) -> dict[str, str]:
-        self.root.mkdir(parents=True, exist_ok=True)
+    def publish(self, files: dict[str, bytes]) -> dict[str, str]:
         out = {}
-        for logical, path in sorted(files.items()):
-            digest = sha256_file(path)
+        names = self.store.names()
+        for logical, content in sorted(files.items()):
+            digest = hashlib.sha256(content).hexdigest()
             name = logical.replace("/", "-")
-            if any(p.name != f"{name}--{digest}" for p in self.root.glob(f"{name}--*")):
-                raise Conflict(f"{logical} is published with another digest")
-            target = self.root / f"{name}--{digest}"
-            if not target.exists():
-                shutil.copyfile(path, target.with_suffix(".part"))
-                os.replace(target.with_suffix(".part"), target)
-            if sha256_file(target) != digest:
-                raise Conflict(f"{target} fails verification")
+            target = f"{name}--{digest}"
+            others = [x for x in names if x.rpartition("--")[0] == name and x != target]
+            if others:
+                raise Conflict(f"{logical} is published as {others[0]}")
+            if target not in names:
+                draft = f"{target}.draft"
+                self.store.write(draft, content)
+                if self.store.sha256(draft) != digest:
+                    self.store.remove(draft)
+                    raise Conflict(f"{logical} was written as something else")
+                self.store.move(draft, target)
+            elif self.store.sha256(target) != digest:
+                raise Conflict(f"{target} isn't what its name says")
             out[logical] = digest
         return out
 
+    def read(self) -> dict[str, str]:
+        """logical name to digest of everything that is published, each file held against its digest."""
+        out: dict[str, str] = {}
+        for file in self.store.names():
+            name, _, digest = file.rpartition("--")
+            if len(digest) != 64 or set(digest) - set("0123456789abcdef"):
+                continue
+            if name in out or self.store.sha256(file) != digest:
+                raise Conflict(f"{file} isn't what its name says")
+            out[name] = digest
+        return out
+
 
-def read_release(root: str | Path) -> dict[str, str]:
-    """logical name to digest of everything in a directory release, each file held against its digest."""
-    out: dict[str, str] = {}
-    for path in sorted(Path(root).iterdir()):
-        name, _, digest = path.name.rpartition("--")
-        if len(digest) != 64 or set(digest) - set("0123456789abcdef"):
-            continue
-        if name in out or sha256_file(path) != digest:
-            raise Conflict(f"{path.name} fails verification")
-        out[name] = digest
-    return out
+def folder_bytes(spark: SparkSession, root: str) -> int:
+    return sum(size for _, size in Store(spark, root).files())
 
 
 def release_index(manifests: list[dict]) -> dict:
