@@ -12,7 +12,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from gridfold.functions.timefn import HOUR_NS
 
@@ -25,29 +25,50 @@ def admitted(stream: DataFrame, markets: DataFrame, warm_up_ns: int = HOUR_NS) -
     return joined.where(inside)
 
 
+class Held(StatefulProcessor):
+    """A market's events as a list that only grows, and when the market ends."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", "payload string")
+        self.end = handle.getValueState("end", "end_ms long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        before = self.end.get()[0] if self.end.exists() else None
+        end = before or 0
+        for pdf in rows:
+            self.events.appendList([(x,) for x in pdf["payload"]])
+            end = max(end, int(pdf["market_end_ns"].max()) // 1_000_000)
+        # Markets that the watermark has passed already are due at once.
+        due = max(end, timerValues.getCurrentWatermarkInMs() + 1)
+        if due != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.end.update((due,))
+            self.handle.registerTimer(due)
+        yield from ()
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        yield pd.DataFrame({"condition_id": key[0], "payload": [x[0] for x in self.events.get()]})
+        self.events.clear()
+        self.end.clear()
+
+    def close(self) -> None:
+        pass
+
+
 def finalised(events: DataFrame, lateness: str = "1 minute") -> DataFrame:
     """condition_id, payload (JSON of the event): all of a market's events once its end has passed.
 
-    events: a stream with condition_id, receive_ts_ns, market_end_ns and any further columns."""
+    events: a stream with condition_id, receive_ts_ns, market_end_ns and any further columns. A batch adds
+    to a market's list and rewrites nothing of it; lists need the RocksDB state store, which is set here
+    unless the session names another."""
+    conf, name = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in conf.get(name):
+        conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     payload = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
     timed = events.select("condition_id", "market_end_ns", F.timestamp_micros(F.expr("receive_ts_ns div 1000")).alias("at"), payload.alias("payload")).withWatermark("at", lateness)
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            held, _ = state.get
-            state.remove()
-            yield pd.DataFrame({"condition_id": key[0], "payload": list(held)})
-            return
-        held, end = state.get if state.exists else ([], 0)
-        held = list(held)
-        for pdf in batches:
-            held += pdf["payload"].tolist()
-            end = max(int(end), int(pdf["market_end_ns"].max()))
-        state.update((held, end))
-        # Markets that the watermark has passed already are due at once.
-        state.setTimeoutTimestamp(max(end // 1_000_000, state.getCurrentWatermarkMs() + 1))
-
-    return timed.groupBy("condition_id").applyInPandasWithState(run, "condition_id string, payload string", "held array<string>, end long", "append", GroupStateTimeout.EventTimeTimeout)
+    return timed.groupBy("condition_id").transformWithStateInPandas(Held(), "condition_id string, payload string", "append", "EventTime")
 
 
 def sink(finished: DataFrame, out: str, checkpoint: str, **trigger: Any):
