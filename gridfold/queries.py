@@ -2,35 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridfold.functions import identity, timefn, values
-from gridfold.operators import book, grid, guards, joins, order, quality
+from gridfold.operators import book, forensics, grid, guards, joins, order, quality
 from gridfold.plans import calendar, reconcile
+from gridfold.registry import ORACLE_SQL, QUERIES, query, read
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 HOUR = 3_600_000_000
-#: The grid's day, in microseconds since 1970: 2024-01-01.
-DAY = 1_704_067_200_000_000
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Where the grid begins, in microseconds since 1970 (2024-01-01), and its hours: the month of all events.
+START = 1_704_067_200_000_000
+HOURS = 30 * 24
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,49 +21,48 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
-def _day_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = events(spark, sf_dir).where(F.col("us") < DAY + 24 * HOUR).select("user_id", "event_id", "us", "value")
-    bounded = states.withColumns({"start": F.lit(DAY), "end": F.lit(DAY + 24 * HOUR)})
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = events(spark, sf_dir).select("user_id", "event_id", "us", "value")
+    bounded = states.withColumns({"start": F.lit(START), "end": F.lit(START + HOURS * HOUR)})
     return grid.asof_grid(bounded, ["user_id"], "us", ["event_id"], HOUR)
 
 
 _GRID_SQL = f"""
-WITH s AS (SELECT user_id, event_id, epoch_us(ts) AS us, value FROM events WHERE epoch_us(ts) < {DAY + 24 * HOUR}),
-g AS (SELECT user_id, {DAY} + h * {HOUR} AS grid FROM (SELECT DISTINCT user_id FROM s), range(24) t(h)),
-a AS (SELECT g.user_id, g.grid, s.event_id, s.us, s.value FROM g JOIN s ON s.user_id = g.user_id AND s.us <= g.grid
-  QUALIFY row_number() OVER (PARTITION BY g.user_id, g.grid ORDER BY s.us DESC, s.event_id DESC) = 1)
+WITH s AS (SELECT user_id, event_id, epoch_us(ts) AS us, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1),
+g AS (SELECT user_id, {START} + h * {HOUR} AS grid FROM (SELECT DISTINCT user_id FROM s), range({HOURS}) t(h)),
+a AS (SELECT g.user_id, g.grid, s.event_id, s.us, s.value FROM g ASOF JOIN s ON s.user_id = g.user_id AND s.us <= g.grid)
 """
 
 
 @query(_GRID_SQL + "SELECT user_id, grid, event_id, value FROM a")
 def asof_grid_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _day_grid(spark, sf_dir).select("user_id", "grid", "event_id", "value")
+    return _grid(spark, sf_dir).select("user_id", "grid", "event_id", "value")
 
 
 @query(_GRID_SQL + "SELECT user_id, grid, (grid - us) // 1000 AS stale_ms FROM a")
 def asof_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _day_grid(spark, sf_dir).select("user_id", "grid", grid.staleness("grid", "us", 1_000).alias("stale_ms"))
+    return _grid(spark, sf_dir).select("user_id", "grid", grid.staleness("grid", "us", 1_000).alias("stale_ms"))
 
 
 @query(
     _GRID_SQL
-    + f"""SELECT u.user_id, {DAY} AS gap_start, coalesce(min(a.grid), {DAY + 24 * HOUR}) AS gap_end
-FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN a ON a.user_id = u.user_id GROUP BY u.user_id HAVING gap_end > {DAY}"""
+    + f"""SELECT u.user_id, {START} AS gap_start, coalesce(min(a.grid), {START + HOURS * HOUR}) AS gap_end
+FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN a ON a.user_id = u.user_id GROUP BY u.user_id HAVING gap_end > {START}"""
 )
 def leading_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = events(spark, sf_dir).select("user_id").distinct().withColumns({"start": F.lit(DAY), "end": F.lit(DAY + 24 * HOUR)})
-    return grid.leading_gaps(users, _day_grid(spark, sf_dir), ["user_id"])
+    users = events(spark, sf_dir).select("user_id").distinct().withColumns({"start": F.lit(START), "end": F.lit(START + HOURS * HOUR)})
+    return grid.leading_gaps(users, _grid(spark, sf_dir), ["user_id"])
 
 
 @query(
     _GRID_SQL
     + f""", first AS (SELECT u.user_id, min(a.grid) AS seen FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN a ON a.user_id = u.user_id GROUP BY u.user_id)
-SELECT user_id, CASE WHEN seen IS NULL THEN 'SOURCE_GAP' WHEN seen > {DAY} THEN 'SOURCE_GAP' END AS reason FROM first"""
+SELECT user_id, CASE WHEN seen IS NULL THEN 'SOURCE_GAP' WHEN seen > {START} THEN 'SOURCE_GAP' END AS reason FROM first"""
 )
 def classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = events(spark, sf_dir).select("user_id").distinct()
     gaps = leading_gap(spark, sf_dir).select("user_id", F.lit(1).alias("gap_count"))
-    seen = _day_grid(spark, sf_dir).select("user_id").distinct().withColumn("has", F.lit(True))
+    seen = _grid(spark, sf_dir).select("user_id").distinct().withColumn("has", F.lit(True))
     joined = users.join(gaps, "user_id", "left").join(seen, "user_id", "left")
     none = F.lit(None).cast("string")
     return joined.select("user_id", quality.verdict(F.lit("1h"), F.lit("UP"), none, F.coalesce("has", F.lit(False)), F.col("gap_count")).alias("reason"))
@@ -135,7 +117,7 @@ def synthetic_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = lambda cents: (cents / 100).cast("decimal(9,4)")
     side = lambda cents: F.array(F.struct(price(cents).alias("price"), F.lit(1).cast("decimal(18,6)").alias("size")))
     buy = F.col("event_id") % 2 == 0
-    cents = F.when(buy, F.pmod(F.xxhash64("event_id"), F.lit(40)) + 5).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(40)) + 55)
+    cents = F.col("event_id") * 7919 % 40 + F.when(buy, 5).otherwise(55)
     none = F.lit(None).cast("decimal(9,4)")
     return numbered.select(
         F.lit("0xbook").alias("condition_id"), F.col("user_id").cast("string").alias("token_id"), (F.col("us") * 1_000).alias("source_ts_ns"), (F.col("us") * 1_000).alias("receive_ts_ns"),
@@ -146,10 +128,26 @@ def synthetic_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+def depth(states: DataFrame) -> DataFrame:
+    cents = lambda side: (F.get(f"{side}.price", F.lit(0)) * 100).cast("long")
+    size = F.aggregate("bids", F.lit(0).cast("decimal(38,6)"), lambda total, x: (total + x["size"]).cast("decimal(38,6)")).cast("long")
+    return states.select("token_id", "sequence", F.size("bids").cast("long").alias("n_bids"), F.size("asks").cast("long").alias("n_asks"), cents("bids").alias("best_bid"), cents("asks").alias("best_ask"), size.alias("bid_size"))
+
+
+#: The book after each event: of each price the last size since the last snapshot.
+_BOOK_SQL = """WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq FROM events),
+e AS (SELECT user_id, seq, seq // 16 AS epoch, event_id % 2 = 0 AS buy, event_id * 7919 % 40 + CASE WHEN event_id % 2 = 0 THEN 5 ELSE 55 END AS cents,
+  CASE WHEN event_id % 5 = 0 THEN 0 ELSE event_id % 100 + 1 END AS size FROM n),
+u AS (SELECT * FROM e WHERE seq % 16 <> 0 UNION ALL SELECT user_id, seq, epoch, b, c, 1 FROM e, (VALUES (true, 40), (false, 60)) t(b, c) WHERE seq % 16 = 0),
+l AS (SELECT e.user_id, e.seq, u.buy, u.cents, arg_max(u.size, u.seq) AS size FROM e JOIN u ON u.user_id = e.user_id AND u.epoch = e.epoch AND u.seq <= e.seq GROUP BY ALL)
+SELECT CAST(user_id AS VARCHAR) AS token_id, seq AS sequence, count(*) FILTER (buy AND size > 0) AS n_bids, count(*) FILTER (NOT buy AND size > 0) AS n_asks,
+  max(cents) FILTER (buy AND size > 0) AS best_bid, min(cents) FILTER (NOT buy AND size > 0) AS best_ask, CAST(coalesce(sum(size) FILTER (buy), 0) AS BIGINT) AS bid_size
+FROM l GROUP BY user_id, seq"""
+
+
+@query(_BOOK_SQL)
 def book_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states, _ = book.reconstruct(synthetic_book(spark, sf_dir))
-    return states.select("token_id", "sequence", F.size("bids").cast("long").alias("n_bids"), F.size("asks").cast("long").alias("n_asks"), F.get("bids.price", F.lit(0)).alias("best_bid"), F.get("asks.price", F.lit(0)).alias("best_ask"))
+    return depth(book.reconstruct(synthetic_book(spark, sf_dir))[0])
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 10)")
@@ -193,13 +191,19 @@ def out_of_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_orderkey || '/' || l_suppkey AS item, CASE WHEN count(DISTINCT l_partkey) > 1 THEN 'divergent' ELSE 'duplicate' END AS kind
-FROM lineitem GROUP BY l_orderkey, l_suppkey HAVING count(*) > 1"""
+    """WITH i AS (SELECT l_orderkey AS p, 'f' || least(l_linenumber, 4) AS f, l_partkey % 3 AS d FROM lineitem), k AS (SELECT p, f, count(*) AS n, count(DISTINCT d) AS v FROM i GROUP BY p, f),
+w AS (SELECT p, sum(n) AS n, count(*) FILTER (f <> 'f4') AS own FROM k GROUP BY p)
+SELECT 'divergent' AS kind, p || '/' || f AS item FROM k WHERE v > 1 UNION ALL SELECT 'duplicate', p || '/' || f FROM k WHERE n > 1
+UNION ALL SELECT 'unexpected_files', p || '/' || f FROM k WHERE f = 'f4' UNION ALL SELECT 'out_of_plan', CAST(p AS VARCHAR) FROM w WHERE p NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
+UNION ALL SELECT 'partial', CAST(p AS VARCHAR) FROM w WHERE p IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F') AND NOT (n = 3 AND own = 3)"""
 )
 def inventory_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("partition_id"), F.col("l_suppkey").cast("string").alias("filename"), F.col("l_partkey").alias("digest"), F.lit("uploaded").alias("state"))
-    found = reconcile.anomalies(li, li.select("partition_id").distinct()).where(F.col("kind").isin("divergent", "duplicate"))
-    return found.groupBy("item").agg(F.min("kind").alias("kind"))
+    """Lines as files of their order, the part as a file's content; orders that aren't finished are the plan."""
+    li = read(spark, sf_dir, "lineitem")
+    file = F.concat(F.lit("f"), F.least("l_linenumber", F.lit(4)).cast("string"))
+    listed = li.select(F.col("l_orderkey").cast("string").alias("partition_id"), file.alias("filename"), (F.col("l_partkey") % 3).alias("digest"), F.lit("uploaded").alias("state"))
+    plan = read(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").cast("string").alias("partition_id"))
+    return reconcile.anomalies(listed, plan, ("f1", "f2", "f3"))
 
 
 @query(
@@ -227,8 +231,8 @@ def round_robin_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH h AS (SELECT DISTINCT user_id, epoch_us(date_trunc('hour', ts)) AS hour FROM events),
-n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hour) AS i, count(*) OVER (PARTITION BY user_id) AS n FROM h)
-SELECT user_id, hour, (i * 4 + n - 1) // n - 1 AS segment FROM n"""
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hour) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM h)
+SELECT user_id, hour, s AS segment FROM n, range(4) t(s) WHERE i >= n * s // 4 AND i < n * (s + 1) // 4"""
 )
 def segment_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = read(spark, sf_dir, "events").select("user_id", F.unix_micros(F.date_trunc("hour", "ts").cast("timestamp")).alias("hour")).distinct()
@@ -244,7 +248,8 @@ def neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rows to each side of each user's greatest value."""
     n = order.sequence(read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "i")
     c = n.groupBy("user_id").agg(F.max_by("i", F.struct("value", "event_id")).alias("at"))
-    return n.join(c, "user_id").where(F.col("i").between(F.col("at") - 2, F.col("at") + 2)).select("event_id", "user_id", (F.col("i") - F.col("at")).alias("distance"))
+    near = forensics.neighbours(n.join(c, "user_id"), ["user_id"], ["i"], F.col("i") == F.col("at"), 2)
+    return near.select("event_id", "user_id", (F.col("i") - F.col("at")).alias("distance"))
 
 
 @query("SELECT epoch(h) :: BIGINT AS start_s, h >= TIMESTAMP '2026-05-01 20:00:00' AS covered FROM generate_series(TIMESTAMP '2026-05-01', TIMESTAMP '2026-05-01 23:00:00', INTERVAL 1 HOUR) t(h) WHERE covered")
@@ -339,3 +344,9 @@ def gap_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = events(spark, sf_dir).select(F.col("user_id").cast("string").alias("condition_id"), F.lit("t").alias("token_id"), F.col("us").alias("gap_start"), F.lead("us").over(w).alias("gap_end"))
     e = quality.gap_evidence(g.where(F.col("gap_end") - F.col("gap_start") > 36_000_000_000))
     return e.select(F.col("condition_id").cast("long").alias("user_id"), "gap_count", F.col("gap_total_ns").alias("gap_total"))
+
+
+# The queries over markets, archives and publication register themselves.
+from gridfold import queries_archive, queries_plans  # noqa: E402
+
+__all__ = ["ORACLE_SQL", "QUERIES", "queries_archive", "queries_plans"]
