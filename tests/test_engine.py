@@ -2,7 +2,9 @@
 
 import hashlib
 import io
+import itertools
 import json
+import os
 import random
 import zipfile
 from datetime import UTC, date, datetime
@@ -150,7 +152,7 @@ def test_selection_comes_before_decoding(spark):
     rows = [bad(-3_600_001), snapshot(ms=-3_600_000), snapshot(ms=0), bad(3_600_000)]
     got = source.select_rows(scanned(spark, rows), markets(spark))
     assert got.count() == 2 and source.decode(got).where("error IS NOT NULL").count() == 0
-    with pytest.raises(Exception, match="malformed row"):
+    with pytest.raises(Exception, match="no known event"):
         source.strict(source.decode(source.select_rows(scanned(spark, [bad(1)]), markets(spark)))).collect()
 
 
@@ -162,8 +164,8 @@ def test_shape_errors(spark):
     ]
     got = source.decode(source.select_rows(scanned(spark, rows), markets(spark))).orderBy("receive_ts_ns")
     assert [r["error"] for r in got.collect()] == [
-        "PRICE_CHANGE lacks side/price/size", "negative update size", "LAST_TRADE_PRICE lacks price/size", "tick sizes must be positive", "book bids missing",
-        "snapshot contains zero-size level", "snapshot contains duplicate price", "book asks must be a list", "level out of range", "invalid decimal",
+        "a price change lacks its side, price or size", "a size is negative", "a trade lacks its price or size", "a tick is not positive", "no bids in a snapshot",
+        "a snapshot has a level of size 0", "a snapshot has a price twice", "asks are no JSON array", "a price is beyond its bounds", "a level is no decimal of this type",
     ]
 
 
@@ -205,15 +207,56 @@ def test_exclusions(spark):
 
 def test_build_verifies_and_does_nothing_twice(spark, tmp_path):
     inputs = pipeline.Inputs("BTC/1h/2026-05-01", markets(spark), scanned(spark, full()))
-    state = sinks.StateStore(tmp_path / "state")
+    state = sinks.StateStore(spark, tmp_path / "state")
+    base = str(tmp_path / "out/asset=BTC/timeframe=1h/date=2026-05-01")
     first = pipeline.build(inputs, str(tmp_path / "out"), state)
     assert first["phase"] == "VERIFIED" and first["manifest"] and not first["no_op"]
+    document = sinks.verify_partition(spark, base)
+    assert document["statistics"] == {"market_count": 1, "exclusion_count": 0, "sample_count": 36_000, "sample_min_ts_ns": T * NS, "sample_max_ts_ns": T * NS + timefn.HOUR_NS - 200 * NS}
+    assert {k: v["rows"] for k, v in document["tables"].items()} == {"markets": 1, "book_events": 5, "book_200ms": 36_000, "underlying": 0, "exclusions": 0}
     assert pipeline.build(inputs, str(tmp_path / "out"), state)["no_op"]
     with pytest.raises(sinks.Conflict):
         state.advance("BTC/1h/2026-05-01", "ACQUIRED", first["identity"])
     other = scanned(spark, [snapshot(), snapshot("2")])
+    tables = pipeline.transform(pipeline.Inputs("x", markets(spark), other))
     with pytest.raises(sinks.Conflict):
-        sinks.write_table(pipeline.transform(pipeline.Inputs("x", markets(spark), other)).book_events, "book_events", str(tmp_path / "out/asset=BTC/timeframe=1h/date=2026-05-01/book_events"))
+        sinks.write_table(tables.book_events, "book_events", f"{base}/book_events")
+    tables.release()
+    assert not [x for x in os.listdir(base) if x.endswith(".part")]
+
+
+def test_the_fold_runs_once_a_build(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+    rows = scanned(spark, full())
+    counted = rows.rdd.map(lambda r: (runs.add(1), r)[1])
+    inputs = pipeline.Inputs("BTC/1h/2026-05-01", markets(spark), spark.createDataFrame(counted, rows.schema))
+    pipeline.build(inputs, str(tmp_path / "out"), sinks.StateStore(spark, tmp_path / "state"))
+    assert runs.value <= 2 * len(full())
+
+
+def test_a_broken_write_leaves_nothing_and_is_repaired(spark, tmp_path):
+    good = markets(spark)
+    broken = good.withColumn("asset", F.when(F.rand() >= 0, F.raise_error(F.lit("lost"))).otherwise(F.col("asset")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_table(broken, "markets", str(tmp_path / "p/markets"))
+    assert not (tmp_path / "p/markets").exists()
+    assert sinks.write_table(good, "markets", str(tmp_path / "p/markets")) == sinks.write_table(good, "markets", str(tmp_path / "p/markets"))
+    assert [x for x in os.listdir(tmp_path / "p") if not x.startswith(".")] == ["markets"]
+
+
+def test_a_changed_file_fails_verification(spark, tmp_path):
+    state = sinks.StateStore(spark, tmp_path / "state")
+    pipeline.build(pipeline.Inputs("BTC/1h/2026-05-01", markets(spark), scanned(spark, full())), str(tmp_path / "out"), state)
+    base = tmp_path / "out/asset=BTC/timeframe=1h/date=2026-05-01"
+    content = (base / "manifest.json").read_bytes()
+    markets(spark, market_id="other").write.mode("overwrite").parquet(str(base / "markets"))
+    with pytest.raises(ValueError, match="other rows"):
+        sinks.verify_partition(spark, str(base))
+    for crc in base.glob(".*.crc"):
+        crc.unlink()
+    (base / "manifest.json").write_bytes(content.replace(b'":', b'": '))
+    with pytest.raises(ValueError, match="canonical"):
+        sinks.verify_partition(spark, str(base))
 
 
 def test_rows_may_come_in_any_order_and_split(spark):
@@ -248,8 +291,8 @@ def payload(**more):
 def test_market_payloads(spark):
     cases = [
         (payload(), "ok"), (payload(clobTokenIds=None), "gap"), (payload(closed=False), "unresolved"), (payload(outcomePrices='["0.7","0.3"]'), "unresolved"),
-        (payload(outcomes='["Down","Up"]'), "error: outcome mapping must be exactly Up,Down"), (payload(description="x"), "error: rules do not bind the frozen hourly candle"),
-        (payload(endDate="2026-05-01T21:00:00Z"), "error: official market end does not match the slug's 1-hour window"), (payload(conditionId="0x1"), "error: invalid condition id"),
+        (payload(outcomes='["Down","Up"]'), "error: not so: the outcomes are Up and Down"), (payload(description="x"), "error: not so: the rules name the hourly candle"),
+        (payload(endDate="2026-05-01T21:00:00Z"), "error: not so: the end is an hour after the slug's start"), (payload(conditionId="0x1"), "error: not so: the condition id is 64 hexadecimal digits"),
     ]
     for text, expected in cases:
         got = market_source.bind(spark.createDataFrame([(text,)], "payload string")).first()
@@ -259,6 +302,13 @@ def test_market_payloads(spark):
     assert got["evidence_sha256"] == hashlib.sha256(payload().encode()).hexdigest()
 
 
+def a_zip(name, text):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(name, text)
+    return out.getvalue()
+
+
 def test_price_archives(spark, tmp_path):
     def pack(name, text):
         out = io.BytesIO()
@@ -271,6 +321,13 @@ def test_price_archives(spark, tmp_path):
     assert (a["source_ts_ns"], a["value"]) == (1_735_689_600 * 10**9, D("0.1"))
     b = prices.read_zips(spark, pack("b.zip", "open_time,open,high,low,close\n1748601000000,33,34,32,33.5\n"), "HYPE", "klines").first()
     assert (b["source_ts_ns"], b["value"], b["instrument_type"]) == (1_748_601_000 * 10**9, D("33.5"), "usds_m_perpetual")
+    two = io.BytesIO()
+    with zipfile.ZipFile(two, "w") as z:
+        z.writestr("x.csv", "1")
+        z.writestr("y.csv", "1")
+    for content, most in ((two.getvalue(), 9), (a_zip("../x.csv", "1"), 9), (a_zip("x.csv", "1234567890"), 9)):
+        with pytest.raises(ValueError):
+            prices.csv_of(content, most)
     with pytest.raises(Exception, match="checksum"):
         prices.read_zips(spark, pack("c.zip", "1,0.1,2,0.2,1,False\n"), "BTC", "trades", "00").collect()
 
@@ -295,6 +352,12 @@ def test_minimum_cover():
     assert calendar.minimum_cover({1: frozenset("a"), 2: frozenset("a"), 3: frozenset("b")}, ("a", "b")) == (3, 2)
     with pytest.raises(ValueError):
         calendar.minimum_cover({1: frozenset("a")}, ("a", "b"))
+    r = random.Random(1)
+    for _ in range(60):  # against all covers: the fewest starts, then the latest
+        some = {i: frozenset(x for x in "abcd" if r.random() < 0.4) for i in range(7)}
+        covers = [c[::-1] for n in range(1, 5) for c in itertools.combinations(sorted(some), n) if frozenset().union(*(some[i] for i in c)) >= set("abcd")]
+        if covers:
+            assert calendar.minimum_cover(some, tuple("abcd")) == max(covers, key=lambda c: (-len(c), c))
 
 
 def test_reconciliation(spark):
@@ -316,8 +379,8 @@ def test_guards_and_sets(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "c")], "k int, v string")
     with pytest.raises(guards.GuardError):
         guards.require_cap(df, ["k"], 1)
-    with pytest.raises(guards.GuardError):
-        guards.unique_records(df, ["k"])
+    with pytest.raises(Exception, match="rows differ for 2"):
+        guards.unique_records(df, ["k"]).collect()
     assert guards.unique_records(df.where("k = 1"), ["k"]).count() == 1
     got = joins.compare_sets(spark.range(3), spark.range(1, 20), "id")
     assert got.where("side = 'missing'").count() == 1 and got.where("side = 'unexpected'").count() == 10
@@ -330,13 +393,15 @@ def test_lookahead_is_an_error(spark):
         spark.createDataFrame([(1, 2)], "g long, t long").select(grid.staleness("g", "t", 1)).collect()
 
 
-def test_publishing(tmp_path):
+def test_publishing(spark, tmp_path):
     (tmp_path / "a").write_text("x")
-    release = sinks.DirectoryRelease(tmp_path / "out")
-    assert release.publish({"p/a": tmp_path / "a"}) == release.publish({"p/a": tmp_path / "a"})
-    (tmp_path / "a").write_text("y")
+    release = sinks.DirectoryRelease(spark, tmp_path / "out")
+    assert release.publish({"p/a": b"x"}) == release.publish({"p/a": b"x"}) 
+    assert list(release.read()) == ["p-a"]
     with pytest.raises(sinks.Conflict):
-        release.publish({"p/a": tmp_path / "a"})
+        release.publish({"p/a": b"y"})
+    assert sinks.folder_bytes(spark, str(tmp_path / "out")) == 1
+    assert sinks.tree_digest({"a": b"x\r\n"}) == sinks.tree_digest({"a": b"x\n"}) != sinks.tree_digest({"b": b"x\n"})
 
 
 def test_stream_holds_markets_until_their_end(spark, tmp_path):
@@ -365,15 +430,104 @@ def test_forensics(spark):
 def test_release_documents(tmp_path, capsys, spark):
     from gridfold import cli
 
-    (tmp_path / "a").write_text("x")
-    published = sinks.DirectoryRelease(tmp_path / "out").publish({"p/a": tmp_path / "a"})
+    release = sinks.DirectoryRelease(spark, tmp_path / "out")
+    published = release.publish({"p/a": b"x"})
     assert cli.main(["verify-release", str(tmp_path / "out")]) == 0 and published["p/a"] in capsys.readouterr().out
-    next((tmp_path / "out").iterdir()).write_text("y")
+    for file in (tmp_path / "out").iterdir():
+        file.unlink() if file.name.startswith(".") else file.write_text("y")
     with pytest.raises(sinks.Conflict):
-        sinks.read_release(tmp_path / "out")
+        release.read()
     assert cli.main(["plan-backfill", "2026-05-01", "2026-05-01"]) == 0 and capsys.readouterr().out.count("\n") == 7
     index = sinks.release_index([sinks.manifest(p, "TIER_A", {}, []) for p in ("b", "a")])
     assert [r["partition"] for r in index["partitions"]] == ["a", "b"]
     assert sinks.notice([{"source_id": "x", "license_class": "EXCLUDED", "license": "CC-BY-4.0"}, {"source_id": "y", "license_class": "OK", "license": "MIT"}]) == {
         "sources": [{"source_id": "y", "license_class": "OK", "license": "MIT"}], "attribution_required": False,
     }
+
+
+def test_fragments_of_a_broken_run_do_not_count(spark, tmp_path):
+    from gridfold.sources import staging
+
+    events = spark.createDataFrame([("c1", 1), ("c2", 2), ("c1", 3)], "condition string, source_row long")
+    held = staging.Fragments(spark, str(tmp_path))
+    held.append(events, "a")
+    held.append(events, "a")
+    staging.encoded(events.withColumn("source", F.lit("b"))).write.parquet(str(tmp_path / "rows/b"))  # never committed
+    assert {tuple(r) for r in held.read(events).select("condition", "source", "source_row").collect()} == {("c1", "a", 1), ("c2", "a", 2), ("c1", "a", 3)}
+    assert {r["condition"]: r["rows"] for r in held.counts(events).collect()} == {"c1": 2, "c2": 1}
+    held.append(events.unionByName(events), "c")
+    with pytest.raises(guards.GuardError, match="twice"):
+        held.read(events)
+
+
+def test_caps_and_owners(spark):
+    owners = spark.createDataFrame([("a", "BTC")], "condition_id string, asset string")
+    with pytest.raises(Exception, match="no asset for condition_id"):
+        guards.over_caps(spark.createDataFrame([("z",)], "condition_id string"), owners, {"market_object": 1}).collect()
+    with pytest.raises(guards.GuardError):
+        source.require_scannable(spark.createDataFrame([("o",), ("o",)], "source_object string"), 1)
+    with pytest.raises(Exception, match="more than 1 rows"):
+        joins.require_few(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], 1).collect()
+
+
+def test_segments_must_cover_and_agree(spark):
+    from gridfold.plans import segments
+
+    def receipt(i, starts, outcome="UP", **more):
+        market = {"market_id": "m", "condition_id": "c", "market_start_ns": 0, "official_outcome": outcome}
+        return (json.dumps({"day": "d", "segment_index": i, "segment_count": 2, "market_starts": starts, "source_bytes": 1, "markets": [market], "files": []} | more),)
+
+    read = lambda *rows: segments.receipts(spark.createDataFrame(list(rows), "receipt string"))
+    starts = spark.createDataFrame([(0,), (3600,)], "start_s long")
+    assert segments.assembled(read(receipt(0, [0]), receipt(1, [3600])), starts).count() == 1
+    with pytest.raises(guards.GuardError, match="cover"):
+        segments.assembled(read(receipt(0, [0]), receipt(1, [])), starts)
+    with pytest.raises(guards.GuardError, match="missing"):
+        segments.assembled(read(receipt(0, [0, 3600])), starts)
+    with pytest.raises(Exception, match="rows differ"):
+        segments.assembled(read(receipt(0, [0]), receipt(1, [3600], "DOWN")), starts).collect()
+    with pytest.raises(Exception, match="no receipt"):
+        read(receipt(0, None)).collect()
+
+
+def test_dispositions_of_slots(spark):
+    start = datetime.fromtimestamp(START_S, UTC)
+    slots = spark.createDataFrame([("BTC", start), ("ETH", start)], "asset string, start timestamp")
+    slug = "bitcoin-up-or-down-may-1-2026-3pm-et"
+    given = lambda *rows: spark.createDataFrame(list(rows), "slug string, payload string")
+    accepted, excluded = market_source.dispose(slots, given((slug, payload()), ("ethereum-up-or-down-may-1-2026-3pm-et", "[]")))
+    assert [r["market_id"] for r in accepted.collect()] == ["7"]
+    x = excluded.first()
+    assert (x["market_id"], x["reason_code"], set(json.loads(x["evidence_json"]))) == ("ethereum-up-or-down-may-1-2026-3pm-et", "SOURCE_GAP", {"payload_sha256"})
+    accepted, excluded = market_source.dispose(slots.where("asset = 'BTC'"), given((slug, payload(closed=False))))
+    x = excluded.first()
+    assert (x["market_id"], x["reason_code"]) == ("7", "UNRESOLVED_MARKET") and json.loads(x["evidence_json"])["slug"] == slug
+    with pytest.raises(Exception, match="another slot"):
+        market_source.dispose(slots.where("asset = 'ETH'"), given(("ethereum-up-or-down-may-1-2026-3pm-et", payload())))[0].collect()
+
+
+def test_markets_are_pushed_to_the_scan(spark, tmp_path):
+    scanned(spark, full()).drop("source_object", "source_row").write.parquet(str(tmp_path / "a"))
+    plan = source.select_rows(source.scan(spark, str(tmp_path / "a")), markets(spark))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("]", 1)[0]
+    assert "market" in pushed and "timestamp_received" in pushed
+
+
+def test_explicit_starts(spark):
+    day, first = date(2026, 5, 1), START_S - 19 * 3_600
+    given = lambda *s: spark.createDataFrame([(x,) for x in s], "start_s long")
+    assert [r[0] for r in calendar.explicit_starts(given(first + 7_200, first, first), day).collect()] == [first, first + 7_200]
+    for wrong in (first + 1, first - 3_600, first + 86_400):
+        with pytest.raises(Exception, match="no hour"):
+            calendar.explicit_starts(given(wrong), day).collect()
+
+
+def test_certification(spark):
+    plan = spark.createDataFrame([("a",), ("b",)], "partition_id string")
+    manifests = lambda *rows: spark.createDataFrame(list(rows), "partition_id string, tier string, files long")
+    assert reconcile.certify(plan, manifests(("a", "TIER_A", 6), ("b", "EXCLUDED", 6)))["TIER_A"] == 1
+    for rows in ([("a", "TIER_A", 6)], [("a", "TIER_A", 6), ("b", "TIER_A", 5)], [("a", "TIER_A", 6), ("c", "TIER_A", 6)]):
+        with pytest.raises(ValueError):
+            reconcile.certify(plan, manifests(*rows))
+    found = spark.createDataFrame([("partial", "x"), ("divergent", "y")], "kind string, item string")
+    assert [r["item"] for r in reconcile.fatal(found).collect()] == ["y"]

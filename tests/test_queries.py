@@ -2,6 +2,7 @@
 
 import os
 
+import pandas as pd
 import pytest
 
 from gridfold import queries
@@ -22,7 +23,7 @@ def duck():
 
 
 def plain(value):
-    if value is None or value != value:
+    if value is None or value is pd.NA or value != value:
         return ""
     return str(int(value)) if isinstance(value, float) and value == int(value) else str(value)
 
