@@ -136,10 +136,12 @@ def followed(docs: DataFrame, group: int = GROUP) -> DataFrame:
         held += n
     own = F.broadcast(spark.createDataFrame(of_cell, "cell int, range int"))
     guests = F.broadcast(spark.createDataFrame([(p, (i - 1) % len(heads)) for i, p in enumerate(heads)], f"{ROW} string, guest_range int"))
-    found = cut.of(placed).join(own, "cell").join(guests, ROW, "left").withColumn("anchors", anchors(F.col("text")))
+    found = cut.of(placed).join(own, "cell").join(guests, ROW, "left")
     guest = F.when(F.col("guest_range").isNotNull(), F.struct(F.col("guest_range").alias("range"), F.lit(1).alias("guest")))
     seats = F.array_compact(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("guest")), guest))
-    both = found.withColumn("seat", F.explode(seats)).select("doc_id", "place", ROW, "text", "anchors", "seat.range", "seat.guest")
+    seated = found.withColumn("seat", F.explode(seats)).select("doc_id", "place", ROW, "text", "seat.range", "seat.guest")
+    # Anchors are worked out behind the shuffle, which carries texts alone.
+    both = seated.repartition("range").withColumn("anchors", anchors(F.col("text")))
     by_range = Window.partitionBy("range").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.desc("place"), F.desc(ROW))
     return both.withColumn("next_text", F.lead("text").over(by_range)).withColumn("next_anchors", F.lead("anchors").over(by_range)).where("guest = 0")
 

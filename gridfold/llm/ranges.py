@@ -43,8 +43,12 @@ class Cells:
     def of(self, rows: DataFrame, name: str = "cell") -> DataFrame:
         """``rows`` with the number of each one's cell."""
         value = F.coalesce(F.col(self.value).cast(WIDE), F.lit(str(self.least)).cast(WIDE))
-        rows = rows.withColumn(name, F.lit(0))
-        for splits in self.rounds:
+        if not self.rounds:
+            return rows.withColumn(name, F.lit(0))
+        root, *later = self.rounds
+        begin, step = (F.lit(str(x)).cast(WIDE) for x in (root[0].low, root[0].step))
+        rows = rows.withColumn(name, F.least(F.floor((value - begin) / step).cast("int"), F.lit(root[0].children - 1)) + root[0].first)
+        for splits in later:
             table = rows.sparkSession.createDataFrame(
                 [(s.cell, s.by_value, str(s.low), str(s.step), s.first, s.children) for s in splits], "gf_cell int, gf_by boolean, gf_low string, gf_step string, gf_first int, gf_n int"
             ).withColumns({c: F.col(c).cast(WIDE) for c in ("gf_low", "gf_step")})
