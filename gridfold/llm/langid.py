@@ -190,12 +190,13 @@ def sample(docs: DataFrame, training: Column, per_language: int) -> DataFrame:
     n = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     whole = (1 << 63) - 1
     likely = [(x, whole if rows <= 16 * per_language else whole * 4 * per_language // rows) for x, rows in sorted(n.items())]
-    near = labelled.join(spark.createDataFrame(likely, "lang string, most long"), "lang").where("rank <= most")
+    # Sent to all tasks: a row for each language, which the driver has just counted.
+    within = lambda limits: labelled.join(F.broadcast(spark.createDataFrame(limits, "lang string, most long")), "lang").where("rank <= most")
     ranks: dict[str, list[int]] = {}
-    for r in near.select("lang", "rank").distinct().collect():
+    for r in within(likely).select("lang", "rank").distinct().collect():
         ranks.setdefault(r["lang"], []).append(r["rank"])
     least = [(x, sorted(found)[:per_language][-1]) for x, found in sorted(ranks.items())]
-    return labelled.join(spark.createDataFrame(least, "lang string, most long"), "lang").where("rank <= most").dropDuplicates(["lang", "rank"]).select("lang", "text")
+    return within(least).dropDuplicates(["lang", "rank"]).select("lang", "text")
 
 
 def counted(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
