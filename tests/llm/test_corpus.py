@@ -4,8 +4,12 @@ import hashlib
 import math
 import os
 import re
+import shutil
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -293,6 +297,21 @@ def test_rows_that_are_no_files_rows_are_written_first(spark, partitioned):
     assert linededup.with_row(twice).select("gf_row").distinct().count() == 2 * folders.count()
 
 
+def test_the_rest_stands_without_this_package(tmp_path):
+    root = Path(__file__).parents[2]
+    shutil.copytree(root / "gridfold", tmp_path / "gridfold", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    entry = "import __spark_entry__ as e; q = e.queries(); print(len(q), len(e.oracle_sql()), any(n.startswith('op') or n == 'pipeline' for n in q))"
+    run = lambda: subprocess.run([sys.executable, "-c", entry], cwd=tmp_path, capture_output=True, text=True)
+    assert run().stdout.split()[2] == "False"
+    shutil.copy(root / "corpus_pipeline.py", tmp_path)
+    assert run().stdout.split()[2] == "False"
+    (tmp_path / "gridfold/llm").mkdir()
+    (tmp_path / "gridfold/llm/__init__.py").write_text("")
+    (tmp_path / "gridfold/llm/queries.py").write_text("import no_such_module")
+    assert "no_such_module" in run().stderr  # a fault within the package isn't taken for its absence
+
+
 # --- stages
 
 

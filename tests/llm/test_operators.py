@@ -161,6 +161,17 @@ def test_ids_equal_the_librarys():
         assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [e.ids for e in tok.encode_batch(part, add_special_tokens=False)]
 
 
+def test_ids_of_every_code_point_equal_the_librarys():
+    from tokenizers import Tokenizer
+
+    tok, coder = Tokenizer.from_file(tokenizer_path()), bytebpe.load(tokenizer_path())
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    texts = ["".join(f"a{c}1 {c}" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+    for low in range(0, len(texts), 2_048):
+        ids, count = coder.encode(texts[low : low + 2_048])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [e.ids for e in tok.encode_batch(texts[low : low + 2_048], add_special_tokens=False)]
+
+
 # --- 3
 
 
