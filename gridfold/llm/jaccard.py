@@ -158,7 +158,7 @@ def sets(docs: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value
-        for batch, data, bounds in parts(batches):
+        for batch, data, bounds in parts(batches, 1 << 21, 1_024):
             gram, row = grams(data, bounds, rule.n)
             size = np.bincount(row, minlength=batch.num_rows)
             first = np.cumsum(size) - size
@@ -215,21 +215,22 @@ def regions(classes: DataFrame, rule: Rule) -> DataFrame:
     return dealt.select("gram", "class").mapInArrow(run, "pivot long, class long").distinct()
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
-    """Rows sorted by key, in tables of whole groups with about ``rows`` rows."""
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int, size: int = 1 << 22) -> Iterator[pa.Table]:
+    """Rows sorted by key, in tables of whole groups with about ``rows`` rows or ``size`` bytes, whichever is less."""
     held: list[pa.RecordBatch] = []
     n = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        n += batch.num_rows
-        keys = batch.column(key).to_numpy()
-        if n >= rows and (keys[0] != keys[-1] or len(held) > 1 and held[-2].column(key)[-1].as_py() != keys[0]):
-            cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
-            yield pa.Table.from_batches([*held[:-1], batch.slice(0, cut)])
-            held = [batch.slice(cut)]
-            n = held[0].num_rows
+    for whole in batches:
+        # Pieces of a batch, so that a table isn't as large as what happens to come at once.
+        step = max(1, min(rows, whole.num_rows * size // max(1, whole.nbytes)))
+        for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+            held.append(batch)
+            n += max(batch.num_rows * size, rows * batch.nbytes)
+            keys = batch.column(key).to_numpy()
+            if n >= rows * size and (keys[0] != keys[-1] or len(held) > 1 and held[-2].column(key)[-1].as_py() != keys[0]):
+                cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
+                yield pa.Table.from_batches([*held[:-1], batch.slice(0, cut)])
+                held = [batch.slice(cut)]
+                n = max(held[0].num_rows * size, rows * held[0].nbytes)
     if held:
         yield pa.Table.from_batches(held)
 
@@ -505,7 +506,7 @@ class Pivots:
 def _met(batches: Iterator[pa.RecordBatch], rule: Rule, width: int) -> Iterator[pa.RecordBatch]:
     """Members with their distances to their region's pivots, which come before them."""
     at, pivots, ready = None, Pivots(), False
-    for batch, data, bounds in parts(batches):
+    for batch, data, bounds in parts(batches, 1 << 21, 1_024):
         gram, row = grams(data, bounds, rule.n)
         place = [batch.column(c).to_numpy() for c in ("pivot", "salt", "side")]
         cuts = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in place], axis=0)])) if batch.num_rows else []
