@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Powers of two that array indexes are searched by, and doublings that reach every index.
-BITS = 31
+#: Powers of two that reach every array index, for searches and doublings. Written as SQL, which the
+#: session parses at once, where each function of a column is a call to the JVM.
+POWERS = ", ".join(str(1 << k) for k in range(31))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -23,7 +24,7 @@ def upto(n: Column, body: Callable[[Column], Column]) -> Column:
 
 def steps(array: Column) -> Column:
     """The powers of two up to an array's size, greatest first: what ``count_while`` searches it by."""
-    return F.filter(F.array(*[F.lit(1 << k) for k in reversed(range(BITS))]), lambda p: p <= F.size(array))
+    return F.filter(F.reverse(F.expr(f"array({POWERS})")), lambda p: p <= F.size(array))
 
 
 def count_while(array: Column, by: Column, holds: Callable[[Column], Column]) -> Column:
@@ -32,17 +33,14 @@ def count_while(array: Column, by: Column, holds: Callable[[Column], Column]) ->
 
 
 def _running(array: Column, combine: Callable[[Column, Column], Column]) -> Column:
-    """What combining the elements up to each one gives, by doubling: n log n, where an aggregate would copy
-    its result for every element."""
+    """What combining the elements up to each one gives, by doubling: n log n, where an aggregate over the
+    elements would copy its result for each of them."""
 
-    def doubled(width: int) -> Callable[[Column], Column]:
-        more = lambda a: F.transform(a, lambda x, i: F.when(i >= width, combine(x, F.get(a, i - width))).otherwise(x))
-        return lambda a: F.when(F.size(a) > width, more(a)).otherwise(a)
+    def doubled(a: Column, width: Column) -> Column:
+        more = F.transform(a, lambda x, i: F.when(i >= width, combine(x, F.get(a, i - width))).otherwise(x))
+        return F.when(F.size(a) > width, more).otherwise(a)
 
-    out = array
-    for k in range(BITS):
-        out = let(out, doubled(1 << k))
-    return out
+    return F.aggregate(F.expr(f"array({POWERS})"), array, doubled)
 
 
 def running_sums(array: Column) -> Column:
