@@ -334,8 +334,10 @@ def change_feed(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataF
     latest = {r["batch"]: r["day"] for r in table.groupBy("batch").agg(F.max("ship_day").alias("day")).collect()} if table is not None else {}
     prices = scratch.cut(items.where("item_id IS NOT NULL").groupBy("item_id").agg(F.coalesce(F.min(cents(F.col("price"))), F.lit(0)).alias("cents")), "prices")
     levels = widths(prices.count())
-    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
-    for k, v in _SETTINGS.items():
+    tasks = "spark.sql.shuffle.partitions"
+    settings = _SETTINGS | {tasks: str(min(levels[0], int(spark.conf.get(tasks))))}  # a task has a bucket at least
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         for batch in sorted(latest):
@@ -352,8 +354,14 @@ def change_feed(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataF
     return found.withColumn("batch", batch_of(F.col("arrival_day"))).select("nation_id", "arrival_day", "item_id", "batch", "change", "old_rank", "new_rank", "revenue")
 
 
-#: State in RocksDB, which map state needs; two versions of it are kept for a failed batch.
-_SETTINGS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.minBatchesToRetain": "2"}
+#: State in RocksDB, which map state needs; two versions of it are kept for a failed batch. Stores are many and small: they
+#: take no room ahead, and a batch writes what it changed.
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _path(spark: SparkSession, name: str) -> tuple:
