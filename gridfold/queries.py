@@ -147,7 +147,55 @@ FROM l GROUP BY user_id, seq"""
 
 @query(_BOOK_SQL)
 def book_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return depth(book.reconstruct(synthetic_book(spark, sf_dir))[0])
+    return depth(book.states_of(book.rebuilt(synthetic_book(spark, sf_dir))))
+
+
+def contested_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``synthetic_book`` in batches of two events, with trades, changes of tick, claimed best prices and crossing bids among its increments."""
+    x = synthetic_book(spark, sf_dir)
+    event, increment = F.col("source_row"), F.col("event_type") != "BOOK"
+    kind = F.when(~increment, "BOOK").when(event % 11 == 0, "LAST_TRADE_PRICE").when(event % 13 == 0, "TICK_SIZE_CHANGE").otherwise("PRICE_CHANGE")
+    price = lambda v: F.lit(v).cast("decimal(9,4)")
+    return x.withColumns(
+        {
+            "event_type": kind, "receive_ts_ns": F.floor(F.col("sequence") / 2) * 1_000, "source_row": F.col("sequence"),
+            "price": F.when((event % 301 == 0) & (F.col("side") == "BUY"), price("0.7")).otherwise(F.col("price")),
+            "best_bid": F.when(increment & (event % 97 == 0), price("0.4")), "best_ask": F.when(increment & (event % 89 == 0), price("0.6")),
+            "old_tick_size": F.when(event % 51 == 0, price("0.001")).otherwise(price("0.01")), "new_tick_size": price("0.01"),
+        }
+    )
+
+
+#: Levels as in ``book_fold``; a claim at a batch's end takes away what was set before it beyond it. Then the first
+#: contradiction of each token: a broken chain of ticks, a crossed book, another best bid or ask than claimed.
+_RULES_SQL = """WITH n AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq, count(*) OVER (PARTITION BY user_id) AS many FROM events),
+e AS (SELECT user_id, seq, seq // 16 AS epoch, event_id, event_id % 2 = 0 AS buy, CASE WHEN event_id % 2 = 0 AND event_id % 301 = 0 THEN 70 ELSE event_id * 7919 % 40 + CASE WHEN event_id % 2 = 0 THEN 5 ELSE 55 END END AS cents,
+  CASE WHEN event_id % 5 = 0 THEN 0 ELSE event_id % 100 + 1 END AS size, seq % 2 = 1 OR seq = many - 1 AS last,
+  CASE WHEN seq % 16 = 0 THEN 'book' WHEN event_id % 11 = 0 THEN 'trade' WHEN event_id % 13 = 0 THEN 'tick' ELSE 'set' END AS kind FROM n),
+u AS (SELECT user_id, seq, epoch, buy, cents, size FROM e WHERE kind = 'set' UNION ALL SELECT user_id, seq, epoch, b, c, 1 FROM e, (VALUES (true, 40), (false, 60)) t(b, c) WHERE kind = 'book'),
+l AS (SELECT e.user_id, e.epoch, e.seq, u.buy, u.cents, max(u.seq) AS since, arg_max(u.size, u.seq) AS size FROM e JOIN u ON u.user_id = e.user_id AND u.epoch = e.epoch AND u.seq <= e.seq WHERE e.kind <> 'trade' GROUP BY ALL),
+c AS (SELECT user_id, epoch, seq, event_id % 97 = 0 AS bid, event_id % 89 = 0 AS ask FROM e WHERE kind = 'set' AND last AND (event_id % 97 = 0 OR event_id % 89 = 0)),
+k AS (SELECT * FROM l WHERE size > 0 AND NOT EXISTS (SELECT 1 FROM c WHERE c.user_id = l.user_id AND c.epoch = l.epoch AND c.seq >= l.since AND c.seq <= l.seq AND (l.buy AND c.bid AND l.cents > 40 OR NOT l.buy AND c.ask AND l.cents < 60))),
+s AS (SELECT e.user_id, e.seq, any_value(e.last) AS last, any_value(e.kind) AS kind, any_value(event_id) AS event_id, max(k.cents) FILTER (k.buy) AS top, min(k.cents) FILTER (NOT k.buy) AS low, count(k.cents) FILTER (k.buy) AS n_bids, count(k.cents) FILTER (NOT k.buy) AS n_asks
+  FROM e LEFT JOIN k ON k.user_id = e.user_id AND k.seq = e.seq WHERE e.kind <> 'trade' GROUP BY e.user_id, e.seq),
+t AS (SELECT user_id, seq, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS nth FROM e WHERE kind = 'tick'),
+w AS (SELECT s.*, CASE WHEN kind = 'tick' AND nth > 1 AND event_id % 51 = 0 THEN 'tick-size chain is inconsistent:' WHEN NOT last THEN NULL WHEN top >= low THEN 'crossed or locked book:'
+  WHEN kind <> 'book' AND event_id % 97 = 0 AND top IS DISTINCT FROM 40 THEN printf('best bid disagrees: reconstructed=%s, claimed=0.40;', coalesce(printf('%.2f', top / 100), 'None'))
+  WHEN kind <> 'book' AND event_id % 89 = 0 AND low IS DISTINCT FROM 60 THEN printf('best ask disagrees: reconstructed=%s, claimed=0.60;', coalesce(printf('%.2f', low / 100), 'None')) END AS error FROM s LEFT JOIN t USING (user_id, seq)),
+f AS (SELECT user_id, min(seq) AS at, arg_min(error, seq) AS error FROM w WHERE error IS NOT NULL GROUP BY user_id)
+SELECT CAST(w.user_id AS VARCHAR) AS token_id, any_value(f.error) AS error, any_value(f.at) AS error_row, CASE WHEN any_value(f.at) IS NULL THEN count(*) END AS n_states,
+  CASE WHEN any_value(f.at) IS NULL THEN CAST(sum(n_bids) AS BIGINT) END AS n_bids, CASE WHEN any_value(f.at) IS NULL THEN CAST(sum(n_asks) AS BIGINT) END AS n_asks
+FROM w LEFT JOIN f USING (user_id) GROUP BY w.user_id"""
+
+
+@query(_RULES_SQL)
+def book_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each token its states' levels or, in their place, its first contradiction and where that is."""
+    good = lambda c: F.when(F.max("error").isNull(), c)
+    rows = book.rebuilt(contested_book(spark, sf_dir)).groupBy("token_id")
+    found = rows.agg(F.max("error").alias("text"), good(F.count("sequence")).alias("n_states"), good(F.sum(F.size("bids"))).alias("n_bids"), good(F.sum(F.size("asks"))).alias("n_asks"))
+    where = F.regexp_extract("text", r"source_row=(\d+)", 1)
+    return found.select("token_id", F.when(where != "", F.regexp_extract("text", "^(.*?[:;]) receive_ts_ns", 1)).alias("error"), F.when(where != "", where).cast("long").alias("error_row"), "n_states", "n_bids", "n_asks")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 10)")

@@ -531,3 +531,46 @@ def test_certification(spark):
             reconcile.certify(plan, manifests(*rows))
     found = spark.createDataFrame([("partial", "x"), ("divergent", "y")], "kind string, item string")
     assert [r["item"] for r in reconcile.fatal(found).collect()] == ["y"]
+
+
+def fold_batches(n, rows=10_000):
+    """One token's events as the fold gets them, made as they are asked for."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng, none = np.random.default_rng(5), pa.array(np.full(rows, book.NONE))
+    for k in range(n):
+        at = np.arange(k * rows, (k + 1) * rows)
+        kind = np.where(at % 5_000 == 0, book.BOOK, np.where(at % 2, book.BUY, book.SELL)).astype(np.int8)
+        price = np.where(kind == book.BUY, rng.integers(100, 4_900, rows), rng.integers(5_100, 9_900, rows))
+        side = lambda v: pa.array([[v] if b else None for b in kind == book.BOOK], pa.list_(pa.int64()))  # noqa: B023, E731
+        numbers = {"source_ts_ns": pa.array(at * 1_000), "receive_ts_ns": pa.array(at * 1_000), "sequence": pa.array(at), "price": pa.array(price), "size": pa.array(rng.integers(0, 3, rows))}
+        yield pa.RecordBatch.from_pydict({"kind": pa.array(kind), "last": pa.array(np.ones(rows, bool)), **numbers, "best_bid": none, "best_ask": none, "old_tick": none, "new_tick": none, "bid_prices": side(5_000), "bid_sizes": side(1), "ask_prices": side(5_050), "ask_sizes": side(1)})
+
+
+def test_a_token_of_two_million_events_needs_no_more_memory():
+    import resource
+
+    peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert sum(x.num_rows for x in book.fold("0xm", "1", fold_batches(10), 500_000)) == 200
+    before = peak()
+    assert sum(x.num_rows for x in book.fold("0xm", "1", fold_batches(200), 500_000)) == 4_000
+    assert peak() - before < 50_000  # KiB
+
+
+def test_the_fold_carries_its_state_from_batch_to_batch():
+    whole = list(book.fold("0xm", "1", fold_batches(2, 500), 9_000))
+    cut = (x.slice(a, 7) for x in fold_batches(2, 500) for a in range(0, 500, 7))
+    assert [r for x in book.fold("0xm", "1", cut, 9_000) for r in x.to_pylist()] == [r for x in whole for r in x.to_pylist()]
+
+
+def test_the_fold_takes_no_events_out_of_order():
+    first, second = fold_batches(2)
+    with pytest.raises(ValueError, match="out of order"):
+        list(book.fold("0xm", "1", iter([second, first])))
+
+
+def test_the_fold_sorts_once_even_if_a_key_is_constant(spark):
+    events = ordered(spark, full()).withColumn("condition_id", F.lit(COND))
+    plan = book.rebuilt(events)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [gf_token") == 1
