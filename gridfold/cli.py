@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from gridfold import sinks
 from gridfold.plans import calendar
+from gridfold.release import Release
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -25,13 +26,17 @@ def main(argv: list[str] | None = None) -> int:
     hours.add_argument("--prefix", default="")
     partition = commands.add_parser("verify-partition", help="a partition's tables against its manifest")
     partition.add_argument("path")
-    release = commands.add_parser("verify-release", help="digests of a directory release")
+    release = commands.add_parser("verify-release", help="the files of a release, each read again and held against its name")
     release.add_argument("path")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("gridfold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "verify-release":
-        print(json.dumps(sinks.DirectoryRelease(spark, args.path).read(), indent=1, sort_keys=True))
-        return 0
+        root, _, tag = args.path.rstrip("/").rpartition("/")
+        wrong = 0
+        for row in Release(spark, root, tag).verified().orderBy("name").toLocalIterator():
+            print(json.dumps(row.asDict(), sort_keys=True))
+            wrong += row["state"] != "uploaded"
+        return int(wrong > 0)
     if args.command == "plan-backfill":
         rows = calendar.backfill_plan(spark, args.start, args.end, args.group_prefix).orderBy("day", "asset")
     elif args.command == "inventory":

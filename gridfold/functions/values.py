@@ -82,14 +82,19 @@ def json_list(text: Column) -> Column:
     return F.from_json(text, "array<string>")
 
 
-def content_name(name: Column, digest: Column) -> Column:
-    """``part/of/name.ext`` under its digest: ``part-of-name.ext--digest``."""
-    return F.concat_ws("--", F.replace(name, F.lit("/"), F.lit("-")), digest)
+def content_name_of(partition: str, filename: str, digest: str) -> str:
+    """The name that a partition's file is published under: ``BTC--1h--2026-05-01--<digest>--markets.parquet``."""
+    return "--".join((partition.replace("/", "--"), digest, filename))
+
+
+def content_name(partition: Column, filename: Column, digest: Column) -> Column:
+    """``content_name_of`` of columns."""
+    return F.concat_ws("--", F.replace(partition, F.lit("/"), F.lit("--")), digest, filename)
 
 
 def digest_of(name: Column) -> Column:
-    """The digest that a content-addressed name ends in; null if there is none."""
-    found = F.regexp_extract(name, r"--([0-9a-f]{64})$", 1)
+    """The digest in a published name, the last part but one; null if there is none."""
+    found = F.regexp_extract(name, r"^.*--([0-9a-f]{64})--(?:(?!--).)*$", 1)
     return F.when(found != "", found)
 
 

@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridfold.functions.timefn import HOUR_NS
+from gridfold.functions.timefn import HOUR_NS, half_month
 
 #: The files of a complete partition.
 FILES = ("markets.parquet", "book_events.parquet", "book_200ms.parquet", "underlying.parquet", "exclusions.parquet", "manifest.json")
-NAME = r"^([A-Z]+)-1h-(\d{4}-\d{2}-\d{2})-(.+)--([0-9a-f]{64})$"
+NAME = r"^(BTC|ETH|SOL|XRP|DOGE|BNB|HYPE)--1h--(\d{4}-\d{2}-\d{2})--([0-9a-f]{64})--(.+)$"
 
 
-def parse_listing(listing: DataFrame, name: str = "name") -> DataFrame:
-    """partition_id, filename, digest from names like ``BTC-1h-2026-05-01-markets.parquet--<digest>``."""
-    part = lambda i: F.regexp_extract(name, NAME, i)
-    parsed = listing.where(F.col(name).rlike(NAME))
-    return parsed.withColumns({"partition_id": F.concat_ws("/", part(1), F.lit("1h"), part(2)), "filename": part(3), "digest": part(4)})
+def parse_listing(listing: DataFrame, name: str = "name", release: str | None = None, prefix: str | None = None) -> DataFrame:
+    """partition_id, filename and digest from names like ``BTC--1h--2026-05-01--<digest>--markets.parquet``, and a fault.
+
+    No row goes. ``fault``: noncanonical, if a name isn't one; release, if ``prefix`` is given and the file
+    stands in another half month's release than its day's; null for all others."""
+    ok = F.col(name).rlike(NAME) & F.try_to_date(F.regexp_extract(name, NAME, 2), "yyyy-MM-dd").isNotNull()
+    part = lambda i: F.when(ok, F.regexp_extract(name, NAME, i))
+    parsed = listing.withColumns({"partition_id": F.when(ok, F.concat_ws("/", part(1), F.lit("1h"), part(2))), "filename": part(4), "digest": part(3)})
+    fault = F.when(~F.coalesce(ok, F.lit(False)), "noncanonical")
+    if release is not None and prefix is not None:
+        fault = fault.when(~F.col(release).eqNullSafe(F.concat(F.lit(f"{prefix}-"), half_month(F.to_date(part(2))))), "release")
+    return parsed.withColumn("fault", fault)
+
+
+def listing_faults(parsed: DataFrame, name: str = "name") -> DataFrame:
+    """kind, item: what a listing has that no partition can own. Each of these ends a run."""
+    return parsed.where("fault IS NOT NULL").select(F.col("fault").alias("kind"), F.col(name).alias("item"))
 
 
 def complete(inventory: DataFrame, files: tuple[str, ...] = FILES) -> DataFrame:

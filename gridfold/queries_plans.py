@@ -161,26 +161,35 @@ def catalogue_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.incomplete(p.withColumn("html", text), r"Page (\d+) of (\d+)")
 
 
-_LISTED = "SELECT 'BTC-1h-2026-05-0' || c_custkey % 9 + 1 || '-' || CASE WHEN c_custkey % 2 = 0 THEN 'markets.parquet' ELSE 'manifest.json' END || '--' || sha256(c_custkey :: VARCHAR) AS name"
+_LISTED = """SELECT CASE WHEN c_custkey % 5 = 0 THEN 'x' ELSE '' END || 'BTC--1h--2026-05-' || printf('%02d', c_custkey % 28 + 1) || '--' || sha256(c_custkey :: VARCHAR) || '--' || CASE WHEN c_custkey % 2 = 0 THEN 'markets.parquet' ELSE 'manifest.json' END AS name,
+  'data-2026-05-' || CASE WHEN c_custkey % 3 = 0 THEN 'a' ELSE 'b' END AS release, c_custkey FROM customer"""
 
 
 @query(
-    """SELECT 'BTC/1h/2026-05-0' || c_custkey % 9 + 1 AS partition_id, CASE WHEN c_custkey % 2 = 0 THEN 'markets.parquet' ELSE 'manifest.json' END AS filename, sha256(c_custkey :: VARCHAR) AS digest FROM customer WHERE c_custkey % 5 <> 0"""
+    f"""WITH l AS ({_LISTED})
+SELECT name, CASE WHEN c_custkey % 5 <> 0 THEN 'BTC/1h/2026-05-' || printf('%02d', c_custkey % 28 + 1) END AS partition_id,
+  CASE WHEN c_custkey % 5 <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'markets.parquet' ELSE 'manifest.json' END END AS filename, CASE WHEN c_custkey % 5 <> 0 THEN sha256(c_custkey :: VARCHAR) END AS digest,
+  CASE WHEN c_custkey % 5 = 0 THEN 'noncanonical' WHEN (c_custkey % 28 + 1 <= 15) <> (c_custkey % 3 = 0) THEN 'release' END AS fault FROM l"""
 )
 def published_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of published files read again; a fifth of the names are no such names."""
+    """Names of published files read again: a fifth are no such names, and some stand in the wrong half month's release."""
     k = F.col("c_custkey")
-    part = F.concat(F.lit("BTC-1h-2026-05-0"), (k % 9 + 1).cast("string"), F.lit("-"), F.when(k % 2 == 0, "markets.parquet").otherwise("manifest.json"))
-    name = values.content_name(part, values.sha256(k.cast("string")))
-    listing = read(spark, sf_dir, "customer").select(F.when(k % 5 == 0, F.concat(F.lit("x"), name)).otherwise(name).alias("name"))
-    return reconcile.parse_listing(listing).select("partition_id", "filename", "digest")
+    partition = F.concat(F.lit("BTC/1h/2026-05-"), F.format_string("%02d", k % 28 + 1))
+    name = values.content_name(partition, F.when(k % 2 == 0, "markets.parquet").otherwise("manifest.json"), values.sha256(k.cast("string")))
+    release = F.when(k % 3 == 0, "data-2026-05-a").otherwise("data-2026-05-b")
+    listing = read(spark, sf_dir, "customer").select(F.when(k % 5 == 0, F.concat(F.lit("x"), name)).otherwise(name).alias("name"), release.alias("release"))
+    return reconcile.parse_listing(listing, release="release", prefix="data").select("name", "partition_id", "filename", "digest", "fault")
 
 
-@query("SELECT c_custkey, 'part-' || c_custkey || '-x.json--' || sha256(c_custkey :: VARCHAR) AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE sha256(c_custkey :: VARCHAR) END AS digest FROM customer")
+@query(
+    """SELECT c_custkey, 'BTC--1h--2026-05-01--' || sha256(c_custkey :: VARCHAR) || '--' || c_custkey || '.json' AS name,
+  CASE WHEN c_custkey % 3 <> 0 THEN sha256(c_custkey :: VARCHAR) END AS digest FROM customer"""
+)
 def content_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published names, and the digests in them; of a third a digit is gone."""
     k = F.col("c_custkey")
-    name = values.content_name(F.concat(F.lit("part/"), k.cast("string"), F.lit("/x.json")), values.sha256(k.cast("string")))
-    cut = F.when(k % 3 == 0, F.left(name, F.length(name) - 1)).otherwise(name)
+    name = values.content_name(F.lit("BTC/1h/2026-05-01"), F.concat(k.cast("string"), F.lit(".json")), values.sha256(k.cast("string")))
+    cut = F.when(k % 3 == 0, F.concat(F.substr(name, F.lit(1), F.lit(30)), F.substr(name, F.lit(32)))).otherwise(name)
     return read(spark, sf_dir, "customer").select("c_custkey", name.alias("name"), values.digest_of(cut).alias("digest"))
 
 

@@ -11,17 +11,15 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gridfold import schemas
-from gridfold.storage import Store
+from gridfold import schemas, tablefiles
+from gridfold.storage import Conflict, Store
 
 MANIFEST = "manifest.json"
+#: The phases, and the licence that asks for attribution.
+ATTRIBUTED = "CC-BY-4.0"
 PHASES = ("INVENTORIED", "ACQUIRED", "TRANSFORMED", "VERIFIED", "PUBLISHED")
 
 
-class Conflict(ValueError):
-    """Something published or recorded would change."""
-
-
 def _row_hashes(columns: Sequence[str]) -> list[Column]:
     row = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
     wide = lambda h: h.cast("decimal(20,0)")
@@ -38,36 +36,38 @@ def logical_digest(df: DataFrame) -> str:
 
 
 def write_table(df: DataFrame, name: str, out: str) -> dict:
-    """Write one of the fixed tables sorted, zstd, without dictionaries: its rows and logical digest.
+    """Write one of the fixed tables sorted: its rows, logical digest and files.
 
-    Rows are counted and hashed as they are written; then the files are read again and held against that,
-    and only then get their name. So a table is there whole or not at all: what a crash leaves has another
+    The rows are counted and hashed as they are written, and the tasks report each file's rows, bytes and digest, so
+    nothing is read again. A table is there whole or not at all: what a crash leaves has another
     name. The same rows again are no change; other rows under the same path are a conflict."""
     spark = df.sparkSession
-    wanted = schemas.table(name)
-    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
+    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.table(name)])
     at, leaf = out.rstrip("/").rsplit("/", 1)
     store = Store(spark, at)
     part = f"_{leaf}.{uuid.uuid4().hex[:8]}.part"
     _, order = schemas.TABLES[name]
     seen = Observation()
     ordered = typed.repartitionByRange(*order).sortWithinPartitions(*order).observe(seen, *_row_hashes(typed.columns))
-    ordered.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"{at}/{part}")
-    meant = {"rows": seen.get["n"], "digest": _digest(seen.get)}
     try:
-        verify(spark, name, f"{at}/{part}", **meant)
+        tablefiles.write(ordered, store.fs.makeQualified(store._at(part)).toString())
+        files = json.loads(store.read(f"{part}/{tablefiles.RECORD}"))
+        meant = {"rows": seen.get["n"], "digest": _digest(seen.get)}
+        if sum(f["rows"] for f in files) != meant["rows"]:
+            raise ValueError(f"{out} was written with other rows than were seen")
         if store.exists(leaf):
-            if logical_digest(spark.read.schema(wanted).parquet(out)) != meant["digest"]:
+            if logical_digest(spark.read.schema(schemas.table(name)).parquet(out)) != meant["digest"]:
                 raise Conflict(f"{out} holds other rows")
+            files = json.loads(store.read(f"{leaf}/{tablefiles.RECORD}"))
         else:
             store.move(part, leaf)
     finally:
         store.remove(part)
-    return meant
+    return meant | {"files": files}
 
 
-def verify(spark: SparkSession, name: str, path: str, rows: int, digest: str | None = None) -> None:
-    """Hold a table's files against its schema and what is on record of its rows."""
+def verify(spark: SparkSession, name: str, path: str, rows: int, digest: str | None = None, files: list[dict] | None = None) -> None:
+    """Hold a table's files against its schema and what is on record of its rows and of its files."""
     df = spark.read.parquet(path)
     have = {f.name: f.dataType.simpleString() for f in df.schema}
     want = {f.name: f.dataType.simpleString() for f in schemas.table(name)}
@@ -76,6 +76,8 @@ def verify(spark: SparkSession, name: str, path: str, rows: int, digest: str | N
     found = df.agg(*_row_hashes(df.columns)).first().asDict()
     if found["n"] != rows or digest is not None and _digest(found) != digest:
         raise ValueError(f"{path} holds other rows than the {rows} on record")
+    if files is not None and {f: n for f, n in Store(spark, path).files() if not f.startswith(("_", "."))} != {f["name"]: f["bytes"] for f in files}:
+        raise ValueError(f"{path} holds other files than on record")
 
 
 def verify_partition(spark: SparkSession, path: str) -> dict:
@@ -101,21 +103,33 @@ def manifest(partition: str, tier: str, tables: dict[str, dict], provenance: lis
 
 
 class StateStore:
-    """Phases of partitions as JSON files: no way back, and what is recorded never changes."""
+    """Phases of partitions as logs of numbered entries: no way back, and what is recorded never changes.
+
+    An entry is made only if its number isn't there yet, so of two that advance a partition at once one is a Conflict.
+    An entry that is there is whole, and the last one counts: a crash between any two steps loses nothing."""
 
     def __init__(self, spark: SparkSession, root: str | Path) -> None:
-        self.store = Store(spark, str(root))
+        self.spark, self.root = spark, str(root).rstrip("/")
 
-    @staticmethod
-    def _name(partition: str) -> str:
-        return partition.replace("/", "-") + ".json"
+    def _log(self, partition: str) -> Store:
+        return Store(self.spark, f"{self.root}/{partition.replace('/', '-')}")
+
+    def _last(self, log: Store) -> int:
+        return max((int(x.removesuffix(".json")) for x in log.names() if not x.startswith(".") and x.endswith(".json")), default=0)
 
     def read(self, partition: str) -> dict | None:
-        name = self._name(partition)
-        return json.loads(self.store.read(name)) if self.store.exists(name) else None
+        log = self._log(partition)
+        last = self._last(log)
+        return json.loads(log.read(f"{last:06d}.json")) if last else None
+
+    def history(self, partition: str) -> list[dict]:
+        log = self._log(partition)
+        return [json.loads(log.read(f"{n:06d}.json")) for n in range(1, self._last(log) + 1)]
 
     def advance(self, partition: str, phase: str, identity: str, manifest_sha256: str | None = None) -> dict:
-        now = self.read(partition)
+        log = self._log(partition)
+        last = self._last(log)
+        now = json.loads(log.read(f"{last:06d}.json")) if last else None
         if now is not None:
             if now["identity"] != identity:
                 raise Conflict(f"{partition} is on record with other inputs")
@@ -124,7 +138,8 @@ class StateStore:
             if now.get("manifest") and manifest_sha256 and now["manifest"] != manifest_sha256:
                 raise Conflict(f"{partition} is on record with another manifest")
         state = {"phase": phase, "identity": identity, "manifest": manifest_sha256 or (now or {}).get("manifest")}
-        self.store.write(self._name(partition), canonical(state))
+        if state != now and not log.create(f"{last + 1:06d}.json", canonical(state)):
+            raise Conflict(f"{partition} was advanced by another writer")
         return state
 
 
@@ -137,62 +152,24 @@ def tree_digest(files: dict[str, bytes]) -> str:
     return out.hexdigest()
 
 
-class DirectoryRelease:
-    """Files published under their digests; one logical name has one digest for good.
-
-    A file is written under a draft's name, read back, and renamed once its digest is right."""
-
-    def __init__(self, spark: SparkSession, root: str | Path) -> None:
-        self.store = Store(spark, str(root))
-
-    def publish(self, files: dict[str, bytes]) -> dict[str, str]:
-        out = {}
-        names = self.store.names()
-        for logical, content in sorted(files.items()):
-            digest = hashlib.sha256(content).hexdigest()
-            name = logical.replace("/", "-")
-            target = f"{name}--{digest}"
-            others = [x for x in names if x.rpartition("--")[0] == name and x != target]
-            if others:
-                raise Conflict(f"{logical} is published as {others[0]}")
-            if target not in names:
-                draft = f"{target}.draft"
-                self.store.write(draft, content)
-                if self.store.sha256(draft) != digest:
-                    self.store.remove(draft)
-                    raise Conflict(f"{logical} was written as something else")
-                self.store.move(draft, target)
-            elif self.store.sha256(target) != digest:
-                raise Conflict(f"{target} isn't what its name says")
-            out[logical] = digest
-        return out
-
-    def read(self) -> dict[str, str]:
-        """logical name to digest of everything that is published, each file held against its digest."""
-        out: dict[str, str] = {}
-        for file in self.store.names():
-            name, _, digest = file.rpartition("--")
-            if len(digest) != 64 or set(digest) - set("0123456789abcdef"):
-                continue
-            if name in out or self.store.sha256(file) != digest:
-                raise Conflict(f"{file} isn't what its name says")
-            out[name] = digest
-        return out
-
-
 def folder_bytes(spark: SparkSession, root: str) -> int:
     return sum(size for _, size in Store(spark, root).files())
 
 
-def release_index(manifests: list[dict]) -> dict:
-    """The partitions of a release by id, with their tiers and manifest digests."""
-    rows = [{"partition": m["partition"], "quality_tier": m["quality_tier"], "manifest_sha256": hashlib.sha256(canonical(m)).hexdigest()} for m in manifests]
+def release_index(manifests: list[dict], version: str, cutoff_ns: int) -> dict:
+    """The partitions of a release by id, each with its manifest's place, length and digest."""
+    rows = []
+    for m in manifests:
+        content = canonical(m)
+        asset, frame, day = m["partition"].split("/")
+        rows.append({"partition": m["partition"], "manifest_path": f"asset={asset}/timeframe={frame}/date={day}/{MANIFEST}", "byte_length": len(content), "sha256": hashlib.sha256(content).hexdigest()})
     if len({r["partition"] for r in rows}) != len(rows):
         raise Conflict("a partition appears twice")
-    return {"schema_version": schemas.SCHEMA_VERSION, "partitions": sorted(rows, key=lambda r: r["partition"])}
+    return {"schema_version": schemas.SCHEMA_VERSION, "release_version": version, "release_cutoff_ns": cutoff_ns, "partitions": sorted(rows, key=lambda r: r["partition"])}
 
 
 def notice(sources: list[dict]) -> dict:
-    """What must be said about the sources that a release includes. sources: source_id, license_class, license."""
+    """What must be said of each source that a release includes. sources: source_id, license_class, license, and url and role."""
     included = sorted((s for s in sources if s["license_class"] != "EXCLUDED"), key=lambda s: s["source_id"])
-    return {"sources": included, "attribution_required": any(s["license"] == "CC-BY-4.0" for s in included)}
+    said = [{"source_id": s["source_id"], "source_url": s.get("url"), "license_id": s["license"], "role": s.get("role"), "attribution_required": s["license"] == ATTRIBUTED} for s in included]
+    return {"schema_version": schemas.SCHEMA_VERSION, "combined_dataset_license": None, "sources": said}

@@ -17,6 +17,7 @@ from gridfold import pipeline, schemas, sinks
 from gridfold.functions import identity, timefn, values
 from gridfold.operators import book, grid, guards, joins, order
 from gridfold.plans import calendar, reconcile
+from gridfold.release import Release
 from gridfold.sources import events as source
 from gridfold.sources import markets as market_source
 from gridfold.sources import prices
@@ -362,9 +363,9 @@ def test_minimum_cover():
 
 def test_reconciliation(spark):
     def name(part, file, digest="0" * 64):
-        return (f"{part}-{file}--{digest}", "uploaded")
+        return (f"{part}--{digest}--{file}", "uploaded")
 
-    rows = [name("BTC-1h-2026-05-01", f) for f in reconcile.FILES] + [name("ETH-1h-2026-05-01", "markets.parquet"), name("SOL-1h-2026-05-01", "odd.txt"), name("ETH-1h-2026-05-01", "markets.parquet", "1" * 64)]
+    rows = [name("BTC--1h--2026-05-01", f) for f in reconcile.FILES] + [name("ETH--1h--2026-05-01", "markets.parquet"), name("SOL--1h--2026-05-01", "odd.txt"), name("ETH--1h--2026-05-01", "markets.parquet", "1" * 64)]
     listing = reconcile.parse_listing(spark.createDataFrame(rows, "name string, state string"))
     plan = spark.createDataFrame([("BTC/1h/2026-05-01",), ("ETH/1h/2026-05-01",)], "partition_id string")
     assert [r[0] for r in reconcile.complete(listing).collect()] == ["BTC/1h/2026-05-01"]
@@ -393,17 +394,123 @@ def test_lookahead_is_an_error(spark):
         spark.createDataFrame([(1, 2)], "g long, t long").select(grid.staleness("g", "t", 1)).collect()
 
 
-def test_publishing(spark, tmp_path):
-    (tmp_path / "a").write_text("x")
-    release = sinks.DirectoryRelease(spark, tmp_path / "out")
-    assert release.publish({"p/a": b"x"}) == release.publish({"p/a": b"x"}) 
-    assert list(release.read()) == ["p-a"]
-    with pytest.raises(sinks.Conflict):
-        release.publish({"p/a": b"y"})
-    assert sinks.folder_bytes(spark, str(tmp_path / "out")) == 1
+@pytest.fixture
+def folder(tmp_path):
+    out = tmp_path / "partition"
+    for name, content in (("manifest.json", b"{}"), ("markets/part-0.parquet", b"m" * 9), ("book_events/part-0.parquet", b"a"), ("book_events/part-1.parquet", b"b"), ("markets/_files.json", b"[]")):
+        (out / name).parent.mkdir(parents=True, exist_ok=True)
+        (out / name).write_bytes(content)
+    return out
+
+
+def test_publishing(spark, tmp_path, folder):
+    release = Release(spark, tmp_path / "out", "data-2026-05-a")
+    sha = hashlib.sha256(b"m" * 9).hexdigest()
+    first = release.publish("BTC/1h/2026-05-01", str(folder))
+    assert [(r["filename"], r["bytes"], r["state"]) for r in first] == [
+        ("book_events-00001.parquet", 1, "uploaded"), ("book_events-00002.parquet", 1, "uploaded"), ("manifest.json", 2, "uploaded"), ("markets.parquet", 9, "uploaded"),
+    ]
+    assert (tmp_path / "out/data-2026-05-a" / f"BTC--1h--2026-05-01--{sha}--markets.parquet").read_bytes() == b"m" * 9
+    assert {r["state"] for r in release.publish("BTC/1h/2026-05-01", str(folder))} == {"present"}
+    (folder / "markets/part-0.parquet").write_bytes(b"other")
+    with pytest.raises(Exception, match="another markets.parquet"):
+        release.publish("BTC/1h/2026-05-01", str(folder))
+    assert sinks.folder_bytes(spark, str(tmp_path / "out")) >= 13
     assert sinks.tree_digest({"a": b"x\r\n"}) == sinks.tree_digest({"a": b"x\n"}) != sinks.tree_digest({"b": b"x\n"})
 
 
+def test_a_broken_publication_goes_on_where_it_stopped(spark, tmp_path, folder):
+    release = Release(spark, tmp_path / "out", "data-2026-05-a")
+    release.publish("BTC/1h/2026-05-01", str(folder))
+    out = tmp_path / "out/data-2026-05-a"
+    gone = next(out.glob("*markets.parquet"))
+    (out / f".{gone.name}.1234.partial").write_bytes(gone.read_bytes()[:3])
+    gone.unlink()
+    again = release.publish("BTC/1h/2026-05-01", str(folder))
+    assert {r["filename"]: r["state"] for r in again}["markets.parquet"] == "uploaded" and sum(r["state"] == "present" for r in again) == 3
+    assert {r["state"] for r in release.verified("data").collect()} == {"uploaded"}
+    next(out.glob("*manifest.json")).write_bytes(b"{ }")
+    (out / "readme.txt").write_text("x")
+    assert sorted(r["state"] for r in release.verified("other").collect()) == ["noncanonical"] + ["release"] * 4
+    assert sorted(r["state"] for r in release.verified().collect()) == ["digest", "noncanonical", "uploaded", "uploaded", "uploaded"]
+    release.finalise()
+    with pytest.raises(sinks.Conflict):
+        release.publish("BTC/1h/2026-05-01", str(folder))
+    with pytest.raises(sinks.Conflict):
+        release.finalise()
+
+
+def test_publishing_takes_no_memory_of_the_driver(spark, tmp_path):
+    """A file of 300 MB is hashed and copied in chunks; neither the driver's Python nor its JVM holds it."""
+    import resource
+
+    (tmp_path / "p").mkdir()
+    with (tmp_path / "p/book_events.parquet").open("wb") as f:
+        f.truncate(300 << 20)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert Release(spark, tmp_path / "out", "t").publish("BTC/1h/2026-05-01", str(tmp_path / "p"))[0]["bytes"] == 300 << 20
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 30_000  # KiB
+
+
+def test_of_two_writers_one_advances(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    state = sinks.StateStore(spark, tmp_path / "state")
+    state.advance("BTC/1h/2026-05-01", "INVENTORIED", "i")
+
+    def attempt(k):
+        try:
+            return state.advance("BTC/1h/2026-05-01", "ACQUIRED", "i", str(k))
+        except sinks.Conflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        found = [x for x in pool.map(attempt, range(8)) if x]
+    assert found and state.read("BTC/1h/2026-05-01") == found[0] and len({json.dumps(x) for x in found}) == 1
+    assert [x["phase"] for x in state.history("BTC/1h/2026-05-01")] == ["INVENTORIED", "ACQUIRED"]
+    with pytest.raises(sinks.Conflict):
+        state.advance("BTC/1h/2026-05-01", "INVENTORIED", "i")
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    from gridfold.storage import Store
+
+    store = Store(spark, str(tmp_path))
+    assert store.create("a", b"1") and not store.create("a", b"2") and store.read("a") == b"1"
+    store.write("a", b"3")
+    assert store.read("a") == b"3" and store.names() == ["a"]
+
+
+def test_tasks_report_their_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from gridfold import tablefiles
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7000")
+    try:
+        tablefiles.write(spark.range(0, 100_000, 1, 1).withColumn("d", F.col("id").cast("decimal(9,4)")), str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    (file,) = json.loads((tmp_path / "t/_files.json").read_text())
+    content = (tmp_path / "t" / file["name"]).read_bytes()
+    assert (file["rows"], file["bytes"], file["sha256"]) == (100_000, len(content), hashlib.sha256(content).hexdigest())
+    meta = pq.read_metadata(tmp_path / "t" / file["name"])
+    assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [65_536, 34_464]
+    assert meta.row_group(0).column(0).compression == "ZSTD" and meta.row_group(0).column(0).has_dictionary_page is False
+    assert spark.read.parquet(str(tmp_path / "t")).agg(F.sum("id")).first()[0] == 4_999_950_000
+    tablefiles.write(spark.range(0), str(tmp_path / "none"))
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_a_failing_task_leaves_nothing(spark, tmp_path):
+    from gridfold import tablefiles
+
+    bad = spark.range(0, 1_000, 1, 2).withColumn("x", F.when(F.col("id") == 900, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        tablefiles.write(bad, str(tmp_path / "t"))
+    assert not (tmp_path / "t").exists()
+
+
 def test_stream_holds_markets_until_their_end(spark, tmp_path):
     from gridfold.streaming import replay
 
@@ -427,22 +534,22 @@ def test_forensics(spark):
     assert [r["event_type"] for r in near] == ["PRICE_CHANGE", "TICK_SIZE_CHANGE", "LAST_TRADE_PRICE"] and near[1]["old_tick_size"] == "0.0100"
 
 
-def test_release_documents(tmp_path, capsys, spark):
+def test_release_documents(tmp_path, capsys, spark, folder):
     from gridfold import cli
 
-    release = sinks.DirectoryRelease(spark, tmp_path / "out")
-    published = release.publish({"p/a": b"x"})
-    assert cli.main(["verify-release", str(tmp_path / "out")]) == 0 and published["p/a"] in capsys.readouterr().out
-    for file in (tmp_path / "out").iterdir():
-        file.unlink() if file.name.startswith(".") else file.write_text("y")
-    with pytest.raises(sinks.Conflict):
-        release.read()
+    Release(spark, tmp_path / "out", "t").publish("BTC/1h/2026-05-01", str(folder))
+    assert cli.main(["verify-release", str(tmp_path / "out/t")]) == 0 and capsys.readouterr().out.count("uploaded") == 4
+    next((tmp_path / "out/t").glob("*markets.parquet")).write_text("y")
+    assert cli.main(["verify-release", str(tmp_path / "out/t")]) == 1
+    capsys.readouterr()
     assert cli.main(["plan-backfill", "2026-05-01", "2026-05-01"]) == 0 and capsys.readouterr().out.count("\n") == 7
-    index = sinks.release_index([sinks.manifest(p, "TIER_A", {}, []) for p in ("b", "a")])
-    assert [r["partition"] for r in index["partitions"]] == ["a", "b"]
-    assert sinks.notice([{"source_id": "x", "license_class": "EXCLUDED", "license": "CC-BY-4.0"}, {"source_id": "y", "license_class": "OK", "license": "MIT"}]) == {
-        "sources": [{"source_id": "y", "license_class": "OK", "license": "MIT"}], "attribution_required": False,
-    }
+    manifests = [sinks.manifest(p, "TIER_A", {}, []) for p in ("ETH/1h/2026-05-01", "BTC/1h/2026-05-01")]
+    index = sinks.release_index(manifests, "v1", 5)
+    assert [(r["partition"], r["manifest_path"], r["byte_length"]) for r in index["partitions"]] == [
+        (f"{a}/1h/2026-05-01", f"asset={a}/timeframe=1h/date=2026-05-01/manifest.json", len(sinks.canonical(manifests[0]))) for a in ("BTC", "ETH")
+    ]
+    said = sinks.notice([{"source_id": "x", "license_class": "EXCLUDED", "license": "CC-BY-4.0"}, {"source_id": "z", "license_class": "OK", "license": "CC-BY-4.0"}, {"source_id": "y", "license_class": "OK", "license": "MIT"}])
+    assert [(s["source_id"], s["attribution_required"]) for s in said["sources"]] == [("y", False), ("z", True)]
 
 
 def test_fragments_of_a_broken_run_do_not_count(spark, tmp_path):
