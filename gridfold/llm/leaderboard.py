@@ -335,7 +335,7 @@ def change_feed(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataF
     prices = scratch.cut(items.where("item_id IS NOT NULL").groupBy("item_id").agg(F.coalesce(F.min(cents(F.col("price"))), F.lit(0)).alias("cents")), "prices")
     levels = widths(prices.count())
     tasks = "spark.sql.shuffle.partitions"
-    settings = _SETTINGS | {tasks: str(min(levels[0], int(spark.conf.get(tasks))))}  # a task has a bucket at least
+    settings = _SETTINGS | (_ON_LOCAL_FILES if checkpoint.startswith(("file:", "/")) else {}) | {tasks: str(min(levels[0], int(spark.conf.get(tasks))))}  # a task has a bucket at least
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
@@ -362,6 +362,12 @@ _SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+#: For a shared folder that is mounted as local files: Hadoop's other client starts a process for each look at a file, and keeps
+#: checksums beside its files anyway.
+_ON_LOCAL_FILES = {
+    "spark.sql.streaming.checkpointFileManagerClass": "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager",
+    "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
+}
 
 
 def _path(spark: SparkSession, name: str) -> tuple:
