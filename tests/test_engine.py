@@ -525,6 +525,43 @@ def test_stream_holds_markets_until_their_end(spark, tmp_path):
     assert {r["condition_id"] for r in got.collect()} == {COND} and got.count() == 5
 
 
+def test_live_samples_equal_the_batch(spark, tmp_path):
+    """Late, repeated and unordered events, in files that each move the watermark: the same samples as from all at once."""
+    from gridfold.streaming import live, replay
+
+    r, step = random.Random(4), 30_000 * NS
+    rows = [snapshot("1", -5_000), snapshot("2", 70_000)]
+    for k in range(300):
+        at, token = r.randrange(-4_000, 600_000), r.choice("12")
+        side = r.choice(["BUY", "SELL"])
+        price = D(r.randrange(5, 45) if side == "BUY" else r.randrange(55, 95)) / 100
+        rows.append(change(at, str(price), f"{r.randrange(0, 4)}.000000", side, token) if k % 9 else snapshot("1", at))
+        if k % 7 == 0:
+            rows.append(rows[-1])
+    ms = lambda x: int(x["timestamp_received"].timestamp() * 1_000) - T
+    parts = [[], [], [], []]
+    for x in rows:
+        parts[min(3, max(0, (ms(x) + r.randrange(0, 25_000)) // 160_000))].append(x)
+    other = "0x" + "b" * 64
+    both = markets(spark).union(markets(spark, other, "3", "4", market_start_ns=(T + 7_200_000) * NS, market_end_ns=(T + 10_800_000) * NS))
+    parts.append([row(T + 7_300_000, T + 7_300_000, "book", "3", bids=SIDE[0], asks=SIDE[1]) | {"market": other.encode()}])
+    decode = lambda some: source.strict(source.decode(source.select_rows(scanned(spark, some), both)))
+    for k, some in enumerate(parts):
+        decode(some).withColumn("source_row", F.col("source_row") + 1_000 * k).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = live.samples(replay.admitted(stream, both), step).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    q.awaitTermination(240)
+    got = spark.read.schema(live.OUT).parquet(str(tmp_path / "out")).where(F.col("condition_id") == COND)
+    batch = order.order_events(spark.read.parquet(str(tmp_path / "in")).where(F.col("condition_id") == COND))
+    states, errors = book.reconstruct(batch)
+    bounds = states.withColumns({"start": F.lit(T * NS), "end": F.lit(T * NS + timefn.HOUR_NS)})
+    wanted = grid.asof_grid(bounds, ["condition_id", "token_id"], "receive_ts_ns", ["sequence"], step, grid="grid_ts_ns")
+    columns = ["token_id", "grid_ts_ns", "source_ts_ns", "receive_ts_ns", "bids", "asks"]
+    want = sorted(map(tuple, wanted.select(columns).collect()))
+    assert errors.count() == 0 and len(want) == 120 + 117
+    assert sorted(map(tuple, live.as_levels(got).select(columns).collect())) == want
+
+
 def test_forensics(spark):
     from gridfold.operators import forensics
 
