@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -300,12 +302,15 @@ def neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("event_id", "user_id", (F.col("i") - F.col("at")).alias("distance"))
 
 
-@query("SELECT epoch(h) :: BIGINT AS start_s, h >= TIMESTAMP '2026-05-01 20:00:00' AS covered FROM generate_series(TIMESTAMP '2026-05-01', TIMESTAMP '2026-05-01 23:00:00', INTERVAL 1 HOUR) t(h) WHERE covered")
+@query(
+    """SELECT strftime(d, '%Y-%m-%d') AS day, epoch(d) :: BIGINT + h * 3600 AS start_s FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), range(24) t(h)
+WHERE epoch(d) + h * 3600 >= epoch(TIMESTAMP '1994-05-01 20:00:00') AND epoch(d) + h * 3600 < epoch(TIMESTAMP '1996-08-10 01:00:00')"""
+)
 def hour_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from datetime import UTC, date, datetime
-
-    starts = calendar.market_starts(spark, date(2026, 5, 1), datetime(2026, 5, 1, 20, tzinfo=UTC), datetime(2026, 8, 10, 1, tzinfo=UTC))
-    return starts.withColumn("covered", F.lit(True))
+    """The hours of the days that have orders, within a coverage that begins and ends within a day."""
+    days = read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    starts = calendar.starts_of(days, datetime(1994, 5, 1, 20, tzinfo=UTC), datetime(1996, 8, 10, 1, tzinfo=UTC))
+    return starts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "start_s")
 
 
 @query("SELECT strftime(o_orderdate, '%Y-%m') || CASE WHEN day(o_orderdate) <= 15 THEN '-a' ELSE '-b' END AS bucket, count(*) AS orders FROM orders GROUP BY 1")

@@ -14,31 +14,46 @@ from gridfold.registry import query, read
 from gridfold.sources import catalogue
 from gridfold.sources import events as source
 
-FIRST, LAST = date(2026, 4, 18), date(2026, 8, 10)
+_DAYS = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders"
+_ASSETS = "(VALUES ('BTC'), ('ETH'), ('SOL'), ('XRP'), ('DOGE'), ('BNB'), ('HYPE')) t(a)"
 
 
-@query(
-    """SELECT a || '/1h/' || strftime(d, '%Y-%m-%d') AS partition_id, 'g-' || strftime(d, '%Y-%m') || CASE WHEN day(d) <= 15 THEN '-a' ELSE '-b' END AS release_group
-FROM (VALUES ('BTC'), ('ETH'), ('SOL'), ('XRP'), ('DOGE'), ('BNB'), ('HYPE')) t(a), generate_series(TIMESTAMP '2026-04-18', TIMESTAMP '2026-08-10', INTERVAL 1 DAY) s(d)"""
-)
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+
+
+@query(f"SELECT a || '/1h/' || strftime(d, '%Y-%m-%d') AS partition_id, 'g-' || strftime(d, '%Y-%m') || CASE WHEN day(d) <= 15 THEN '-a' ELSE '-b' END AS release_group FROM {_ASSETS}, ({_DAYS})")
 def backfill_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.backfill_plan(spark, FIRST, LAST, "g-").select("partition_id", "release_group")
+    """A plan of the days that have orders."""
+    return calendar.plan_of(order_days(spark, sf_dir), "g-").select("partition_id", "release_group")
 
 
-@query("SELECT strftime(d, '%Y-%m-%d') AS day, 'BNB,BTC,DOGE,ETH,HYPE,SOL,XRP' AS assets FROM generate_series(TIMESTAMP '2026-04-18', TIMESTAMP '2026-08-10', INTERVAL 1 DAY) s(d)")
+@query(f"SELECT strftime(d, '%Y-%m-%d') AS day, 'BNB,BTC,DOGE,ETH,HYPE,SOL,XRP' AS assets FROM ({_DAYS})")
 def assets_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.assets_by_day(calendar.backfill_plan(spark, FIRST, LAST, "g-")).select("day", F.array_join("assets", ",").alias("assets"))
+    return reconcile.assets_by_day(calendar.plan_of(order_days(spark, sf_dir), "g-")).select("day", F.array_join("assets", ",").alias("assets"))
+
 
+#: Of each user's events the time from the first to the last.
+_SPANS = "SELECT user_id, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events WHERE user_id % 10 = 3 GROUP BY user_id"
 
-@query("SELECT 'x_' || strftime(h, '%Y-%m-%dT%H') || '.parquet' AS name FROM generate_series(TIMESTAMP '2026-05-01 19:00:00', TIMESTAMP '2026-05-03 02:00:00', INTERVAL 1 HOUR) t(h)")
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return read(spark, sf_dir, "events").where("user_id % 10 = 3").groupBy("user_id").agg((F.min(us) * 1_000).alias("start_ns"), (F.max(us) * 1_000 + 1).alias("end_ns"))
+
+
+@query(f"SELECT DISTINCT 'x_' || strftime(make_timestamp(h * 3600000000), '%Y-%m-%dT%H') || '.parquet' AS name FROM ({_SPANS}), range(a // 3600000000, b // 3600000000 + 1) t(h)")
 def source_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = 1_777_663_805 * 10**9  # 2026-05-01T19:30:05Z
-    return calendar.source_hours(spark, start, start + 31 * 3_600 * 10**9 + 1, "x_").select("name")
+    """The hourly objects that cover what some users did."""
+    return calendar.hours_covering(spans(spark, sf_dir), "x_").select("name")
 
 
-@query("SELECT epoch(h) :: BIGINT AS start_s FROM generate_series(TIMESTAMP '2026-05-01 14:00:00', TIMESTAMP '2026-05-01 19:00:00', INTERVAL 1 HOUR) t(h)")
+@query("SELECT user_id, (max(epoch_us(ts)) // 3600000000 - k) * 3600 AS start_s FROM events, range(6) t(k) GROUP BY user_id, k")
 def candidate_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.candidate_starts(spark, 1_777_662_000, 6)
+    """Six hours down from each user's newest one."""
+    hour = F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    newest = read(spark, sf_dir, "events").groupBy("user_id").agg(F.max(hour).alias("newest_s"))
+    return calendar.candidates(newest, 6).select("user_id", "start_s")
 
 
 @query("SELECT DISTINCT 1704067200 + event_id % 24 * 3600 AS start_s FROM events")
@@ -48,13 +63,13 @@ def explicit_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH h AS (SELECT strftime(h, '%Y-%m-%dT%H') AS name FROM generate_series(TIMESTAMP '2026-06-11', TIMESTAMP '2026-06-11 23:00:00', INTERVAL 1 HOUR) t(h))
-SELECT name, CASE WHEN name IN ('2026-06-11T04', '2026-06-11T05', '2026-06-11T06') THEN 'absent' ELSE 'read' END AS state FROM h"""
+    f"""WITH h AS (SELECT DISTINCT strftime(make_timestamp(h * 3600000000), '%Y-%m-%dT%H') || '.parquet' AS name, h FROM ({_SPANS}), range(a // 3600000000, b // 3600000000 + 1) t(h))
+SELECT name, CASE WHEN h % 24 IN (4, 5, 6) AND h // 24 % 7 = 0 THEN 'absent' ELSE 'read' END AS state FROM h"""
 )
 def tolerated_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    midnight = 1_781_136_000 * 10**9  # 2026-06-11
-    hours = calendar.source_hours(spark, midnight, midnight + 24 * 3_600 * 10**9).select(F.replace("name", F.lit(".parquet"), F.lit("")).alias("name"))
-    absent = spark.createDataFrame([(f"2026-06-11T{h}",) for h in ("04", "05", "06")], "name string")
+    """Hours whose absence is known, three of each seventh day, go to the provenance."""
+    hours = calendar.hours_covering(spans(spark, sf_dir))
+    absent = hours.where((F.col("hour_s") % 86_400 / 3_600).isin(4, 5, 6) & (F.floor(F.col("hour_s") / 86_400) % 7 == 0)).select("name")
     present, known = calendar.tolerated(hours, absent)
     return present.select("name", F.lit("read").alias("state")).unionByName(known.select("name", F.lit("absent").alias("state")))
 
@@ -279,12 +294,22 @@ def segment_contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.contradictions(told.withColumn("markets", other))
 
 
-@query("SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, max(o_orderkey) AS start FROM orders GROUP BY ALL")
+#: Covers of one, two and three starts, of the latest start for each set of assets.
+_COVER_SQL = """WITH o AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey AS s, o_custkey % 8 AS mask FROM orders),
+m AS (SELECT day, mask, max(s) AS s FROM o WHERE mask > 0 GROUP BY ALL),
+c AS (SELECT day, 1 AS n, [s] AS c, mask FROM m
+  UNION ALL SELECT day, 2, list_reverse_sort([a.s, b.s]), a.mask | b.mask FROM m a JOIN m b USING (day) WHERE a.mask < b.mask
+  UNION ALL SELECT day, 3, list_reverse_sort([a.s, b.s, d.s]), a.mask | b.mask | d.mask FROM m a JOIN m b USING (day) JOIN m d USING (day) WHERE a.mask < b.mask AND b.mask < d.mask)
+SELECT day, array_to_string(c, ',') AS cover FROM (SELECT day, c FROM c WHERE mask = 7 QUALIFY row_number() OVER (PARTITION BY day ORDER BY n, c DESC) = 1)"""
+
+
+@query(_COVER_SQL)
 def minimum_covers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any order covers its own day's one need; the latest one is taken."""
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    rows = read(spark, sf_dir, "orders").groupBy(day.alias("day")).agg(F.collect_list("o_orderkey").alias("starts")).collect()
-    return spark.createDataFrame([(r["day"], calendar.minimum_cover({s: frozenset({"a"}) for s in r["starts"]}, ("a",))[0]) for r in rows], "day string, start long")
+    """The fewest of a day's orders that need all three of its assets; a customer's number says which ones theirs needs."""
+    bits = F.col("o_custkey") % 8
+    assets = F.array_compact(F.array(*(F.when(F.shiftright(bits, i) % 2 == 1, a) for i, a in enumerate("abc"))))
+    usable = read(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderkey").alias("start_s"), F.explode(assets).alias("asset"))
+    return calendar.minimum_covers(usable, ("a", "b", "c")).where("cover IS NOT NULL").select("day", F.array_join("cover", ",").alias("cover"))
 
 
 @query("SELECT event_id AS source_row FROM events")
