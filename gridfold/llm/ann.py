@@ -4,8 +4,9 @@ The tree is fitted on a bounded sample on the driver: ``sample_size`` (n) vector
 of the number of rows; each node's vectors are split by k-means into ``branch`` children until ``leaf_rows``
 are left, so leaves grow with the rows. Every row is then indexed: it goes down the tree to one leaf. A query
 walks the tree with one priority queue over all open nodes, nearest centre first, and visits leaves in that
-order. The calibration finds, for held-out queries with exactly known neighbours in the sample, how many
-leaves reach ``recall``; with more rows than the sample has, neighbours only come nearer.
+order. The calibration finds, for vectors of the sample with exactly known neighbours in it, how many
+leaves reach ``recall``; with more rows than the sample has, neighbours only come nearer. A query whose leaves hold too
+few rows goes on until they hold k besides its own, so it has k answers wherever there are k candidates.
 
 Neighbouring leaves share a cell of about ``cell_rows`` rows; a larger leaf is dealt over several cells, so
 one that holds a third of all rows is many tasks. A query goes to each cell once, with the leaves that it
@@ -67,16 +68,17 @@ class Tree:
             stack += [(child, rows[near == i]) for i, child in enumerate(node.children) if (near == i).any()]
         return out
 
-    def visit(self, q: np.ndarray, leaves: int) -> list[int]:
-        """The first leaves in best-bin-first order."""
+    def visit(self, q: np.ndarray, leaves: int, held: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first leaves in best-bin-first order: at least so many, and on until they hold enough rows."""
         if self.root is None:
             return [0]
         heap: list[tuple[float, int, Node | int]] = [(0.0, 0, self.root)]
-        turn, out = 0, []
-        while heap and len(out) < max(1, leaves):
+        turn, out, rows = 0, [], 0
+        while heap and (len(out) < max(1, leaves) or held is not None and rows < enough):
             _, _, node = heapq.heappop(heap)
             if isinstance(node, int):
                 out.append(node)
+                rows += 0 if held is None else int(held[node])
                 continue
             for d, child in zip(((node.centres - q) ** 2).sum(1).tolist(), node.children, strict=True):
                 turn += 1
@@ -237,18 +239,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = 0.
     forest = Forest(trees, {dim: calibrate(trees[dim], samples[dim][1], k, recall) if dim in samples else 1 for dim in trees})
     rows = scratch.cut(index(fine, forest), "ann-rows")
     held = {r["leaf"]: r["count"] for r in rows.groupBy("leaf").count().collect()}
-    deal = dealt(np.array([held.get(i, 0) for i in range(forest.leaves)], np.int64), forest.dims, cell_rows)
-    plan = spark.sparkContext.broadcast((forest, deal))  # bounded by the sample, and a number for each cell
+    per_leaf = np.array([held.get(i, 0) for i in range(forest.leaves)], np.int64)
+    deal = dealt(per_leaf, forest.dims, cell_rows)
+    plan = spark.sparkContext.broadcast((forest, deal, per_leaf))  # bounded by the sample, and a number for each cell
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A query to every cell that it visits."""
-        forest, deal = plan.value
+        forest, deal, per_leaf = plan.value
         for batch in batches:
             row, to, at_leaves = [], [], []
             for i, v in enumerate(batch.column("vector").to_pylist()):
                 q = np.frombuffer(v, "<f8")
                 by_cell: dict[int, list[int]] = {}
-                for at in forest.trees[len(q)].visit(q, forest.visits[len(q)]):
+                for at in forest.trees[len(q)].visit(q, forest.visits[len(q)], per_leaf[forest.first[len(q)] :], k + 1):
                     at += forest.first[len(q)]
                     for c in range(int(deal.first[at]), int(deal.first[at] + deal.cells[at])):
                         by_cell.setdefault(c, []).append(at)

@@ -140,9 +140,10 @@ class LineRuns:
 def clean(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 6) -> DataFrame:
     """``docs`` with its text cleaned in column ``kept``, and how many lines it had and lost."""
     spark = docs.sparkSession
-    rows = with_row(docs)
+    # The documents' columns stay in a struct of their own while others are added, so no name of theirs meets one of these.
+    rows = with_row(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("gf_doc"), F.col("text").alias("gf_text")))
     batch = F.pmod(F.xxhash64(ROW), F.lit(batches)).cast("int").alias("gf_batch")
-    hashed = scratch.cut(rows.select(ROW, batch, hashes(F.col("text"), min_chars).alias("lines")), "line-hashes", ("gf_batch",))
+    hashed = scratch.cut(rows.select(ROW, batch, hashes(F.col("gf_text"), min_chars).alias("lines")), "line-hashes", ("gf_batch",))
     runs = LineRuns(spark, min_docs)
     for i in range(batches):
         runs.add(hashed.where(F.col("gf_batch") == i).select(F.explode("lines").alias("line")))
@@ -150,7 +151,7 @@ def clean(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int
     runs.close()
     hits = hashed.select(ROW, F.explode("lines").alias("line")).join(frequent, "line", "left_semi").groupBy(ROW).agg(F.sort_array(F.collect_list("line")).alias("gf_hot"))
     joined = rows.join(hits, ROW, "left").withColumn("gf_steps", steps(F.col("gf_hot")))
-    whole, hot = lines(F.col("text")), F.col("gf_hot")
+    whole, hot = lines(F.col("gf_text")), F.col("gf_hot")
 
     def is_hot(h: Column) -> Column:
         return F.coalesce(F.get(hot, count_while(hot, F.col("gf_steps"), lambda x: x <= h) - 1) == h, F.lit(False))
@@ -158,7 +159,7 @@ def clean(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int
     stays = lambda x: let(key(x), lambda k: (F.length(k) < min_chars) | ~let(F.xxhash64(k), is_hot))
     done = joined.withColumn("gf_kept", F.when(hot.isNull(), whole).otherwise(F.filter(whole, stays)))
     return done.select(
-        *[F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")],
+        *[F.col("gf_doc").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")],
         F.size(whole).cast("long").alias("n_lines"),
         (F.size(whole) - F.size("gf_kept")).cast("long").alias("n_dropped"),
         F.array_join("gf_kept", "\n").alias("kept"),

@@ -18,9 +18,9 @@ head, whose size is fixed or that of the vocabulary, is sent to the workers.
 
 Word identity is a 64-bit hash. The model learns from every token of every training row: in a round each
 learner starts from the same weights and learns from its rows, and the learners' weights are averaged, by
-tokens, over a shuffle. There are as many learners as keep what they send below about a tenth of the texts. A
-first round over a share of the rows (``FIRST``, or ``sample_tokens`` tokens if that is more) starts the
-model; tables of no more than ``sample_tokens`` tokens have ``SMALL_ROUNDS`` rounds of all.
+tokens, over a shuffle. There are as many learners as keep what they send below about a tenth of the texts. There are
+three rounds, each over at least as many rows as the one before: about ``sample_tokens`` tokens, a share ``FIRST`` or
+so many tokens if that is more, and all. Tables of fewer tokens have all in each round, by the same rule.
 
 Defined cases: a null or empty text is its end alone; a text of any length is read in slices; an empty
 training set leaves N = 0, the base score log10(0.1 / 0.1) a token and a model that knows the end and one
@@ -47,8 +47,8 @@ END = int(mix(np.array([0xE4D], U)).view(np.int64)[0])
 SMOOTH = 0.1
 #: The model's width; tokens and noise tokens of a step in a task.
 DIM, BATCH, NOISE = 32, 512, 64
-#: The share of training rows of the first round, which starts the model, and rounds of small tables.
-FIRST, SMALL_ROUNDS = 1 / 16, 3
+#: The least share of training rows of the second round.
+FIRST = 1 / 16
 #: The vocabulary: at least so many words, and this factor of N**0.4. Contexts with vectors of their own.
 LEAST_WORDS, GROWTH, CONTEXTS = 1_536, 4.0, 1_024
 #: Learners of a round at least; what a learner may send, as a share of the bytes that it reads.
@@ -327,10 +327,10 @@ def fit(docs: DataFrame, training: Column, counts: Counts, vocabulary: int | Non
     class_counts = np.append(per_class, rest_mass)
     trainer = Trainer(class_counts, contexts)
     rows = docs.where(training)
-    small = counts.tokens <= sample_tokens
-    start = share(max(FIRST, sample_tokens / max(1, counts.tokens)), F.lit("lm"), "doc_id", "text")
-    for turn, some in enumerate([rows] * SMALL_ROUNDS if small else [rows.where(start), rows]):
+    few = sample_tokens / max(1, counts.tokens)
+    for turn, part in enumerate((few, max(FIRST, few), 1)):
         state = trainer.rows()
+        some = rows.where(share(part, F.lit("lm"), "doc_id", "text"))
         state, _ = learn_round(some.coalesce(learners(counts.tokens, state)), keys[order], classes[order], contexts, class_counts, state, turn)
         trainer.set_rows(state)
     first, second, bias, target = trainer.result()

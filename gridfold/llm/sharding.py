@@ -132,8 +132,11 @@ def assign(docs: DataFrame, shards: int = 16, tolerance: float = 0.01, rows_a_ce
 
 
 def write(docs: DataFrame, out: str, **how: object) -> None:
-    """Write the documents with shard and slot, one folder a shard, sorted by slot: the one exchange."""
-    docs = settled(docs)
-    place = with_row(docs)
-    joined = place.join(assign(docs, **how).select(ROW, "shard", "slot"), ROW).drop(ROW)
-    joined.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(out)
+    """Write the documents with shard and slot, one folder a shard. Files are runs of slots, each in order, and follow
+    one another as they are numbered; the exchange is by ranges of (shard, slot). Columns shard and slot are these."""
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("gf_doc"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    own = settled(own)
+    joined = with_row(own).join(assign(own, **how).select(ROW, "shard", "slot"), ROW)
+    kept = [F.col("gf_doc").getField(c).alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    placed = joined.select(*kept, "shard", "slot")
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(out)
