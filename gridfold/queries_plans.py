@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridfold.functions import values
-from gridfold.operators import guards, joins, quality
+from gridfold.operators import audit, guards, joins, quality
 from gridfold.plans import calendar, reconcile, segments
 from gridfold.registry import query, read
 from gridfold.sources import catalogue
@@ -323,3 +323,28 @@ def gap_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     g = e.select(F.col("user_id").cast("string").alias("condition_id"), F.lpad(F.col("event_id").cast("string"), 20, "0").alias("token_id"), F.col("event_id").alias("gap_start"), (F.col("event_id") + F.col("user_id")).alias("gap_end"))
     return quality.gap_evidence(g).select(F.col("condition_id").cast("long").alias("user_id"), "gap_count", "gap_total_ns", F.to_json("gap_intervals_ns").alias("gap_intervals_ns"))
+
+
+#: Another version of the orders: some dearer, some of another status and priority, some gone, some new.
+_ORDERS_SQL = """SELECT CASE WHEN o_orderkey % 1009 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 991 = 0 THEN '?' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 997 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 991 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 1013 <> 0"""
+
+
+@query(
+    f"""WITH l AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders), r AS ({_ORDERS_SQL})
+SELECT coalesce(l.o_orderkey, r.o_orderkey) AS o_orderkey, CASE WHEN l.o_orderkey IS NULL THEN 'added' WHEN r.o_orderkey IS NULL THEN 'absent' ELSE 'changed' END AS change,
+  CASE WHEN l.o_orderkey IS NULL OR r.o_orderkey IS NULL THEN '' ELSE concat_ws(',', CASE WHEN l.o_custkey IS DISTINCT FROM r.o_custkey THEN 'o_custkey' END, CASE WHEN l.o_orderpriority IS DISTINCT FROM r.o_orderpriority THEN 'o_orderpriority' END,
+    CASE WHEN l.o_orderstatus IS DISTINCT FROM r.o_orderstatus THEN 'o_orderstatus' END, CASE WHEN l.o_totalprice IS DISTINCT FROM r.o_totalprice THEN 'o_totalprice' END) END AS columns
+FROM l FULL JOIN r ON l.o_orderkey = r.o_orderkey
+WHERE l.o_orderkey IS NULL OR r.o_orderkey IS NULL OR (l.o_custkey, l.o_orderstatus, l.o_totalprice, l.o_orderpriority) IS DISTINCT FROM (r.o_custkey, r.o_orderstatus, r.o_totalprice, r.o_orderpriority)"""
+)
+def audited_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What another version of the orders has changed, added and dropped: only the buckets that differ are read again."""
+    now = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    k = F.col("o_orderkey")
+    other = now.where(k % 1013 != 0).select(
+        F.when(k % 1009 == 0, k + 1_000_000_000).otherwise(k).alias("o_orderkey"), "o_custkey", F.when(k % 991 == 0, "?").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(k % 997 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"), F.when(k % 991 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+    return audit.changes(now, other, ["o_orderkey"]).select("o_orderkey", "change", F.array_join("columns", ",").alias("columns"))

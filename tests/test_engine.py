@@ -333,6 +333,30 @@ def test_price_archives(spark, tmp_path):
         prices.read_zips(spark, pack("c.zip", "1,0.1,2,0.2,1,False\n"), "BTC", "trades", "00").collect()
 
 
+def test_price_archives_are_read_in_slices(spark, tmp_path):
+    """An archive of 60 MB unpacked: the reader holds a slice, and lines beyond a bound never become rows."""
+    import resource
+
+    from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
+
+    lines = "".join(f"1,{k % 97 + 1}.5,2,0.2,{1_735_689_600_000_000 + k},False\n" for k in range(1_400_000))
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.csv", "id,price,qty,quote,time,maker\n" + lines)
+    del lines
+    reader = prices._Reader({"paths": "[]", "asset": "BTC", "kind": "trades", "most": str(1 << 30)})
+    part = prices.Archive(str(tmp_path / "big.zip"))
+    next(reader.read(part))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert sum(b.num_rows for b in reader.read(part)) == 1_400_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 40_000  # KiB
+    some = prices.read_zips(spark, str(tmp_path / "big.zip"), "BTC", "trades").where(F.col("source_ts_ns") < 1_735_689_600_000_005_000)
+    assert some.count() == 5
+    again = list(reader.pushFilters([LessThan(("source_ts_ns",), 1_735_689_600_000_005_000), GreaterThanOrEqual(("source_ts_ns",), 1_735_689_600_000_002_000)]))
+    assert len(again) == 2 and sum(b.num_rows for b in reader.read(part)) == 4  # a bound's own row may come: Spark filters again
+    with pytest.raises(ValueError, match="more than"):
+        list(prices._Reader({"paths": "[]", "asset": "BTC", "kind": "trades", "most": "1000000"}).read(part))
+
+
 def test_calendar(spark):
     start, cutoff = datetime(2026, 4, 18, 20, tzinfo=UTC), datetime(2026, 8, 10, 1, tzinfo=UTC)
     assert calendar.market_starts(spark, date(2026, 4, 18), start, cutoff).count() == 4
@@ -718,3 +742,17 @@ def test_the_fold_sorts_once_even_if_a_key_is_constant(spark):
     events = ordered(spark, full()).withColumn("condition_id", F.lit(COND))
     plan = book.rebuilt(events)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [gf_token") == 1
+
+
+def test_an_audit_shuffles_only_buckets_that_differ(spark):
+    from gridfold.operators import audit
+
+    left = spark.range(50_000).select((F.col("id") % 25_000).alias("k"), F.col("id").alias("v"), F.lit("x").alias("w"))
+    right = left.where("v <> 7").withColumn("w", F.when(F.col("v") == 11, None).otherwise(F.col("w"))).repartition(5)
+    assert audit.differing(left, left.repartition(3), ["k"]).count() == 0
+    assert audit.differing(left, right, ["k"]).count() == 2
+    assert sorted((r["k"], r["change"], list(r["columns"])) for r in audit.changes(left, right, ["k"]).collect()) == [(7, "changed", []), (11, "changed", [])]
+    one = spark.createDataFrame([(1, None), (None, 2), (3, 3)], "k int, v int")
+    two = spark.createDataFrame([(1, 1), (None, 2), (4, 3)], "k int, v int")
+    assert sorted((str(r["k"]), r["change"], list(r["columns"])) for r in audit.changes(one, two, ["k"], 16).collect()) == [("1", "changed", ["v"]), ("3", "absent", []), ("4", "added", [])]
+    assert audit.changes(one, one, ["k"]).count() == 0
