@@ -6,6 +6,7 @@ import itertools
 import json
 import os
 import random
+import re
 import zipfile
 from datetime import UTC, date, datetime
 from decimal import Decimal as D
@@ -628,6 +629,23 @@ def test_fragments_of_a_broken_run_do_not_count(spark, tmp_path):
         held.read(events)
 
 
+def test_fragments_are_read_by_bucket(spark, tmp_path):
+    from gridfold.sources import staging
+
+    url = "https://example.org/a b/2026-05-01T07.parquet?x=1#y"
+    held = staging.Fragments(spark, str(tmp_path))
+    one = spark.createDataFrame([("c7",)], "condition string")
+    assert held.read(one).count() == 0 and held.read(one).columns == ["source_row", "condition", "source"]
+    events = spark.range(2_000).select(F.concat(F.lit("c"), (F.col("id") % 500).cast("string")).alias("condition"), F.col("id").alias("source_row"))
+    held.append(events, url)
+    held.append(events.where("source_row < 1000").limit(0), "empty")
+    got = held.read(one)
+    assert sorted(tuple(r) for r in got.select("condition", "source", "source_row").collect()) == [("c7", url, 7 + 500 * k) for k in range(4)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    (chosen,) = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert "bucket" in chosen and str(spark.range(1).select(staging.bucket(F.xxhash64(F.lit("c7")))).first()[0]) in chosen
+
+
 def test_caps_and_owners(spark):
     owners = spark.createDataFrame([("a", "BTC")], "condition_id string, asset string")
     with pytest.raises(Exception, match="no asset for condition_id"):
