@@ -15,13 +15,13 @@ class GuardError(ValueError):
     """A resource cap or a data contract is violated."""
 
 
-def over_cap(df: DataFrame, keys: Sequence[str], cap: int) -> DataFrame:
-    """Keys with more rows than the cap, with their counts."""
-    return df.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > cap)
+def over_cap(df: DataFrame, keys: Sequence[str], cap: int, rows: str | None = None) -> DataFrame:
+    """Keys with more rows than the cap, with their counts. rows: a column that says how many rows each stands for."""
+    return df.groupBy(*keys).agg((F.count("*") if rows is None else F.sum(rows)).alias("rows")).where(F.col("rows") > cap)
 
 
-def require_cap(df: DataFrame, keys: Sequence[str], cap: int) -> DataFrame:
-    worst = over_cap(df, keys, cap).orderBy(F.desc("rows")).limit(1).collect()
+def require_cap(df: DataFrame, keys: Sequence[str], cap: int, rows: str | None = None) -> DataFrame:
+    worst = over_cap(df, keys, cap, rows).orderBy(F.desc("rows")).limit(1).collect()
     if worst:
         raise GuardError(f"{worst[0].asDict()} exceeds the cap of {cap} rows")
     return df

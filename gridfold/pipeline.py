@@ -17,6 +17,23 @@ from gridfold.storage import Store
 STEP_NS = 200_000_000
 
 
+@dataclass
+class Limits:
+    """What a partition may have at most; each is optional, and an error where it is exceeded, never a cut.
+
+    rows_a_market and events count what the archive has, repeats too, in the same pass that drops them; the others are
+    held against what a table's tasks have written before it gets its name."""
+
+    rows_a_market: int | None = None
+    events: int | None = None
+    samples: int | None = None
+    underlying_rows: int | None = None
+    bytes: int | None = None
+
+    def of_table(self, name: str) -> int | None:
+        return {"book_200ms": self.samples, "underlying": self.underlying_rows}.get(name)
+
+
 @dataclass
 class Inputs:
     """What a partition is built from. rows: the archive's scan; markets: the markets table's columns."""
@@ -27,7 +44,7 @@ class Inputs:
     exclusions: DataFrame | None = None
     underlying: DataFrame | None = None
     provenance: list[dict] = field(default_factory=list)
-    most_rows_a_market: int | None = None
+    limits: Limits = field(default_factory=Limits)
 
 
 @dataclass
@@ -66,9 +83,11 @@ def transform(inputs: Inputs) -> Tables:
         return kept[-1]
 
     selected = source.select_rows(inputs.rows, inputs.markets)
-    if inputs.most_rows_a_market is not None:
-        guards.require_cap(selected, ["condition_id"], inputs.most_rows_a_market)
-    distinct = keep(order.distinct_events(source.strict(source.decode(selected))))
+    counted = keep(order.distinct_events(source.strict(source.decode(selected)), "gf_copies"))
+    for keys, cap in ((["condition_id"], inputs.limits.rows_a_market), ([], inputs.limits.events)):
+        if cap is not None:
+            guards.require_cap(counted, keys, cap, "gf_copies")  # of what is kept anyway: the archive is scanned once
+    distinct = counted.drop("gf_copies")
     ordered = order.number_events(distinct)
     folded = keep(book.rebuilt(ordered, STEP_NS))
     states, errors = book.states_of(folded), book.errors_of(folded)
@@ -106,8 +125,12 @@ def build(inputs: Inputs, root: str, state: sinks.StateStore) -> dict:
     base = f"{root}/asset={asset}/timeframe={frame}/date={day}"
     tables = transform(inputs)
     state.advance(inputs.partition, "ACQUIRED", who)
+    found: dict[str, dict] = {}
     try:
-        found = {name: sinks.write_table(getattr(tables, name), name, f"{base}/{name}") for name in schemas.TABLES}
+        for name in schemas.TABLES:
+            so_far = sum(f["bytes"] for t in found.values() for f in t["files"])
+            left = None if inputs.limits.bytes is None else inputs.limits.bytes - so_far
+            found[name] = sinks.write_table(getattr(tables, name), name, f"{base}/{name}", inputs.limits.of_table(name), left)
     finally:
         tables.release()
     if not found["markets"]["rows"] and not found["exclusions"]["rows"]:

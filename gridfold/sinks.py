@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridfold import schemas, tablefiles
+from gridfold.operators.guards import GuardError
 from gridfold.storage import Conflict, Store
 
 MANIFEST = "manifest.json"
@@ -35,12 +36,13 @@ def logical_digest(df: DataFrame) -> str:
     return _digest(df.agg(*_row_hashes(df.columns)).first().asDict())
 
 
-def write_table(df: DataFrame, name: str, out: str) -> dict:
+def write_table(df: DataFrame, name: str, out: str, most_rows: int | None = None, most_bytes: int | None = None) -> dict:
     """Write one of the fixed tables sorted: its rows, logical digest and files.
 
     The rows are counted and hashed as they are written, and the tasks report each file's rows, bytes and digest, so
     nothing is read again. A table is there whole or not at all: what a crash leaves has another
-    name. The same rows again are no change; other rows under the same path are a conflict."""
+    name. The same rows again are no change; other rows under the same path are a conflict. More rows or bytes than
+    allowed are an error before the table has its name."""
     spark = df.sparkSession
     typed = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.table(name)])
     at, leaf = out.rstrip("/").rsplit("/", 1)
@@ -55,6 +57,9 @@ def write_table(df: DataFrame, name: str, out: str) -> dict:
         meant = {"rows": seen.get["n"], "digest": _digest(seen.get)}
         if sum(f["rows"] for f in files) != meant["rows"]:
             raise ValueError(f"{out} was written with other rows than were seen")
+        size = sum(f["bytes"] for f in files)
+        if most_rows is not None and meant["rows"] > most_rows or most_bytes is not None and size > most_bytes:
+            raise GuardError(f"{name} has {meant['rows']} rows in {size} bytes; {most_rows} rows and {most_bytes} bytes are allowed")
         if store.exists(leaf):
             if logical_digest(spark.read.schema(schemas.table(name)).parquet(out)) != meant["digest"]:
                 raise Conflict(f"{out} holds other rows")

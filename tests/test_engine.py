@@ -236,6 +236,19 @@ def test_the_fold_runs_once_a_build(spark, tmp_path):
     assert runs.value <= 2 * len(full())
 
 
+def test_limits_are_errors_before_anything_has_its_name(spark, tmp_path):
+    """Caps on rows count repeats, in the pass that drops them; caps on tables are held against what tasks wrote."""
+    rows = [*full(), full()[2]]
+    inputs = lambda k, **limits: pipeline.Inputs("BTC/1h/2026-05-01", markets(spark), scanned(spark, rows), limits=pipeline.Limits(**limits))
+    for k, limits in enumerate(({"rows_a_market": 5}, {"events": 5}, {"samples": 35_999})):
+        with pytest.raises(guards.GuardError):
+            pipeline.build(inputs(k, **limits), str(tmp_path / f"out{k}"), sinks.StateStore(spark, tmp_path / f"state{k}"))
+        assert not list((tmp_path / f"out{k}").rglob("book_200ms/*.parquet")) and not list((tmp_path / f"out{k}").rglob("manifest.json"))
+    plan = pipeline.transform(inputs(9, rows_a_market=6, events=6))
+    assert plan.book_200ms.count() == 36_000
+    plan.release()
+
+
 def test_a_broken_write_leaves_nothing_and_is_repaired(spark, tmp_path):
     good = markets(spark)
     broken = good.withColumn("asset", F.when(F.rand() >= 0, F.raise_error(F.lit("lost"))).otherwise(F.col("asset")))
