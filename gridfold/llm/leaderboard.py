@@ -138,9 +138,11 @@ class _Node(StatefulProcessor):
         if not blobs:
             return
         lines = self.meant(np.concatenate(blobs))
+        if not len(lines):
+            return
         lines = lines[np.lexsort((lines[:, 2], lines[:, 1], lines[:, 0]))]
         ladders = self.load()
-        starts = np.flatnonzero(np.any(np.diff(lines[:, :2], axis=0, prepend=-(1 << 40)), axis=1)) if len(lines) else []
+        starts = np.flatnonzero(np.any(np.diff(lines[:, :2], axis=0, prepend=-(1 << 40)), axis=1))
         ends, found, seen = [*starts[1:], len(lines)], [], set()
         for start, end in zip(starts, ends, strict=True):
             nation, day = int(lines[start, 0]), int(lines[start, 1])
