@@ -5,7 +5,9 @@ non-overlapping matches of a fixed pattern that pass a fixed test; these always
 proposes further spans of other spellings (``name (at) host dot org``, IPv6, card numbers with dots,
 national phone numbers); these overlap each other and the base spans. Boosted trees over format and
 context features score them; a candidate is redacted as well if its score reaches its kind's threshold,
-it touches no base span, and no better candidate overlaps it.
+it touches no base span, and no better candidate overlaps it. Loose spellings are bounded by their patterns: up to
+six labels of a spelt-out host, eight groups of an IPv6 address, two marks between digits and five groups of
+a national number; of a longer one a part is proposed, or nothing. Base spans have no such bounds.
 
 The trees are trained on the driver on ``TRAINING`` generated, labelled examples (a bounded, fixed
 sample); half of them are held out to calibrate the thresholds for precision. Scoring is one SQL
