@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridfold.functions.values import canonical_json
 
-#: Fixed value: how the published table of exclusions words a gap.
+#: How the table of exclusions words a gap, in words of our own: the source isn't named.
 UNFIT = "source fidelity cannot satisfy the frozen 1h tier"
 
 

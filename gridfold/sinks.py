@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridfold import schemas, tablefiles
 from gridfold.operators.guards import GuardError
+from gridfold.operators.order import fingerprint
 from gridfold.storage import Conflict, Store
 
 MANIFEST = "manifest.json"
@@ -22,9 +23,9 @@ PHASES = ("INVENTORIED", "ACQUIRED", "TRANSFORMED", "VERIFIED", "PUBLISHED")
 
 
 def _row_hashes(columns: Sequence[str]) -> list[Column]:
-    row = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
     wide = lambda h: h.cast("decimal(20,0)")
-    return [F.count(F.lit(1)).alias("n"), F.sum(wide(F.xxhash64(row))).alias("a"), F.sum(wide(F.xxhash64(row, F.lit(1)))).alias("b")]
+    one, two = fingerprint(sorted(columns))
+    return [F.count(F.lit(1)).alias("n"), F.sum(wide(one)).alias("a"), F.sum(wide(two)).alias("b")]
 
 
 def _digest(x: dict) -> str:
