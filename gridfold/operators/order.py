@@ -27,16 +27,17 @@ def fingerprint(columns: Columns) -> tuple[Column, Column]:
     return F.xxhash64(nulls, *values), F.xxhash64(F.lit(1), *reversed(values), nulls)
 
 
-def dedup_keep_first(df: DataFrame, payload: Columns, order: Columns, within: Columns = (), copies: str | None = None) -> DataFrame:
+def dedup_keep_first(df: DataFrame, payload: Columns, order: Columns, within: Columns = (), about: dict[str, Column] | None = None) -> DataFrame:
     """Of rows with an equal payload the first in the order; which one that is never depends on chance.
 
     The payload is grouped by its fingerprint, so wide and nested columns are hashed once and not compared.
-    within: payload columns by which the rows are dealt out already. copies: a column for how many rows each stands for."""
+    within: payload columns by which the rows are dealt out already. about: columns by name of what is to be known of
+    all rows with a payload, as aggregates."""
     one, two = fingerprint(payload)
     same = Window.partitionBy(*within, "gf_one", "gf_two")
     numbered = df.withColumns({"gf_one": one, "gf_two": two}).withColumn("gf_n", F.row_number().over(same.orderBy(*order)))
-    if copies is not None:
-        numbered = numbered.withColumn(copies, F.count("*").over(same))
+    for name, aggregate in (about or {}).items():
+        numbered = numbered.withColumn(name, aggregate.over(same))
     return numbered.where("gf_n = 1").drop("gf_one", "gf_two", "gf_n")
 
 
@@ -48,10 +49,10 @@ def sequence(df: DataFrame, partition: Columns, order: Columns, name: str = "seq
 TOKEN = ("condition_id", "token_id")
 
 
-def distinct_events(events: DataFrame, copies: str | None = None) -> DataFrame:
+def distinct_events(events: DataFrame, about: dict[str, Column] | None = None) -> DataFrame:
     """Events without duplicates, dealt out by token: equal payloads have equal tokens, so it is one shuffle,
     which numbering and rebuilding go on with."""
-    return dedup_keep_first(events.repartition(*TOKEN), [c for c in PAYLOAD if c in events.columns], event_order(), TOKEN, copies)
+    return dedup_keep_first(events.repartition(*TOKEN), [c for c in PAYLOAD if c in events.columns], event_order(), TOKEN, about)
 
 
 def number_events(events: DataFrame) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridfold import schemas, sinks
+from gridfold import lineage, schemas, sinks
 from gridfold.operators import book, grid, guards, order, quality
 from gridfold.sources import events as source
 from gridfold.storage import Store
@@ -36,13 +37,15 @@ class Limits:
 
 @dataclass
 class Inputs:
-    """What a partition is built from. rows: the archive's scan; markets: the markets table's columns."""
+    """What a partition is built from. rows: the archive's scan; markets: the markets table's columns. objects: source_object
+    and sha256 of the archive's files, with which the build keeps its lineage."""
 
     partition: str
     markets: DataFrame
     rows: DataFrame
     exclusions: DataFrame | None = None
     underlying: DataFrame | None = None
+    objects: DataFrame | None = None
     provenance: list[dict] = field(default_factory=list)
     limits: Limits = field(default_factory=Limits)
 
@@ -54,6 +57,7 @@ class Tables:
     book_200ms: DataFrame
     underlying: DataFrame
     exclusions: DataFrame
+    lineage: DataFrame | None = None
     kept: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
@@ -70,8 +74,9 @@ def sample(states: DataFrame, markets: DataFrame) -> tuple[DataFrame, DataFrame]
     return samples, gaps
 
 
-def transform(inputs: Inputs) -> Tables:
-    """The five tables, lazily. Only the fold runs Python; events are shuffled once, by token.
+def transform(inputs: Inputs, tokens: DataFrame | None = None) -> Tables:
+    """The five tables and the lineage, lazily. Only the fold runs Python; events are shuffled once, by token. tokens: of
+    all markets of the partition, if ``inputs`` has only some.
 
     Events and what the fold gives are read by several tables and kept on the executors' disks until
     ``Tables.release``; a lost part is worked out again."""
@@ -82,12 +87,14 @@ def transform(inputs: Inputs) -> Tables:
         kept.append(df.persist(StorageLevel.DISK_ONLY))
         return kept[-1]
 
-    selected = source.select_rows(inputs.rows, inputs.markets)
-    counted = keep(order.distinct_events(source.strict(source.decode(selected)), "gf_copies"))
+    selected = source.select_rows(inputs.rows, inputs.markets, tokens=tokens)
+    about = lineage.about() if inputs.objects is not None else {lineage.COPIES: F.count("*")}
+    counted = keep(order.distinct_events(source.strict(source.decode(selected)), about))
     for keys, cap in ((["condition_id"], inputs.limits.rows_a_market), ([], inputs.limits.events)):
         if cap is not None:
-            guards.require_cap(counted, keys, cap, "gf_copies")  # of what is kept anyway: the archive is scanned once
-    distinct = counted.drop("gf_copies")
+            guards.require_cap(counted, keys, cap, lineage.COPIES)  # of what is kept anyway: the archive is scanned once
+    distinct = counted.drop(*about)
+    fed = lineage.of_markets(inputs.markets, counted, inputs.objects) if inputs.objects is not None else None
     ordered = order.number_events(distinct)
     folded = keep(book.rebuilt(ordered, STEP_NS))
     states, errors = book.states_of(folded), book.errors_of(folded)
@@ -106,24 +113,75 @@ def transform(inputs: Inputs) -> Tables:
         grid.staleness("grid_ts_ns", "receive_ts_ns", 1_000_000).alias("stale_ms"), F.col("sequence").alias("source_event_sequence"), F.lit("TIER_A").alias("quality_tier"), F.lit(200).alias("native_interval_ms"),
     )
     underlying = inputs.underlying if inputs.underlying is not None else spark.createDataFrame([], schemas.table("underlying"))
-    return Tables(accepted, ordered.join(good, "condition_id", "left_semi"), shown, underlying, excluded, kept)
+    return Tables(accepted, ordered.join(good, "condition_id", "left_semi"), shown, underlying, excluded, fed, kept)
 
 
 def identity(inputs: Inputs) -> str:
-    return hashlib.sha256(sinks.canonical([inputs.partition, sinks.logical_digest(inputs.markets), inputs.provenance])).hexdigest()
+    of = [inputs.partition, sinks.logical_digest(inputs.markets), inputs.provenance]
+    return hashlib.sha256(sinks.canonical(of if inputs.objects is None else [*of, sinks.logical_digest(inputs.objects)])).hexdigest()
+
+
+def place(root: str, partition: str) -> str:
+    asset, frame, day = partition.split("/")
+    return f"{root}/asset={asset}/timeframe={frame}/date={day}"
 
 
 def build(inputs: Inputs, root: str, state: sinks.StateStore) -> dict:
     """Write, verify and record a partition; a verified one with the same identity is left alone."""
+    return _build(inputs, root, state, transform)
+
+
+def rebuild(inputs: Inputs, earlier: str, root: str, state: sinks.StateStore) -> dict:
+    """Build a partition from another version of its sources or markets, folding only the markets that these touch.
+
+    ``earlier`` is the root that has the partition's last version with its lineage. Rows of the other markets are taken from
+    there, and the result has the digests that a full build has. Of the archive only objects that were added or changed are
+    read, and then the rows of touched markets; all objects are searched for tokens that only one version of the markets has.
+    A new version goes under a new root: what is on record never changes. ``inputs.exclusions`` are of markets that aren't
+    among ``inputs.markets``. Without changes nothing is folded; without an earlier lineage it is an error."""
+    if inputs.objects is None:
+        raise ValueError("a rebuild goes by the digests of the source objects")
+    return _build(inputs, root, state, lambda new: _renewed(new, place(earlier, inputs.partition)))
+
+
+def _renewed(inputs: Inputs, base: str) -> Tables:
+    spark = inputs.markets.sparkSession
+    old = lambda name: spark.read.schema(schemas.table(name)).parquet(f"{base}/{name}")
+    before = old("lineage")
+    changed = lineage.changed_objects(before, inputs.objects).persist(StorageLevel.DISK_ONLY)
+    fed = source.select_rows(source.of_objects(inputs.rows, changed.where("change <> 'absent'")), inputs.markets).select("condition_id")
+    tokens = lineage.changed_tokens(before, inputs.markets)
+    if not tokens.isEmpty():
+        fed = fed.unionByName(source.select_rows(inputs.rows, inputs.markets, tokens=tokens).select("condition_id"))
+    touched = lineage.touched(before, inputs.markets, changed, fed).persist(StorageLevel.DISK_ONLY)
+    among = lambda df, how: df.join(touched.select("condition_id"), "condition_id", how)
+    stay = among(inputs.markets, "left_anti").select("condition_id", "market_id")
+    as_before = lambda df, key="condition_id": df.join(stay.select(key), key, "left_semi")
+    limits = inputs.limits
+    if limits.events is not None:
+        rows = as_before(before).groupBy("condition_id").agg(F.max("rows").alias("rows")).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        limits = replace(limits, events=limits.events - rows)
+    tables = transform(replace(inputs, markets=among(inputs.markets, "left_semi"), limits=limits), source.tokens_of(inputs.markets))
+    return replace(
+        tables,
+        markets=tables.markets.unionByName(as_before(old("markets"))),
+        book_events=tables.book_events.select(*schemas.table("book_events").names).unionByName(as_before(old("book_events"))),
+        book_200ms=tables.book_200ms.unionByName(as_before(old("book_200ms"))),
+        exclusions=tables.exclusions.unionByName(as_before(old("exclusions"), "market_id")),
+        lineage=tables.lineage.unionByName(as_before(before)),
+        kept=[*tables.kept, touched, changed],
+    )
+
+
+def _build(inputs: Inputs, root: str, state: sinks.StateStore, tables_of: Callable[[Inputs], Tables]) -> dict:
     who = identity(inputs)
     now = state.read(inputs.partition)
     if now and now["identity"] == who and now["phase"] in ("VERIFIED", "PUBLISHED"):
         return {"partition": inputs.partition, "no_op": True, **now}
     state.advance(inputs.partition, "INVENTORIED", who)
     spark = inputs.markets.sparkSession
-    asset, frame, day = inputs.partition.split("/")
-    base = f"{root}/asset={asset}/timeframe={frame}/date={day}"
-    tables = transform(inputs)
+    base = place(root, inputs.partition)
+    tables = tables_of(inputs)
     state.advance(inputs.partition, "ACQUIRED", who)
     found: dict[str, dict] = {}
     try:
@@ -131,6 +189,8 @@ def build(inputs: Inputs, root: str, state: sinks.StateStore) -> dict:
             so_far = sum(f["bytes"] for t in found.values() for f in t["files"])
             left = None if inputs.limits.bytes is None else inputs.limits.bytes - so_far
             found[name] = sinks.write_table(getattr(tables, name), name, f"{base}/{name}", inputs.limits.of_table(name), left)
+        if tables.lineage is not None:
+            sinks.write_table(lineage.whole(tables.lineage, inputs.objects), "lineage", f"{base}/lineage")
     finally:
         tables.release()
     if not found["markets"]["rows"] and not found["exclusions"]["rows"]:

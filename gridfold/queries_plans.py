@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridfold import lineage, schemas
 from gridfold.functions import values
 from gridfold.operators import audit, guards, joins, quality
 from gridfold.plans import calendar, reconcile, segments
@@ -348,3 +349,31 @@ def audited_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 997 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"), F.when(k % 991 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
     )
     return audit.changes(now, other, ["o_orderkey"]).select("o_orderkey", "change", F.array_join("columns", ",").alias("columns"))
+
+
+def _orders_as_markets(orders: DataFrame, outcome: Column) -> DataFrame:
+    given = {"condition_id": F.col("o_orderkey").cast("string"), "market_id": F.col("o_orderkey").cast("string"), "official_outcome": outcome}
+    return orders.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.table("markets")))
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey, bool_or(l_partkey % 40 IN (7, 11, 13)) AS sourced FROM lineitem GROUP BY l_orderkey)
+SELECT * FROM (SELECT CAST(o_orderkey AS VARCHAR) AS condition_id, CASE WHEN o_orderkey % 103 = 0 THEN 'new' WHEN o_orderkey % 101 = 0 THEN 'market' WHEN sourced THEN 'source' END AS reason
+FROM orders LEFT JOIN l ON l_orderkey = o_orderkey WHERE o_orderkey % 107 <> 0) WHERE reason IS NOT NULL"""
+)
+def touched_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as markets, fed by lines out of forty objects: of those one is replaced, one gone and one new, and some orders are new, gone or of another status."""
+    orders, k = read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    number = F.col("l_partkey") % 40
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("condition_id"), number.alias("number"), F.concat(F.lit("f"), number.cast("string")).alias("source_object"))
+    files = lines.select("source_object", "number").distinct()
+    digest = F.sha2("source_object", 256)
+    then, now = files.where("number <> 13").select("source_object", digest.alias("sha256")), files.where("number <> 11").select("source_object", F.when(F.col("number") == 7, "replaced").otherwise(digest).alias("sha256"))
+    kept = lines.where("number <> 13").select("condition_id", F.lit(1).alias(lineage.COPIES), F.array("source_object").alias(lineage.OBJECTS))
+    was = _orders_as_markets(orders.where(k % 103 != 0), F.col("o_orderstatus"))
+    markets = _orders_as_markets(orders.where(k % 107 != 0), F.when(k % 101 == 0, "?").otherwise(F.col("o_orderstatus")))
+    kept = kept.join(was.select("condition_id"), "condition_id", "left_semi")
+    before = lineage.whole(lineage.of_markets(was, kept, then), then)
+    changed = lineage.changed_objects(before, now)
+    fed = lines.join(changed.where("change <> 'absent'"), "source_object", "left_semi")
+    return lineage.touched(before, markets, changed, fed)

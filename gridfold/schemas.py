@@ -44,12 +44,25 @@ is_settlement boolean""",
     "exclusions": ("market_id string, reason_code string, detail string, evidence_json string", ("market_id", "reason_code")),
 }
 
+#: Tables that stay with a partition and aren't published.
+OWN = {
+    "lineage": (
+        """condition_id string, market_one bigint, market_two bigint, token_up string, token_down string,
+source_object string, sha256 string, rows bigint""",
+        ("condition_id", "source_object"),
+    ),
+}
+
 ASSETS = ("BTC", "ETH", "SOL", "XRP", "DOGE", "BNB", "HYPE")
 EVENT_TYPES = {"book": "BOOK", "price_change": "PRICE_CHANGE", "last_trade_price": "LAST_TRADE_PRICE", "tick_size_change": "TICK_SIZE_CHANGE"}
 
 
 def table(name: str) -> StructType:
-    return StructType.fromDDL(TABLES[name][0].replace("\n", " "))
+    return StructType.fromDDL((TABLES | OWN)[name][0].replace("\n", " "))
+
+
+def row_order(name: str) -> tuple[str, ...]:
+    return (TABLES | OWN)[name][1]
 
 
 def source() -> StructType:

@@ -49,7 +49,7 @@ def write_table(df: DataFrame, name: str, out: str, most_rows: int | None = None
     at, leaf = out.rstrip("/").rsplit("/", 1)
     store = Store(spark, at)
     part = f"_{leaf}.{uuid.uuid4().hex[:8]}.part"
-    _, order = schemas.TABLES[name]
+    order = schemas.row_order(name)
     seen = Observation()
     ordered = typed.repartitionByRange(*order).sortWithinPartitions(*order).observe(seen, *_row_hashes(typed.columns))
     try:

@@ -32,10 +32,22 @@ def windows(markets: DataFrame, warm_up_ns: int = HOUR_NS) -> DataFrame:
     return markets.select("condition_id", (F.col("market_start_ns") - warm_up_ns).alias("low_ns"), F.col("market_end_ns").alias("high_ns"))
 
 
-def select_rows(rows: DataFrame, markets: DataFrame, compat_float_ns: bool = False) -> DataFrame:
+def tokens_of(markets: DataFrame) -> DataFrame:
+    return markets.select(F.explode(F.array("token_up", "token_down")).alias("token_id"))
+
+
+def of_objects(rows: DataFrame, objects: DataFrame) -> DataFrame:
+    """Rows of some source objects. Up to ``FEW`` names go to the scan, which then opens no other file."""
+    names = [r[0] for r in objects.select("source_object").limit(FEW + 1).collect()]
+    if len(names) <= FEW:
+        return rows.where(F.col("source_object").isin(names))
+    return keep_ids(rows, objects, ["source_object"])
+
+
+def select_rows(rows: DataFrame, markets: DataFrame, compat_float_ns: bool = False, tokens: DataFrame | None = None) -> DataFrame:
     """Rows of the markets' conditions and tokens that are received within their market's window.
 
-    Conditions and tokens are filtered independently. Everything is filtered before anything is decoded:
+    Conditions and tokens are filtered independently; ``tokens`` (token_id) stands for the markets' own. Everything is filtered before anything is decoded:
     malformed rows elsewhere do no harm. The outermost times and market ids, which the driver works out
     from the market table, are pushed to the scan, where they skip row groups by their statistics (ids as
     the bytes that files hold); up to ``FEW`` markets are pushed one by one. The exact window comes with
@@ -52,9 +64,9 @@ def select_rows(rows: DataFrame, markets: DataFrame, compat_float_ns: bool = Fal
         inside = inside.where(F.col("market").isin([r[0].encode() for r in markets.select("condition_id").distinct().collect()]))
     else:
         inside = inside.where((F.col("market") >= F.lit(outer["first"].encode())) & (F.col("market") <= F.lit(outer["last"].encode())))
-    tokens = markets.select(F.explode(F.array("token_up", "token_down")).alias("asset_id"))
+    tokens = tokens_of(markets) if tokens is None else tokens
     named = keep_ids(inside.withColumn("condition_id", F.decode("market", "UTF-8")), markets.select("condition_id"), ["condition_id"])
-    named = keep_ids(named, tokens, ["asset_id"]).withColumn("receive_ts_ns", timestamp_ns(received, compat_float_ns))
+    named = keep_ids(named, tokens.select(F.col("token_id").alias("asset_id")), ["asset_id"]).withColumn("receive_ts_ns", timestamp_ns(received, compat_float_ns))
     return in_window(named, bounds, "condition_id", "receive_ts_ns", "low_ns", "high_ns")
 
 
