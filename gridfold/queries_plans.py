@@ -251,22 +251,29 @@ def market_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.market_faults(o, F.lit("BTC"), F.lit("page"))
 
 
+#: Keys of orders that make a day: a receipt has at most so many, and days are as many as the orders need.
+DAY_ORDERS = 1_000
+
+
 def day_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Receipts of four segments made of orders: each has its starts, markets (a tenth also in the next one) and files."""
+    """Receipts of days of four segments, made of orders: each has its starts, markets (a tenth also in the next one) and files."""
     k = F.col("o_orderkey")
-    o = read(spark, sf_dir, "orders")
+    o = read(spark, sf_dir, "orders").withColumn("day", F.floor(k / DAY_ORDERS).cast("string"))
     both = o.select("*", F.explode(F.when(k % 10 == 0, F.array(k % 4, (k + 1) % 4)).otherwise(F.array(k % 4))).alias("segment"))
+    # A day of few orders has its empty segments too: aggregates skip the nulls.
+    none = o.select("day").distinct().select("day", F.explode(F.array(*(F.lit(i).cast("long") for i in range(4)))).alias("segment"))
     text = k.cast("string")
     market = F.struct(F.concat(F.lit("m"), text).alias("market_id"), text.alias("condition_id"), (k * 3_600).alias("market_start_ns"), F.col("o_orderstatus").alias("official_outcome"))
     file = F.struct(F.concat(F.lit("f"), text).alias("path"), k.alias("byte_length"), values.sha256(text).alias("sha256"))
-    per = both.groupBy("segment").agg(F.collect_list(market).alias("markets"), F.collect_list(file).alias("files"), F.collect_set(k * 3_600).alias("market_starts"), F.sum(k).alias("source_bytes"))
-    receipt = F.struct(F.lit("2026-05-01").alias("day"), F.col("segment").cast("int").alias("segment_index"), F.lit(4).alias("segment_count"), "market_starts", "source_bytes", "markets", "files")
+    rows = both.select("day", "segment", k, market.alias("market"), file.alias("file")).unionByName(none, allowMissingColumns=True)
+    per = rows.groupBy("day", "segment").agg(F.collect_list("market").alias("markets"), F.collect_list("file").alias("files"), F.collect_set(k * 3_600).alias("market_starts"), F.coalesce(F.sum(k), F.lit(0)).alias("source_bytes"))
+    receipt = F.struct("day", F.col("segment").cast("int").alias("segment_index"), F.lit(4).alias("segment_count"), "market_starts", "source_bytes", "markets", "files")
     return per.select(F.to_json(receipt).alias("receipt"))
 
 
 @query("SELECT 'm' || o_orderkey AS market_id, CAST(o_orderkey AS VARCHAR) AS condition_id, o_orderkey * 3600 AS market_start_ns, o_orderstatus AS official_outcome FROM orders")
 def assembled_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day's markets from its segments' receipts, each once, after the checks of cover and agreement."""
+    """The days' markets from their segments' receipts, each once, after the checks of cover and agreement."""
     starts = read(spark, sf_dir, "orders").select((F.col("o_orderkey") * 3_600).alias("start_s"))
     return segments.assembled(segments.receipts(day_receipts(spark, sf_dir)), starts)
 

@@ -787,3 +787,17 @@ def test_an_audit_shuffles_only_buckets_that_differ(spark):
     two = spark.createDataFrame([(1, 1), (None, 2), (4, 3)], "k int, v int")
     assert sorted((str(r["k"]), r["change"], list(r["columns"])) for r in audit.changes(one, two, ["k"], 16).collect()) == [("1", "changed", ["v"]), ("3", "absent", []), ("4", "added", [])]
     assert audit.changes(one, one, ["k"]).count() == 0
+
+
+def orders_at(spark, tmp_path, keys):
+    spark.createDataFrame([(k, "O") for k in keys], "o_orderkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
+def test_receipts_stay_small_however_many_orders(spark, tmp_path):
+    from gridfold import queries_plans as q
+
+    at = orders_at(spark, tmp_path, [*range(4_003), 9_000_000])
+    sizes = q.segments.receipts(q.day_receipts(spark, at)).select(F.size("markets").alias("n"), "day").collect()
+    assert max(r["n"] for r in sizes) < q.DAY_ORDERS / 2 and len(sizes) == 4 * len({r["day"] for r in sizes}) == 24
+    assert q.assembled_segments(spark, at).count() == 4_004
