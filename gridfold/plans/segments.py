@@ -28,8 +28,8 @@ def receipts(texts: DataFrame) -> DataFrame:
 def changed_files(receipts_: DataFrame, present: DataFrame) -> DataFrame:
     """path, fault of files that a receipt lists and that are absent or other, and of files in no receipt.
 
-    present: path, byte_length, sha256, as they are now."""
-    told = receipts_.select(F.explode("files").alias("f")).select("f.*").select("path", F.struct("byte_length", "sha256").alias("told"))
+    present: path, byte_length, sha256, as they are now. What several receipts say alike of a file counts once."""
+    told = receipts_.select(F.explode("files").alias("f")).select("f.*").distinct().select("path", F.struct("byte_length", "sha256").alias("told"))
     there = present.select("path", F.struct("byte_length", "sha256").alias("there"))
     both = told.join(there, "path", "full")
     fault = F.when(F.col("there").isNull(), "absent").when(F.col("told").isNull(), "in no receipt").when(F.col("told") != F.col("there"), "changed")

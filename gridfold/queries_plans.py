@@ -283,8 +283,7 @@ def segment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     now = read(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").select(F.concat(F.lit("f"), k.cast("string")).alias("path"), (k + F.when(k % 5 == 1, 1).otherwise(0)).alias("byte_length"), values.sha256(k.cast("string")).alias("sha256"))
     new = spark.createDataFrame([("new", 1, "x")], "path string, byte_length long, sha256 string")
-    told = segments.receipts(day_receipts(spark, sf_dir)).select(F.explode("files").alias("f")).distinct().groupBy().agg(F.collect_list("f").alias("files"))
-    return segments.changed_files(told, now.unionByName(new))
+    return segments.changed_files(segments.receipts(day_receipts(spark, sf_dir)), now.unionByName(new))
 
 
 @query("SELECT side, s AS start_s FROM ((SELECT 'missing' AS side, -o_orderkey AS s FROM orders ORDER BY s LIMIT 10) UNION ALL (SELECT 'unexpected', o_orderkey * 3600 FROM orders WHERE o_orderkey % 2 = 1 ORDER BY 2 LIMIT 10))")

@@ -801,3 +801,11 @@ def test_receipts_stay_small_however_many_orders(spark, tmp_path):
     sizes = q.segments.receipts(q.day_receipts(spark, at)).select(F.size("markets").alias("n"), "day").collect()
     assert max(r["n"] for r in sizes) < q.DAY_ORDERS / 2 and len(sizes) == 4 * len({r["day"] for r in sizes}) == 24
     assert q.assembled_segments(spark, at).count() == 4_004
+
+
+def test_files_told_twice_are_one(spark):
+    from gridfold.plans import segments
+
+    told = spark.createDataFrame([([("f", 1, "x")],), ([("f", 1, "x"), ("g", 1, "y")],)], f"files array<{segments._FILE}>")
+    now = spark.createDataFrame([("g", 1, "y"), ("h", 1, "z")], "path string, byte_length long, sha256 string")
+    assert sorted(map(tuple, segments.changed_files(told, now).collect())) == [("f", "absent"), ("h", "in no receipt")]
