@@ -54,8 +54,13 @@ def _parts(slug: Column) -> Column:
     return F.split(slug, "-", -1)
 
 
+def named_asset(slug: Column) -> Column:
+    """The asset that a slug begins with, be it canonical or not."""
+    return _lookup(F.get(_parts(slug), 0), {v: k for k, v in SLUG_NAMES.items()})
+
+
 def slug_asset(slug: Column) -> Column:
-    return F.when(slug_start(slug).isNotNull(), _lookup(F.get(_parts(slug), 0), {v: k for k, v in SLUG_NAMES.items()}))
+    return F.when(slug_start(slug).isNotNull(), named_asset(slug))
 
 
 def slug_start(slug: Column) -> Column:
@@ -72,8 +77,7 @@ def slug_start(slug: Column) -> Column:
         return F.to_utc_timestamp(local, ZONE)
 
     start = F.get(F.transform(F.array(_parts(slug)), read), 0)
-    asset = _lookup(F.get(_parts(slug), 0), {v: k for k, v in SLUG_NAMES.items()})
-    return F.get(F.filter(F.array(start), lambda s: hourly_slug(asset, s) == slug), 0)
+    return F.get(F.filter(F.array(start), lambda s: hourly_slug(named_asset(slug), s) == slug), 0)
 
 
 def outcome(prices: Column) -> Column:

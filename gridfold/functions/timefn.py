@@ -13,9 +13,19 @@ def epoch_to_ns(value: Column, unit: str) -> Column:
     return value.cast("long") * F.lit(UNITS[unit])
 
 
-def iso_to_ns(text: Column) -> Column:
+def iso_to_timestamp(text: Column) -> Column:
     """ISO text with an offset; text without one is null."""
-    return F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), F.unix_micros(F.try_to_timestamp(text)) * 1_000)
+    return F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), F.try_to_timestamp(text))
+
+
+def held_ns(ts: Column) -> Column:
+    """A timestamp's nanoseconds; null before 1677 and after 2262, where BIGINT doesn't hold them."""
+    return F.try_multiply(F.unix_micros(ts), F.lit(1_000))
+
+
+def iso_to_ns(text: Column) -> Column:
+    """ISO text with an offset; text without one, or of a time beyond BIGINT, is null."""
+    return held_ns(iso_to_timestamp(text))
 
 
 def utc_to_ns(text: Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridfold import schemas
-from gridfold.functions.identity import CONDITION, bound_source, hourly_slug, outcome, slug_asset, slug_start
-from gridfold.functions.timefn import HOUR_NS, iso_to_ns
+from gridfold.functions.identity import CONDITION, bound_source, hourly_slug, named_asset, outcome, slug_start
+from gridfold.functions.timefn import held_ns, iso_to_timestamp
 from gridfold.functions.values import apart, canonical_json, json_list, sha256
 from gridfold.operators.guards import divergent
 
@@ -23,18 +23,20 @@ def bind(payloads: DataFrame) -> DataFrame:
     """One row for each event of the payloads: ``disposition`` and the columns of the markets table.
 
     Dispositions: ok, gap (no tokens), unresolved, or ``error: ...``; checked in a fixed order, for a gap
-    counts only if the identity holds, and an open market only if it has tokens."""
+    counts only if the identity holds, and an open market only if it has tokens. Start and end are compared as timestamps;
+    their nanoseconds are null where BIGINT doesn't hold them (after 2262)."""
     event = payloads.select("payload", F.explode(F.from_json("payload", PAYLOAD)).alias("event"))
     m = event.select("payload", F.col("event.id").alias("event_id"), F.size("event.markets").alias("n"), F.get("event.markets", F.lit(0)).alias("m"))
-    flat = apart(apart(m).select("payload", "event_id", "n", "m.*").withColumns({"asset": slug_asset(F.col("slug")), "start": slug_start(F.col("slug"))}))
-    start_ns = F.unix_micros("start") * 1_000
+    started = apart(apart(m).select("payload", "event_id", "n", "m.*").withColumn("start", slug_start(F.col("slug"))))
+    flat = apart(started.withColumn("asset", F.when(F.col("start").isNotNull(), named_asset(F.col("slug")))))
+    end = F.col("start") + F.expr("INTERVAL 1 HOUR")
     rules = F.coalesce("description", F.lit(""))
     tokens = json_list(F.col("clobTokenIds"))
     low = F.lower(rules)
     named = apart(flat.withColumns(
         {
-            "market_start_ns": start_ns,
-            "market_end_ns": start_ns + HOUR_NS,
+            "market_start_ns": held_ns(F.col("start")),
+            "market_end_ns": held_ns(end),
             "source": bound_source(F.col("asset"), rules, F.col("resolutionSource")),
             "tokens": tokens,
             "outcome": outcome(json_list(F.col("outcomePrices"))),
@@ -47,7 +49,7 @@ def bind(payloads: DataFrame) -> DataFrame:
         "an event has one market": F.col("n") == 1,
         "the slug is given": F.col("slug").isNotNull(),
         "the slug is canonical": F.col("start").isNotNull(),
-        "the end is an hour after the slug's start": iso_to_ns(F.col("endDate")) == F.col("market_end_ns"),
+        "the end is an hour after the slug's start": iso_to_timestamp(F.col("endDate")) == end,
         "the outcomes are Up and Down": F.col("sides") == F.array(F.lit("UP"), F.lit("DOWN")),
         "the condition id is 64 hexadecimal digits": F.col("conditionId").rlike(CONDITION),
         "there are rules": F.trim(rules) != "",

@@ -809,3 +809,15 @@ def test_files_told_twice_are_one(spark):
     told = spark.createDataFrame([([("f", 1, "x")],), ([("f", 1, "x"), ("g", 1, "y")],)], f"files array<{segments._FILE}>")
     now = spark.createDataFrame([("g", 1, "y"), ("h", 1, "z")], "path string, byte_length long, sha256 string")
     assert sorted(map(tuple, segments.changed_files(told, now).collect())) == [("f", "absent"), ("h", "in no receipt")]
+
+
+def test_markets_beyond_nanoseconds_bind(spark, tmp_path):
+    from gridfold import queries_archive as q
+
+    at = orders_at(spark, tmp_path, [12, 600_000, 600_001, 600_007, 54_000_000])
+    got = {r["event_id"]: r for r in q.market_payloads(spark, at).collect()}
+    assert got["e12"]["start_ns"] == (q.DAY_S + 12 * 14_400) * 10**9
+    assert [got[f"e{k}"]["disposition"] for k in (600_000, 54_000_000)] == ["ok", "ok"] and got["e600000"]["start_ns"] is None
+    assert got["e600001"]["disposition"].endswith("the slug is canonical") and got["e600007"]["disposition"].endswith("an hour after the slug's start")
+    assert {r[0] for r in q.merged_markets(spark, at).collect()} == {f"0x{k:064d}" for k in (12, 600_000, 600_001, 600_007, 54_000_000) if k % 3 < 2}
+    assert {r[1] for r in q.expected_starts(spark, at).collect()} == {"accepted", "SOURCE_GAP", "UNRESOLVED_MARKET"}
