@@ -4,6 +4,8 @@ The SQL says from the same rows what must come out; it parses no JSON and calls
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -348,32 +350,38 @@ def partition_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.tier(df).select(F.lit(name).alias("part"), "quality_tier") for name, df in parts.items()])
 
 
+#: Lines of a price archive at most.
+ARCHIVE_LINES = 10_000
+
+
 @query(
     """SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'spot' ELSE 'usds_m_perpetual' END AS instrument_type, (1735689600000 + l_orderkey * 1000 + l_linenumber) * 1000000 AS source_ts_ns, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents
 FROM lineitem"""
 )
 def price_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zipped CSV files made of lines: trades in microseconds, klines in milliseconds below a header."""
+    """Zipped CSV files made of lines: trades in microseconds, klines in milliseconds below a header. A task's Arrow batch
+    of lines is a file, so that files are as many as the lines need and none grows with them."""
+
+    def zipped(header: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            import io
+            import zipfile
 
-    def zipped(pdf: pd.DataFrame) -> pd.DataFrame:
-        import io
-        import zipfile
+            for lines in (pdf["line"][i : i + ARCHIVE_LINES] for pdf in parts for i in range(0, len(pdf), ARCHIVE_LINES)):
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("x.csv", header + "\n".join(lines) + "\n")
+                yield pd.DataFrame({"path": [f"{zlib.crc32(out.getvalue()):08x}.zip"], "content": [out.getvalue()]})
 
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("x.csv", "\n".join(pdf["line"]) + "\n")
-        return pd.DataFrame({"path": [f"{pdf['part'].iloc[0]}.zip"], "content": [out.getvalue()]})
+        return run
 
     li = read(spark, sf_dir, "lineitem").withColumn("ms", F.lit(1_735_689_600_000) + F.col("l_orderkey") * 1_000 + F.col("l_linenumber"))
     price = F.format_string("%.2f", "l_extendedprice")
-    part = F.concat(F.lit("p"), (F.col("l_orderkey") % 8).cast("string"))
     trade = F.concat_ws(",", F.lit("1"), price, F.lit("2"), F.lit("2"), (F.col("ms") * 1_000).cast("string"), F.lit("False"))
     kline = F.concat_ws(",", F.col("ms").cast("string"), F.lit("1"), F.lit("2"), F.lit("1"), price)
-    files = lambda rows, line: rows.select(part.alias("part"), line.alias("line")).groupBy("part").applyInPandas(zipped, "path string, content binary")
-    trades = prices.from_archives(files(li.where("l_orderkey % 2 = 0"), trade), "BTC", "trades")
-    odd = li.where("l_orderkey % 2 = 1")
-    header = odd.select(part.alias("part")).distinct().select("part", F.lit("open_time,open,high,low,close").alias("line"))
-    both = odd.select(part.alias("part"), kline.alias("line")).unionByName(header).groupBy("part").applyInPandas(zipped, "path string, content binary")
+    files = lambda odd, line, header: li.where(F.col("l_orderkey") % 2 == odd).select(line.alias("line")).mapInPandas(zipped(header), "path string, content binary")
+    trades = prices.from_archives(files(0, trade, ""), "BTC", "trades")
+    both = files(1, kline, "open_time,open,high,low,close\n")
     every = trades.unionByName(prices.from_archives(both, "HYPE", "klines"))
     return every.select("instrument_type", "source_ts_ns", (F.col("value") * 100).cast("long").alias("cents"))
 

@@ -821,3 +821,14 @@ def test_markets_beyond_nanoseconds_bind(spark, tmp_path):
     assert got["e600001"]["disposition"].endswith("the slug is canonical") and got["e600007"]["disposition"].endswith("an hour after the slug's start")
     assert {r[0] for r in q.merged_markets(spark, at).collect()} == {f"0x{k:064d}" for k in (12, 600_000, 600_001, 600_007, 54_000_000) if k % 3 < 2}
     assert {r[1] for r in q.expected_starts(spark, at).collect()} == {"accepted", "SOURCE_GAP", "UNRESOLVED_MARKET"}
+
+
+def test_price_archives_stay_small(spark, tmp_path, monkeypatch):
+    from gridfold import queries_archive as q
+
+    spark.createDataFrame([(k, 1, 1.5) for k in range(100)], "l_orderkey long, l_linenumber int, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(q, "ARCHIVE_LINES", 7)
+    seen, whole = [], q.prices.from_archives
+    monkeypatch.setattr(q.prices, "from_archives", lambda files, *a: seen.append(files) or whole(files, *a))
+    assert q.price_archives(spark, str(tmp_path)).count() == 100
+    assert max(len(q.prices.csv_of(r["content"], 1 << 20).split(b"\n")) for files in seen for r in files.collect()) <= 8
