@@ -79,10 +79,15 @@ def bind(payloads: DataFrame) -> DataFrame:
 
 
 def conflicts(payloads: DataFrame) -> DataFrame:
-    """condition_id of markets that several payloads give with different content."""
-    event = payloads.select(F.explode(F.from_json("payload", "array<string>")).alias("event"))
-    condition = F.get_json_object("event", "$.markets[0].conditionId")
-    named = event.select(condition.alias("condition_id"), F.to_json(F.parse_json("event")).alias("content"))
+    """condition_id of markets that several payloads give with different content.
+
+    A payload is parsed once, and its contents are shuffled as digests of their canonical form."""
+    whole = F.expr("try_cast(try_parse_json(payload) AS array<variant>)")
+    # What doesn't parse as one: the events before the fault count, and a name twice in an event is an error.
+    in_parts = F.transform(F.from_json("payload", "array<string>"), F.parse_json)
+    event = payloads.select(F.explode(F.coalesce(whole, in_parts)).alias("event"))
+    condition = F.try_variant_get("event", "$.markets[0].conditionId", "string")
+    named = apart(event.select(condition.alias("condition_id"), sha256(F.to_json("event")).alias("content")))
     return divergent(named.where("condition_id IS NOT NULL"), ["condition_id"], ["content"]).select("condition_id")
 
 

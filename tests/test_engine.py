@@ -832,3 +832,12 @@ def test_price_archives_stay_small(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(q.prices, "from_archives", lambda files, *a: seen.append(files) or whole(files, *a))
     assert q.price_archives(spark, str(tmp_path)).count() == 100
     assert max(len(q.prices.csv_of(r["content"], 1 << 20).split(b"\n")) for files in seen for r in files.collect()) <= 8
+
+
+def test_conflicts_of_odd_payloads(spark):
+    event = '{"id":"e","markets":[{"conditionId":"%s","x":%s}]}'
+    texts = [f"[{event % ('a', '1.0')}]", '[{"markets":[{"x":1.0,"conditionId":"a"}],"id":"e"}]', f"[{event % ('b', '1')}]", f"[{event % ('b', '2')}, 7]", "no JSON", "{}", "[3]", None]
+    conflicts = lambda *more: {r[0] for r in market_source.conflicts(spark.createDataFrame([(t,) for t in (*texts, *more)], "payload string")).collect()}
+    assert conflicts() == {"b"}
+    with pytest.raises(Exception, match="DUPLICATE_KEY"):
+        conflicts('[{"id":1,"id":2,"markets":[{"conditionId":"a"}]}]')
