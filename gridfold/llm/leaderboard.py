@@ -357,12 +357,14 @@ def change_feed(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataF
 
 
 #: State in RocksDB, which map state needs; two versions of it are kept for a failed batch. Stores are many and small: they
-#: take no room ahead, and a batch writes what it changed.
+#: take no room ahead, and a batch writes what it changed. A start opens every store once, so a task closes its store when it
+#: is done; otherwise the stores of earlier starts stay open, up to a minute, beside those of the next.
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.minBatchesToRetain": "2",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 #: For a shared folder that is mounted as local files: Hadoop's other client starts a process for each look at a file, and keeps
 #: checksums beside its files anyway.
