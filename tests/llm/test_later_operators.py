@@ -163,6 +163,26 @@ def test_the_feed_against_brute_force(spark, monkeypatch):
     assert got == want and {x[4] for x in got} == {"enter", "exit", "move"} and len(got) > 300
 
 
+def test_stores_are_closed_when_their_tasks_are_done(spark, monkeypatch):
+    """Each start opens every store anew. Only the first one's buckets, which take prices in, may keep theirs."""
+    monkeypatch.setattr(leaderboard, "widths", lambda n: [4, 1])
+    loaded = _loaded_stores(spark)
+    before = {str(k) for k in loaded()}
+    lines, vendors, items = shop(n=400)
+    got, want = feed_rows(spark, lines, vendors, items)
+    assert got == want and len({x[3] for x in got}) > 2
+    assert len({str(k) for k in loaded()} - before) <= 4
+
+
+def _loaded_stores(spark):
+    """What lists the open state stores of this process, which Spark keeps to itself."""
+    stores = spark._jvm.org.apache.spark.sql.execution.streaming.state
+    module = getattr(getattr(stores, "StateStore$"), "MODULE$")
+    field = next(f for f in module.getClass().getDeclaredFields() if f.getName().endswith("loadedProviders"))
+    field.setAccessible(True)
+    return lambda: list(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(field.get(module).keySet()))
+
+
 def test_the_feed_of_nothing(spark):
     lines, vendors, items = shop(n=3)
     assert feed_rows(spark, [], vendors, items) == ([], [])
