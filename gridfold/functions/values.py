@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +28,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def apart(df: DataFrame) -> DataFrame:
+def apart(df: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
     """``df`` as it is, with a plan that later expressions only name its columns of: else the optimizer would
-    write out wide expressions again wherever their columns are used."""
-    return df.select(F.explode(F.array(F.struct(*[F.col(c) for c in df.columns]))).alias("gf_row")).select("gf_row.*")
+    write out wide expressions again wherever their columns are used. beside: plain columns that stay out of the
+    row that is made here, so that they aren't copied where nobody asks for them."""
+    row = F.struct(*[F.col(c) for c in df.columns if c not in beside])
+    return df.select(*beside, F.explode(F.array(row)).alias("gf_row")).select(*beside, "gf_row.*")
 
 
 def parsed_levels(text: Column, side: str) -> Column:

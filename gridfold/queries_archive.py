@@ -248,14 +248,14 @@ def payloads(spark: SparkSession, sf_dir: str, ways: tuple[int, ...] = tuple(ran
         F.when(way == 1, "bitcoin-up").otherwise(identity.hourly_slug(F.lit("BTC"), start)).alias("slug"),
         F.when(way == 2, "0x1").otherwise(F.concat(F.lit("0x"), F.lpad(k.cast("string"), 64, "0"))).alias("conditionId"),
         F.when(way == 3, '["Down","Up"]').otherwise('["Up","Down"]').alias("outcomes"),
-        F.when(way == 4, None).otherwise(F.format_string('["%d","%d"]', k * 2, k * 2 + 1)).alias("clobTokenIds"),
+        F.when(way == 4, None).otherwise(F.concat(F.lit('["'), (k * 2).cast("string"), F.lit('","'), (k * 2 + 1).cast("string"), F.lit('"]'))).alias("clobTokenIds"),
         (way != 5).alias("closed"),
         F.when(way == 6, '["0.6","0.4"]').when(k % 24 < 12, '["1","0"]').otherwise('["0","1"]').alias("outcomePrices"),
         F.when(way == 7, "2020-01-01T00:00:00Z").otherwise(end).alias("endDate"),
         F.lit("https://www.binance.com/en/trade/BTC_USDT").alias("resolutionSource"),
         F.when(way == 8, "").otherwise("Up if greater than or equal, otherwise Down: Binance 1 hour candle BTC/USDT").alias("description"),
     )
-    event = F.struct(F.concat(F.lit("e"), k.cast("string")).alias("id"), F.when(way == 10, F.array(m, m)).otherwise(F.array(m)).alias("markets"))
+    event = F.struct(F.concat(F.lit("e"), k.cast("string")).alias("id"), F.array_repeat(m, F.when(way == 10, 2).otherwise(1)).alias("markets"))
     return o.select("o_orderkey", start.alias("start"), F.to_json(F.array(event)).alias("payload"))
 
 

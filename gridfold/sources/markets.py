@@ -27,22 +27,22 @@ def bind(payloads: DataFrame) -> DataFrame:
     their nanoseconds are null where BIGINT doesn't hold them (after 2262)."""
     event = payloads.select("payload", F.explode(F.from_json("payload", PAYLOAD)).alias("event"))
     m = event.select("payload", F.col("event.id").alias("event_id"), F.size("event.markets").alias("n"), F.get("event.markets", F.lit(0)).alias("m"))
-    started = apart(apart(m).select("payload", "event_id", "n", "m.*").withColumn("start", slug_start(F.col("slug"))))
-    flat = apart(started.withColumn("asset", F.when(F.col("start").isNotNull(), named_asset(F.col("slug")))))
-    end = F.col("start") + F.expr("INTERVAL 1 HOUR")
     rules = F.coalesce("description", F.lit(""))
-    tokens = json_list(F.col("clobTokenIds"))
-    low = F.lower(rules)
-    named = apart(flat.withColumns(
+    read = m.select("payload", "event_id", "n", "m.*").withColumns(
         {
-            "market_start_ns": held_ns(F.col("start")),
-            "market_end_ns": held_ns(end),
-            "source": bound_source(F.col("asset"), rules, F.col("resolutionSource")),
-            "tokens": tokens,
+            "start": slug_start(F.col("slug")),
+            "tokens": json_list(F.col("clobTokenIds")),
             "outcome": outcome(json_list(F.col("outcomePrices"))),
             "sides": F.transform(json_list(F.col("outcomes")), F.upper),
+            "low": F.lower(rules),
         }
-    ))
+    )
+    # The payload goes beside: it is wide, and only its digest is asked for.
+    flat = apart(read.drop("outcomes", "outcomePrices"), ["payload"]).withColumn("asset", F.when(F.col("start").isNotNull(), named_asset(F.col("slug"))))
+    bound = flat.withColumn("source", bound_source(F.col("asset"), rules, F.col("resolutionSource"))).drop("resolutionSource")
+    named = apart(bound, ["payload"])
+    end = F.col("start") + F.expr("INTERVAL 1 HOUR")
+    low = F.col("low")
     falsy = lambda c: F.coalesce(~c, F.lit(True))
     # What must hold, in this order; the first that doesn't names the row's error.
     identity = {
@@ -59,23 +59,22 @@ def bind(payloads: DataFrame) -> DataFrame:
     }
     has_tokens = F.col("clobTokenIds").isNotNull()
     two_tokens = (F.size("tokens") == 2) & F.forall("tokens", lambda t: t.rlike("^[0-9]+$"))
-    error = F.lit(None).cast("string")
-    for text, holds in reversed(identity.items()):
-        error = F.when(falsy(holds), F.lit(f"error: not so: {text}")).otherwise(error)
     disposition = (
-        F.when(error.isNotNull(), error)
-        .when(~has_tokens, "gap")
+        F.when(~has_tokens, "gap")
         .when(falsy(two_tokens), "error: not so: there are two numeric tokens")
         .when(falsy(F.col("closed")) | F.col("outcome").isNull(), "unresolved")
         .otherwise("ok")
     )
+    for text, holds in reversed(identity.items()):
+        disposition = F.when(falsy(holds), F.lit(f"error: not so: {text}")).otherwise(disposition)
     columns = {
         "schema_version": F.lit(schemas.SCHEMA_VERSION), "venue": F.lit("clob"), "timeframe": F.lit("1h"), "market_id": F.col("id"), "condition_id": F.col("conditionId"),
+        "market_start_ns": held_ns(F.col("start")), "market_end_ns": held_ns(end),
         "token_up": F.get("tokens", F.lit(0)), "token_down": F.get("tokens", F.lit(1)), "rules_text_sha256": sha256(rules), "resolution_source_url": F.col("source"),
         "official_outcome": F.col("outcome"), "official_resolution_ts_ns": F.lit(None).cast("long"), "quality_tier": F.lit("TIER_A"), "evidence_sha256": sha256(F.col("payload")),
         "exclusion_reason": F.lit(None).cast("string"),
     }
-    return apart(named.withColumn("disposition", disposition).withColumns(columns).select("disposition", "slug", *schemas.table("markets").names))
+    return named.withColumn("disposition", disposition).withColumns(columns).select("disposition", "slug", *schemas.table("markets").names)
 
 
 def conflicts(payloads: DataFrame) -> DataFrame:
@@ -92,9 +91,13 @@ def conflicts(payloads: DataFrame) -> DataFrame:
 
 
 def merged(payloads: DataFrame) -> DataFrame:
-    """One row a condition of what ``bind`` accepts; a condition with two contents is an error."""
-    bad = conflicts(payloads).withColumnRenamed("condition_id", "gf_condition")
-    rows = bind(payloads).where("disposition = 'ok'").dropDuplicates(["condition_id"])
+    """One row a condition of what ``bind`` accepts; a condition with two contents is an error.
+
+    A text that is given several times is parsed once: texts are dealt out before, which costs far less than parsing
+    them, and spreads the parsing evenly however the rows were stored."""
+    once = payloads.groupBy("payload").agg(F.count("*")).select("payload")
+    bad = conflicts(once).withColumnRenamed("condition_id", "gf_condition")
+    rows = bind(once).where("disposition = 'ok'").dropDuplicates(["condition_id"])
     joined = rows.join(bad, F.col("condition_id") == F.col("gf_condition"), "left")
     text = F.concat(F.lit("payloads differ on "), "gf_condition")
     return joined.withColumn("condition_id", F.when(F.col("gf_condition").isNull(), F.col("condition_id")).otherwise(F.raise_error(text))).drop("gf_condition")

@@ -841,3 +841,24 @@ def test_conflicts_of_odd_payloads(spark):
     assert conflicts() == {"b"}
     with pytest.raises(Exception, match="DUPLICATE_KEY"):
         conflicts('[{"id":1,"id":2,"markets":[{"conditionId":"a"}]}]')
+
+
+def test_merging_parses_a_text_once(spark, monkeypatch):
+    market = {"id": "m", "slug": "bitcoin-up-or-down-may-1-2026-3pm-et", "conditionId": "0x" + "a" * 64, "outcomes": '["Up","Down"]', "clobTokenIds": '["1","2"]', "closed": True, "outcomePrices": '["1","0"]', "endDate": "2026-05-01T20:00:00Z", "resolutionSource": "https://www.binance.com/en/trade/BTC_USDT", "description": "Greater than or equal, otherwise; BTC by the Binance 1 hour candle BTC/USDT"}
+    text, turned, other = (json.dumps([x]) for x in ({"id": "e", "markets": [market]}, {"markets": [market], "id": "e"}, {"id": "f", "markets": [market]}))
+    given = lambda *texts: spark.createDataFrame([(t,) for t in texts], "payload string").repartition(3)
+    seen = []
+    for name in ("bind", "conflicts"):
+        whole = getattr(market_source, name)
+        monkeypatch.setattr(market_source, name, lambda p, whole=whole: seen.append(p) or whole(p))
+    got = market_source.merged(given(*[text, turned, "no JSON", None] * 5)).collect()
+    assert [(r["condition_id"], r["token_up"]) for r in got] == [("0x" + "a" * 64, "1")]
+    assert [p.count() for p in seen] == [4, 4]
+    with pytest.raises(Exception, match="payloads differ on 0xa"):
+        market_source.merged(given(text, text, other)).collect()
+
+
+def test_binding_works_each_part_out_once(spark):
+    plan = market_source.bind(spark.createDataFrame([("[]",)], "payload string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType(StringType") == 3  # outcomes, tokens, prices
+    assert plan.count("from_utc_timestamp") == plan.count("to_utc_timestamp") == 1
